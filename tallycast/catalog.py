@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tallycast.config import CvSpec, EncoderSpec, FeatureSpec, ModelSpec, PanelSpec, PipelineSpec
 from tallycast.functions import scalars
-from tallycast.functions.text import TOKEN_PATTERN, accent_table, ngrams, tokens
+from tallycast.functions.text import TOKEN_PATTERN, accent_table, ngrams
 from tallycast.operators import encoders, folds, metrics, models, numeric, panel, target_encoding
 from tallycast.operators import temporal, text_encoding
 from tallycast.plans import prepare, score, train
@@ -54,6 +54,14 @@ def widened(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("bigint") for c in columns})
 
 
+# Prices as whole cents: sums are exact, so no digit depends on their order.
+PRICED_SQL = "(SELECT *, round(o_totalprice * 100) AS cents FROM orders)"
+
+
+def priced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").withColumn("cents", F.round(F.col("o_totalprice") * 100))
+
+
 # ------------------------------------------------------------------ panels
 
 CUSTOMER, PERIOD, VALUE, LABEL = "o_custkey", "period", "txn_count", "next_3m_txn_count"
@@ -244,21 +252,21 @@ ROW_FEATURES = FeatureSpec(rolling_windows=(3, 12), rolling_stats=("mean", "min"
 
 def row_features_sql() -> str:
     w = "(PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)"
-    columns = temporal_sql(ROW_FEATURES, "o_totalprice", w)
-    body = ", ".join(f"round({sql}, 4) AS {name}" for name, sql in columns.items())
-    return f"SELECT o_orderkey, {body} FROM orders"
+    columns = temporal_sql(ROW_FEATURES, "cents", w)
+    body = ", ".join(f"round({sql}, 6) AS {name}" for name, sql in columns.items())
+    return f"SELECT o_orderkey, {body} FROM {PRICED_SQL}"
 
 
 @query("temporal_features_rows", row_features_sql)
 def _(spark, sf_dir):
     """One row per transaction: a customer may own any share of the rows."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    rows = priced(spark, sf_dir).select("o_orderkey", "o_custkey", "o_orderdate", "cents")
     out = temporal.temporal_features(
-        orders, "o_custkey", "o_orderdate", "o_totalprice", ROW_FEATURES,
+        rows, "o_custkey", "o_orderdate", "cents", ROW_FEATURES,
         tie_break=("o_orderkey",), one_row_per_period=False,
     )
-    names = list(temporal_sql(ROW_FEATURES, "o_totalprice", "()"))
-    return rounded(out.select("o_orderkey", *names), *names, digits=4)
+    names = list(temporal_sql(ROW_FEATURES, "cents", "()"))
+    return rounded(out.select("o_orderkey", *names), *names)
 
 
 # ------------------------------------------------------------ numeric columns
@@ -306,7 +314,7 @@ def _(spark, sf_dir):
     return imputed(spark, sf_dir, "mean")
 
 
-@query("impute_zero", imputed_sql("0.0"))
+@query("impute_zero", imputed_sql("CAST(max(0) AS DOUBLE)"))
 def _(spark, sf_dir):
     return imputed(spark, sf_dir, "zero")
 
@@ -387,7 +395,7 @@ def _(spark, sf_dir):
 
 
 MEMBERS_SQL = f"""{FOLDS_SQL}, placed AS (
-  SELECT *, year(o_orderdate) * 12 + month(o_orderdate) - 1 AS idx FROM orders
+  SELECT *, year(o_orderdate) * 12 + month(o_orderdate) - 1 AS idx FROM {PRICED_SQL}
 ), members AS (
   SELECT f.fold, CASE WHEN p.idx - f.origin < f.train_end THEN 'train' ELSE 'test' END AS role, p.*
   FROM placed p JOIN folds f ON p.idx - f.origin < f.train_end
@@ -397,7 +405,7 @@ MEMBERS_SQL = f"""{FOLDS_SQL}, placed AS (
 
 def order_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
-    return folds.rolling_origin(orders, "o_orderdate", CV, keys=["o_orderkey"])
+    return folds.rolling_origin(orders, "o_orderdate", folds.rolling_folds(orders, "o_orderdate", CV), ["o_orderkey"])
 
 
 @query(
@@ -429,7 +437,8 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     marks = ["first_train_fold", "test_fold"]
-    return widened(folds.fold_columns(orders, "o_orderdate", CV).select("o_orderkey", *marks), *marks)
+    split = folds.rolling_folds(orders, "o_orderdate", CV)
+    return widened(folds.fold_columns(orders, "o_orderdate", split).select("o_orderkey", *marks), *marks)
 
 
 RANKS_SQL = """spans AS (
@@ -525,7 +534,8 @@ PANEL_FOLDS_SQL = f"""{NAIVE_SQL}, usable AS (
 
 def tested_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = materialise(scored_rows(spark, sf_dir))
-    return folds.fold_columns(rows, PERIOD, CV).filter(F.col("test_fold").isNotNull())
+    split = folds.rolling_folds(rows, PERIOD, CV)
+    return folds.fold_columns(rows, PERIOD, split).filter(F.col("test_fold").isNotNull())
 
 
 @query(
@@ -546,7 +556,8 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     rows = materialise(scored_rows(spark, sf_dir))
-    tested = folds.fold_columns(rows, PERIOD, CV).filter(F.col("test_fold").isNotNull())
+    split = folds.rolling_folds(rows, PERIOD, CV)
+    tested = folds.fold_columns(rows, PERIOD, split).filter(F.col("test_fold").isNotNull())
     out = metrics.cv_summary(tested, LABEL, "by_mean", "test_fold", labelled=rows.count())
     return rounded(out, "overall_rmsle", "mean_rmsle", "std_rmsle", "coverage")
 
@@ -612,12 +623,12 @@ def stats_sql(columns: tuple[str, ...], label: str, source: str) -> str:
 
 @query(
     "category_stats",
-    f"SELECT col, category, n, round(mean, 4) AS mean FROM ({stats_sql((*ORDER_CATEGORIES, 'o_custkey'), 'o_totalprice', 'orders')})",
+    f"SELECT col, category, n, round(mean, 6) AS mean FROM ({stats_sql((*ORDER_CATEGORIES, 'o_custkey'), 'cents', PRICED_SQL)})",
 )
 def _(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders")
-    stats = target_encoding.category_stats(orders, [*ORDER_CATEGORIES, "o_custkey"], "o_totalprice")
-    return rounded(stats, "mean", digits=4)
+    orders = priced(spark, sf_dir)
+    stats = target_encoding.category_stats(orders, [*ORDER_CATEGORIES, "o_custkey"], "cents")
+    return rounded(stats, "mean")
 
 
 def encode_sql(key: str, columns: tuple[str, ...], label: str, fit: str, rows: str, enc: str, default: str = "p.prior") -> str:
@@ -629,7 +640,7 @@ def encode_sql(key: str, columns: tuple[str, ...], label: str, fit: str, rows: s
                 FROM {fit} WHERE {c} IS NOT NULL GROUP BY 1) s{i} ON s{i}.category = CAST(r.{c} AS VARCHAR)"""
         )
         value = enc.format(n=f"s{i}.n", mean=f"s{i}.mean", col=f"s{i}.col", category=f"s{i}.category")
-        outputs.append(f"round(CASE WHEN s{i}.category IS NULL THEN {default} ELSE {value} END, 4) AS {c}_target_enc")
+        outputs.append(f"round(CASE WHEN s{i}.category IS NULL THEN {default} ELSE {value} END, 6) AS {c}_target_enc")
     return (
         f"SELECT {key}, {', '.join(outputs)} FROM {rows} r "
         f"CROSS JOIN (SELECT avg({label}) AS prior FROM {fit}) p {' '.join(joins)}"
@@ -641,16 +652,16 @@ SMOOTH_SQL = "({n} / ({n} + 1.0) * {mean} + (1 - {n} / ({n} + 1.0)) * p.prior)"
 
 def encoded(df: DataFrame, keys: list[str], learned: target_encoding.TargetEncoding, **kwargs) -> DataFrame:
     out = learned.apply(df.select(*keys, *[F.col(c) for c in learned.columns]), **kwargs)
-    return rounded(out.select(*keys, *learned.names), *learned.names, digits=4)
+    return rounded(out.select(*keys, *learned.names), *learned.names)
 
 
 @query(
     "target_encode",
-    encode_sql("r.o_orderkey", (*ORDER_CATEGORIES, "o_custkey"), "o_totalprice", "orders", "orders", SMOOTH_SQL),
+    encode_sql("r.o_orderkey", (*ORDER_CATEGORIES, "o_custkey"), "cents", PRICED_SQL, PRICED_SQL, SMOOTH_SQL),
 )
 def _(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders")
-    learned = target_encoding.fit_target_encoding(orders, [*ORDER_CATEGORIES, "o_custkey"], "o_totalprice")
+    orders = priced(spark, sf_dir)
+    learned = target_encoding.fit_target_encoding(orders, [*ORDER_CATEGORIES, "o_custkey"], "cents")
     return encoded(orders.withColumn("o_custkey", F.col("o_custkey").cast("string")), ["o_orderkey"], learned)
 
 
@@ -665,32 +676,32 @@ def _(spark, sf_dir):
     return encoded(lines, ["l_orderkey", "l_linenumber", "l_suppkey"], learned, broadcast_bytes=0)
 
 
-EARLY = "(SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01')"
+EARLY = f"(SELECT * FROM {PRICED_SQL} WHERE o_orderdate < TIMESTAMP '1996-01-01')"
 
 
 @query(
     "target_encode_unknown_null",
-    encode_sql("r.o_orderkey", ("o_custkey",), "o_totalprice", EARLY, "orders", SMOOTH_SQL, default="NULL"),
+    encode_sql("r.o_orderkey", ("o_custkey",), "cents", EARLY, "orders", SMOOTH_SQL, default="NULL"),
 )
 def _(spark, sf_dir):
     """Learned on the first year, applied to all rows: later customers are unknown."""
-    orders = table(spark, sf_dir, "orders")
+    orders = priced(spark, sf_dir)
     early = orders.filter(F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz"))
     spec = EncoderSpec(handle_unknown="nan")
-    return encoded(orders, ["o_orderkey"], target_encoding.fit_target_encoding(early, ["o_custkey"], "o_totalprice", spec))
+    return encoded(orders, ["o_orderkey"], target_encoding.fit_target_encoding(early, ["o_custkey"], "cents", spec))
 
 
 @query(
     "target_encode_min_samples",
     encode_sql(
-        "r.o_orderkey", ("o_custkey",), "o_totalprice", "orders", "orders",
+        "r.o_orderkey", ("o_custkey",), "cents", PRICED_SQL, PRICED_SQL,
         "CASE WHEN {n} < 12 THEN p.prior ELSE " + SMOOTH_SQL + " END",
     ),
 )
 def _(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders")
+    orders = priced(spark, sf_dir)
     spec = EncoderSpec(min_samples=12)
-    return encoded(orders, ["o_orderkey"], target_encoding.fit_target_encoding(orders, ["o_custkey"], "o_totalprice", spec))
+    return encoded(orders, ["o_orderkey"], target_encoding.fit_target_encoding(orders, ["o_custkey"], "cents", spec))
 
 
 def uniform_sql(part: str) -> str:
@@ -703,20 +714,20 @@ NOISE_SQL = f"0.01 * abs(p.prior) * sqrt(-2.0 * ln({uniform_sql('u')})) * cos(2.
 
 @query(
     "target_encode_noise",
-    encode_sql("r.o_orderkey", ("o_custkey",), "o_totalprice", "orders", "orders", f"{SMOOTH_SQL} + {NOISE_SQL}"),
+    encode_sql("r.o_orderkey", ("o_custkey",), "cents", PRICED_SQL, PRICED_SQL, f"{SMOOTH_SQL} + {NOISE_SQL}"),
 )
 def _(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders")
-    learned = target_encoding.fit_target_encoding(orders, ["o_custkey"], "o_totalprice", EncoderSpec(noise=0.01))
+    orders = priced(spark, sf_dir)
+    learned = target_encoding.fit_target_encoding(orders, ["o_custkey"], "cents", EncoderSpec(noise=0.01))
     return encoded(orders, ["o_orderkey"], learned)
 
 
 OOF_SQL = f"""WITH {MEMBERS_SQL}, priors AS (
-  SELECT fold, avg(o_totalprice) AS prior FROM members WHERE role = 'train' GROUP BY 1
+  SELECT fold, avg(cents) AS prior FROM members WHERE role = 'train' GROUP BY 1
 ), stats AS (
   SELECT fold, col, category, count(y) AS n, avg(y) AS mean FROM (
-    SELECT fold, 'o_orderpriority' AS col, o_orderpriority AS category, o_totalprice AS y FROM members WHERE role = 'train'
-    UNION ALL SELECT fold, 'o_custkey', CAST(o_custkey AS VARCHAR), o_totalprice FROM members WHERE role = 'train'
+    SELECT fold, 'o_orderpriority' AS col, o_orderpriority AS category, cents AS y FROM members WHERE role = 'train'
+    UNION ALL SELECT fold, 'o_custkey', CAST(o_custkey AS VARCHAR), cents FROM members WHERE role = 'train'
   ) WHERE category IS NOT NULL GROUP BY 1, 2, 3
 ), encodings AS (
   SELECT s.fold, col, category, n, mean, prior, n / (n + 1.0) * mean + (1 - n / (n + 1.0)) * prior AS enc
@@ -726,23 +737,23 @@ OOF_COLUMNS = ["o_orderpriority", "o_custkey"]
 
 
 def folded_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice", *OOF_COLUMNS)
-    return folds.fold_columns(orders, "o_orderdate", CV)
+    orders = priced(spark, sf_dir).select("o_orderkey", "o_orderdate", "cents", *OOF_COLUMNS)
+    return folds.fold_columns(orders, "o_orderdate", folds.rolling_folds(orders, "o_orderdate", CV))
 
 
 @query(
     "fold_encodings",
-    f"{OOF_SQL} SELECT fold, col, category, n, round(mean, 4) AS mean, round(prior, 4) AS prior, round(enc, 4) AS enc FROM encodings",
+    f"{OOF_SQL} SELECT fold, col, category, n, round(mean, 6) AS mean, round(prior, 6) AS prior, round(enc, 6) AS enc FROM encodings",
 )
 def _(spark, sf_dir):
-    out = target_encoding.fold_encodings(folded_orders(spark, sf_dir), OOF_COLUMNS, "o_totalprice", CV.n_splits)
-    return rounded(widened(out.drop("rows"), "fold"), "mean", "prior", "enc", digits=4)
+    out = target_encoding.fold_encodings(folded_orders(spark, sf_dir), OOF_COLUMNS, "cents", CV.n_splits)
+    return rounded(widened(out.drop("rows"), "fold"), "mean", "prior", "enc")
 
 
 @query(
     "target_encode_oof",
-    f"""{OOF_SQL} SELECT m.fold, m.o_orderkey, round(coalesce(a.enc, p.prior), 4) AS o_orderpriority_target_enc,
-          round(coalesce(b.enc, p.prior), 4) AS o_custkey_target_enc
+    f"""{OOF_SQL} SELECT m.fold, m.o_orderkey, round(coalesce(a.enc, p.prior), 6) AS o_orderpriority_target_enc,
+          round(coalesce(b.enc, p.prior), 6) AS o_custkey_target_enc
         FROM members m JOIN priors p ON p.fold = m.fold
         LEFT JOIN encodings a ON a.fold = m.fold AND a.col = 'o_orderpriority' AND a.category = m.o_orderpriority
         LEFT JOIN encodings b ON b.fold = m.fold AND b.col = 'o_custkey' AND b.category = CAST(m.o_custkey AS VARCHAR)
@@ -750,9 +761,9 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     rows = folded_orders(spark, sf_dir)
-    out = target_encoding.encode_out_of_fold(rows, OOF_COLUMNS, "o_totalprice", CV.n_splits)
+    out = target_encoding.encode_out_of_fold(rows, OOF_COLUMNS, "cents", CV.n_splits)
     names = [target_encoding.encoded_name(c) for c in OOF_COLUMNS]
-    return rounded(widened(out.select("fold", "o_orderkey", *names), "fold"), *names, digits=4)
+    return rounded(widened(out.select("fold", "o_orderkey", *names), "fold"), *names)
 
 
 # ---------------------------------------------------------------------- text
@@ -775,9 +786,9 @@ def tokens_sql(source: str = "documents", key: str = "doc_id") -> str:
     """CTEs ``tok`` (key, words) and ``terms`` (key, grams) over a text column."""
     plain = f"translate(lower(coalesce(text, '')), {', '.join(quoted(t) for t in accent_table())})"
     words = ", ".join(quoted(w) for w in stop_words())
-    return f"""stops AS (SELECT [{words}] AS list), tok AS (
+    return f"""tok AS (
       SELECT {key}, list_filter(regexp_extract_all({plain}, '{TOKEN_PATTERN}'),
-             lambda t: NOT list_contains((SELECT list FROM stops), t)) AS words FROM {source}
+             lambda t: NOT list_contains([{words}], t)) AS words FROM {source}
     ), pairs AS (
       SELECT {key}, words, list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]) AS bigrams
       FROM tok
@@ -797,8 +808,7 @@ def digest(words: Column) -> Column:
 
 @query("tokenize", lambda: f"WITH {tokens_sql()} SELECT doc_id, len(words) AS n, md5(array_to_string(words, ' ')) AS digest FROM tok")
 def _(spark, sf_dir):
-    words = tokens(F.col("text"), text_encoding.english_stop_words())
-    out = documents(spark, sf_dir).select("doc_id", words.alias("words"))
+    out = text_encoding.with_tokens(documents(spark, sf_dir), "text", out="words")
     return widened(out.select("doc_id", F.size("words").alias("n"), digest(F.col("words")).alias("digest")), "n")
 
 
@@ -807,8 +817,7 @@ def _(spark, sf_dir):
     lambda: f"WITH {tokens_sql()} SELECT doc_id, len(bigrams) AS n, md5(array_to_string(bigrams, ' ')) AS digest FROM pairs",
 )
 def _(spark, sf_dir):
-    words = tokens(F.col("text"), text_encoding.english_stop_words())
-    out = documents(spark, sf_dir).select("doc_id", words.alias("words"))
+    out = text_encoding.with_tokens(documents(spark, sf_dir), "text", out="words")
     out = out.select("doc_id", ngrams(F.col("words"), 2).alias("pairs"))
     return widened(out.select("doc_id", F.size("pairs").alias("n"), digest(F.col("pairs")).alias("digest")), "n")
 
@@ -900,7 +909,7 @@ def _(spark, sf_dir):
         F.size(F.filter(weights, lambda w: w > 0)).cast("bigint").alias("n_terms"),
         F.aggregate(weights, F.lit(0.0), lambda a, w: a + w).alias("tfidf_sum"),
     )
-    return rounded(rounded(out, "lang_target_enc", "source_target_enc", digits=4), "tfidf_sum")
+    return rounded(rounded(out, "lang_target_enc", "source_target_enc"), "tfidf_sum")
 
 
 # -------------------------------------------------------------------- models

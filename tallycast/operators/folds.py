@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,18 +25,18 @@ def fold_bounds(df: DataFrame, date: str, cv: CvSpec = CvSpec(), grain: str = "m
     Bounds are half-open period offsets from the first period of the data:
     training covers ``[0, train_end)`` and testing ``[test_start, test_end)``,
     ``gap`` periods later. Folds past the end of the data, or without training
-    or test rows, are left out. The plan is one aggregation to a single row.
+    or test rows, are left out. The table is read once, for its distinct
+    periods; all else happens on those.
     """
     require(df, [date])
     if cv.n_splits < 1 or cv.min_train < 1 or cv.gap < 0:
         raise ValueError("need n_splits >= 1, min_train >= 1 and gap >= 0")
     needed = cv.min_train + cv.n_splits
-    idx = period_index(date, grain)
-    # The set holds one entry per calendar period, however many rows there are.
-    span = df.filter(F.col(date).isNotNull()).agg(
-        F.min(idx).alias("origin"), F.max(idx).alias("newest"), F.collect_set(idx).alias("observed")
+    seen = df.filter(F.col(date).isNotNull()).select(period_index(date, grain).alias("idx")).distinct()
+    # One entry per calendar period.
+    span = seen.agg(
+        F.min("idx").alias("origin"), F.max("idx").alias("newest"), F.collect_set("idx").alias("observed")
     )
-    periods = F.col("newest") - F.col("origin") + 1
     short = F.raise_error(
         F.concat(
             F.lit(f"not enough periods: need at least {needed}, got "),
@@ -43,7 +45,7 @@ def fold_bounds(df: DataFrame, date: str, cv: CvSpec = CvSpec(), grain: str = "m
     )
     size = F.floor((F.col("periods") - cv.min_train) / cv.n_splits).cast("int")
     table = (
-        span.withColumn("periods", periods)
+        span.withColumn("periods", F.col("newest") - F.col("origin") + 1)
         .withColumn("size", F.when(F.col("periods") >= needed, size).otherwise(short))
         .withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(cv.n_splits - 1))))
         .withColumn("train_end", F.lit(cv.min_train) + F.col("fold") * F.col("size"))
@@ -65,55 +67,65 @@ def fold_bounds(df: DataFrame, date: str, cv: CvSpec = CvSpec(), grain: str = "m
     )
 
 
-def _fold_array(bounds: DataFrame) -> Column:
-    """All folds as one array value, to be used inside the plan of the rows."""
-    parts = [c for c in bounds.columns if not c.endswith("_date")]
-    return bounds.agg(F.sort_array(F.collect_list(F.struct(*parts)))).scalar()
+@dataclass(frozen=True)
+class Fold:
+    """One fold as literal dates, so that its predicates reach the scan."""
 
+    fold: int
+    train_end: datetime.date
+    test_start: datetime.date
+    test_end: datetime.date
+    purge: bool = True
 
-def fold_columns(df: DataFrame, date: str, cv: CvSpec = CvSpec(), grain: str = "month") -> DataFrame:
-    """Add ``first_train_fold`` and ``test_fold`` without multiplying rows.
+    def trains(self, date: Column) -> Column:
+        train = date < F.lit(self.train_end)
+        if self.purge:
+            train = train & ~((date >= F.lit(self.train_end)) & (date < F.lit(self.test_start)))
+        return train
 
-    Training windows expand, so a row that trains fold k trains all later
-    folds too; test windows are disjoint. Two integers hold the whole split.
-    """
-    folds = _fold_array(fold_bounds(df, date, cv, grain))
-    idx = period_index(date, grain)
+    def tests(self, date: Column) -> Column:
+        return (date >= F.lit(self.test_start)) & (date < F.lit(self.test_end))
 
-    def trains(f: Column) -> Column:
-        return idx - f["origin"] < f["train_end"]
 
-    def tests(f: Column) -> Column:
-        at = idx - f["origin"]
-        return (at >= f["test_start"]) & (at < f["test_end"])
+def rolling_folds(df: DataFrame, date: str, cv: CvSpec = CvSpec(), grain: str = "month") -> list[Fold]:
+    """The folds of ``fold_bounds``, at most ``n_splits``, on the driver."""
+    rows = fold_bounds(df, date, cv, grain).orderBy("fold").collect()
+    return [
+        Fold(r["fold"], r["train_end_date"], r["test_start_date"], r["test_end_date"], cv.purge) for r in rows
+    ]
 
-    def earliest(rule) -> Column:
-        return F.array_min(F.transform(F.filter("_folds", rule), lambda f: f["fold"]))
 
-    return (
-        df.withColumn("_folds", folds)
-        .withColumns({"first_train_fold": earliest(trains), "test_fold": earliest(tests)})
-        .drop("_folds")
-    )
+def fold_columns(df: DataFrame, date: str, folds: list[Fold]) -> DataFrame:
+    """Add ``first_train_fold`` and ``test_fold`` without multiplying rows.
 
+    Training windows expand, so a row that trains fold k trains all later
+    folds too; test windows are disjoint. Two integers hold the whole split.
+    """
+    at = F.col(date)
+    none = F.lit(None).cast("int")
+    trains = F.coalesce(none, *[F.when(f.trains(at), F.lit(f.fold)) for f in folds])
+    tests = F.coalesce(none, *[F.when(f.tests(at), F.lit(f.fold)) for f in folds])
+    return df.withColumns({"first_train_fold": trains, "test_fold": tests})
 
-def rolling_origin(
-    df: DataFrame, date: str, cv: CvSpec = CvSpec(), keys: Iterable[str] = (), grain: str = "month"
-) -> DataFrame:
+
+def rolling_origin(df: DataFrame, date: str, folds: list[Fold], keys: Iterable[str] = ()) -> DataFrame:
     """Membership table ``(fold, role, keys…, date)``, built in one pass."""
-    keys = list(keys)
-    at = F.col("_at")
-    train = at < F.col("_f.train_end")
-    if cv.purge:
-        train = train & ~((at >= F.col("_f.train_end")) & (at < F.col("_f.test_start")))
-    test = (at >= F.col("_f.test_start")) & (at < F.col("_f.test_end"))
+    at = F.col(date)
+    roles = [
+        F.struct(
+            F.lit(f.fold).alias("fold"),
+            F.when(f.trains(at), "train").when(f.tests(at), "test").alias("role"),
+        )
+        for f in folds
+    ]
+    if not folds:
+        nothing = df.select(F.lit(0).alias("fold"), F.lit("").alias("role"), *keys, date)
+        return nothing.limit(0)
     return (
-        df.select(*keys, date, period_index(date, grain).alias("_idx"))
-        .withColumn("_f", F.explode(_fold_array(fold_bounds(df, date, cv, grain))))
-        .withColumn("_at", F.col("_idx") - F.col("_f.origin"))
-        .withColumn("role", F.when(train, "train").when(test, "test"))
+        df.select(*keys, date)
+        .filter(at < F.lit(max(f.test_end for f in folds)))
+        .select(F.inline(F.array(*roles)), *keys, date)
         .filter(F.col("role").isNotNull())
-        .select(F.col("_f.fold").alias("fold"), "role", *keys, date)
     )
 
 
@@ -204,17 +216,13 @@ def purged_groups(
         .withColumn("cutoff", F.col("_start") - F.expr(f"INTERVAL {int(cv.gap)} MONTH"))
         .withColumn("fold", F.col("_block") - 1)
     )
-    folds = (
-        starts.filter(F.col("_oldest") < F.col("cutoff"))
-        .agg(F.collect_list(F.struct("fold", "cutoff")))
-        .scalar()
-    )
+    cutoffs = starts.filter(F.col("_oldest") < F.col("cutoff")).select("fold", "cutoff").collect()
+    if not cutoffs:
+        return rows.select(F.lit(0).alias("fold"), F.lit("").alias("role"), group, *keys, date).limit(0)
     placed = lookup(rows, ranked.select(group, "n", "_block"), [group], "n")
-    test = F.col("_block") == F.col("_f.fold") + 1
-    train = (F.col("_block") <= F.col("_f.fold")) & (F.col("_block") >= 0) & (F.col(date) < F.col("_f.cutoff"))
-    return (
-        placed.withColumn("_f", F.explode(folds))
-        .withColumn("role", F.when(train, "train").when(test, "test"))
-        .filter(F.col("role").isNotNull())
-        .select(F.col("_f.fold").alias("fold"), "role", group, *keys, date)
-    )
+    roles = []
+    for fold, cutoff in cutoffs:
+        train = F.col("_block").between(0, fold) & (F.col(date) < F.lit(cutoff))
+        role = F.when(train, "train").when(F.col("_block") == fold + 1, "test")
+        roles.append(F.struct(F.lit(fold).alias("fold"), role.alias("role")))
+    return placed.select(F.inline(F.array(*roles)), group, *keys, date).filter(F.col("role").isNotNull())

@@ -50,7 +50,13 @@ def dense_panel(
     ``zero`` columns are 0 in the new rows, ``constant`` columns are repeated
     and all others are null. A customer's rows end at the last observed period,
     or at ``until``.
+
+    The exchange by customer has a fixed number of partitions: adaptive
+    execution would merge them by the size of what goes in, not knowing that
+    the filled panel is many times larger. Windows by customer that follow use
+    the same partitioning.
     """
+    partitions = int(panel.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     here = period_index(period, grain)
     upcoming = F.lead(period_index(period, grain)).over(Window.partitionBy(customer).orderBy(period))
     last = here if until is None else F.greatest(here, period_index(until, grain))
@@ -66,7 +72,8 @@ def dense_panel(
         return (observed.otherwise(F.lit(0)) if name in zero else observed).alias(name)
 
     return (
-        panel.withColumn("_next", upcoming)
+        panel.repartition(partitions, customer)
+        .withColumn("_next", upcoming)
         .withColumn("_step", F.explode(F.sequence(F.lit(0), steps - 1)))
         .select(*[filled(c) for c in panel.columns])
     )

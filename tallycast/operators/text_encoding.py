@@ -15,6 +15,7 @@ from tallycast.config import EncoderSpec
 from tallycast.functions.hashing import bucket_and_sign
 from tallycast.functions.text import ngram_range, run_lengths, run_starts, tokens
 from tallycast.operators.guards import require
+from tallycast.operators.layout import spread_small_input
 
 
 @lru_cache(maxsize=1)
@@ -26,11 +27,16 @@ def _stop_words(spec: EncoderSpec) -> tuple[str, ...]:
     return english_stop_words() if spec.stop_words is None else spec.stop_words
 
 
+def with_tokens(df: DataFrame, text: str, spec: EncoderSpec = EncoderSpec(), out: str = "tokens") -> DataFrame:
+    """Add the tokens of the whole text, in order and without stop words."""
+    require(df, [text])
+    return spread_small_input(df).withColumn(out, tokens(F.col(text), _stop_words(spec)))
+
+
 def with_terms(df: DataFrame, text: str, spec: EncoderSpec = EncoderSpec(), out: str = "terms") -> DataFrame:
     """Add the unigrams and bigrams of the whole text as an array."""
-    require(df, [text])
     return (
-        df.withColumn("_tokens", tokens(F.col(text), _stop_words(spec)))
+        with_tokens(df, text, spec, "_tokens")
         .withColumn(out, ngram_range(F.col("_tokens"), *spec.tfidf_ngrams))
         .drop("_tokens")
     )
@@ -40,7 +46,9 @@ def term_counts(df: DataFrame, text: str, spec: EncoderSpec = EncoderSpec()) ->
     """One row per document and distinct term, with its frequency ``tf``.
 
     Terms are counted inside the row that holds the text, by run lengths of
-    the sorted array, so this step moves no data.
+    the sorted array, so this step moves no data. The outer form of ``inline``
+    keeps Spark from testing for empty arrays ahead of it, which would repeat
+    all the expressions that lead up to the counts.
     """
     keep = [c for c in df.columns if c != text]
     return (
@@ -48,7 +56,8 @@ def term_counts(df: DataFrame, text: str, spec: EncoderSpec = EncoderSpec()) ->
         .withColumn("_ordered", F.sort_array("_terms"))
         .withColumn("_starts", run_starts(F.col("_ordered")))
         .withColumn("_counts", run_lengths(F.col("_ordered"), F.col("_starts")))
-        .select(*keep, F.inline("_counts"))
+        .select(*keep, F.inline_outer("_counts"))
+        .filter(F.col("term").isNotNull())
     )
 
 

@@ -45,6 +45,10 @@ def stateless_features(df: DataFrame, spec: PipelineSpec) -> DataFrame:
     return temporal_features(named, p.customer_col, p.date_col, p.value_col, spec.features)
 
 
+# The label on the training scale.
+TRAIN_LABEL = "_label"
+
+
 @dataclass
 class Preprocessing:
     """Everything learned from training rows, plus the resulting layout."""
@@ -70,11 +74,9 @@ def fit_preprocessing(df: DataFrame, spec: PipelineSpec) -> Preprocessing:
 
 
 def feature_layout(df: DataFrame, encoders: Encoders, spec: PipelineSpec) -> FeatureLayout:
-    """Feature columns: all but the keys, the date, the label and fold columns."""
+    """Feature columns: all but the keys, the date and the label."""
     p, m = spec.panel, spec.model
-    dropped = {
-        p.customer_col, p.date_col, p.label_col, m.weight_col, "first_train_fold", "test_fold", "fold",
-    }
+    dropped = {p.customer_col, p.date_col, p.label_col, m.weight_col, TRAIN_LABEL}
     vectors = {t.output: tuple(t.names) for t in encoders.text}
     numeric = [
         f.name

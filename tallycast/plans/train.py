@@ -11,14 +11,12 @@ from pyspark.sql import functions as F
 
 from tallycast.config import PipelineSpec
 from tallycast.functions.scalars import log_target, unlog_target
-from tallycast.operators.folds import fold_bounds, fold_columns
+from tallycast.operators.folds import rolling_folds
 from tallycast.operators.metrics import cv_summary, fold_scores
 from tallycast.operators.models import TreeModel, fit_trees
-from tallycast.plans.prepare import Preprocessing, fit_preprocessing, stateless_features
+from tallycast.plans.prepare import TRAIN_LABEL, Preprocessing, fit_preprocessing, stateless_features
 from tallycast.session import materialise
 
-TRAIN_LABEL = "_label"
-
 
 @dataclass
 class CvResult:
@@ -72,16 +70,15 @@ def cross_validate(features: DataFrame, spec: PipelineSpec, *, early_stopping: b
 
     ``features`` holds the stateless features and the label and should be
     materialised. The loop runs on the driver over a handful of folds; each
-    fold is a set of Spark jobs over predicates on the fold columns. Fill
+    fold is a set of Spark jobs whose date predicates reach the scan. Fill
     values, encodings and vocabularies are learned per fold.
     """
     p = spec.panel
-    rows = materialise(fold_columns(labelled(features, spec), p.date_col, spec.cv, p.grain))
-    folds = [r["fold"] for r in fold_bounds(rows, p.date_col, spec.cv, p.grain).select("fold").collect()]
+    rows = labelled(features, spec)
     predictions, models = None, []
-    for fold in sorted(folds):
-        train_rows = rows.filter(F.col("first_train_fold") <= fold)
-        test_rows = rows.filter(F.col("test_fold") == fold)
+    for fold in rolling_folds(rows, p.date_col, spec.cv, p.grain):
+        train_rows = rows.filter(fold.trains(F.col(p.date_col)))
+        test_rows = rows.filter(fold.tests(F.col(p.date_col)))
         prep = fit_preprocessing(train_rows, spec)
         train, assembler = _vectors(train_rows, prep)
         test, _ = _vectors(test_rows, prep, assembler)
@@ -91,7 +88,7 @@ def cross_validate(features: DataFrame, spec: PipelineSpec, *, early_stopping: b
             train, TRAIN_LABEL, spec.model, prep.layout.names, validation=test if early_stopping else None
         )
         predicted = model.predict(test, "_log_prediction").select(
-            F.lit(fold).alias("fold"),
+            F.lit(fold.fold).alias("fold"),
             p.customer_col,
             p.date_col,
             p.label_col,

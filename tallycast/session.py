@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,12 +27,21 @@ def build_session(app: str = "tallycast", master: str | None = None, **conf: str
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint.
+    """Cut the lineage: write ``df`` to the shared folder and read it back.
 
     The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a
-    local session without that setting gets a temporary one.
+    local session without that setting gets a temporary one. Unlike a
+    checkpoint, which computes its input once to count and once to write, a
+    table is computed once, and later reads prune its columns.
     """
-    context = df.sparkSession.sparkContext
+    spark = df.sparkSession
+    path = f"{_shared_folder(spark)}/tallycast-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _shared_folder(spark: SparkSession) -> str:
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         configured = context.getConf().get("spark.checkpoint.dir")
         if configured is None:
@@ -39,4 +49,4 @@ def materialise(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             configured = tempfile.mkdtemp(prefix="tallycast-checkpoint-")
         context.setCheckpointDir(configured)
-    return df.checkpoint(eager=True)
+    return context.getCheckpointDir()
