@@ -54,12 +54,12 @@ def widened(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("bigint") for c in columns})
 
 
-# Prices as whole cents: sums are exact, so no digit depends on their order.
-PRICED_SQL = "(SELECT *, round(o_totalprice * 100) AS cents FROM orders)"
+# Prices in whole thousands: sums are exact, so no digit depends on their order.
+PRICED_SQL = "(SELECT *, floor(o_totalprice / 1000.0) AS price FROM orders)"
 
 
 def priced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").withColumn("cents", F.round(F.col("o_totalprice") * 100))
+    return table(spark, sf_dir, "orders").withColumn("price", F.floor(F.col("o_totalprice") / 1000.0).cast("double"))
 
 
 # ------------------------------------------------------------------ panels
@@ -252,7 +252,7 @@ ROW_FEATURES = FeatureSpec(rolling_windows=(3, 12), rolling_stats=("mean", "min"
 
 def row_features_sql() -> str:
     w = "(PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)"
-    columns = temporal_sql(ROW_FEATURES, "cents", w)
+    columns = temporal_sql(ROW_FEATURES, "price", w)
     body = ", ".join(f"round({sql}, 6) AS {name}" for name, sql in columns.items())
     return f"SELECT o_orderkey, {body} FROM {PRICED_SQL}"
 
@@ -260,12 +260,12 @@ def row_features_sql() -> str:
 @query("temporal_features_rows", row_features_sql)
 def _(spark, sf_dir):
     """One row per transaction: a customer may own any share of the rows."""
-    rows = priced(spark, sf_dir).select("o_orderkey", "o_custkey", "o_orderdate", "cents")
+    rows = priced(spark, sf_dir).select("o_orderkey", "o_custkey", "o_orderdate", "price")
     out = temporal.temporal_features(
-        rows, "o_custkey", "o_orderdate", "cents", ROW_FEATURES,
+        rows, "o_custkey", "o_orderdate", "price", ROW_FEATURES,
         tie_break=("o_orderkey",), one_row_per_period=False,
     )
-    names = list(temporal_sql(ROW_FEATURES, "cents", "()"))
+    names = list(temporal_sql(ROW_FEATURES, "price", "()"))
     return rounded(out.select("o_orderkey", *names), *names)
 
 
@@ -623,11 +623,11 @@ def stats_sql(columns: tuple[str, ...], label: str, source: str) -> str:
 
 @query(
     "category_stats",
-    f"SELECT col, category, n, round(mean, 6) AS mean FROM ({stats_sql((*ORDER_CATEGORIES, 'o_custkey'), 'cents', PRICED_SQL)})",
+    f"SELECT col, category, n, round(mean, 6) AS mean FROM ({stats_sql((*ORDER_CATEGORIES, 'o_custkey'), 'price', PRICED_SQL)})",
 )
 def _(spark, sf_dir):
     orders = priced(spark, sf_dir)
-    stats = target_encoding.category_stats(orders, [*ORDER_CATEGORIES, "o_custkey"], "cents")
+    stats = target_encoding.category_stats(orders, [*ORDER_CATEGORIES, "o_custkey"], "price")
     return rounded(stats, "mean")
 
 
@@ -657,11 +657,11 @@ def encoded(df: DataFrame, keys: list[str], learned: target_encoding.TargetEncod
 
 @query(
     "target_encode",
-    encode_sql("r.o_orderkey", (*ORDER_CATEGORIES, "o_custkey"), "cents", PRICED_SQL, PRICED_SQL, SMOOTH_SQL),
+    encode_sql("r.o_orderkey", (*ORDER_CATEGORIES, "o_custkey"), "price", PRICED_SQL, PRICED_SQL, SMOOTH_SQL),
 )
 def _(spark, sf_dir):
     orders = priced(spark, sf_dir)
-    learned = target_encoding.fit_target_encoding(orders, [*ORDER_CATEGORIES, "o_custkey"], "cents")
+    learned = target_encoding.fit_target_encoding(orders, [*ORDER_CATEGORIES, "o_custkey"], "price")
     return encoded(orders.withColumn("o_custkey", F.col("o_custkey").cast("string")), ["o_orderkey"], learned)
 
 
@@ -681,27 +681,27 @@ EARLY = f"(SELECT * FROM {PRICED_SQL} WHERE o_orderdate < TIMESTAMP '1996-01-01'
 
 @query(
     "target_encode_unknown_null",
-    encode_sql("r.o_orderkey", ("o_custkey",), "cents", EARLY, "orders", SMOOTH_SQL, default="NULL"),
+    encode_sql("r.o_orderkey", ("o_custkey",), "price", EARLY, "orders", SMOOTH_SQL, default="NULL"),
 )
 def _(spark, sf_dir):
     """Learned on the first year, applied to all rows: later customers are unknown."""
     orders = priced(spark, sf_dir)
     early = orders.filter(F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz"))
     spec = EncoderSpec(handle_unknown="nan")
-    return encoded(orders, ["o_orderkey"], target_encoding.fit_target_encoding(early, ["o_custkey"], "cents", spec))
+    return encoded(orders, ["o_orderkey"], target_encoding.fit_target_encoding(early, ["o_custkey"], "price", spec))
 
 
 @query(
     "target_encode_min_samples",
     encode_sql(
-        "r.o_orderkey", ("o_custkey",), "cents", PRICED_SQL, PRICED_SQL,
+        "r.o_orderkey", ("o_custkey",), "price", PRICED_SQL, PRICED_SQL,
         "CASE WHEN {n} < 12 THEN p.prior ELSE " + SMOOTH_SQL + " END",
     ),
 )
 def _(spark, sf_dir):
     orders = priced(spark, sf_dir)
     spec = EncoderSpec(min_samples=12)
-    return encoded(orders, ["o_orderkey"], target_encoding.fit_target_encoding(orders, ["o_custkey"], "cents", spec))
+    return encoded(orders, ["o_orderkey"], target_encoding.fit_target_encoding(orders, ["o_custkey"], "price", spec))
 
 
 def uniform_sql(part: str) -> str:
@@ -714,20 +714,20 @@ NOISE_SQL = f"0.01 * abs(p.prior) * sqrt(-2.0 * ln({uniform_sql('u')})) * cos(2.
 
 @query(
     "target_encode_noise",
-    encode_sql("r.o_orderkey", ("o_custkey",), "cents", PRICED_SQL, PRICED_SQL, f"{SMOOTH_SQL} + {NOISE_SQL}"),
+    encode_sql("r.o_orderkey", ("o_custkey",), "price", PRICED_SQL, PRICED_SQL, f"{SMOOTH_SQL} + {NOISE_SQL}"),
 )
 def _(spark, sf_dir):
     orders = priced(spark, sf_dir)
-    learned = target_encoding.fit_target_encoding(orders, ["o_custkey"], "cents", EncoderSpec(noise=0.01))
+    learned = target_encoding.fit_target_encoding(orders, ["o_custkey"], "price", EncoderSpec(noise=0.01))
     return encoded(orders, ["o_orderkey"], learned)
 
 
 OOF_SQL = f"""WITH {MEMBERS_SQL}, priors AS (
-  SELECT fold, avg(cents) AS prior FROM members WHERE role = 'train' GROUP BY 1
+  SELECT fold, avg(price) AS prior FROM members WHERE role = 'train' GROUP BY 1
 ), stats AS (
   SELECT fold, col, category, count(y) AS n, avg(y) AS mean FROM (
-    SELECT fold, 'o_orderpriority' AS col, o_orderpriority AS category, cents AS y FROM members WHERE role = 'train'
-    UNION ALL SELECT fold, 'o_custkey', CAST(o_custkey AS VARCHAR), cents FROM members WHERE role = 'train'
+    SELECT fold, 'o_orderpriority' AS col, o_orderpriority AS category, price AS y FROM members WHERE role = 'train'
+    UNION ALL SELECT fold, 'o_custkey', CAST(o_custkey AS VARCHAR), price FROM members WHERE role = 'train'
   ) WHERE category IS NOT NULL GROUP BY 1, 2, 3
 ), encodings AS (
   SELECT s.fold, col, category, n, mean, prior, n / (n + 1.0) * mean + (1 - n / (n + 1.0)) * prior AS enc
@@ -737,7 +737,7 @@ OOF_COLUMNS = ["o_orderpriority", "o_custkey"]
 
 
 def folded_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = priced(spark, sf_dir).select("o_orderkey", "o_orderdate", "cents", *OOF_COLUMNS)
+    orders = priced(spark, sf_dir).select("o_orderkey", "o_orderdate", "price", *OOF_COLUMNS)
     return folds.fold_columns(orders, "o_orderdate", folds.rolling_folds(orders, "o_orderdate", CV))
 
 
@@ -746,7 +746,7 @@ def folded_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"{OOF_SQL} SELECT fold, col, category, n, round(mean, 6) AS mean, round(prior, 6) AS prior, round(enc, 6) AS enc FROM encodings",
 )
 def _(spark, sf_dir):
-    out = target_encoding.fold_encodings(folded_orders(spark, sf_dir), OOF_COLUMNS, "cents", CV.n_splits)
+    out = target_encoding.fold_encodings(folded_orders(spark, sf_dir), OOF_COLUMNS, "price", CV.n_splits)
     return rounded(widened(out.drop("rows"), "fold"), "mean", "prior", "enc")
 
 
@@ -761,7 +761,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     rows = folded_orders(spark, sf_dir)
-    out = target_encoding.encode_out_of_fold(rows, OOF_COLUMNS, "cents", CV.n_splits)
+    out = target_encoding.encode_out_of_fold(rows, OOF_COLUMNS, "price", CV.n_splits)
     names = [target_encoding.encoded_name(c) for c in OOF_COLUMNS]
     return rounded(widened(out.select("fold", "o_orderkey", *names), "fold"), *names)
 
