@@ -944,7 +944,8 @@ def _(spark, sf_dir):
 
 def fitted(spark: SparkSession, sf_dir: str):
     rows = materialise(forecast_features(spark, sf_dir))
-    return rows, train.fit_forecaster(prepare.stateless_features(rows, FORECAST), FORECAST)
+    features = materialise(prepare.stateless_features(rows, FORECAST))
+    return rows, train.fit_forecaster(features, FORECAST)
 
 
 @query("model_importance")

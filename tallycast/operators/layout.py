@@ -17,8 +17,8 @@ def spread_small_input(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    if not 0 < len(files) < cores:
+    # Counted on the JVM side first: ``inputFiles`` fetches the names one by one.
+    if not 0 < len(df._jdf.inputFiles()) < cores:
         return df
-    size = spark.read.format("binaryFile").load(files).agg(F.sum("length")).first()[0]
+    size = spark.read.format("binaryFile").load(df.inputFiles()).agg(F.sum("length")).first()[0]
     return df.repartition(cores) if size <= cores * SMALL_BYTES_PER_CORE else df

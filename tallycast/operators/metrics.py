@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallycast.functions.scalars import clip_low
-from tallycast.operators.numeric import exact_quantile
+from tallycast.operators.numeric import exact_quantiles
 
 
 def rmsle(truth: str, prediction: str) -> Column:
@@ -64,10 +64,7 @@ def check_row_count(inputs: DataFrame, outputs: DataFrame, expected: int | None
 
 def prediction_stats(df: DataFrame, prediction: str) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles and maximum."""
-    quartiles = {
-        name: exact_quantile(df, [prediction], q)[prediction]
-        for name, q in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))
-    }
+    quartiles = exact_quantiles(df, {f"p{p}": (prediction, p / 100) for p in (25, 50, 75)})
     v = F.col(prediction).cast("double")
     return df.agg(
         F.count(v).alias("n"),

@@ -20,110 +20,126 @@ SKETCH_ACCURACY = 10_000
 
 @dataclass
 class _Search:
-    """Bounds that are known to hold the order statistics wanted of a column."""
+    """Bounds known to hold the order statistics that a quantile falls between."""
 
+    column: str
+    q: float
     low: float = -math.inf
     high: float = math.inf
     below: int = 0
-    inside: int | None = None
+    inside: int = 0
     first: int = 0
     last: int = 0
     fraction: float = 0.0
 
+    @property
+    def value(self) -> Column:
+        """The column inside the bounds, null elsewhere."""
+        c = F.col(self.column)
+        held = c.isNotNull()
+        if self.low > -math.inf:
+            held = held & (c >= F.lit(self.low))
+        if self.high < math.inf:
+            held = held & (c <= F.lit(self.high))
+        return F.when(held, c)
+
+    @property
+    def open(self) -> bool:
+        return self.low < self.high
+
+    def start(self, rows: int) -> None:
+        rank = self.q * (rows - 1)
+        self.inside, self.first = rows, math.floor(rank)
+        self.last = min(self.first + 1, rows - 1)
+        self.fraction = rank - self.first
+
+    def probe(self) -> Column:
+        """Sketch of the values just below, at and just above the wanted ranks."""
+        if self.inside:
+            lower, upper = ((r - self.below) / self.inside for r in (self.first, self.last))
+        else:
+            lower = upper = self.q
+        slack = 4.0 / SKETCH_ACCURACY
+        points = [max(0.0, lower - slack), lower, min(1.0, upper + slack)]
+        return F.percentile_approx(self.value, points, SKETCH_ACCURACY)
+
     def interpolate(self, left: float, right: float) -> float:
         return left + (right - left) * self.fraction
 
 
-def _in_band(c: Column, s: _Search) -> Column:
-    cond = c.isNotNull()
-    if s.low > -math.inf:
-        cond = cond & (c >= F.lit(s.low))
-    if s.high < math.inf:
-        cond = cond & (c <= F.lit(s.high))
-    return F.when(cond, c)
-
+def exact_quantiles(df: DataFrame, wanted: dict[str, tuple[str, float]]) -> dict[str, float | None]:
+    """Exact, linearly interpolated quantiles: ``{name: (column, q)}``.
 
-def exact_quantile(df: DataFrame, columns: Iterable[str], q: float = 0.5) -> dict[str, float | None]:
-    """Exact, linearly interpolated quantiles of all columns together.
-
-    No value is shuffled: each round aggregates a quantile sketch inside the
-    current bounds, counts exactly how many rows lie below and inside the
-    bounds it proposes, and keeps them if they hold the wanted ranks. A round
-    narrows a column about a thousandfold, so two or three passes are enough;
-    the last one lists at most ``BAND_ROWS`` values per column, or none when
-    both bounds meet.
+    No value is shuffled. A quantile sketch proposes bounds, which are kept if
+    an exact count shows that they hold the wanted ranks. A round narrows a
+    column about a thousandfold, so one or two are enough for any table; the
+    last pass lists at most ``BAND_ROWS`` values per quantile, or none where
+    the bounds meet. All quantiles share every pass.
     """
-    columns = list(columns)
-    if not columns:
+    if not wanted:
         return {}
+    columns = sorted({c for c, _ in wanted.values()})
     df = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in columns])
-    counts = df.agg(*[F.count(c).alias(c) for c in columns]).first()
-    search: dict[str, _Search] = {}
-    result: dict[str, float | None] = {}
-    for c in columns:
-        n = counts[c]
-        if n == 0:
-            result[c] = None
-            continue
-        rank = q * (n - 1)
-        first = math.floor(rank)
-        search[c] = _Search(inside=n, first=first, last=min(first + 1, n - 1), fraction=rank - first)
-
-    while any(s.inside > BAND_ROWS and s.low < s.high for s in search.values()):
-        _narrow(df, search)
-
-    listed = {
-        c: F.sort_array(F.collect_list(_in_band(F.col(c), s))).alias(c)
-        for c, s in search.items()
-        if s.low < s.high
-    }
-    values = df.agg(*listed.values()).first() if listed else {}
-    for c, s in search.items():
-        if c in listed:
-            left, right = values[c][s.first - s.below], values[c][s.last - s.below]
+    search = {name: _Search(c, q) for name, (c, q) in wanted.items()}
+
+    counts = {f"rows_{i}": F.count(c) for i, c in enumerate(columns)}
+    probes = {f"probe_{i}": s.probe() for i, s in enumerate(search.values())}
+    first = df.agg(*[v.alias(n) for n, v in {**counts, **probes}.items()]).first()
+    rows = {c: first[f"rows_{i}"] for i, c in enumerate(columns)}
+    proposed = {name: first[f"probe_{i}"] for i, name in enumerate(search)}
+    result: dict[str, float | None] = {name: None for name in wanted}
+    search = {name: s for name, s in search.items() if rows[s.column]}
+    for s in search.values():
+        s.start(rows[s.column])
+
+    while wide := {name: s for name, s in search.items() if s.open and s.inside > BAND_ROWS}:
+        if not proposed:
+            probed = df.agg(*[s.probe().alias(f"probe_{i}") for i, s in enumerate(wide.values())]).first()
+            proposed = {name: probed[f"probe_{i}"] for i, name in enumerate(wide)}
+        _narrow(df, wide, proposed)
+        proposed = {}
+
+    listed = {name: s for name, s in search.items() if s.open}
+    values = {}
+    if listed:
+        lists = [F.sort_array(F.collect_list(s.value)).alias(f"list_{i}") for i, s in enumerate(listed.values())]
+        found = df.agg(*lists).first()
+        values = {name: found[f"list_{i}"] for i, name in enumerate(listed)}
+    for name, s in search.items():
+        if s.open:
+            result[name] = s.interpolate(values[name][s.first - s.below], values[name][s.last - s.below])
         else:
-            left = right = s.low
-        result[c] = s.interpolate(left, right)
-    return {c: result[c] for c in columns}
+            result[name] = s.low
+    return result
+
 
+def exact_quantile(df: DataFrame, columns: Iterable[str], q: float = 0.5) -> dict[str, float | None]:
+    return exact_quantiles(df, {c: (c, q) for c in columns})
 
-def _narrow(df: DataFrame, search: dict[str, _Search]) -> None:
-    wide = {c: s for c, s in search.items() if s.inside > BAND_ROWS and s.low < s.high}
-    slack = 4.0 / SKETCH_ACCURACY
-    probes = []
-    for c, s in wide.items():
-        at = [(r - s.below) / s.inside for r in (s.first, s.last)]
-        points = [max(0.0, at[0] - slack), at[0], min(1.0, at[1] + slack)]
-        probes.append(F.percentile_approx(_in_band(F.col(c), s), points, SKETCH_ACCURACY).alias(c))
-    proposed = df.agg(*probes).first()
 
+def _narrow(df: DataFrame, wide: dict[str, _Search], proposed: dict[str, list[float]]) -> None:
+    """Adopt the proposed bounds that an exact count confirms."""
     checks = []
-    for i, (c, s) in enumerate(wide.items()):
-        low, middle, high = proposed[c]
-        v = F.col(c)
-        band = F.when((v >= low) & (v <= high), 1)
-        checks += [
-            F.count(F.when(v < low, 1)).alias(f"below_{i}"),
-            F.count(band).alias(f"inside_{i}"),
-            F.count(F.when(v < middle, 1)).alias(f"below_middle_{i}"),
-            F.count(F.when(v == middle, 1)).alias(f"at_middle_{i}"),
-        ]
+    for i, (name, s) in enumerate(wide.items()):
+        low, middle, high = proposed[name]
+        v = F.col(s.column)
+        counted = {"below": v < low, "inside": (v >= low) & (v <= high), "less": v < middle, "equal": v == middle}
+        checks += [F.count(F.when(c, 1)).alias(f"{n}_{i}") for n, c in counted.items()]
     exact = df.agg(*checks).first()
-    for i, (c, s) in enumerate(wide.items()):
-        low, middle, high = proposed[c]
-        below, inside = exact[f"below_{i}"], exact[f"inside_{i}"]
-        below_middle, at_middle = exact[f"below_middle_{i}"], exact[f"at_middle_{i}"]
-        if below_middle <= s.first and s.last < below_middle + at_middle:
-            s.low, s.high, s.below, s.inside = middle, middle, below_middle, at_middle
+    for i, (name, s) in enumerate(wide.items()):
+        low, middle, high = proposed[name]
+        below, inside, less, equal = (exact[f"{n}_{i}"] for n in ("below", "inside", "less", "equal"))
+        if less <= s.first and s.last < less + equal:
+            s.low, s.high, s.below, s.inside = middle, middle, less, equal
         elif below <= s.first and s.last < below + inside and inside < s.inside:
             s.low, s.high, s.below, s.inside = low, high, below, inside
         else:
-            _bisect(df, c, s)
+            _bisect(df, s)
 
 
-def _bisect(df: DataFrame, c: str, s: _Search) -> None:
+def _bisect(df: DataFrame, s: _Search) -> None:
     """Fallback step: halve the value range between the two extremes."""
-    v = _in_band(F.col(c), s)
+    v = s.value
     low, high = df.agg(F.min(v), F.max(v)).first()
     middle = low + (high - low) / 2
     left = df.agg(F.count(F.when(v <= middle, 1))).first()[0]

@@ -13,7 +13,7 @@ from tallycast.config import PipelineSpec
 from tallycast.functions.scalars import log_target, unlog_target
 from tallycast.operators.folds import rolling_folds
 from tallycast.operators.metrics import cv_summary, fold_scores
-from tallycast.operators.models import TreeModel, fit_trees
+from tallycast.operators.models import TreeModel, fit_trees, tree_params
 from tallycast.plans.prepare import TRAIN_LABEL, Preprocessing, fit_preprocessing, stateless_features
 from tallycast.session import materialise
 
@@ -59,7 +59,7 @@ def _vectors(df: DataFrame, prep: Preprocessing, assembler: PipelineModel | None
     p, m = prep.spec.panel, prep.spec.model
     encoded = prep.apply(df)
     if assembler is None:
-        assembler = prep.layout.fit_assembler(encoded, int(m.params.get("maxBins", 32)))
+        assembler = prep.layout.fit_assembler(encoded, int(tree_params(m).get("maxBins", 32)))
     keep = [p.customer_col, p.date_col, p.label_col, TRAIN_LABEL]
     keep += [m.weight_col] if m.weight_col else []
     return prep.layout.assemble(encoded, assembler, keep), assembler
