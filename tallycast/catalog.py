@@ -841,8 +841,8 @@ VOCAB_SQL = """vocab AS (
 )
 def _(spark, sf_dir):
     docs = documents(spark, sf_dir)
-    n_docs = docs.agg(F.count(F.lit(1))).scalar()
-    out = text_encoding.vocabulary(text_encoding.term_stats(docs, "text"), n_docs)
+    n_docs = docs.count()
+    out = text_encoding.vocabulary(text_encoding.candidate_stats(docs, "text", n_docs), n_docs)
     return rounded(widened(out, "term_index"), "idf")
 
 

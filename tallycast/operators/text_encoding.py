@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import lru_cache
 
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, StopWordsRemover
@@ -13,9 +13,14 @@ from pyspark.sql import functions as F
 
 from tallycast.config import EncoderSpec
 from tallycast.functions.hashing import bucket_and_sign
-from tallycast.functions.text import ngram_range, run_lengths, run_starts, tokens
+from tallycast.functions.text import ngram_range, ngrams_of, run_lengths, run_starts, tokens
 from tallycast.operators.guards import require
 from tallycast.operators.layout import spread_small_input
+from tallycast.session import materialise
+
+
+# N-grams are counted over at most this many different tokens.
+MAX_TOKENS = 5000
 
 
 @lru_cache(maxsize=1)
@@ -42,18 +47,16 @@ def with_terms(df: DataFrame, text: str, spec: EncoderSpec = EncoderSpec(), out:
     )
 
 
-def term_counts(df: DataFrame, text: str, spec: EncoderSpec = EncoderSpec()) -> DataFrame:
-    """One row per document and distinct term, with its frequency ``tf``.
+def _counted(df: DataFrame, terms: str) -> DataFrame:
+    """One row per distinct entry of the array ``terms``, with its count ``tf``.
 
-    Terms are counted inside the row that holds the text, by run lengths of
-    the sorted array, so this step moves no data. The outer form of ``inline``
-    keeps Spark from testing for empty arrays ahead of it, which would repeat
-    all the expressions that lead up to the counts.
+    Counting is by run lengths of the sorted array, inside the row. The outer
+    form of ``inline`` keeps Spark from testing for empty arrays ahead of it,
+    which would repeat all the expressions that lead up to the counts.
     """
-    keep = [c for c in df.columns if c != text]
+    keep = [c for c in df.columns if c != terms]
     return (
-        with_terms(df, text, spec, "_terms")
-        .withColumn("_ordered", F.sort_array("_terms"))
+        df.withColumn("_ordered", F.sort_array(terms))
         .withColumn("_starts", run_starts(F.col("_ordered")))
         .withColumn("_counts", run_lengths(F.col("_ordered"), F.col("_starts")))
         .select(*keep, F.inline_outer("_counts"))
@@ -61,16 +64,64 @@ def term_counts(df: DataFrame, text: str, spec: EncoderSpec = EncoderSpec()) ->
     )
 
 
+def _summed(counts: DataFrame) -> DataFrame:
+    return counts.groupBy("term").agg(F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df"))
+
+
+def term_counts(df: DataFrame, text: str, spec: EncoderSpec = EncoderSpec()) -> DataFrame:
+    """One row per document and distinct term, with its frequency ``tf``.
+
+    Terms are counted inside the row that holds the text: this moves no data.
+    """
+    return _counted(with_terms(df, text, spec, "_terms").drop(text), "_terms")
+
+
 def term_stats(df: DataFrame, text: str, spec: EncoderSpec = EncoderSpec()) -> DataFrame:
     """Corpus frequency ``tf`` and document frequency ``df`` of every term.
 
     The only shuffle is by term, of partial sums.
     """
-    return (
-        term_counts(df.select(text), text, spec)
-        .groupBy("term")
-        .agg(F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df"))
+    return _summed(term_counts(df.select(text), text, spec))
+
+
+def candidate_stats(df: DataFrame, text: str, n_docs: int, spec: EncoderSpec = EncoderSpec()) -> DataFrame:
+    """``term_stats`` of all terms that can enter the vocabulary, and few others.
+
+    An n-gram is no more frequent, in rows or in the corpus, than the rarest of
+    its tokens. Once the single tokens are counted, n-grams matter only if all
+    their tokens reach the document bound and the corpus frequency of the last
+    token that would make the vocabulary. That leaves some hundred tokens, so
+    the n-grams of the corpus, nearly all of them rare, are never shuffled.
+    Where too many tokens tie at the bound, all n-grams are counted instead.
+    """
+    low, high = spec.tfidf_ngrams
+    if low != 1 or high == 1:
+        return term_stats(df, text, spec)
+    texts = df.select(text)
+    at_least, at_most = _df_bounds(n_docs, spec)
+    single = term_stats(texts, text, replace(spec, tfidf_ngrams=(1, 1)))
+    single = materialise(single.filter(F.col("df") >= at_least))
+    chosen = single.filter(F.col("df") <= at_most).orderBy(F.desc("tf")).limit(spec.tfidf_terms)
+    last = chosen.agg(F.count(F.lit(1)).alias("n"), F.min("tf").alias("tf")).first()
+    floor = last["tf"] if last["n"] == spec.tfidf_terms else 0
+    frequent = single.filter(F.col("tf") >= floor).select("term").limit(MAX_TOKENS + 1).collect()
+    if not frequent:
+        return single
+    if len(frequent) > MAX_TOKENS:
+        return term_stats(df, text, spec)
+    grams = ngrams_of(F.col("_tokens"), 2, high, tuple(sorted(r["term"] for r in frequent)))
+    counted = _counted(with_tokens(texts, text, spec, "_tokens").select(grams.alias("_terms")), "_terms")
+    return single.unionByName(_summed(counted))
+
+
+def _df_bounds(n_docs: int | Column, spec: EncoderSpec) -> tuple[Column, Column]:
+    """Document-frequency bounds: integers are counts, fractions are shares."""
+    n = n_docs if isinstance(n_docs, Column) else F.lit(n_docs)
+    low, high = (
+        F.lit(limit) if isinstance(limit, int) else F.lit(limit) * n
+        for limit in (spec.tfidf_min_df, spec.tfidf_max_df)
     )
+    return low, high
 
 
 def vocabulary(stats: DataFrame, n_docs: int | Column, spec: EncoderSpec = EncoderSpec()) -> DataFrame:
@@ -79,12 +130,9 @@ def vocabulary(stats: DataFrame, n_docs: int | Column, spec: EncoderSpec = Encod
     Ties are broken by the term; ``term_index`` is the alphabetical position.
     """
     n = n_docs if isinstance(n_docs, Column) else F.lit(n_docs)
-
-    def bound(limit: float) -> Column:
-        return F.lit(limit) if isinstance(limit, int) else F.lit(limit) * n
-
+    at_least, at_most = _df_bounds(n, spec)
     kept = (
-        stats.filter((F.col("df") >= bound(spec.tfidf_min_df)) & (F.col("df") <= bound(spec.tfidf_max_df)))
+        stats.filter((F.col("df") >= at_least) & (F.col("df") <= at_most))
         .orderBy(F.desc("tf"), F.asc("term"))
         .limit(spec.tfidf_terms)
     )
@@ -149,7 +197,9 @@ class TfidfEncoding:
 def fit_tfidf(df: DataFrame, text: str, spec: EncoderSpec = EncoderSpec()) -> TfidfEncoding:
     """Learn the vocabulary; every document counts, empty ones included."""
     require(df, [text])
-    chosen = vocabulary(term_stats(df, text, spec), df.count(), spec).orderBy("term_index").collect()
+    n_docs = df.count()
+    found = vocabulary(candidate_stats(df, text, n_docs, spec), n_docs, spec)
+    chosen = found.orderBy("term_index").collect()
     return TfidfEncoding(text, [r["term"] for r in chosen], [r["idf"] for r in chosen], spec)
 
 

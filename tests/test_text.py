@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from plans import count
 from tallycast.config import EncoderSpec
 from tallycast.functions.text import TOKEN_PATTERN, fold_accents, ngram_range, ngrams, tokens
+from tallycast.operators import text_encoding
 from tallycast.operators.text_encoding import (
     HashEncoding,
+    candidate_stats,
     english_stop_words,
     fit_tfidf,
     term_counts,
@@ -85,6 +87,27 @@ def test_vocabulary_bounds_and_ties(spark):
     assert [r["term"] for r in vocabulary(stats, 10, share).collect()] == ["c"]
 
 
+@pytest.mark.parametrize("k", [3, 20, 200])
+@pytest.mark.parametrize("max_tokens", [5000, 2])
+def test_candidates_give_the_same_vocabulary(spark, sf_dir, monkeypatch, k, max_tokens):
+    monkeypatch.setattr(text_encoding, "MAX_TOKENS", max_tokens)
+    texts = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    n = texts.count()
+    for bounds in ((5, 0.95), (2, 0.3), (0.05, 60)):
+        spec = EncoderSpec(tfidf_terms=k, tfidf_min_df=bounds[0], tfidf_max_df=bounds[1])
+        want = vocabulary(term_stats(texts, "text", spec), n, spec).orderBy("term").collect()
+        got = vocabulary(candidate_stats(texts, "text", n, spec), n, spec).orderBy("term").collect()
+        assert got == want and len(got) > 0
+
+
+def test_candidates_with_trigrams(spark):
+    df = docs(spark, ["red apple pie"] * 4 + ["apple pie red", "pear"])
+    spec = EncoderSpec(tfidf_ngrams=(1, 3), tfidf_min_df=2, tfidf_max_df=1.0)
+    want = vocabulary(term_stats(df, "t", spec), 6, spec).orderBy("term").collect()
+    got = vocabulary(candidate_stats(df, "t", 6, spec), 6, spec).orderBy("term").collect()
+    assert got == want and "red apple pie" in {r["term"] for r in got}
+
+
 def test_tfidf_by_hand(spark):
     df = docs(spark)
     learned = fit_tfidf(df, "t", OPEN)
