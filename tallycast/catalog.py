@@ -631,6 +631,18 @@ def _(spark, sf_dir):
     return rounded(stats, "mean")
 
 
+@query(
+    "category_counts",
+    """SELECT 'p_brand' AS col, count(DISTINCT p_brand) AS categories FROM part
+       UNION ALL SELECT 'p_name', count(DISTINCT p_name) FROM part
+       UNION ALL SELECT 'p_type', count(DISTINCT p_type) FROM part""",
+)
+def _(spark, sf_dir):
+    """How many categories an encoding of each column holds."""
+    stats = target_encoding.category_stats(table(spark, sf_dir, "part"), ["p_brand", "p_name", "p_type"], "p_retailprice")
+    return stats.groupBy("col").agg(F.count(F.lit(1)).alias("categories"))
+
+
 def encode_sql(key: str, columns: tuple[str, ...], label: str, fit: str, rows: str, enc: str, default: str = "p.prior") -> str:
     """SQL of a target encoding fitted on ``fit`` and applied to ``rows``."""
     joins, outputs = [], []

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Tables up to this many bytes are broadcast.
@@ -13,12 +13,25 @@ HOT_KEYS = 1000
 SPREAD = 4096
 
 
+# Columns of these types tell rows apart at little cost.
+CHEAP_TYPES = ("bigint", "int", "smallint", "double", "float", "date", "timestamp", "timestamp_ntz")
+
+
+def row_bytes(table: DataFrame) -> Column:
+    """Rough width of a row in a hash table."""
+    parts = [F.coalesce(F.octet_length(c), F.lit(0)) if t == "string" else F.lit(16) for c, t in table.dtypes]
+    return sum(parts, F.lit(32)).cast("bigint")
+
+
 def table_bytes(table: DataFrame) -> int:
     """Rough size of a materialised table, from one cheap pass over it."""
-    width = sum(
-        (F.coalesce(F.octet_length(c), F.lit(0)) if t == "string" else F.lit(16)) for c, t in table.dtypes
-    )
-    return int(table.agg(F.coalesce(F.sum((width + 32).cast("bigint")), F.lit(0))).first()[0])
+    return table.agg(F.coalesce(F.sum(row_bytes(table)), F.lit(0))).first()[0]
+
+
+def bytes_by(table: DataFrame, part: str) -> dict[str, int]:
+    """``table_bytes`` of every part of a table, in one pass."""
+    sizes = table.groupBy(part).agg(F.sum(row_bytes(table)).alias("_bytes"))
+    return {r[part]: r["_bytes"] for r in sizes.collect()}
 
 
 def lookup(
@@ -28,6 +41,7 @@ def lookup(
     weight: str,
     *,
     broadcast_bytes: int = BROADCAST_BYTES,
+    size: int | None = None,
     total: int | None = None,
 ) -> DataFrame:
     """``facts`` left-joined to ``table`` on ``keys``, one match at most.
@@ -36,10 +50,11 @@ def lookup(
     behind each of its rows. A small table is broadcast, which moves no fact
     row. A larger one is split: its at most ``HOT_KEYS`` heaviest rows are
     broadcast and the rest is shuffled, while facts that are already answered,
-    or have a null key, travel under scattered keys.
+    or have a null key, travel under scattered keys. ``size`` in bytes and the
+    ``total`` weight are computed unless given.
     """
     values = [c for c in table.columns if c not in keys and c != weight]
-    if table_bytes(table) <= broadcast_bytes:
+    if (table_bytes(table) if size is None else size) <= broadcast_bytes:
         return facts.join(F.broadcast(table.select(*keys, *values)), keys, "left")
 
     if total is None:
@@ -53,7 +68,8 @@ def lookup(
     for k in keys:
         null_key = null_key | F.col(k).isNull()
     answered = F.col("_hot").isNotNull() | null_key
-    scatter = F.pmod(F.xxhash64(*facts.columns), F.lit(SPREAD)).cast("int") + 1
+    cheap = [c for c, t in facts.dtypes if t in CHEAP_TYPES] or facts.columns
+    scatter = F.pmod(F.xxhash64(*cheap), F.lit(SPREAD)).cast("int") + 1
     found = F.coalesce("_hot", "_cold")
     return (
         facts.join(F.broadcast(hot), keys, "left")

@@ -12,7 +12,7 @@ from tallycast.config import EncoderSpec
 from tallycast.functions.hashing import gaussian
 from tallycast.functions.scalars import nan_to_null, ratio
 from tallycast.operators.guards import present, require
-from tallycast.operators.lookup import BROADCAST_BYTES, lookup
+from tallycast.operators.lookup import BROADCAST_BYTES, bytes_by, lookup
 from tallycast.session import materialise
 
 # Pseudo-column that counts every row, so one aggregation also gives the prior.
@@ -77,6 +77,7 @@ class TargetEncoding:
 
     def apply(self, df: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
         """Replace each column by its encoding; unknown categories get the prior."""
+        sizes = bytes_by(self.table.select("col", "category", "enc"), "col")
         for c in present(df, self.columns):
             encodings = self.table.filter(F.col("col") == c).select(
                 F.col("category").alias(c), "rows", F.col("enc").alias(encoded_name(c))
@@ -87,6 +88,7 @@ class TargetEncoding:
                 [c],
                 "rows",
                 broadcast_bytes=broadcast_bytes,
+                size=sizes.get(c, 0),
                 total=self.rows,
             ).drop(c)
             if self.handle_unknown == "global_mean":
@@ -157,6 +159,7 @@ def encode_out_of_fold(
     columns = present(df, columns)
     table = materialise(fold_encodings(df, columns, label, n_splits, spec))
     priors = table.groupBy("fold").agg(F.first("prior").alias("_prior"))
+    sizes = bytes_by(table.select("fold", "col", "category", "enc"), "col")
     out = df.filter(F.col("test_fold").isNotNull()).withColumnRenamed("test_fold", "fold")
     for c in columns:
         encodings = table.filter(F.col("col") == c).select(
@@ -168,6 +171,7 @@ def encode_out_of_fold(
             ["fold", c],
             "rows",
             broadcast_bytes=broadcast_bytes,
+            size=sizes.get(c, 0),
         ).drop(c)
     if spec.handle_unknown == "global_mean":
         # One row per fold.

@@ -22,7 +22,7 @@ from tallycast.operators.models import (
 from tallycast.operators.panel import forward_label
 from tallycast.plans.prepare import build_panel, stateless_features
 from tallycast.plans.score import score, score_to_file
-from tallycast.plans.train import cross_validate, train
+from tallycast.plans.train import cross_validate, fit_forecaster, train
 from tallycast.session import materialise
 from tallycast.sources.artifacts import load_forecaster, save_forecaster
 from tallycast.sources.readers import read_optional, read_panel
@@ -194,6 +194,22 @@ def test_model_beats_the_mean(spark):
     assert cv.summary.first()["overall_rmsle"] < naive / 2
 
 
+def test_nominal_columns_are_split_by_set(spark, rows):
+    spec = replace(
+        SPEC,
+        panel=replace(SPEC.panel, high_cardinality_cols=(), numeric_id_cols=()),
+        model=ModelSpec(kind="gbt", rounds=1, params={"maxDepth": 2, "maxBins": 8}, nominal_cols=("c_mktsegment",)),
+    )
+    level = F.when(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), 9).otherwise(1)
+    forecaster = fit_forecaster(
+        stateless_features(rows.withColumn("next_3m_txn_count", level.cast("bigint")), spec), spec
+    )
+    assert forecaster.preprocessing.layout.nominal == ("c_mktsegment",)
+    assert forecaster.model.importance(spark).first()["feature"] == "c_mktsegment"
+    assert " in {" in forecaster.model.model.toDebugString
+    assert score(rows, forecaster).count() == rows.count()
+
+
 def newest(rows):
     w = Window.partitionBy("o_custkey").orderBy("period")
     return rows.withColumn("_next", F.lead("period").over(w)).filter("_next is null").drop("_next")
