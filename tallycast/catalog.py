@@ -6,18 +6,15 @@ engines can be compared value by value.
 
 from __future__ import annotations
 
-import zipfile
 from collections.abc import Callable
-from functools import lru_cache
-from pathlib import Path
 
-import pyspark
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallycast.config import CvSpec, EncoderSpec, FeatureSpec, ModelSpec, PanelSpec, PipelineSpec
 from tallycast.functions import scalars
+from tallycast.functions.stop_words import ENGLISH
 from tallycast.functions.text import TOKEN_PATTERN, accent_table, ngrams
 from tallycast.operators import encoders, folds, metrics, models, numeric, panel, target_encoding
 from tallycast.operators import temporal, text_encoding
@@ -781,15 +778,6 @@ def _(spark, sf_dir):
 # ---------------------------------------------------------------------- text
 
 
-@lru_cache(maxsize=1)
-def stop_words() -> tuple[str, ...]:
-    """The English list that ships with Spark, read without a session."""
-    jar = next((Path(pyspark.__file__).parent / "jars").glob("spark-mllib_*.jar"))
-    with zipfile.ZipFile(jar) as archive:
-        text = archive.read("org/apache/spark/ml/feature/stopwords/english.txt").decode()
-    return tuple(w for w in text.split("\n") if w)
-
-
 def quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -797,7 +785,7 @@ def quoted(text: str) -> str:
 def tokens_sql(source: str = "documents", key: str = "doc_id") -> str:
     """CTEs ``tok`` (key, words) and ``terms`` (key, grams) over a text column."""
     plain = f"translate(lower(coalesce(text, '')), {', '.join(quoted(t) for t in accent_table())})"
-    words = ", ".join(quoted(w) for w in stop_words())
+    words = ", ".join(quoted(w) for w in ENGLISH)
     return f"""tok AS (
       SELECT {key}, list_filter(regexp_extract_all({plain}, '{TOKEN_PATTERN}'),
              lambda t: NOT list_contains([{words}], t)) AS words FROM {source}

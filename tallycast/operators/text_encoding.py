@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
-from functools import lru_cache
 
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, StopWordsRemover
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tallycast.config import EncoderSpec
 from tallycast.functions.hashing import bucket_and_sign
+from tallycast.functions.stop_words import ENGLISH
 from tallycast.functions.text import ngram_range, ngrams_of, run_lengths, run_starts, tokens
 from tallycast.operators.guards import require
 from tallycast.operators.layout import spread_small_input
@@ -23,9 +23,8 @@ from tallycast.session import materialise
 MAX_TOKENS = 5000
 
 
-@lru_cache(maxsize=1)
 def english_stop_words() -> tuple[str, ...]:
-    return tuple(StopWordsRemover.loadDefaultStopWords("english"))
+    return ENGLISH
 
 
 def _stop_words(spec: EncoderSpec) -> tuple[str, ...]:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Used only where a local session names no folder; a cluster has to name one.
+LOCAL_FOLDER = "/tmp/checkpoints/tallycast"
+
 
 def build_session(app: str = "tallycast", master: str | None = None, **conf: str) -> SparkSession:
     """A session with adaptive execution on, UTC time and no web page."""
@@ -29,24 +31,27 @@ def build_session(app: str = "tallycast", master: str | None = None, **conf: str
 def materialise(df: DataFrame) -> DataFrame:
     """Cut the lineage: write ``df`` to the shared folder and read it back.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a
-    local session without that setting gets a temporary one. Unlike a
-    checkpoint, which computes its input once to count and once to write, a
+    The folder is the one the cluster names in ``spark.checkpoint.dir``. Unlike
+    a checkpoint, which computes its input once to count and once to write, a
     table is computed once, and later reads prune its columns.
     """
-    spark = df.sparkSession
-    path = f"{_shared_folder(spark)}/tallycast-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def scratch_path(spark: SparkSession, label: str = "table") -> str:
+    """A new path in the folder that all executors share."""
+    return f"{shared_folder(spark)}/tallycast-{label}-{uuid.uuid4().hex}"
 
 
-def _shared_folder(spark: SparkSession) -> str:
+def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         configured = context.getConf().get("spark.checkpoint.dir")
         if configured is None:
-            if not context.master.startswith("local"):
+            if not context.master.startswith("local["):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            configured = tempfile.mkdtemp(prefix="tallycast-checkpoint-")
+            configured = LOCAL_FOLDER
         context.setCheckpointDir(configured)
     return context.getCheckpointDir()

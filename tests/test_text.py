@@ -146,3 +146,22 @@ def test_hash_vector(spark):
         assert r["v"][bucket] == sign and sum(map(abs, r["v"])) == 1
     unsigned = HashEncoding("t", EncoderSpec(hash_signed=False))
     assert {r["sign"] for r in unsigned.long(docs(spark)).collect()} == {1}
+
+
+def test_stop_words_are_sparks_list(spark):
+    from pyspark.ml.feature import StopWordsRemover
+
+    assert list(english_stop_words()) == StopWordsRemover.loadDefaultStopWords("english")
+
+
+def test_sql_twins_need_no_session():
+    """Every twin can be built where neither Spark's jars nor a JVM are in reach."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = "import __spark_entry__ as e; n = len(e.oracle_sql()); from pyspark import SparkContext as c; assert c._gateway is None; print(n)"
+    root = Path(__file__).resolve().parent.parent
+    said = subprocess.run([sys.executable, "-c", code], cwd=root, env={"SPARK_HOME": "/nowhere", "PATH": "/nowhere"}, capture_output=True, text=True)
+    assert said.returncode == 0, said.stderr
+    assert int(said.stdout) >= 50
