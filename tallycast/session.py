@@ -50,7 +50,7 @@ def shared_folder(spark: SparkSession) -> str:
     if context.getCheckpointDir() is None:
         configured = context.getConf().get("spark.checkpoint.dir")
         if configured is None:
-            if not context.master.startswith("local["):
+            if context.master.split("[")[0] != "local":
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             configured = LOCAL_FOLDER
         context.setCheckpointDir(configured)
