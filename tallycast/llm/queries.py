@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallycast.llm import token_codes
+from tallycast.llm import packing, token_codes
 from tallycast.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,3 +35,9 @@ def _(spark, sf_dir):
     path = scratch_path(spark, "codes")
     token_codes.write_codes(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), 2)
     return token_codes.read_documents(spark, path).drop("ids")
+
+
+@query("op4_best_fit_packing")
+def _(spark, sf_dir):
+    """Pack all documents into sequences of at most 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 0)
