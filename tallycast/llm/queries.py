@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallycast.llm import packing, token_codes
+from tallycast.llm import language, packing, token_codes
 from tallycast.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,3 +42,11 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """Pack all documents into sequences of at most 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 0)
+
+
+@query("op5_language_ppm")
+def _(spark, sf_dir):
+    """Predict the language of all documents from four fifths of the labelled ones."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", language.remainder(F.col("doc_id"), 5) == 0)
+    model = language.fit(docs.filter("not held_out"))
+    return language.predict(docs.select("doc_id", "text", "held_out"), model).drop("text")
