@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycast.llm import language, packing, token_codes
+from tallycast.llm import language, packing, quality, token_codes
 from tallycast.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,3 +50,12 @@ def _(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").withColumn("held_out", language.remainder(F.col("doc_id"), 5) == 0)
     model = language.fit(docs.filter("not held_out"))
     return language.predict(docs.select("doc_id", "text", "held_out"), model).drop("text")
+
+
+@query("op10_quality_gam")
+def _(spark, sf_dir):
+    """Score all documents, learning from three quarters of the labels."""
+    held_out = language.remainder(F.col("doc_id"), 4) == 2
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out)
+    model = quality.fit(docs.filter("not held_out"), table(spark, sf_dir, "labels"))
+    return quality.score(docs.select("doc_id", "text", "held_out"), model).drop("text")
