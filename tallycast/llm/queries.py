@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycast.llm import language, packing, quality, token_codes
+from tallycast.llm import jaccard, language, packing, quality, token_codes
 from tallycast.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,3 +59,9 @@ def _(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out)
     model = quality.fit(docs.filter("not held_out"), table(spark, sf_dir, "labels"))
     return quality.score(docs.select("doc_id", "text", "held_out"), model).drop("text")
+
+
+@query("op6_ngram_jaccard")
+def _(spark, sf_dir):
+    """Group all documents whose sets of three-word shingles are at least 0.9 alike."""
+    return jaccard.groups(table(spark, sf_dir, "documents"), jaccard.Spec(words=3, part=90, whole=100))

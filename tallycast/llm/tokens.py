@@ -19,8 +19,8 @@ import pyarrow.compute as pc
 from tallycast.llm.batches import ranges
 
 # The encoder forgets its words beyond this many ids or words.
-CACHE_IDS = 12_000_000
-CACHE_WORDS = 1_200_000
+CACHE_IDS = 8_000_000
+CACHE_WORDS = 800_000
 CUT = "\x01"
 # So many new words are encoded as one text.
 TOGETHER = 200
