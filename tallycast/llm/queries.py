@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycast.llm import jaccard, language, packing, quality, token_codes
+from tallycast.llm import decontaminate, jaccard, language, packing, quality, token_codes
 from tallycast.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,3 +65,9 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """Group all documents whose sets of three-word shingles are at least 0.9 alike."""
     return jaccard.groups(table(spark, sf_dir, "documents"), jaccard.Spec(words=3, part=90, whole=100))
+
+
+@query("op9_benchmark_simhash")
+def _(spark, sf_dir):
+    """Find all benchmark items in all documents."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
