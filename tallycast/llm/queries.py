@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycast.llm import decontaminate, jaccard, language, packing, quality, token_codes
+from tallycast.llm import decontaminate, jaccard, language, line_dedup, packing, quality, token_codes
 from tallycast.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,3 +71,9 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """Find all benchmark items in all documents."""
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op8_line_runs")
+def _(spark, sf_dir):
+    """Find the later copies of all repeated runs of lines of at least 50 words."""
+    return line_dedup.deleted_runs(table(spark, sf_dir, "documents"))
