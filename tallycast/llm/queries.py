@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycast.llm import decontaminate, jaccard, language, line_dedup, packing, quality, token_codes
+from tallycast.llm import decontaminate, jaccard, language, line_dedup, packing, quality, suffix_tree, token_codes
 from tallycast.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,3 +77,10 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """Find the later copies of all repeated runs of lines of at least 50 words."""
     return line_dedup.deleted_runs(table(spark, sf_dir, "documents"))
+
+
+@query("op3_suffix_tree")
+def _(spark, sf_dir):
+    """Score all documents under a tree learned from six sevenths of them."""
+    docs = table(spark, sf_dir, "documents").withColumn("learn", language.remainder(F.col("doc_id"), 7) != 2)
+    return suffix_tree.score(docs.select("doc_id", "text", "learn"))
