@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycast.llm import decontaminate, jaccard, language, line_dedup, packing, quality, suffix_tree, token_codes
+from tallycast.llm import decontaminate, jaccard, language, line_dedup, packing, pivot_search, quality, suffix_tree, token_codes
 from tallycast.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,3 +84,9 @@ def _(spark, sf_dir):
     """Score all documents under a tree learned from six sevenths of them."""
     docs = table(spark, sf_dir, "documents").withColumn("learn", language.remainder(F.col("doc_id"), 7) != 2)
     return suffix_tree.score(docs.select("doc_id", "text", "learn"))
+
+
+@query("op2_pivot_search")
+def _(spark, sf_dir):
+    """The 20 best other vectors for every twentieth one."""
+    return pivot_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
