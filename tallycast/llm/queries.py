@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycast.llm import decontaminate, jaccard, language, line_dedup, packing, pivot_search, quality, suffix_tree, token_codes
+from tallycast.llm import decontaminate, jaccard, language, line_dedup, packing, pivot_search, quality, suffix_tree, token_codes, warc
 from tallycast.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,3 +90,31 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """The 20 best other vectors for every twentieth one."""
     return pivot_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+@query(
+    "op7_merkle_fixity",
+    """WITH made AS (
+         SELECT page_id, coalesce(regexp_replace(url, '[\r\n]', '', 'g'), '') AS address, coalesce(html, '') AS body FROM pages
+       ), named AS (
+         SELECT *, md5(concat_ws(' ', CAST(page_id AS VARCHAR), address)) AS m, chr(13) || chr(10) AS nl FROM made
+       ), records AS (
+         SELECT page_id, 'WARC/1.1' || nl || 'WARC-Type: response' || nl || 'WARC-Target-URI: ' || address || nl
+                || 'WARC-Date: 2000-01-01T00:00:00Z' || nl || 'WARC-Record-ID: <urn:uuid:' || substr(m, 1, 8) || '-' || substr(m, 9, 4)
+                || '-' || substr(m, 13, 4) || '-' || substr(m, 17, 4) || '-' || substr(m, 21, 12) || '>' || nl
+                || 'Content-Type: text/html' || nl || 'Content-Length: ' || strlen(body) || nl || nl || body || nl || nl AS record
+         FROM named
+       ), sized AS (SELECT page_id, record, strlen(record) AS length FROM records)
+       SELECT page_id, row_number() OVER (ORDER BY page_id NULLS FIRST) - 1 AS ordinal,
+              CAST(sum(length) OVER (ORDER BY page_id NULLS FIRST) - length AS BIGINT) AS "offset", CAST(length AS BIGINT) AS length,
+              sha256(record) AS digest,
+              CASE page_id % 64 WHEN 7 THEN 'corrupt' WHEN 9 THEN 'missing' ELSE 'ok' END AS status
+       FROM sized""",
+)
+def _(spark, sf_dir):
+    """Audit all pages as WARC records against a replica in which every 64th is damaged and every 64th is gone."""
+    records = warc.write_records(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    damaged = F.concat(F.lit(b"X"), F.substring(F.col("record"), 2, 1 << 30))
+    replica = records.filter(~(F.col("page_id") % 64).eqNullSafe(9))
+    replica = replica.withColumn("record", F.when(F.col("page_id") % 64 == 7, damaged).otherwise(F.col("record")))
+    return warc.fixity(warc.manifest(records), records, replica)
