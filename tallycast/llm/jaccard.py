@@ -293,3 +293,30 @@ def groups(docs: DataFrame, spec: Spec = Spec()) -> DataFrame:
     least = rooted.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("_least"))
     own = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("_least"))
     return rooted.join(least, "root", "left").select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, spec: Spec = Spec()) -> DataFrame:
+    """``docs`` with one document of each group: the one with the smallest id, then the smallest hash of the text.
+
+    Documents without words all stay. Of rows alike in id and text one stays. All columns stay.
+    """
+    rows, links = classes(docs, spec)
+    rows = rows.filter("class is not null")
+    roots = components(links).withColumnRenamed("node", "class")
+    rooted = rows.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
+    # A null id comes after all others.
+    mark = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    rooted = rooted.select("root", mark.alias("mark"))
+    first = rooted.groupBy("root").agg(F.min("mark").alias("first"))
+    seen = rooted.join(first, "root").groupBy("mark").agg((F.first("mark") == F.first("first")).alias("stays"), F.count(F.lit(1)).alias("n"))
+    # Those that go, and those of which more than one row would stay.
+    special = materialise(seen.filter("not stays or n > 1").select("mark.none", "mark.doc_id", "mark.text_key", "stays"))
+    special = special.withColumnsRenamed({"doc_id": "_id", "text_key": "_key", "none": "_none"})
+    if special.count() <= BROADCAST_CLASSES:
+        special = F.broadcast(special)
+    keyed = docs.withColumn("_text_key", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))
+    marked = keyed.join(special, same, "left")
+    alone = marked.filter("stays is null").select(*docs.columns)
+    repeated = marked.filter("stays").dropDuplicates(["_id", "_key"]).select(*docs.columns)
+    return alone.unionByName(repeated)
