@@ -104,7 +104,7 @@ def ids_at(codes: bytes, places: np.ndarray) -> np.ndarray:
         spans = np.minimum(group[:, None] * (GROUP // 8) + np.arange(GROUP // 8), len(bitmap) - 1)
         bits = np.unpackbits(bitmap[spans], axis=1, bitorder="little")
         before = np.arange(GROUP) < (place % GROUP)[:, None]
-        place = directory[group].astype(np.int64) + (bits & before).sum(axis=1)
+        place = directory[group].astype(np.int64) + (bits & before).sum(axis=1, dtype=np.int64)
     return out
 
 
