@@ -34,9 +34,9 @@ def words(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, r"[ \t\n\x0B\f\r]+"))
 
 
-def shingle(tokens: Column, place: Column) -> Column:
+def shingle(tokens: Column, place: Column, size: int = WORDS) -> Column:
     """Hash of the shingle at a place; past the end, of the words there are."""
-    return F.xxhash64(*[F.get(tokens, place + k) for k in range(WORDS)])
+    return F.xxhash64(*[F.get(tokens, place + k) for k in range(size)])
 
 
 def places(tokens: Column) -> Column:
@@ -112,10 +112,21 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     met = met.select("text_key", "start", "n_words", "item_id", "item_print").distinct()
     pairs = met.join(prints.drop("print"), ["text_key", "start", "n_words"]).join(_sized(items.drop("length")), ["item_id", "item_print"])
     scored = pairs.withColumn("similarity", similarity(F.col("window"), F.col("item_set"))).filter(F.col("similarity") >= SIMILARITY)
+    scored = scored.select("text_key", "item_id", "start", "n_words", "similarity")
+    for size in sorted(r.length for r in items.select("length").filter(F.col("length") < WORDS).distinct().collect()):
+        scored = scored.unionByName(_short(texts, items.filter(F.col("length") == size), size))
     best = F.max_by(F.struct("start", "n_words", "similarity"), F.struct("similarity", -F.col("start"), -F.col("n_words")))
     return scored.groupBy("text_key", "item_id").agg(best.alias("b")).select("text_key", "item_id", "b.*")
 
 
+def _short(texts: DataFrame, items: DataFrame, size: int) -> DataFrame:
+    """Matches of items of fewer words than a shingle: windows of the same words, which have one fingerprint."""
+    wanted = items.select("item_id", F.get("item_set", F.lit(0)).alias("shingle")).distinct()
+    each = texts.filter(F.size("w") >= size).select("text_key", "w", F.explode(F.sequence(F.lit(0), F.size("w") - size)).alias("start"))
+    met = each.select("text_key", "start", shingle(F.col("w"), F.col("start"), size).alias("shingle")).join(_sized(wanted), "shingle")
+    return met.select("text_key", "item_id", "start", F.lit(size).alias("n_words"), F.lit(1.0).alias("similarity"))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id``, ``item_id``, ``start``, ``n_words``, ``similarity`` for each document row and item that it holds.
 
