@@ -12,7 +12,7 @@ from tallycast.config import EncoderSpec
 from tallycast.functions.hashing import gaussian
 from tallycast.functions.scalars import nan_to_null, ratio
 from tallycast.operators.guards import present, require
-from tallycast.operators.lookup import BROADCAST_BYTES, bytes_by, lookup
+from tallycast.operators.lookup import BROADCAST_BYTES, bytes_by, lookup, within_budget
 from tallycast.session import materialise
 
 # Pseudo-column that counts every row, so one aggregation also gives the prior.
@@ -78,6 +78,7 @@ class TargetEncoding:
     def apply(self, df: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
         """Replace each column by its encoding; unknown categories get the prior."""
         sizes = bytes_by(self.table.select("col", "category", "enc"), "col")
+        small = within_budget({c: sizes.get(c, 0) for c in present(df, self.columns)}, broadcast_bytes)
         for c in present(df, self.columns):
             encodings = self.table.filter(F.col("col") == c).select(
                 F.col("category").alias(c), "rows", F.col("enc").alias(encoded_name(c))
@@ -87,9 +88,8 @@ class TargetEncoding:
                 encodings,
                 [c],
                 "rows",
-                broadcast_bytes=broadcast_bytes,
-                size=sizes.get(c, 0),
-                total=self.rows,
+                broadcast_bytes=0,
+                size=0 if c in small else 1,
             ).drop(c)
             if self.handle_unknown == "global_mean":
                 known = F.coalesce(F.col(encoded_name(c)), F.lit(self.prior).cast("double"))
@@ -160,6 +160,7 @@ def encode_out_of_fold(
     table = materialise(fold_encodings(df, columns, label, n_splits, spec))
     priors = table.groupBy("fold").agg(F.first("prior").alias("_prior"))
     sizes = bytes_by(table.select("fold", "col", "category", "enc"), "col")
+    small = within_budget({c: sizes.get(c, 0) for c in columns}, broadcast_bytes)
     out = df.filter(F.col("test_fold").isNotNull()).withColumnRenamed("test_fold", "fold")
     for c in columns:
         encodings = table.filter(F.col("col") == c).select(
@@ -170,8 +171,8 @@ def encode_out_of_fold(
             encodings,
             ["fold", c],
             "rows",
-            broadcast_bytes=broadcast_bytes,
-            size=sizes.get(c, 0),
+            broadcast_bytes=0,
+            size=0 if c in small else 1,
         ).drop(c)
     if spec.handle_unknown == "global_mean":
         # One row per fold.
