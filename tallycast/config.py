@@ -135,15 +135,15 @@ class ModelSpec:
 
     ``params`` overrides the block that belongs to ``kind``; both back-end
     names (``learning_rate``) and Spark names (``stepSize``) are understood.
-    Every boosting round is several Spark jobs, so ``rounds`` replaces the
-    block's own count; None keeps it.
+    ``rounds`` replaces the block's own count, ``patience`` its number of rounds
+    without gain before stopping; None keeps them.
     """
 
     kind: str = "lightgbm"
     params: dict = field(default_factory=dict)
-    rounds: int | None = 100
+    rounds: int | None = None
     log_target: bool = True
-    patience: int = 100
+    patience: int | None = None
     weight_col: str | None = None
     nominal_cols: tuple[str, ...] = ()
 
@@ -163,3 +163,7 @@ class PipelineSpec:
     encoders: EncoderSpec = EncoderSpec()
     cv: CvSpec = CvSpec()
     model: ModelSpec = field(default_factory=ModelSpec)
+
+    def __post_init__(self) -> None:
+        if self.cv.gap < self.panel.label_horizon:
+            raise ValueError("the gap must cover the label horizon, or training labels reach into the test periods")

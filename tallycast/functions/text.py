@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 from functools import lru_cache
 
@@ -13,7 +14,7 @@ TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
 
 
 @lru_cache(maxsize=None)
-def accent_table(limit: int = 0x10000) -> tuple[str, str]:
+def accent_table(limit: int = sys.maxunicode + 1) -> tuple[str, str]:
     """``translate`` arguments that strip accents, derived from Unicode data.
 
     Characters whose compatibility form without combining marks is a single

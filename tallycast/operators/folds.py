@@ -15,7 +15,7 @@ from tallycast.operators.guards import require
 from tallycast.operators.lookup import lookup
 from tallycast.session import materialise
 
-# Group ranks are counted per start day and per 16 ** RANK_DIGITS hash buckets.
+# Group ranks are counted per start day, minute, moment and 16 ** RANK_DIGITS hash buckets.
 RANK_DIGITS = 3
 
 
@@ -151,39 +151,35 @@ def group_spans(df: DataFrame, group: str, date: str) -> DataFrame:
 
 
 def rank_groups(spans: DataFrame, group: str) -> DataFrame:
-    """Add ``group_rank`` (from 0) by the day of the first date.
+    """Add ``group_rank`` (from 0) by the first date, with its time of day.
 
-    Groups that start on the same day are ranked by the md5 of their key:
+    Groups that start at the same moment are ranked by the md5 of their key:
     many start with the data itself, and a hash cuts even that crowd into
     equal buckets. The rank is the sum of the counts of earlier days, of
-    earlier buckets of the day, and the position in the bucket, so no task
-    sees more than one bucket or one calendar. ``spans`` is read more than
-    once and should be materialised.
+    earlier minutes of the day, moments of the minute and buckets of the
+    moment, and the position in the bucket, so no task sees more than one of
+    them or one calendar. ``spans`` is read more than once and should be
+    materialised.
     """
-    bucket = F.conv(F.substring("_digest", 1, RANK_DIGITS), 16, 10).cast("int")
-    spans = (
-        spans.withColumn("_day", F.col("first_date").cast("date"))
-        .withColumn("_digest", F.md5(F.col(group).cast("string")))
-        .withColumn("_bucket", bucket)
-    )
-    per_bucket = spans.groupBy("_day", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per calendar day.
-    per_day = spans.groupBy("_day").agg(F.count(F.lit(1)).alias("_n"))
-
-    def running(order: str, *partition) -> Column:
-        w = Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        return F.coalesce(F.sum("_n").over(w), F.lit(0))
-
-    day_offset = per_day.select("_day", running("_day", F.lit(0)).alias("_before_day"))
-    bucket_offset = per_bucket.select("_day", "_bucket", running("_bucket", "_day").alias("_before_bucket"))
-    inside = Window.partitionBy("_day", "_bucket").orderBy("_digest", group)
-    return (
-        spans.withColumn("_inside", F.row_number().over(inside))
-        .join(bucket_offset, ["_day", "_bucket"])
-        .join(F.broadcast(day_offset), "_day")
-        .withColumn("group_rank", F.col("_before_day") + F.col("_before_bucket") + F.col("_inside") - 1)
-        .select(group, "first_date", "last_date", "n", "group_rank")
-    )
+    moment = F.col("first_date").cast("timestamp_ntz")
+    spans = spans.withColumns(
+        {
+            "_day": F.col("first_date").cast("date"),
+            "_minute": F.hour(moment) * 60 + F.minute(moment),
+            "_moment": moment,
+            "_digest": F.md5(F.col(group).cast("string")),
+        }
+    ).withColumn("_bucket", F.conv(F.substring("_digest", 1, RANK_DIGITS), 16, 10).cast("int"))
+    levels = ["_day", "_minute", "_moment", "_bucket"]
+    inside = Window.partitionBy(*levels).orderBy("_digest", group)
+    ranked = spans.withColumn("_rank", F.row_number().over(inside) - 1)
+    for k, level in enumerate(levels):
+        outer = levels[:k]
+        counts = spans.groupBy(*outer, level).agg(F.count(F.lit(1)).alias("_n"))
+        w = Window.partitionBy(*(outer or [F.lit(0)])).orderBy(level).rowsBetween(Window.unboundedPreceding, -1)
+        before = counts.select(*outer, level, F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
+        ranked = ranked.join(before, [*outer, level]).withColumn("_rank", F.col("_rank") + F.col("_before")).drop("_before")
+    return ranked.select(group, "first_date", "last_date", "n", F.col("_rank").alias("group_rank"))
 
 
 def purged_groups(

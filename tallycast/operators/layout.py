@@ -3,22 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# Input files of fewer than this many bytes per core may be spread over the cores.
-SMALL_BYTES_PER_CORE = 16 * 1024 * 1024
 
+def spread_few_tasks(df: DataFrame) -> DataFrame:
+    """Spread an input of fewer tasks than cores over all cores.
 
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Spread an input of few, small files over all cores.
-
-    A small file of a single row group is one task, however costly the work on
-    its rows. Larger inputs come in many row groups and stay where they are.
+    A file of a single row group is one task, however costly the work on its
+    rows. An input with a task for every core stays where it is.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    # Counted on the JVM side first: ``inputFiles`` fetches the names one by one.
-    if not 0 < len(df._jdf.inputFiles()) < cores:
-        return df
-    size = spark.read.format("binaryFile").load(df.inputFiles()).agg(F.sum("length")).first()[0]
-    return df.repartition(cores) if size <= cores * SMALL_BYTES_PER_CORE else df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

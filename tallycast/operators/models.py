@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import warnings
 from collections.abc import Iterable
 from dataclasses import dataclass, field
@@ -140,6 +141,14 @@ def best_round(errors: list[float], patience: int) -> int:
     return best + 1
 
 
+def patience(spec: ModelSpec) -> int:
+    """Rounds without gain before stopping: given, or that of the parameters; without either, all rounds count."""
+    if spec.patience is not None:
+        return spec.patience
+    block = {**BOOSTER_PARAMS.get(spec.kind, {}), **spec.params}
+    return block.get("early_stopping_rounds") or sys.maxsize
+
+
 @dataclass
 class TreeModel:
     """A fitted regressor over an assembled ``features`` column."""
@@ -182,7 +191,7 @@ def fit_trees(
     rounds, errors = estimator.getMaxIter(), []
     if validation is not None:
         errors = list(model.evaluateEachIteration(validation, "squared"))
-        best = best_round(errors, spec.patience)
+        best = best_round(errors, patience(spec))
         if best < rounds:
             model = make_estimator(spec.with_rounds(best), label).fit(train)
             rounds = best

@@ -20,9 +20,6 @@ STATS: dict[str, Callable[[Column], Column]] = {
     "max": F.max,
 }
 
-NULL_KEY_SPREAD = 1024
-
-
 def lag_name(value: str, n: int, seasonal: bool = False) -> str:
     return f"{value}_lag_{n}m" + ("_seasonal" if seasonal else "")
 
@@ -68,14 +65,6 @@ def trend_columns(value: str, lag_3: str, have: set[str]) -> dict[str, Column]:
     return out
 
 
-def customer_window(customer: str, order: list[Column]) -> WindowSpec:
-    """Rows without a customer get no features, so they are merely spread out."""
-    spread = F.when(F.col(customer).isNull(), F.pmod(F.xxhash64(*order), F.lit(NULL_KEY_SPREAD)))
-    return Window.partitionBy(customer, F.coalesce(spread, F.lit(0))).orderBy(
-        *[c.asc_nulls_last() for c in order]
-    )
-
-
 def _windowed(df: DataFrame, customer: str, value: str, spec: FeatureSpec, w: WindowSpec) -> DataFrame:
     """All window columns in one select, then the columns derived from them."""
     windows = {**lag_columns(value, spec, w), **rolling_columns(value, spec, w)}
@@ -115,7 +104,10 @@ def temporal_features(
     flagged = df.withColumns(calendar(date))
     order = [F.col(date), *[F.col(t) for t in tie_break]]
     if one_row_per_period:
-        return _windowed(flagged, customer, value, spec, customer_window(customer, order))
+        w = Window.partitionBy(customer).orderBy(*[c.asc_nulls_last() for c in order])
+        keyed = _windowed(flagged.filter(F.col(customer).isNotNull()), customer, value, spec, w)
+        # Rows without a customer get no features, so no window has to gather them.
+        return keyed.unionByName(flagged.filter(F.col(customer).isNull()), allowMissingColumns=True)
     return in_row_blocks(
         flagged,
         key=customer,

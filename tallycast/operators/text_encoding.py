@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +14,7 @@ from tallycast.functions.hashing import bucket_and_sign
 from tallycast.functions.stop_words import ENGLISH
 from tallycast.functions.text import ngram_range, ngrams_of, run_lengths, run_starts, tokens
 from tallycast.operators.guards import require
-from tallycast.operators.layout import spread_small_input
+from tallycast.operators.layout import spread_few_tasks
 from tallycast.session import materialise
 
 
@@ -34,7 +33,7 @@ def _stop_words(spec: EncoderSpec) -> tuple[str, ...]:
 def with_tokens(df: DataFrame, text: str, spec: EncoderSpec = EncoderSpec(), out: str = "tokens") -> DataFrame:
     """Add the tokens of the whole text, in order and without stop words."""
     require(df, [text])
-    return spread_small_input(df).withColumn(out, tokens(F.col(text), _stop_words(spec)))
+    return spread_few_tasks(df).withColumn(out, tokens(F.col(text), _stop_words(spec)))
 
 
 def with_terms(df: DataFrame, text: str, spec: EncoderSpec = EncoderSpec(), out: str = "terms") -> DataFrame:
@@ -185,11 +184,18 @@ class TfidfEncoding:
         if not self.terms:
             nothing = df.limit(0)
             return nothing.select(*keep, F.lit("").alias("term"), F.lit(0.0).alias("tfidf"))
+        # Only terms of the vocabulary are sorted and counted, inside the row.
+        kept = F.filter("_all", lambda t: t.isin(*self.terms))
+        idf = F.create_map(*[F.lit(x) for pair in zip(self.terms, self.idf) for x in pair])
         return (
-            self.apply(df)
-            .select(*keep, F.posexplode(vector_to_array(self.output)).alias("_at", "tfidf"))
-            .filter(F.col("tfidf") > 0)
-            .select(*keep, F.get(F.lit(self.terms), F.col("_at")).alias("term"), "tfidf")
+            with_terms(df, self.column, self.spec, "_all")
+            .select(*keep, F.sort_array(kept).alias("_ordered"))
+            .withColumn("_starts", run_starts(F.col("_ordered")))
+            .withColumn("_counts", run_lengths(F.col("_ordered"), F.col("_starts")))
+            .withColumn("_weights", F.transform("_counts", lambda c: F.struct(c["term"].alias("term"), (c["tf"] * idf[c["term"]]).alias("w"))))
+            .withColumn("_norm", F.sqrt(F.aggregate("_weights", F.lit(0.0), lambda s, e: s + e["w"] * e["w"])))
+            .select(*keep, "_norm", F.inline("_weights"))
+            .select(*keep, "term", (F.col("w") / F.col("_norm")).alias("tfidf"))
         )
 
 

@@ -32,7 +32,11 @@ def build_panel(
         count=p.value_col,
         measures=measures,
     )
-    dense = dense_panel(panel, p.customer_col, p.date_col, zero=[p.value_col], grain=p.grain)
+    # Every customer's rows go on to the newest period of the data, also through silence.
+    newest = transactions.agg(F.max(source_date)).first()[0]
+    dense = dense_panel(
+        panel, p.customer_col, p.date_col, zero=[p.value_col], grain=p.grain, until=F.lit(newest)
+    )
     return forward_label(
         dense, p.customer_col, p.date_col, p.value_col, horizon=p.label_horizon, label=p.label_col
     )

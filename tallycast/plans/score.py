@@ -25,7 +25,10 @@ def score(rows: DataFrame, forecaster: Forecaster, history: DataFrame | None = N
     both = rows.select(*columns).withColumn("_wanted", F.lit(True))
     if history is not None:
         shared = [c for c in columns if c in history.columns]
-        past = history.select(*shared).withColumn("_wanted", F.lit(False))
+        # A row to score that history holds as well is one row.
+        known = rows.select(p.customer_col, p.date_col).distinct()
+        past = history.select(*shared).join(known, [p.customer_col, p.date_col], "left_anti")
+        past = past.withColumn("_wanted", F.lit(False))
         both = both.unionByName(past, allowMissingColumns=True)
     features = stateless_features(both, spec).filter("_wanted").drop("_wanted")
     prep = forecaster.preprocessing
@@ -46,9 +49,9 @@ def score_to_file(
     fmt: str = "csv",
     expected: int | None = None,
 ) -> int:
-    """Score, check that no row was lost or added, write; returns the row count."""
+    """Score, write, and check that what was written lost or gained no row; returns the row count."""
     p = forecaster.spec.panel
     scores = score(rows, forecaster, history)
-    n = check_row_count(rows, scores, expected)
     write_scores(scores, path, p.customer_col, p.label_col, fmt)
-    return n
+    written = rows.sparkSession.read.option("header", True).format(fmt).load(path)
+    return check_row_count(rows, written, expected)

@@ -19,7 +19,8 @@ def panel_types(spec: PanelSpec = PanelSpec()) -> dict[str, T.DataType]:
         spec.label_col: T.LongType(),
         **{c: T.StringType() for c in spec.high_cardinality_cols},
         **{c: T.DoubleType() for c in spec.skewed_cols},
-        **{c: T.LongType() for c in spec.numeric_id_cols},
+        # A whole number written as 101.0 is an ID as well.
+        **{c: T.DecimalType(38, 6) for c in spec.numeric_id_cols},
     }
 
 
@@ -35,12 +36,13 @@ def read_panel(
     """Read a panel; NaN becomes null.
 
     CSV columns get the types of ``panel_types`` (and ``types``); the header
-    decides which columns exist and the others are read as strings. ``infer``
-    lets Spark find all types, at the price of one more pass over the files.
+    decides which columns exist and the others are read as strings. Files whose
+    header differs from the first one's fail. ``infer`` lets Spark find all
+    types, at the price of one more pass over the files.
     """
     if fmt != "csv":
         return normalise_nan(spark.read.format(fmt).load(path))
-    reader = spark.read.option("header", True)
+    reader = spark.read.option("header", True).option("enforceSchema", False)
     if infer:
         return normalise_nan(reader.option("inferSchema", True).csv(path))
     known = {**panel_types(spec), **(types or {})}
