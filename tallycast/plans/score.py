@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallycast.functions.scalars import clip_low, log_target
 from tallycast.operators.metrics import check_row_count
+from tallycast.operators.models import weighted_average
 from tallycast.plans.prepare import stateless_features
 from tallycast.plans.train import Forecaster
 from tallycast.sources.writers import write_scores
@@ -40,6 +41,27 @@ def score(rows: DataFrame, forecaster: Forecaster, history: DataFrame | None = N
     )
 
 
+def score_ensemble(
+    rows: DataFrame, forecasters: list[Forecaster], weights: list[float] | None = None, history: DataFrame | None = None
+) -> DataFrame:
+    """As ``score``, but the weighted average over forecasters, each with its own preprocessing.
+
+    ``rows`` has one row per customer and date. Forecasters of the folds of a
+    cross-validation, for example, each bring their own vocabulary and layout.
+    """
+    if not forecasters:
+        raise ValueError("an ensemble needs at least one model")
+    p = forecasters[0].spec.panel
+    keys = [p.customer_col, p.date_col]
+    names = [f"_score_{i}" for i in range(len(forecasters))]
+    average = weighted_average(names, weights).alias(p.label_col)
+    parts = [score(rows, f, history).withColumnRenamed(p.label_col, n) for f, n in zip(forecasters, names)]
+    joined = parts[0]
+    for part in parts[1:]:
+        joined = joined.join(part, keys)
+    return joined.select(*keys, average)
+
+
 def score_to_file(
     rows: DataFrame,
     forecaster: Forecaster,

@@ -26,6 +26,7 @@ class CvResult:
     scores: DataFrame
     summary: DataFrame
     models: list[TreeModel] = field(default_factory=list)
+    forecasters: list[Forecaster] = field(default_factory=list)
 
     @property
     def rounds(self) -> int | None:
@@ -75,7 +76,7 @@ def cross_validate(features: DataFrame, spec: PipelineSpec, *, early_stopping: b
     """
     p = spec.panel
     rows = labelled(features, spec)
-    predictions, models = None, []
+    predictions, models, forecasters = None, [], []
     for fold in rolling_folds(rows, p.date_col, spec.cv, p.grain):
         train_rows = rows.filter(fold.trains(F.col(p.date_col)))
         test_rows = rows.filter(fold.tests(F.col(p.date_col)))
@@ -97,6 +98,7 @@ def cross_validate(features: DataFrame, spec: PipelineSpec, *, early_stopping: b
         predicted = materialise(predicted)
         predictions = predicted if predictions is None else predictions.unionByName(predicted)
         models.append(model)
+        forecasters.append(Forecaster(prep, assembler, model))
         train.unpersist()
         test.unpersist()
     if predictions is None:
@@ -106,6 +108,7 @@ def cross_validate(features: DataFrame, spec: PipelineSpec, *, early_stopping: b
         fold_scores(predictions, p.label_col, "prediction"),
         cv_summary(predictions, p.label_col, "prediction", labelled=rows.count()),
         models,
+        forecasters,
     )
 
 

@@ -87,3 +87,16 @@ def load_forecaster(path: str, spark: SparkSession) -> Forecaster:
     model = TreeModel(readers[settings["kind"]].load(f"{path}/model"), settings["names"], settings["rounds"])
     prep = Preprocessing(fill, Encoders(target, text), layout, spec)
     return Forecaster(prep, PipelineModel.load(f"{path}/assembler"), model)
+
+
+def save_ensemble(forecasters: list[Forecaster], path: str, spark: SparkSession, weights: list[float] | None = None) -> None:
+    """Each forecaster in a folder of its own, and the weights."""
+    for i, forecaster in enumerate(forecasters):
+        save_forecaster(forecaster, f"{path}/{i}", spark)
+    settings = json.dumps({"models": len(forecasters), "weights": weights})
+    _overwrite(spark.createDataFrame([(settings,)], "settings string"), f"{path}/ensemble")
+
+
+def load_ensemble(path: str, spark: SparkSession) -> tuple[list[Forecaster], list[float] | None]:
+    settings = json.loads(spark.read.parquet(f"{path}/ensemble").first()[0])
+    return [load_forecaster(f"{path}/{i}", spark) for i in range(settings["models"])], settings["weights"]

@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
+from dataclasses import asdict, replace
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasInputCols, HasLabelCol
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.ml.util import (
+    DefaultParamsReadable,
+    DefaultParamsReader,
+    DefaultParamsWritable,
+    DefaultParamsWriter,
+    MLReadable,
+    MLReader,
+    MLWritable,
+    MLWriter,
+)
+from pyspark.sql import DataFrame, SparkSession
 
 from tallycast.config import EncoderSpec, FeatureSpec
 from tallycast.operators.numeric import fit_imputer, ids_to_categories, skew_transform
@@ -109,7 +118,43 @@ class SkewTransform(Estimator, _SkewParams, DefaultParamsReadable, DefaultParams
         return model._set(fillCols=list(fill), fillValues=list(fill.values()))
 
 
-class TargetEncodeModel(Model):
+class _StateWriter(MLWriter):
+    """Metadata with the small part of a learned state, and its table if it has one."""
+
+    def __init__(self, instance):
+        super().__init__()
+        self.instance = instance
+
+    def saveImpl(self, path: str) -> None:
+        state, table = self.instance._state()
+        DefaultParamsWriter.saveMetadata(self.instance, path, self.sparkSession, extraMetadata={"state": state})
+        if table is not None:
+            table.write.parquet(f"{path}/table")
+
+
+class _StateReader(MLReader):
+    def __init__(self, cls):
+        super().__init__()
+        self.cls = cls
+
+    def load(self, path: str):
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        model = self.cls._restored(metadata["state"], self.sparkSession, path)
+        model._resetUid(metadata["uid"])
+        DefaultParamsReader.getAndSetParams(model, metadata)
+        return model
+
+
+class _SavedState(MLWritable, MLReadable):
+    def write(self) -> MLWriter:
+        return _StateWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _StateReader(cls)
+
+
+class TargetEncodeModel(Model, _SavedState):
     def __init__(self, encoding: TargetEncoding):
         super().__init__()
         self.encoding = encoding
@@ -117,8 +162,17 @@ class TargetEncodeModel(Model):
     def _transform(self, dataset: DataFrame) -> DataFrame:
         return self.encoding.apply(dataset)
 
+    def _state(self):
+        e = self.encoding
+        small = {"columns": e.columns, "prior": e.prior, "rows": e.rows, "handle_unknown": e.handle_unknown}
+        return small, e.table
+
+    @classmethod
+    def _restored(cls, state: dict, spark: SparkSession, path: str) -> TargetEncodeModel:
+        return cls(TargetEncoding(table=spark.read.parquet(f"{path}/table"), **state))
+
 
-class TargetEncode(Estimator, HasInputCols, HasLabelCol):
+class TargetEncode(Estimator, HasInputCols, HasLabelCol, DefaultParamsReadable, DefaultParamsWritable):
     """Smoothed target encoding; the input columns are replaced."""
 
     smoothing = _param("smoothing", "weight of the prior", TypeConverters.toFloat)
@@ -152,7 +206,7 @@ class TargetEncode(Estimator, HasInputCols, HasLabelCol):
         return TargetEncodeModel(fit_target_encoding(dataset, self.getInputCols(), self.getLabelCol(), spec))
 
 
-class TextEncodeModel(Model):
+class TextEncodeModel(Model, _SavedState):
     def __init__(self, encoding: TfidfEncoding | HashEncoding):
         super().__init__()
         self.encoding = encoding
@@ -160,24 +214,59 @@ class TextEncodeModel(Model):
     def _transform(self, dataset: DataFrame) -> DataFrame:
         return self.encoding.apply(dataset)
 
+    def _state(self):
+        e = self.encoding
+        learned = {"terms": e.terms, "idf": e.idf} if isinstance(e, TfidfEncoding) else None
+        return {"column": e.column, "learned": learned, "spec": asdict(e.spec)}, None
+
+    @classmethod
+    def _restored(cls, state: dict, spark: SparkSession, path: str) -> TextEncodeModel:
+        spec = EncoderSpec(**{k: tuple(v) if isinstance(v, list) else v for k, v in state["spec"].items()})
+        if state["learned"] is None:
+            return cls(HashEncoding(state["column"], spec))
+        return cls(TfidfEncoding(state["column"], state["learned"]["terms"], state["learned"]["idf"], spec))
+
+
+class TextEncode(Estimator, HasInputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """TF-IDF or hashed vector of a text column, which is replaced.
 
-class TextEncode(Estimator, HasInputCol):
-    """TF-IDF or hashed vector of a text column, which is replaced."""
+    Document bounds below 1 are shares of all documents, others are counts.
+    Stop words default to the English list; an empty list keeps all words.
+    """
 
     method = _param("method", "tfidf or hashing", TypeConverters.toString)
     maxFeatures = _param("maxFeatures", "vocabulary size", TypeConverters.toInt)
     hashBuckets = _param("hashBuckets", "width of the hashed vector", TypeConverters.toInt)
+    ngrams = _param("ngrams", "shortest and longest n-gram", TypeConverters.toListInt)
+    minDF = _param("minDF", "documents a term has to be in", TypeConverters.toFloat)
+    maxDF = _param("maxDF", "documents a term may be in", TypeConverters.toFloat)
+    stopWords = _param("stopWords", "words to leave out", TypeConverters.toListString)
 
     @keyword_only
-    def __init__(self, *, inputCol=None, method=None, maxFeatures=None, hashBuckets=None):
+    def __init__(
+        self, *, inputCol=None, method=None, maxFeatures=None, hashBuckets=None, ngrams=None, minDF=None,
+        maxDF=None, stopWords=None,
+    ):
         super().__init__()
         spec = EncoderSpec()
-        self._setDefault(method=spec.text_method, maxFeatures=spec.tfidf_terms, hashBuckets=spec.hash_buckets)
+        self._setDefault(
+            method=spec.text_method, maxFeatures=spec.tfidf_terms, hashBuckets=spec.hash_buckets,
+            ngrams=list(spec.tfidf_ngrams), minDF=float(spec.tfidf_min_df), maxDF=spec.tfidf_max_df,
+        )
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> TextEncodeModel:
         get = self.getOrDefault
-        spec = replace(EncoderSpec(), tfidf_terms=get("maxFeatures"), hash_buckets=get("hashBuckets"))
+        bounds = [get(b) if get(b) < 1 else int(get(b)) for b in ("minDF", "maxDF")]
+        spec = replace(
+            EncoderSpec(),
+            tfidf_terms=get("maxFeatures"),
+            hash_buckets=get("hashBuckets"),
+            tfidf_ngrams=tuple(get("ngrams")),
+            tfidf_min_df=bounds[0],
+            tfidf_max_df=bounds[1],
+            stop_words=tuple(get("stopWords")) if self.isDefined("stopWords") else None,
+        )
         if get("method") == "tfidf":
             return TextEncodeModel(fit_tfidf(dataset, self.getInputCol(), spec))
         if get("method") == "hashing":

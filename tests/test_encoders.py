@@ -8,7 +8,7 @@ from plans import count, plan
 from tallycast.config import CvSpec, EncoderSpec, PanelSpec
 from tallycast.operators.encoders import fit_encoders, fit_panel_encoders, route_columns
 from tallycast.operators.folds import fold_columns, rolling_folds
-from tallycast.operators.lookup import lookup
+from tallycast.operators.lookup import lookup, within_budget
 from tallycast.operators.target_encoding import (
     category_stats,
     encode_out_of_fold,
@@ -106,6 +106,33 @@ def test_hot_keys_do_not_meet_in_the_shuffle(spark):
     assert split.count() == 6000
 
 
+@pytest.mark.parametrize("kind", ["hot", "null", "unseen"])
+def test_no_task_of_the_lookup_gets_a_hot_key(spark, kind):
+    """60 % of the facts under one known, null or unknown key: the join's tasks stay even."""
+    top = {"hot": "k0", "null": None, "unseen": "nowhere"}[kind]
+    facts = spark.range(30000).select(
+        "id", F.when(F.col("id") % 10 < 6, F.lit(top)).otherwise(F.concat(F.lit("k"), (F.col("id") % 9973).cast("string"))).alias("k")
+    )
+    table = materialise(spark.range(9973).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("k"), F.col("id").alias("n"), F.col("id").alias("v")))
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        out = lookup(facts, table, ["k"], "n", broadcast_bytes=0)
+        assert "hashpartitioning(_key" in plan(out)
+        per_task = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(per_task) == 30000 and max(per_task) < 2 * 30000 / 8
+
+
+def test_broadcasts_keep_to_one_budget_together():
+    assert within_budget({"a": 40, "b": 30, "c": 30}, 64) == {"b", "c"}
+    assert within_budget({"a": 65}, 64) == set()
+
+
 def dated(spark, sf_dir):
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     return orders.select("o_orderkey", "o_orderdate", "o_orderpriority", "o_totalprice")

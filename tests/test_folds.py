@@ -88,6 +88,18 @@ def test_ranks_are_dense_and_ordered(spark):
     assert dates == sorted(dates)
 
 
+def test_ranks_follow_the_time_of_day(spark):
+    """Groups that start on one day, some at one moment, keep the order of their first timestamps."""
+    from datetime import datetime
+
+    rows = [(g, datetime(2021, 3, 1, g % 24, (7 * g) % 60, g % 2)) for g in range(600)]
+    spans = materialise(group_spans(spark.createDataFrame(rows, "g long, d timestamp_ntz"), "g", "d"))
+    ranked = rank_groups(spans, "g").orderBy("group_rank").collect()
+    assert [r["group_rank"] for r in ranked] == list(range(600))
+    dates = [r["first_date"] for r in ranked]
+    assert dates == sorted(dates)
+
+
 def test_group_split(spark):
     # Group g starts in month g and has ten monthly rows.
     rows = [(g, month(g + k), g * 100 + k) for g in range(13) for k in range(10)]

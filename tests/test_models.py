@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from tallycast.config import CvSpec, EncoderSpec, ModelSpec, PanelSpec, PipelineSpec
 from tallycast.functions.scalars import log_target
 from tallycast.operators import metrics
+from tallycast.operators.numeric import ids_to_categories
 from tallycast.operators.models import (
+    patience,
     Ensemble,
     FeatureLayout,
     TreeModel,
@@ -21,10 +23,10 @@ from tallycast.operators.models import (
 )
 from tallycast.operators.panel import forward_label
 from tallycast.plans.prepare import build_panel, stateless_features
-from tallycast.plans.score import score, score_to_file
+from tallycast.plans.score import score, score_ensemble, score_to_file
 from tallycast.plans.train import cross_validate, fit_forecaster, train
 from tallycast.session import materialise
-from tallycast.sources.artifacts import load_forecaster, save_forecaster
+from tallycast.sources.artifacts import load_ensemble, load_forecaster, save_ensemble, save_forecaster
 from tallycast.sources.readers import read_optional, read_panel
 from tallycast.sources.writers import write_importance, write_out_of_fold
 
@@ -69,9 +71,9 @@ def test_row_count_guard(spark):
 def test_parameters_and_kinds():
     with pytest.warns(UserWarning, match="num_leaves"):
         params = tree_params(ModelSpec(kind="lightgbm"))
-    assert params["maxIter"] == 100 and params["stepSize"] == 0.05 and params["minInstancesPerNode"] == 20
+    assert params["maxIter"] == 2000 and params["stepSize"] == 0.05 and params["minInstancesPerNode"] == 20
     with pytest.warns(UserWarning):
-        assert tree_params(ModelSpec(kind="catboost", rounds=None))["maxIter"] == 2000
+        assert tree_params(ModelSpec(kind="catboost", rounds=100))["maxIter"] == 100
     assert tree_params(ModelSpec(kind="gbt", params={"learning_rate": 0.3}))["stepSize"] == 0.3
     with pytest.raises(ValueError, match="unknown model"):
         tree_params(ModelSpec(kind="linear"))
@@ -264,13 +266,63 @@ def test_csv_source(spark, tmp_path):
     path = tmp_path / "train.csv"
     path.write_text(
         "branch_code,UniqueID,transaction_date,txn_count,income,extra\n"
-        "101,c1,2021-01-01,3,NaN,x\n,c2,2021-02-01,,12.5,y\n"
+        "101.0,c1,2021-01-01,3,NaN,x\n,c2,2021-02-01,,12.5,y\n"
     )
     df = read_panel(spark, str(path))
     types = dict(df.dtypes)
-    assert types["branch_code"] == "bigint" and types["transaction_date"] == "date" and types["extra"] == "string"
+    assert types["branch_code"] == "decimal(38,6)" and types["transaction_date"] == "date" and types["extra"] == "string"
     rows = df.orderBy("UniqueID").collect()
     assert rows[0]["income"] is None and rows[1]["branch_code"] is None and rows[1]["income"] == 12.5
     assert dict(read_panel(spark, str(path), infer=True).dtypes)["income"] == "double"
     assert read_optional(spark, str(tmp_path / "nothing.csv")) is None
     assert read_optional(spark, str(path)).count() == 2
+    labels = ids_to_categories(df, ["branch_code"]).orderBy("UniqueID").collect()
+    assert [r["branch_code"] for r in labels] == ["id_101", "id_nan"]
+
+
+def test_csv_files_with_other_headers_fail(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("UniqueID,income,transaction_amount\nc1,1.0,2.0\n")
+    (tmp_path / "b.csv").write_text("UniqueID,transaction_amount,income\nc2,3.0,4.0\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_panel(spark, str(tmp_path)).collect()
+
+
+def test_patience_comes_from_the_parameters():
+    assert patience(ModelSpec(kind="lightgbm")) == 100
+    assert patience(ModelSpec(kind="lightgbm", params={"early_stopping_rounds": 7})) == 7
+    assert patience(ModelSpec(kind="lightgbm", patience=3)) == 3
+    assert patience(ModelSpec(kind="gbt")) > 10**6
+
+
+def test_gap_must_cover_the_horizon():
+    with pytest.raises(ValueError, match="horizon"):
+        replace(SPEC, panel=replace(SPEC.panel, label_horizon=SPEC.cv.gap + 1))
+
+
+def test_history_that_holds_the_rows_changes_nothing(spark, trained, rows):
+    forecaster, _ = trained
+    wanted = newest(rows).drop("next_3m_txn_count")
+    apart = score(wanted, forecaster, rows.join(wanted, ["o_custkey", "period"], "left_anti"))
+    overlapping = score(wanted, forecaster, rows)
+    assert {tuple(r) for r in overlapping.collect()} == {tuple(r) for r in apart.collect()}
+
+
+def test_a_lost_row_is_noticed(spark, trained, rows, tmp_path, monkeypatch):
+    from tallycast.plans import score as module
+
+    forecaster, _ = trained
+    whole = module.score
+    monkeypatch.setattr(module, "score", lambda *a: whole(*a).withColumn("_n", F.row_number().over(Window.orderBy("o_custkey"))).filter("_n > 1").drop("_n"))
+    with pytest.raises(ValueError, match="output rows"):
+        score_to_file(newest(rows), forecaster, str(tmp_path / "scores"), rows.limit(0))
+
+
+def test_ensemble_of_fold_forecasters(spark, trained, rows, tmp_path):
+    _, cv = trained
+    some = cv.forecasters[:2]
+    save_ensemble(some, str(tmp_path / "ensemble"), spark, [3.0, 1.0])
+    loaded, weights = load_ensemble(str(tmp_path / "ensemble"), spark)
+    wanted = newest(rows)
+    got = {r[0]: r[2] for r in score_ensemble(wanted, loaded, weights, rows).collect()}
+    parts = [{r[0]: r[2] for r in score(wanted, f, rows).collect()} for f in some]
+    assert got == pytest.approx({k: (3 * parts[0][k] + parts[1][k]) / 4 for k in parts[0]})

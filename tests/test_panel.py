@@ -3,7 +3,9 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from plans import count
+from tallycast.config import PanelSpec, PipelineSpec
 from tallycast.operators.panel import dense_panel, forward_label, periodic_panel
+from tallycast.plans.prepare import build_panel
 
 
 def months(*ms):
@@ -36,6 +38,17 @@ def test_dense_panel_until_a_date(spark):
     assert [tuple(r) for r in out] == list(zip([1] * 4, months(11, 12, 13, 14), [3, 0, 0, 0]))
 
 
+def test_silent_customers_get_labels(spark):
+    """A customer's rows go on to the newest period of the data, and silence counts as zero."""
+    rows = [(1, date(2021, 1, 5), 1.0), (2, date(2021, 1, 9), 1.0), (2, date(2021, 6, 9), 1.0)]
+    spec = PipelineSpec(panel=PanelSpec(customer_col="c", date_col="period"))
+    df = spark.createDataFrame(rows, "c long, d date, v double")
+    out = build_panel(df, spec, source_customer="c", source_date="d", amount="v")
+    mine = out.filter("c = 1").orderBy("period").collect()
+    assert [r["txn_count"] for r in mine] == [1, 0, 0, 0, 0, 0]
+    assert [r["next_3m_txn_count"] for r in mine] == [0, 0, 0, None, None, None]
+
+
 def test_forward_label_needs_all_periods(spark):
     df = spark.createDataFrame(
         [(1, d, n) for d, n in zip(months(1, 2, 3, 4), (1, 0, 2, 4))], "c long, period date, txn_count long"

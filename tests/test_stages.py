@@ -1,5 +1,5 @@
 import pytest
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from tallycast.operators.numeric import fit_imputer, skew_transform
@@ -11,6 +11,7 @@ from tallycast.stages import (
     TargetEncode,
     TemporalFeatures,
     TextEncode,
+    TextEncodeModel,
 )
 
 
@@ -46,6 +47,26 @@ def test_skew_model_can_be_saved(spark, customers, tmp_path):
     assert loaded.transform(customers).orderBy("c_custkey").collect() == want.orderBy("c_custkey").collect()
 
 
+def test_learned_stages_can_be_saved(spark, customers, tmp_path):
+    df = customers.withColumn("note", F.concat_ws(" ", "c_mktsegment", F.lit("big client")))
+    pipeline = Pipeline(
+        stages=[
+            TargetEncode(inputCols=["c_mktsegment"], labelCol="c_acctbal", smoothing=2.0),
+            TextEncode(inputCol="note", maxFeatures=4, ngrams=[1, 1], minDF=0.01, maxDF=1000.0, stopWords=["big"]),
+        ]
+    )
+    pipeline.write().overwrite().save(str(tmp_path / "pipeline"))
+    model = Pipeline.load(str(tmp_path / "pipeline")).fit(df)
+    model.write().overwrite().save(str(tmp_path / "model"))
+    loaded = PipelineModel.load(str(tmp_path / "model"))
+    assert loaded.transform(df).orderBy("c_custkey").collect() == model.transform(df).orderBy("c_custkey").collect()
+    assert "big" not in loaded.stages[1].encoding.terms and "client" in loaded.stages[1].encoding.terms
+    hashed = TextEncode(inputCol="note", method="hashing", hashBuckets=8).fit(df)
+    hashed.write().overwrite().save(str(tmp_path / "hash"))
+    back = TextEncodeModel.load(str(tmp_path / "hash")).transform(df)
+    assert back.orderBy("c_custkey").collect() == hashed.transform(df).orderBy("c_custkey").collect()
+
+
 def test_temporal_stage_is_the_operator(spark, sf_dir, tmp_path):
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").dropDuplicates(["o_custkey", "o_orderdate"])
     stage = TemporalFeatures(customerCol="o_custkey", dateCol="o_orderdate", valueCol="o_totalprice")

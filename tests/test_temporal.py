@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from plans import count
+from plans import count, plan
 from tallycast.config import FeatureSpec
 from tallycast.operators.temporal import temporal_features
 
@@ -42,6 +42,14 @@ def test_null_customer_has_no_features(spark):
     assert all(r[n] is None for r in out.collect() for n in names)
 
 
+def test_rows_without_a_customer_meet_no_window(spark):
+    df = spark.range(3000).selectExpr("cast(null as long) AS c", "date'2021-01-01' AS d", "id AS v")
+    out = temporal_features(df.unionAll(df.selectExpr("v % 7", "d", "v")), "c", "d", "v", one_row_per_period=True)
+    text = plan(out)
+    assert text.count("Window [") == 1 and text.count("Exchange hashpartitioning") == 1
+    assert out.filter("c is null").count() == 3000
+
+
 def test_trend_and_growth(spark):
     out = temporal_features(panel(spark, [4, 5, 6, 10]), "c", "d", "v")
     assert column(out, "trend_3m") == [None, None, None, 6]
