@@ -1,6 +1,8 @@
 """N-gram Jaccard self-join with adaptive multi-match prefixes.
 
-Shingles have one order for all documents: common ones last, the rest by hash.
+Shingles have one order for all documents: those seen often last, before them
+by how often their words let expect them, then by hash. A prefix thus holds the
+rarest shingles, which few documents share by chance.
 Two sets that are similar enough share at least one of their first p shingles,
 and at least L of their first p + L - 1. Each document chooses its own L: the
 cost of a longer prefix is weighed against the candidates it saves, estimated
@@ -22,10 +24,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallycast.llm.batches import blocks, texts_of
+from tallycast.llm.batches import blocks, ranges, texts_of
 from tallycast.llm.components import components
 from tallycast.llm.words import shingles_of, words_of
 from tallycast.session import materialise
@@ -33,12 +35,14 @@ from tallycast.session import materialise
 BLOCK = 4 << 20
 # A task reports shingles that it sees so often; they are common from COMMON in all.
 REPORTED, COMMON = 4, 16
-# So many of the most common shingles are moved to the end of the order. It changes the cost only.
+# So many of the most common shingles and words decide the order. It changes the cost only.
 MOST_COMMON = 200_000
 LONGEST_EXTENSION = 8
 # What comparing two sets costs, in units of reading one entry of a list.
 COMPARISON = 16
 SALTS = 64
+# A sketch counts the shingles of a set by so many ranges of their hashes.
+SKETCH = 256
 # Classes to compare are found by a broadcast up to so many, else by a shuffle of the texts.
 BROADCAST_CLASSES = 2_000_000
 
@@ -66,51 +70,81 @@ def _sets(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, np.ndarray, i
         yield row, s, _class(s) if len(s) else None
 
 
+class _Tally:
+    """Counts of 64-bit values that are seen more than once in a block."""
+
+    def __init__(self) -> None:
+        self.values, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def add(self, values: np.ndarray) -> None:
+        v, c = np.unique(values, return_counts=True)
+        v, place = np.unique(np.concatenate([self.values, v[c > 1]]), return_inverse=True)
+        self.values, self.counts = v, np.bincount(place, np.concatenate([self.counts, c[c > 1]])).astype(np.int64)
+
+    def rows(self, kind: str) -> pa.RecordBatch:
+        often = self.counts >= REPORTED
+        none = pa.nulls(int(often.sum()), pa.int64())
+        found = [pa.array(self.values[often].view(np.int64)), pa.array(self.counts[often])]
+        blank = pa.nulls(len(none), pa.binary())
+        return pa.RecordBatch.from_arrays([none, none, none, none, blank, pa.array([kind] * len(none), pa.string()), *found], NAMES)
+
+
+def _sketch(shingles: np.ndarray) -> bytes:
+    """How many shingles fall into each of ``SKETCH`` ranges, at most 255."""
+    return np.minimum(np.bincount((shingles >> np.uint64(56)).astype(int), minlength=SKETCH), 255).astype(np.uint8).tobytes()
+
+
 def _class(shingles: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-ROWS = "doc_id bigint, text_key bigint, n bigint, class bigint, shingle bigint, seen bigint"
+ROWS = "doc_id bigint, text_key bigint, n bigint, class bigint, sketch binary, kind string, value bigint, seen bigint"
+NAMES = ["doc_id", "text_key", "n", "class", "sketch", "kind", "value", "seen"]
 
 
 def _rows(size: int):
-    """One row per document, and how often the task has seen each shingle (once per class)."""
+    """One row per document, and how often the task has seen each word and each shingle (once per class)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes: set[int] = set()
-        counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        waiting: list[np.ndarray] = []
+        shingles, single = _Tally(), _Tally()
         for batch in blocks(batches, "text", BLOCK):
-            n, names = np.zeros(batch.num_rows, np.int64), []
+            n, names, fresh, sketches = np.zeros(batch.num_rows, np.int64), [], [], [None] * batch.num_rows
             for row, s, name in _sets(batch, size):
                 n[row] = len(s)
                 names.append(name)
                 if name is not None and name not in classes:
                     classes.add(name)
-                    waiting.append(s)
+                    fresh.append(s)
+                    sketches[row] = _sketch(s)
             none = pa.nulls(batch.num_rows, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_key"), pa.array(n), pa.array(names, pa.int64()), none, none],
-                ["doc_id", "text_key", "n", "class", "shingle", "seen"],
-            )
-            if waiting:
-                s, c = np.unique(np.concatenate(waiting), return_counts=True)
-                # Once in this block: not common here, however often elsewhere in the task.
-                s, c = s[c > 1], c[c > 1]
-                s, place = np.unique(np.concatenate([counts[0], s]), return_inverse=True)
-                counts = s, np.bincount(place, np.concatenate([counts[1], c])).astype(np.int64)
-                waiting = []
-        s, c = counts
-        s, c = s[c >= REPORTED], c[c >= REPORTED]
-        none = pa.nulls(len(s), pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [none, none, none, none, pa.array(s.view(np.int64)), pa.array(c)],
-            ["doc_id", "text_key", "n", "class", "shingle", "seen"],
-        )
+            own = [batch.column("doc_id"), batch.column("text_key"), pa.array(n), pa.array(names, pa.int64()), pa.array(sketches, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*own, pa.nulls(batch.num_rows, pa.string()), none, none], NAMES)
+            if fresh:
+                shingles.add(np.concatenate(fresh))
+                single.add(words_of(texts_of(batch, "text")).hashes)
+        yield shingles.rows("shingle")
+        yield single.rows("word")
 
     return run
 
 
+@dataclass
+class Order:
+    """Sorted values and counts of the most common shingles and words."""
+
+    shingles: tuple[np.ndarray, np.ndarray]
+    words: tuple[np.ndarray, np.ndarray]
+
+    @staticmethod
+    def counts(known: tuple[np.ndarray, np.ndarray], values: np.ndarray) -> np.ndarray:
+        """How often each value was seen, 0 if that isn't known."""
+        if not len(known[0]):
+            return np.zeros(len(values), np.int64)
+        place = np.minimum(np.searchsorted(known[0], values), len(known[0]) - 1)
+        return np.where(known[0][place] == values, known[1][place], 0)
+
+
 def extension(seen: np.ndarray, first: int, most: int) -> int:
     """The L of least estimated cost; ``seen`` has the counts of the prefix shingles in order."""
     total = np.cumsum(seen)
@@ -119,31 +153,42 @@ def extension(seen: np.ndarray, first: int, most: int) -> int:
     return int(choices[np.argmin(lists + COMPARISON * lists / choices + choices)])
 
 
-def _postings(spec: Spec, common: np.ndarray, counts: np.ndarray):
+def _postings(spec: Spec, order: Order):
     """The prefix entries of each class, once in a task: shingle, class, size, place, L, salt."""
     names = ["shingle", "class", "n", "place", "need", "salt"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()
         for batch in blocks(batches, "text", BLOCK):
+            found = words_of(texts_of(batch, "text"))
+            hashes, offsets = shingles_of(found, spec.words)
+            # Twice the log2 of what the counts of a shingle's words let expect, at most 255.
+            likely = np.round(2 * np.log2(Order.counts(order.words, found.hashes) + 1)).astype(np.int64)
+            total = np.concatenate([[0], np.cumsum(likely)])
+            first = ranges(found.offsets[:-1], np.diff(offsets))
+            expected = total[np.minimum(first + spec.words, np.repeat(found.offsets[1:], np.diff(offsets)))] - total[first]
+            expected = np.minimum(expected * 3 // spec.words, 255).astype(np.uint64)
+            seen = Order.counts(order.shingles, hashes)
+            often = np.minimum(np.round(4 * np.log2(seen + 1)), 127).astype(np.uint64)
+            keys = often << np.uint64(57) | expected << np.uint64(49) | hashes >> np.uint64(15)
             out: list[tuple] = []
-            for _, s, name in _sets(batch, spec.words):
-                if name is None or name in done:
+            for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+                if a == b:
+                    continue
+                s, at = np.unique(hashes[a:b], return_index=True)
+                name = _class(s)
+                if name in done:
                     continue
                 done.add(name)
                 n, overlap = len(s), spec.overlap(len(s))
-                first = n - overlap + 1
-                place = np.searchsorted(common, s)
-                known = np.zeros(n, bool) if not len(common) else common[np.minimum(place, len(common) - 1)] == s
-                seen = np.zeros(n, np.int64)
-                seen[known] = counts[place[known]]
-                if known.any():
-                    order = np.argsort(seen, kind="stable")
-                    s, seen, known = s[order], seen[order], known[order]
-                need = extension(seen, first, overlap) if known[: first + LONGEST_EXTENSION].any() else 1
-                length = first + need - 1
-                salt = np.where(known[:length], 1 + name % SALTS, 0)
-                out.append((s[:length].view(np.int64), np.full(length, name), np.full(length, n), np.arange(length), np.full(length, need), salt))
+                least = n - overlap + 1
+                at = at[np.argsort(keys[a:b][at], kind="stable")][: least + LONGEST_EXTENSION - 1] + a
+                known = seen[at]
+                need = extension(known, least, overlap) if known.any() else 1
+                at, known = at[: least + need - 1], known[: least + need - 1]
+                k = len(at)
+                salt = np.where(known > 0, 1 + name % SALTS, 0)
+                out.append((hashes[at].view(np.int64), np.full(k, name), np.full(k, n), np.arange(k), np.full(k, need), salt))
             if out:
                 columns = [np.concatenate(c) for c in zip(*out)]
                 types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32()]
@@ -206,12 +251,40 @@ def _sets_of(docs: DataFrame, spec: Spec, rows: DataFrame, wanted: DataFrame) ->
     return materialise(found.groupBy("class").agg(F.first("set").alias("set")))
 
 
-def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``shared`` and ``total`` of the sets of each pair (``a`` < ``b``)."""
+def _possible(spec: Spec):
+    """Leaves out pairs whose sketches prove that too little is shared."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (
+                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SKETCH).astype(np.int64)
+                for c in ("_sketch_a", "_sketch_b")
+            )
+            most = np.minimum(a, b).sum(1)
+            may = spec.whole * most >= spec.part * (a.sum(1) + b.sum(1) - most)
+            may |= (a == 255).any(1) | (b == 255).any(1)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(may)], ["a", "b", "may"])
+
+    return run
+
+
+def _verify(pairs: DataFrame, docs: DataFrame, spec: Spec, rows: DataFrame, sketches: DataFrame) -> DataFrame:
+    """``shared`` and ``total`` of the sets of each pair (``a`` < ``b``); null where the sketches rule a link out.
+
+    A sketch bounds from above what two sets share, so no link is lost, and
+    only sets that the sketches leave are made and moved.
+    """
+    ends = [sketches.select(F.col("class").alias(c), F.col("sketch").alias(f"_sketch_{c}")) for c in "ab"]
+    both = pairs.select("a", "b").join(ends[0], "a").join(ends[1], "b")
+    pairs = materialise(both.mapInArrow(_possible(spec), "a bigint, b bigint, may boolean"))
+    left = pairs.filter("may").select("a", "b")
+    wanted = left.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    sets = _sets_of(docs, spec, rows, wanted)
     first = sets.select(F.col("class").alias("a"), F.col("set").alias("_set_a"))
     second = sets.select(F.col("class").alias("b"), F.col("set").alias("_set_b"))
-    both = pairs.select("a", "b").join(first, "a").join(second, "b")
-    return materialise(both.mapInArrow(_compared, "a bigint, b bigint, shared bigint, total bigint"))
+    compared = left.join(first, "a").join(second, "b").mapInArrow(_compared, "a bigint, b bigint, shared bigint, total bigint")
+    none = F.lit(None).cast("bigint")
+    return materialise(compared).unionByName(pairs.filter("not may").select("a", "b", none.alias("shared"), none.alias("total")))
 
 
 def classes(docs: DataFrame, spec: Spec = Spec()) -> tuple[DataFrame, DataFrame]:
@@ -225,52 +298,69 @@ def classes(docs: DataFrame, spec: Spec = Spec()) -> tuple[DataFrame, DataFrame]
     source = source.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
     seen = materialise(source.mapInArrow(_rows(spec.words), ROWS))
     rows = seen.filter("seen is null").select("doc_id", "text_key", "n", "class")
-    counts = seen.filter("seen is not null").groupBy("shingle").agg(F.sum("seen").alias("seen")).filter(F.col("seen") >= COMMON)
-    # At most MOST_COMMON rows reach the driver; they decide the order only.
-    top = counts.orderBy(F.desc("seen"), "shingle").limit(MOST_COMMON).toPandas()
-    common = top["shingle"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(common)
+    # Several tasks may have met a class; their sketches are equal.
+    sketches = seen.filter("sketch is not null").groupBy("class").agg(F.min("sketch").alias("sketch"))
+    sketches = materialise(sketches)
+    counts = seen.filter("seen is not null").groupBy("kind", "value").agg(F.sum("seen").alias("seen")).filter(F.col("seen") >= COMMON)
+
+    def most_common(kind: str) -> tuple[np.ndarray, np.ndarray]:
+        # At most MOST_COMMON rows reach the driver; they decide the order only.
+        top = counts.filter(F.col("kind") == kind).orderBy(F.desc("seen"), "value").limit(MOST_COMMON).toPandas()
+        values, often = top["value"].to_numpy(np.int64).view(np.uint64), top["seen"].to_numpy(np.int64)
+        return values[np.argsort(values)], often[np.argsort(values)]
+
+    order = Order(most_common("shingle"), most_common("word"))
     entries = source.select("text").mapInArrow(
-        _postings(spec, common[order], top["seen"].to_numpy(np.int64)[order]),
-        "shingle bigint, class bigint, n int, place int, need int, salt int",
+        _postings(spec, order), "shingle bigint, class bigint, n int, place int, need int, salt int"
     )
     spread = entries.repartition("shingle", "salt").sortWithinPartitions("shingle", "class")
     lists = materialise(spread.mapInArrow(_shared, "shingle bigint, class bigint, n int, place int, need int"))
-    heads = lists.groupBy("shingle").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high")
+    ends = [f(F.struct("class", "n")).alias(c) for f, c in ((F.min, "low"), (F.max, "high"))]
+    heads = lists.groupBy("shingle").agg(*ends).filter("low.class < high.class")
     lists = materialise(lists.join(heads, "shingle"))
-    sets = _sets_of(source.select("text_key", "text"), spec, rows, lists.select("class").distinct())
-
-    fits = F.least("n", "m") * spec.whole >= F.greatest("n", "m") * spec.part
+    texts = source.select("text_key", "text")
     linked = F.col("shared") * spec.whole >= F.col("total") * spec.part
 
+    def fits(n: str, m: str) -> Column:
+        """Sets of these sizes can be similar enough."""
+        return F.least(n, m) * spec.whole >= F.greatest(n, m) * spec.part
+
     def against(head: str, entries: DataFrame) -> DataFrame:
-        ends = F.least("class", head).alias("a"), F.greatest("class", head).alias("b")
-        return entries.filter(F.col("class") != F.col(head)).select(*ends).distinct()
+        other = F.col(f"{head}.class")
+        pair = F.least("class", other).alias("a"), F.greatest("class", other).alias("b")
+        return entries.filter((F.col("class") != other) & fits("n", f"{head}.n")).select(*pair).distinct()
 
-    tested = _verify(against("low", lists), sets)
+    def unconnected(entries: DataFrame) -> DataFrame:
+        roots = entries.groupBy("shingle").agg(F.min("root").alias("_r"), F.max("root").alias("_s"))
+        return entries.join(roots.filter("_r <> _s").select("shingle"), "shingle", "left_semi")
+
+    tested = _verify(against("low", lists), texts, spec, rows, sketches)
     lists = _rooted(lists, components(tested.filter(linked)))
-    open_lists = lists.groupBy("shingle").agg(F.min("root").alias("r"), F.max("root").alias("s")).filter("r <> s").select("shingle")
     # The other end of each list that is not connected yet.
-    more = against("high", lists.join(open_lists, "shingle", "left_semi"))
-    tested_too = _verify(more.join(tested, ["a", "b"], "left_anti"), sets)
-    tested = tested.unionByName(tested_too)
+    more = against("high", unconnected(lists)).join(tested, ["a", "b"], "left_anti")
+    tested = tested.unionByName(_verify(more, texts, spec, rows, sketches))
     lists = _rooted(lists.drop("root"), components(tested.filter(linked)))
-    open_lists = lists.groupBy("shingle").agg(F.min("root").alias("r"), F.max("root").alias("s")).filter("r <> s").select("shingle")
-    left = lists.join(open_lists, "shingle", "left_semi")
-    # Distance to the low end of the list, which every entry has been compared with.
+    # Distance to the low end of the list, where an entry has been compared with it.
     far = tested.select("a", "b", (1 - F.col("shared") / F.col("total")).alias("far"))
-    left = left.withColumns({"a": F.least("class", "low"), "b": F.greatest("class", "low")}).join(far, ["a", "b"], "left")
-    left = left.withColumn("far", F.coalesce("far", F.lit(0.0)))
+    low = F.col("low.class")
+    left = unconnected(lists).withColumns({"a": F.least("class", low), "b": F.greatest("class", low)}).join(far, ["a", "b"], "left")
+    left = left.withColumn("far", F.when(F.col("class") == low, 0.0).otherwise(F.col("far")))
     left = materialise(left.select("shingle", "class", "n", "place", "need", "root", "far"))
-    other = left.select("shingle", *[F.col(c).alias(d) for c, d in zip(("class", "n", "place", "need", "root", "far"), ("other", "m", "at", "ask", "end", "away"))])
+    names = {"class": "other", "n": "m", "place": "at", "need": "ask", "root": "end", "far": "away"}
+    other = left.select("shingle", *[F.col(c).alias(d) for c, d in names.items()])
     ask = F.least("need", "ask")
-    # Whether the shingle is in the prefixes that belong to the smaller L.
-    reach = lambda n, place: F.col(place) < F.col(n) - F.ceil(F.col(n) * spec.part / spec.whole) + ask
-    near = F.abs(F.col("far") - F.col("away")) <= 1 - spec.part / spec.whole + 1e-9
-    pairs = left.join(other, "shingle").filter("class < other and root <> end").filter(fits & near & reach("n", "place") & reach("m", "at"))
+
+    def reached(n: str, place: str) -> Column:
+        """Whether the shingle is in the prefix that belongs to the smaller L."""
+        return F.col(place) < F.col(n) - F.ceil(F.col(n) * spec.part / spec.whole) + ask
+
+    apart = F.coalesce(F.abs(F.col("far") - F.col("away")), F.lit(0.0))
+    near = apart <= 1 - spec.part / spec.whole + 1e-9
+    pairs = left.join(other, "shingle").filter("class < other and root <> end")
+    pairs = pairs.filter(fits("n", "m") & near & reached("n", "place") & reached("m", "at"))
     pairs = pairs.groupBy(F.col("class").alias("a"), F.col("other").alias("b")).agg(F.count(F.lit(1)).alias("k"), F.max(ask).alias("ask"))
     pairs = pairs.filter("k >= ask").join(tested, ["a", "b"], "left_anti")
-    return rows, tested.unionByName(_verify(pairs, sets)).filter(linked)
+    return rows, tested.unionByName(_verify(pairs, texts, spec, rows, sketches)).filter(linked)
 
 
 def _rooted(lists: DataFrame, roots: DataFrame) -> DataFrame:
