@@ -1,11 +1,11 @@
 """Language-model scores from a probabilistic suffix tree of words.
 
 The tree holds contexts of up to ``DEPTH`` words. A context c is kept if a word
-w follows it at least ``LEAST`` times and significantly more often than it
-follows the next shorter context s: n(cw) * ln((n(cw)/n(c)) / (n(sw)/n(s))) >=
-``DIVERGENCE``. Its distribution keeps these words, discounted, and leaves the
-rest of the mass to the shorter context; the empty context has the add-one
-estimate of single words. A word's probability is that of the longest kept
+w follows it at least ``LEAST`` times, with a share that is ``RATIO`` times that
+after the next shorter context s, and significantly so:
+n(cw) * ln((n(cw)/n(c)) / (n(sw)/n(s))) >= ``DIVERGENCE``. Its distribution
+keeps these words, discounted, and leaves the rest of the mass to the shorter
+context; the empty context has the add-one estimate of single words. A word's probability is that of the longest kept
 context that ends just before it, and every distribution sums to one:
 
     P(w|c) = [w kept] (n(cw) - DISCOUNT) / n(c) + rest(c) * P(w|s)
@@ -36,12 +36,15 @@ from tallycast.llm.batches import blocks, ranges, texts_of
 from tallycast.llm.words import BASE, END_OF_TEXT, mix, words_of
 from tallycast.session import materialise, scratch_path
 
-DEPTH = 3
-LEAST = 4
+DEPTH = 2
+LEAST = 8
+RATIO = 2.0
 DIVERGENCE = 10.0
 DISCOUNT = 0.5
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 5 << 20
 MOST_BUCKETS = 1 << 16
+# Added to the level of questions about contexts.
+ASKED = 100
 
 CHUNKS = "chunk bigint, doc_ids array<bigint>, learn array<boolean>, sizes array<int>, words binary, codes binary"
 QUESTION = "bucket int, chunk bigint, level int, keys binary, counts binary"
@@ -125,7 +128,8 @@ class _Chunk:
         places = np.flatnonzero(run)
         n = run[places].astype(float)
         ratio = (n / context[places]) / (shorter[places] / base[places])
-        places, n = places[n * np.log(ratio) >= DIVERGENCE], n[n * np.log(ratio) >= DIVERGENCE]
+        clear = (ratio >= RATIO) & (n * np.log(ratio) >= DIVERGENCE)
+        places, n = places[clear], n[clear]
         return places, (n - DISCOUNT) / context[places]
 
     def contexts(self, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -177,6 +181,41 @@ def _added(level: int, least: int):
     return run
 
 
+def _told(level: int, context: np.ndarray, run: np.ndarray, share: np.ndarray) -> Iterator[tuple]:
+    """Kept words by bucket of their context: both keys (of the run its low half) and the share in billionths."""
+    bucket = (context >> np.uint64(32)).astype(np.int64)
+    cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, int)
+    billionths = np.ceil(share * 1e9).astype(np.uint32)
+    for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(bucket)]):
+        keys = np.concatenate([context[a:b].astype(np.uint32), run[a:b].astype(np.uint32)])
+        yield int(bucket[a]), -1, level, keys.tobytes(), _packed(billionths[a:b])
+
+
+def _shares(table: pa.Table) -> pa.Table:
+    """Add up what the contexts of a bucket keep, each kept word once, and answer who asked."""
+    rows = table.select(["chunk", "level", "bucket", "keys", "counts"]).to_pylist()
+    told = [r for r in rows if r["chunk"] == -1]
+    known, share = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+    if told:
+        pairs = np.concatenate([np.frombuffer(r["keys"], np.uint32).reshape(2, -1) for r in told], axis=1)
+        parts = np.concatenate([_unpacked(r["counts"], np.uint32) for r in told])
+        _, first = np.unique(pairs[0].astype(np.uint64) << np.uint64(32) | pairs[1], return_index=True)
+        known, which = np.unique(pairs[0][first], return_inverse=True)
+        share = np.bincount(which, parts[first]).astype(np.int64)
+    share = np.minimum(share, 10**9 - 1).astype(np.uint32)
+    asked = [r for r in rows if r["chunk"] != -1]
+    out = []
+    for r in asked:
+        keys = np.frombuffer(r["keys"], np.uint32)
+        found = np.zeros(len(keys), np.uint32)
+        if len(known):
+            place = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+            found = np.where(known[place] == keys, share[place], 0).astype(np.uint32)
+        out.append(_packed(found))
+    columns = {c: pa.array([r[c] for r in asked], t) for c, t in (("chunk", pa.int64()), ("level", pa.int32()), ("bucket", pa.int32()))}
+    return pa.table(columns | {"counts": pa.array(out, pa.binary())})
+
+
 def _over_chunks(work: Callable[[dict], Iterator[tuple]], names: list[str], types: list[pa.DataType]):
     """A function on Arrow batches that does ``work`` chunk by chunk."""
 
@@ -262,24 +301,21 @@ def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     for level in range(2, depth + 2):
         answers.append(materialise(ask(runs(level)).applyInArrow(_added(level, LEAST), ANSWER)))
 
-    def kept(row: dict) -> Iterator[tuple]:
-        """Each kept (context, word) once: their keys and the share."""
+    def tree(row: dict) -> Iterator[tuple]:
+        """Each kept (context, word) with its share, and a question for each context there is."""
         chunk = raised(row, depth + 1)
         shift = np.uint64(32 - bits)
         for level in range(2, depth + 2):
             places, share = chunk.kept(level, learned)
-            keys, first = np.unique(chunk.hashes[level][places] >> shift, return_index=True)
-            context = chunk.hashes[level - 1][places[first]] >> shift
-            yield from zip([level] * len(keys), context.tolist(), keys.tolist(), share[first].tolist())
+            context, run = chunk.hashes[level - 1][places] >> shift, chunk.hashes[level][places] >> shift
+            _, first = np.unique(run, return_index=True)
+            first = first[np.argsort(context[first], kind="stable")]
+            yield from _told(level, context[first], run[first], share[first])
+            keys = chunk.contexts(level - 1)[1]
+            yield from _questions(row["chunk"], ASKED + level, keys, np.zeros(len(keys)), bits, 32)
 
-    pairs = informed().mapInArrow(
-        _over_chunks(kept, ["level", "context", "run", "share"], [pa.int32(), pa.int64(), pa.int64(), pa.float64()]),
-        "level int, context bigint, run bigint, share double",
-    )
-    once = pairs.groupBy("level", "context", "run").agg(F.max("share").alias("share"))
-    # Shares in whole billionths, rounded up, so that no order of adding matters.
-    shares = once.groupBy("level", "context").agg(F.sum(F.ceil(F.col("share") * 1e9)).alias("share"))
-    answers.append(materialise(_tree_answers(informed(), shares, raised, depth, bits)))
+    both = informed().mapInArrow(_over_chunks(tree, Q_NAMES, Q_TYPES), QUESTION)
+    answers.append(materialise(both.groupBy("bucket", (F.col("level") % ASKED).alias("_level")).applyInArrow(_shares, ANSWER)))
 
     def scores(row: dict) -> Iterator[tuple]:
         chunk = raised(row, depth + 1)
@@ -288,7 +324,7 @@ def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
         base = np.log10(chance)
         for level in range(2, depth + 2):  # contexts of level - 1 words
             places, _, which = chunk.contexts(level - 1)
-            given = chunk.answers.get(100 + level)
+            given = chunk.answers.get(ASKED + level)
             share = np.zeros(len(count))
             if given is not None:
                 share[places] = given[which]
@@ -308,40 +344,3 @@ def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
 
     schema = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     return informed().mapInArrow(_over_chunks(scores, S_NAMES, S_TYPES), schema)
-
-
-def _tree_answers(informed: DataFrame, shares: DataFrame, raised: Callable, depth: int, bits: int) -> DataFrame:
-    """Answers of level 100 + k: the mass that each of a chunk's contexts of k - 1 words keeps (billionths)."""
-
-    def contexts(row: dict) -> Iterator[tuple]:
-        chunk = raised(row, depth)
-        for level in range(2, depth + 2):
-            keys = chunk.contexts(level - 1)[1]
-            yield from _questions(row["chunk"], 100 + level, keys, np.zeros(len(keys)), bits, 32)
-
-    asked = informed.mapInArrow(_over_chunks(contexts, Q_NAMES, Q_TYPES), QUESTION)
-    bucket = F.call_function("shiftrightunsigned", F.col("context"), F.lit(32)).cast("int")
-    low = F.col("context").bitwiseAND(F.lit(0xFFFFFFFF))
-    told = shares.groupBy(bucket.alias("bucket"), (F.col("level") + 100).alias("level")).agg(
-        F.collect_list(low).alias("contexts"), F.collect_list("share").alias("shares")
-    )
-
-    def answer(asked: pa.Table, told: pa.Table) -> pa.Table:
-        out = []
-        known = {}
-        if told.num_rows:
-            keys, values = (np.array(told.column(c)[0].as_py(), np.int64) for c in ("contexts", "shares"))
-            order = np.argsort(keys)
-            known = keys[order], np.minimum(values[order], 10**9 - 1)
-        for k in asked.column("keys").to_pylist():
-            key = np.frombuffer(k, np.uint32).astype(np.int64)
-            found = np.zeros(len(key), np.uint32)
-            if known:
-                place = np.minimum(np.searchsorted(known[0], key), len(known[0]) - 1)
-                found = np.where(known[0][place] == key, known[1][place], 0).astype(np.uint32)
-            out.append(_packed(found))
-        columns = {c: asked.column(c) for c in ("chunk", "level", "bucket")}
-        return pa.table(columns | {"counts": pa.array(out, pa.binary())})
-
-    both = asked.groupBy("bucket", "level").cogroup(told.groupBy("bucket", "level"))
-    return both.applyInArrow(answer, ANSWER)
