@@ -185,7 +185,7 @@ def build(vectors: DataFrame) -> tuple[Index, DataFrame]:
     return index, blocks
 
 
-def _asked(index: Index, k: int, first: bool):
+def _asked(index: Index, first: bool):
     """The cells each pack of queries has to visit, with the queries that have to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -325,7 +325,7 @@ def search(vectors: DataFrame, wanted: Column, k: int = 20, *, key: str = "vec_i
         return together.mapInArrow(run, "pack bigint, ids binary, vectors binary, beat binary")
 
     def visited(rows: DataFrame, first: bool) -> DataFrame:
-        asked = packed(rows).mapInArrow(_asked(index, k, first), PACK_DDL)
+        asked = packed(rows).mapInArrow(_asked(index, first), PACK_DDL)
         both = asked.join(blocks, ["cell", "salt"]).sortWithinPartitions("pack", F.desc("bound"), "low")
         return both.mapInArrow(_met(index, k), "query_id bigint, vec_id bigint, score bigint")
 
