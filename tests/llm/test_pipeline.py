@@ -5,7 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from helpers import linked_groups, shingle_sets, tricky_docs, tricky_texts
+from helpers import linked_groups, shingle_sets, tricky_docs
 from test_decontaminate import by_hand
 from test_line_dedup import deleted, gone_by_hand
 from tokenizers import Tokenizer
