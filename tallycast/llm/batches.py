@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 
 
 def blocks(batches: Iterator[pa.RecordBatch], text: str, most: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
@@ -21,6 +22,15 @@ def blocks(batches: Iterator[pa.RecordBatch], text: str, most: int = BLOCK_BYTES
             end = max(start + 1, int(np.searchsorted(sizes, base + most, side="right")))
             yield batch.slice(start, end - start)
             start = end
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: workers are used again, by other stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def texts_of(batch: pa.RecordBatch, text: str) -> pa.Array:

@@ -34,7 +34,7 @@ MAX_CONTEXTS = 20_000
 MIN_CONTEXT = 8
 # More bytes than this don't raise the confidence.
 CONFIDENCE_BYTES = 32
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 
 # Letters and bytes of longer characters stand for themselves; blanks, digits and marks are one symbol each.
 SYMBOL = np.full(256, 2, np.int64)

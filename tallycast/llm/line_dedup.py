@@ -30,7 +30,7 @@ from tallycast.llm.words import words_of
 from tallycast.session import materialise
 
 MIN_WORDS = 50
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 KEY = ["doc", "text_key"]
 LINE = "doc bigint, text_key bigint, i int, line int, h1 bigint, h2 bigint, words int, ahead int, back int"
 # Stands for a null id in the order of documents: last.

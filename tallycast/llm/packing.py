@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallycast.llm.batches import blocks, texts_of
+from tallycast.llm.batches import blocks, give_back, texts_of
 from tallycast.llm.tokens import encoder, with_end
 from tallycast.session import materialise
 
@@ -220,6 +220,8 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACIT
             if ids:
                 out["ids"] = pa.array([bytes(c) for c in cuts], pa.binary())
             yield pa.RecordBatch.from_pydict(out)
+        encoder(tokenizer).forget()
+        give_back()
 
     rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     return rows.mapInArrow(run, PIECES + (", ids binary" if ids else ""))

@@ -33,7 +33,7 @@ ROUNDS = 250
 RATE = 0.08
 # Smallest number of rows on either side of a split.
 LEAF_ROWS = 20
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 
 FEATURES = (
     "log_bytes", "log_words", "upper", "digit", "mark", "exclamation", "bar", "high", "blank", "stop", "comma",

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallycast.llm.batches import blocks, texts_of
+from tallycast.llm.batches import blocks, give_back, texts_of
 from tallycast.llm.tokens import encoder, with_end
 
 MAGIC = b"DAC1"
@@ -139,6 +139,8 @@ def _segments(tokenizer: str, end_id: int, most: int):
                     yield segment()
         if docs:
             yield segment()
+        encoder(tokenizer).forget()
+        give_back()
 
     return run
 

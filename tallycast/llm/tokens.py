@@ -19,8 +19,8 @@ import pyarrow.compute as pc
 from tallycast.llm.batches import ranges
 
 # The encoder forgets its words beyond this many ids or words.
-CACHE_IDS = 8_000_000
-CACHE_WORDS = 800_000
+CACHE_IDS = 5_000_000
+CACHE_WORDS = 500_000
 CUT = "\x01"
 # So many new words are encoded as one text.
 TOGETHER = 200
@@ -65,9 +65,10 @@ class Encoder:
         self._mark = MARKS.get(self._cutting, "")
         alone = self._tokenizer.encode(self._mark, add_special_tokens=False).ids
         self._mark_id = alone[0] if len(alone) == 1 else None
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
+        """Drop the words learned so far; a task that is done leaves none behind."""
         self._places: dict[str, int] = {}
         self._ids = np.zeros(0, np.uint32)
         self._starts = np.zeros(0, np.int64)
@@ -124,7 +125,7 @@ class Encoder:
         coded = pieces.flatten().dictionary_encode()
         words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self._ids) > CACHE_IDS or len(self._places) > CACHE_WORDS:
-            self._forget()
+            self.forget()
         if new := [w for w in words if w not in self._places]:
             self._learn(new)
         place = np.fromiter(map(self._places.__getitem__, words), np.int64, len(words))
