@@ -1,7 +1,7 @@
 """Language-model scores from a probabilistic suffix tree of words.
 
 The tree holds contexts of up to ``DEPTH`` words. A context c is kept if a word
-w follows it at least ``LEAST`` times, with a share that is ``RATIO`` times that
+w follows it often enough (``least``), with a share that is ``RATIO`` times that
 after the next shorter context s, and significantly so:
 n(cw) * ln((n(cw)/n(c)) / (n(sw)/n(s))) >= ``DIVERGENCE``. Its distribution
 keeps these words, discounted, and leaves the rest of the mass to the shorter
@@ -22,6 +22,7 @@ the number of buckets for longer runs.
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -37,7 +38,10 @@ from tallycast.llm.words import BASE, END_OF_TEXT, mix, words_of
 from tallycast.session import materialise, scratch_path
 
 DEPTH = 2
+# A run of words is frequent from so many occurrences, or the root of the number of
+# learned tokens over ROOT if that is more: the tree grows with the corpus, but slower.
 LEAST = 8
+ROOT = 400
 RATIO = 2.0
 DIVERGENCE = 10.0
 DISCOUNT = 0.5
@@ -81,8 +85,8 @@ def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class _Chunk:
     """One chunk with the answers it has so far."""
 
-    def __init__(self, row: dict, bits: int) -> None:
-        self.bits = bits
+    def __init__(self, row: dict, bits: int, frequent: int) -> None:
+        self.bits, self.frequent = bits, frequent
         self.words = np.frombuffer(row["words"], np.uint64)
         self.codes = _unpacked(row["codes"], np.uint32)
         self.sizes = np.array(row["sizes"], np.int64)
@@ -106,7 +110,7 @@ class _Chunk:
     def runs(self, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Places of runs that may be frequent, their different keys, and which key each place has."""
         before = self.counts[level - 1]
-        places = np.flatnonzero((before >= LEAST) & (self.shifted(before) >= LEAST) & (self.ahead >= level))
+        places = np.flatnonzero((before >= self.frequent) & (self.shifted(before) >= self.frequent) & (self.ahead >= level))
         hashes = np.zeros(len(self.codes), np.uint64)
         last = self.hashes[1][places + level - 1]
         hashes[places] = mix(self.hashes[level - 1][places] * BASE + last)
@@ -134,7 +138,7 @@ class _Chunk:
 
     def contexts(self, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Places of frequent contexts of ``level`` words that a word follows, their keys, and which each has."""
-        places = np.flatnonzero((self.counts[level] >= LEAST) & (self.ahead > level))
+        places = np.flatnonzero((self.counts[level] >= self.frequent) & (self.ahead > level))
         keys, which = np.unique(self.hashes[level][places] >> np.uint64(32 - self.bits), return_inverse=True)
         return places, keys, which
 
@@ -216,6 +220,11 @@ def _shares(table: pa.Table) -> pa.Table:
     return pa.table(columns | {"counts": pa.array(out, pa.binary())})
 
 
+def least(tokens: int) -> int:
+    """Occurrences from which a run is frequent, in a corpus of so many learned tokens."""
+    return max(LEAST, math.ceil(math.sqrt(tokens) / ROOT))
+
+
 def _over_chunks(work: Callable[[dict], Iterator[tuple]], names: list[str], types: list[pa.DataType]):
     """A function on Arrow batches that does ``work`` chunk by chunk."""
 
@@ -273,7 +282,7 @@ def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
         return informed().mapInArrow(_over_chunks(work, Q_NAMES, Q_TYPES), QUESTION).groupBy("bucket")
 
     def words(row: dict) -> Iterator[tuple]:
-        chunk = _Chunk(row, bits)
+        chunk = _Chunk(row, bits, LEAST)
         counts = np.bincount(chunk.codes, chunk.learn, len(chunk.words))
         yield from _questions(row["chunk"], 1, chunk.words, counts, bits, 64 - bits)
 
@@ -281,10 +290,11 @@ def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     found = materialise(found)
     totals = found.filter("chunk = -1").select("counts").toPandas()["counts"]  # one row per bucket
     distinct, learned = (int(sum(np.frombuffer(c, "<i8")[k] for c in totals)) for k in (0, 1))
+    frequent = least(learned)
     answers.append(found.filter("chunk <> -1"))
 
     def raised(row: dict, upto: int) -> _Chunk:
-        chunk = _Chunk(row, bits)
+        chunk = _Chunk(row, bits, frequent)
         for level in range(2, upto + 1):
             chunk.learn_level(level)
         return chunk
@@ -299,7 +309,7 @@ def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
         return work
 
     for level in range(2, depth + 2):
-        answers.append(materialise(ask(runs(level)).applyInArrow(_added(level, LEAST), ANSWER)))
+        answers.append(materialise(ask(runs(level)).applyInArrow(_added(level, frequent), ANSWER)))
 
     def tree(row: dict) -> Iterator[tuple]:
         """Each kept (context, word) with its share, and a question for each context there is."""

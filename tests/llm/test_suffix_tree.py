@@ -23,7 +23,7 @@ def plain_scores(docs, learn):
         for run, n in counts[k].items():
             share = n / counts[k - 1][run[:-1]]
             ratio = share / (counts[k - 1][run[1:]] / (counts[k - 2][run[1:-1]] if k > 2 else total))
-            if n >= S.LEAST and ratio >= S.RATIO and n * math.log(ratio) >= S.DIVERGENCE:
+            if n >= S.least(total) and ratio >= S.RATIO and n * math.log(ratio) >= S.DIVERGENCE:
                 kept[run[:-1]][run[-1]] = (n - S.DISCOUNT) / counts[k - 1][run[:-1]]
     out = []
     for w in docs:
