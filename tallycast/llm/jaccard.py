@@ -315,20 +315,23 @@ def classes(docs: DataFrame, spec: Spec = Spec()) -> tuple[DataFrame, DataFrame]
     )
     spread = entries.repartition("shingle", "salt").sortWithinPartitions("shingle", "class")
     lists = materialise(spread.mapInArrow(_shared, "shingle bigint, class bigint, n int, place int, need int"))
-    ends = [f(F.struct("class", "n")).alias(c) for f, c in ((F.min, "low"), (F.max, "high"))]
-    heads = lists.groupBy("shingle").agg(*ends).filter("low.class < high.class")
-    lists = materialise(lists.join(heads, "shingle"))
+    lists = materialise(lists.join(_ends(lists, "n").select("shingle"), "shingle", "left_semi"))
+    # Nothing that stands before a class's first shared entry is shared: at most n - first shingles are.
+    firsts = lists.groupBy("class").agg(F.min("place").alias("first"))
+    lists = lists.join(firsts, "class")
+    lists = materialise(lists.join(_ends(lists, "n", "first"), "shingle"))
     texts = source.select("text_key", "text")
     linked = F.col("shared") * spec.whole >= F.col("total") * spec.part
 
-    def fits(n: str, m: str) -> Column:
-        """Sets of these sizes can be similar enough."""
-        return F.least(n, m) * spec.whole >= F.greatest(n, m) * spec.part
+    def fits(n: str, first: str, m: str, other: str) -> Column:
+        """Sets of these sizes can be similar enough, by what they can share."""
+        most = F.least(F.col(n) - F.col(first), F.col(m) - F.col(other))
+        return most * (spec.whole + spec.part) >= (F.col(n) + F.col(m)) * spec.part
 
     def against(head: str, entries: DataFrame) -> DataFrame:
         other = F.col(f"{head}.class")
         pair = F.least("class", other).alias("a"), F.greatest("class", other).alias("b")
-        return entries.filter((F.col("class") != other) & fits("n", f"{head}.n")).select(*pair).distinct()
+        return entries.filter((F.col("class") != other) & fits("n", "first", f"{head}.n", f"{head}.first")).select(*pair).distinct()
 
     def unconnected(entries: DataFrame) -> DataFrame:
         roots = entries.groupBy("shingle").agg(F.min("root").alias("_r"), F.max("root").alias("_s"))
@@ -345,8 +348,8 @@ def classes(docs: DataFrame, spec: Spec = Spec()) -> tuple[DataFrame, DataFrame]
     low = F.col("low.class")
     left = unconnected(lists).withColumns({"a": F.least("class", low), "b": F.greatest("class", low)}).join(far, ["a", "b"], "left")
     left = left.withColumn("far", F.when(F.col("class") == low, 0.0).otherwise(F.col("far")))
-    left = materialise(left.select("shingle", "class", "n", "place", "need", "root", "far"))
-    names = {"class": "other", "n": "m", "place": "at", "need": "ask", "root": "end", "far": "away"}
+    left = materialise(left.select("shingle", "class", "n", "first", "place", "need", "root", "far"))
+    names = {"class": "other", "n": "m", "first": "start", "place": "at", "need": "ask", "root": "end", "far": "away"}
     other = left.select("shingle", *[F.col(c).alias(d) for c, d in names.items()])
     ask = F.least("need", "ask")
 
@@ -357,12 +360,18 @@ def classes(docs: DataFrame, spec: Spec = Spec()) -> tuple[DataFrame, DataFrame]
     apart = F.coalesce(F.abs(F.col("far") - F.col("away")), F.lit(0.0))
     near = apart <= 1 - spec.part / spec.whole + 1e-9
     pairs = left.join(other, "shingle").filter("class < other and root <> end")
-    pairs = pairs.filter(fits("n", "m") & near & reached("n", "place") & reached("m", "at"))
+    pairs = pairs.filter(fits("n", "first", "m", "start") & near & reached("n", "place") & reached("m", "at"))
     pairs = pairs.groupBy(F.col("class").alias("a"), F.col("other").alias("b")).agg(F.count(F.lit(1)).alias("k"), F.max(ask).alias("ask"))
     pairs = pairs.filter("k >= ask").join(tested, ["a", "b"], "left_anti")
     return rows, tested.unionByName(_verify(pairs, texts, spec, rows, sketches)).filter(linked)
 
 
+def _ends(lists: DataFrame, *columns: str) -> DataFrame:
+    """The lowest and the highest class of each list that has more than one."""
+    ends = [f(F.struct("class", *columns)).alias(c) for f, c in ((F.min, "low"), (F.max, "high"))]
+    return lists.groupBy("shingle").agg(*ends).filter("low.class < high.class")
+
+
 def _rooted(lists: DataFrame, roots: DataFrame) -> DataFrame:
     found = lists.join(roots.withColumnRenamed("node", "class"), "class", "left")
     return materialise(found.withColumn("root", F.coalesce("root", "class")))
