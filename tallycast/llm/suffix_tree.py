@@ -22,7 +22,6 @@ the number of buckets for longer runs.
 
 from __future__ import annotations
 
-import math
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -38,10 +37,8 @@ from tallycast.llm.words import BASE, END_OF_TEXT, mix, words_of
 from tallycast.session import materialise, scratch_path
 
 DEPTH = 2
-# A run of words is frequent from so many occurrences, or the root of the number of
-# learned tokens over ROOT if that is more: the tree grows with the corpus, but slower.
+# A run of words is frequent from so many occurrences, whatever the size of the corpus.
 LEAST = 8
-ROOT = 400
 RATIO = 2.0
 DIVERGENCE = 10.0
 DISCOUNT = 0.5
@@ -221,8 +218,8 @@ def _shares(table: pa.Table) -> pa.Table:
 
 
 def least(tokens: int) -> int:
-    """Occurrences from which a run is frequent, in a corpus of so many learned tokens."""
-    return max(LEAST, math.ceil(math.sqrt(tokens) / ROOT))
+    """Occurrences from which a run is frequent: the same in a corpus of any number of learned tokens."""
+    return LEAST
 
 
 def _over_chunks(work: Callable[[dict], Iterator[tuple]], names: list[str], types: list[pa.DataType]):

@@ -68,3 +68,15 @@ def test_nothing_to_learn_from_and_no_rows(spark):
     got = S.score(tricky_docs(spark).withColumn("learn", F.lit(False))).collect()
     assert {(r.base_score, r.score, r.train_tokens, r.n_known) for r in got} == {(0.0, 0.0, 0, 0)}
     assert S.score(tricky_docs(spark, []).withColumn("learn", F.lit(True))).collect() == []
+
+
+def test_the_size_of_the_corpus_drops_no_run(spark):
+    assert S.least(10**3) == S.least(10**11) == S.LEAST
+    filler = spark.range(12).select((F.col("id") + 1000).alias("doc_id"), F.expr("repeat('z ', 1000000)").alias("text"), F.lit(True).alias("learn"))
+    few = spark.range(S.LEAST + 1).select(F.col("id").alias("doc_id"), F.lit("p q").alias("text"), (F.col("id") > 0).alias("learn"))
+    got = S.score(few.unionByName(filler).coalesce(2)).filter("doc_id = 0").collect()[0]
+    n, total = S.LEAST, 12 * 1_000_001 + 3 * S.LEAST
+    alone = lambda count: (count + 1) / (total + 4 + 1)
+    after = lambda count: (n - S.DISCOUNT) / n + S.DISCOUNT / n * alone(count)
+    assert got.train_tokens == total
+    assert math.isclose(got.score, math.log10(alone(n) * after(n) * after(n + 12)), rel_tol=1e-6)
