@@ -1,8 +1,9 @@
 """Benchmark passages in documents, by fingerprints of item-sized windows.
 
 All steps are DataFrame operations. A window of a text is as many words as a
-benchmark item has; it is looked at if one of its five-word shingles stands at
-the same place in an item, which any window that is similar enough has. The
+benchmark item has; it is looked at if so many of its five-word shingles, at
+any place and in any order, are those of items of its length as a window that
+is similar enough to one of them must share with it. The
 SimHash of its shingles (weighted by how often each occurs) is compared with
 those of all items: fingerprints are cut into blocks, and the items are listed
 under all block values within a few bits of theirs, so that by the pigeonhole
@@ -63,6 +64,27 @@ def similarity(a: Column, b: Column) -> Column:
     return shared / (F.size(a) + F.size(b) - shared)
 
 
+def starts(shared: Column, n: Column, length: Column) -> Column:
+    """All starts, each once, of windows that may be similar to an item of ``length`` words, in a text of ``n`` words.
+
+    ``shared``: the sorted places of the text's shingles that any such item has.
+    Similarity needs shared / (item + window - shared) >= SIMILARITY; the windows
+    that hold ``need`` places, the first of them ``shared[j]``, start after ``shared[j - 1]``.
+    """
+    shingles = lambda size: F.greatest(size - WORDS + 1, F.lit(1))
+    window = shingles(F.least(length, n))
+    need = F.ceil(SIMILARITY / (1 + SIMILARITY) * (shingles(length) + window) - 1e-6).cast("int")
+    last = F.greatest(n - length, F.lit(0))
+
+    def first_is(j: Column) -> Column:
+        low = F.greatest(F.get(shared, j + need - 1) - window + 1, F.coalesce(F.get(shared, j - 1), F.lit(-1)) + 1)
+        high = F.least(F.get(shared, j), last)
+        return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+    each = F.transform(F.sequence(F.lit(0), F.size(shared) - need), first_is)
+    return F.when(F.size(shared) >= need, F.flatten(each)).otherwise(F.array().cast("array<int>"))
+
+
 def _sized(table: DataFrame) -> DataFrame:
     """Marked for broadcast if it is known to be small; otherwise it is shuffled."""
     return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
@@ -81,14 +103,14 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = items.withColumn("length", F.size("w")).withColumn("item_set", F.transform(places(F.col("w")), lambda i: shingle(F.col("w"), i)))
     items = items.withColumn("item_print", simhash(F.col("item_set"))).drop("w").distinct()
     items = materialise(items)
-    aligned = materialise(items.select("length", F.posexplode("item_set").alias("at", "shingle")).select("shingle", "at", "length").distinct())
+    known = materialise(items.select("length", F.explode("item_set").alias("shingle")).distinct())
 
     texts = docs.select(F.xxhash64("text").alias("text_key"), words(F.col("text").cast("string")).alias("w"))
     each = texts.filter(F.size("w") > 0).select("text_key", "w", F.size("w").alias("n"), F.explode(places(F.col("w"))).alias("place"))
-    hits = each.select("text_key", "n", "place", shingle(F.col("w"), F.col("place")).alias("shingle")).join(_sized(aligned), "shingle")
-    last = F.greatest(F.col("n") - F.col("length"), F.lit(0))
-    start = F.least(F.greatest(F.col("place") - F.col("at"), F.lit(0)), last)
-    windows = hits.select("text_key", start.alias("start"), F.least("length", "n").alias("n_words")).distinct()
+    hits = each.select("text_key", "n", "place", shingle(F.col("w"), F.col("place")).alias("shingle")).join(_sized(known), "shingle")
+    shared = hits.groupBy("text_key", "n", "length").agg(F.sort_array(F.collect_set("place")).alias("shared"))
+    windows = shared.select("text_key", F.explode(starts(F.col("shared"), F.col("n"), F.col("length"))).alias("start"), F.least("length", "n").alias("n_words"))
+    windows = windows.distinct()
     windows = materialise(windows)
 
     found = windows.groupBy("text_key").agg(F.collect_list(F.struct("start", "n_words")).alias("windows"))

@@ -106,3 +106,34 @@ def test_blocks_meet_within_the_radius():
 def test_no_python_runs_on_executors(spark, capsys):
     D.contaminated(tricky_docs(spark), benchmark(spark)).explain()
     assert "Python" not in capsys.readouterr().out
+
+
+def test_reordered_items(spark):
+    item = [f"w{i}" for i in range(60)]
+    moved = [(30 + k, " ".join(["before"] * 90 + item[k:] + item[:k] + ["after"] * 90)) for k in (8, 10, 20, 30)]
+    apart = [(50, " ".join(["before"] * 20 + item[:30] + ["between"] * 9 + item[30:] + ["after"] * 20))]
+    items = [(1, " ".join(item)), (2, " ".join(item[::-1]))]
+    table = spark.createDataFrame(items, "item_id bigint, text string")
+    docs = tricky_docs(spark, moved + apart)
+    want = by_hand(moved + apart, items)
+    assert set(want) == {(d, 1) for d, _ in moved}
+    got = {(r.doc_id, r.item_id): r.similarity for r in D.contaminated(docs, table).collect()}
+    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    assert {r.doc_id for r in D.clean(docs, table).collect()} == {50}
+
+
+def test_starts_are_all_that_hold_enough(spark):
+    import random
+
+    rng = random.Random(1)
+    rows = []
+    for _ in range(300):
+        n, length = rng.randint(1, 60), rng.randint(1, 40)
+        places = range(max(1, n - 4))
+        rows.append((sorted(p for p in places if rng.random() < rng.choice([0.5, 0.9, 1])) or [0], n, length))
+    found = spark.createDataFrame(rows, "shared array<int>, n int, length int")
+    for r in found.withColumn("starts", D.starts(found.shared, found.n, found.length)).collect():
+        own, window = max(1, r.length - 4), max(1, min(r.length, r.n) - 4)
+        counts = [sum(s <= p < s + window for p in r.shared) for s in range(max(r.n - r.length, 0) + 1)]
+        want = [s for s, c in enumerate(counts) if c / (own + window - c) >= D.SIMILARITY - 1e-9]
+        assert r.starts == want
