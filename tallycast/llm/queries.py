@@ -83,7 +83,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """Score all documents under a tree learned from six sevenths of them."""
     docs = table(spark, sf_dir, "documents").withColumn("learn", language.remainder(F.col("doc_id"), 7) != 2)
-    return suffix_tree.score(docs.select("doc_id", "text", "learn"))
+    return suffix_tree.score(docs.select("doc_id", "text", "learn"), depth=3)
 
 
 @query("op2_pivot_search")

@@ -1,11 +1,11 @@
 """Language-model scores from a probabilistic suffix tree of words.
 
-The tree holds contexts of up to ``DEPTH`` words. A context c is kept if a word
-w follows it often enough (``least``), with a share that is ``RATIO`` times that
-after the next shorter context s, and significantly so:
-n(cw) * ln((n(cw)/n(c)) / (n(sw)/n(s))) >= ``DIVERGENCE``. Its distribution
-keeps these words, discounted, and leaves the rest of the mass to the shorter
-context; the empty context has the add-one estimate of single words. A word's probability is that of the longest kept
+The tree holds contexts of up to ``depth`` words. A context c is kept if a word
+w follows it at least ``LEAST`` times and significantly more often than it
+follows the next shorter context s: n(cw) * ln((n(cw)/n(c)) / (n(sw)/n(s))) >=
+``DIVERGENCE``. Its distribution keeps these words, discounted, and leaves the
+rest of the mass to the shorter context; the empty context has the add-one
+estimate of single words. A word's probability is that of the longest kept
 context that ends just before it, and every distribution sums to one:
 
     P(w|c) = [w kept] (n(cw) - DISCOUNT) / n(c) + rest(c) * P(w|s)
@@ -36,10 +36,12 @@ from tallycast.llm.batches import blocks, ranges, texts_of
 from tallycast.llm.words import BASE, END_OF_TEXT, mix, words_of
 from tallycast.session import materialise, scratch_path
 
+# Unless another is given; the query has contexts of up to three words.
 DEPTH = 2
 # A run of words is frequent from so many occurrences, whatever the size of the corpus.
-LEAST = 8
-RATIO = 2.0
+LEAST = 4
+# Every share above that after the shorter context counts, if it is significant.
+RATIO = 1.0
 DIVERGENCE = 10.0
 DISCOUNT = 0.5
 CHUNK_BYTES = 5 << 20
@@ -129,7 +131,7 @@ class _Chunk:
         places = np.flatnonzero(run)
         n = run[places].astype(float)
         ratio = (n / context[places]) / (shorter[places] / base[places])
-        clear = (ratio >= RATIO) & (n * np.log(ratio) >= DIVERGENCE)
+        clear = n * np.log(ratio) >= DIVERGENCE
         places, n = places[clear], n[clear]
         return places, (n - DISCOUNT) / context[places]
 

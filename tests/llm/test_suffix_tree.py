@@ -6,6 +6,7 @@ from helpers import tricky_docs, tricky_texts, words
 
 from pyspark.sql import functions as F
 
+from tallycast.llm import language, queries
 from tallycast.llm import suffix_tree as S
 
 
@@ -80,3 +81,23 @@ def test_the_size_of_the_corpus_drops_no_run(spark):
     after = lambda count: (n - S.DISCOUNT) / n + S.DISCOUNT / n * alone(count)
     assert got.train_tokens == total
     assert math.isclose(got.score, math.log10(alone(n) * after(n) * after(n + 12)), rel_tol=1e-6)
+
+
+def test_the_query_has_the_whole_model(spark, monkeypatch, tmp_path):
+    texts = [t for _, t in tricky_texts()] * 3 + ["a b c d"] * 30 + ["x b c e"] * 12 + ["rare pair"] * 5 + ["m n n " * 5000] * 3
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    learn = [r.learn for r in docs.select((language.remainder(F.col("doc_id"), 7) != 2).alias("learn")).collect()]
+    got = {r.doc_id: r.score for r in queries.QUERIES["op3_suffix_tree"](spark, str(tmp_path)).collect()}
+    monkeypatch.setattr(S, "DEPTH", 3)
+    tokens = [words(t) + ["\0"] for t in texts]
+    want, kept = plain_scores(tokens, learn)
+    train = [w for w, known in zip(tokens, learn) if known]
+    single = Counter(x for w in train for x in w)
+    shares = {(a, b): s / (single[b] / sum(single.values())) for (a, *more), own in kept.items() if not more for b, s in own.items()}
+    # All that a smaller model leaves out: long contexts, few occurrences, shares a little higher.
+    assert {len(c) for c in kept} == {1, 2, 3} and S.LEAST == 4
+    assert 4 <= single["rare"] < 8 and "pair" in kept["rare",]
+    assert any(1 < ratio < 2 for ratio in shares.values())
+    for i, row in enumerate(want):
+        assert math.isclose(got[i], row[-1], rel_tol=1e-6, abs_tol=1e-6)
