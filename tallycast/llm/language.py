@@ -28,8 +28,6 @@ ORDER = 3
 UNKNOWN = "und"
 # Learning takes about so many documents of each language, chosen by a hash of the id.
 FIT_DOCS = 20_000
-# The most frequent contexts of all languages together that are kept.
-MAX_CONTEXTS = 20_000
 # A context is kept from so many occurrences.
 MIN_CONTEXT = 8
 # More bytes than this don't raise the confidence.
@@ -47,12 +45,17 @@ SYMBOLS = 157
 
 @dataclass
 class Model:
-    """``symbol``: byte to symbol; ``state``: three symbols to the longest kept context; ``bits[language, context, symbol]``."""
+    """``symbol``: byte to symbol; ``state``: three symbols to the longest kept context of any language.
+
+    ``row[language][context]``: the longest end of the context that occurs in
+    the language; ``bits[language][row, symbol]``: its code lengths.
+    """
 
     languages: list[str]
     symbol: np.ndarray
     state: np.ndarray
-    bits: np.ndarray
+    row: list[np.ndarray]
+    bits: list[np.ndarray]
 
 
 def _contexts(symbols: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
@@ -115,17 +118,18 @@ def _costs(keys: list[np.ndarray], counts: list[np.ndarray], kept: list[np.ndarr
     return np.concatenate(out)
 
 
-def fit(docs: DataFrame, *, fit_docs: int = FIT_DOCS, max_contexts: int = MAX_CONTEXTS) -> Model:
+def fit(docs: DataFrame, *, fit_docs: int = FIT_DOCS) -> Model:
     """Learn from ``text`` and non-null ``lang``; without a usable row no language is learned.
 
     Learning takes about ``fit_docs`` rows of each language, by a hash of ``doc_id``.
     What reaches the driver is one count for each run of four symbols they hold.
+    Every context that occurs ``MIN_CONTEXT`` times is kept, in each language it occurs in.
     """
     known = docs.select(F.col("doc_id").cast("string"), F.col("text").cast("string"), F.col("lang").cast("string"))
     known = known.filter("lang is not null and text is not null")
     sizes = {r.lang: r.n for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
-        return Model([], SYMBOL, np.zeros(0, np.int32), np.zeros((0, 0, 0), np.float32))
+        return Model([], SYMBOL, np.zeros(0, np.int32), [], [])
     draw = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(""))), F.lit(1 << 30))
     share = F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(fit_docs / n))])
     drawn = known.filter(draw < share[F.col("lang")] * (1 << 30))
@@ -153,18 +157,23 @@ def fit(docs: DataFrame, *, fit_docs: int = FIT_DOCS, max_contexts: int = MAX_CO
         contexts, place = np.unique(joined(k) // size, return_inverse=True)
         total = np.bincount(place, weight)
         enough = (total >= MIN_CONTEXT) & np.isin(contexts % size ** (k - 1), kept[k - 1])
-        order = np.argsort(-total[enough], kind="stable")[: max(0, max_contexts - sum(map(len, kept)))]
-        kept.append(np.sort(contexts[enough][order]))
+        kept.append(contexts[enough])
     kept = [c for c in kept if len(c)]
-    bits = []
+    row, bits = [], []
     for language in languages:
         own = (rows["lang"] == language).to_numpy()
-        keys, counts = [], []
+        keys, counts, occur, places = [], [], [], []
         for k in range(len(kept)):
             key, place = np.unique(joined(k)[own], return_inverse=True)
             keys.append(key)
             counts.append(np.bincount(place, weight[own]))
-        bits.append(_costs(keys, counts, kept, size))
+            here = np.isin(kept[k], key // size)
+            before = sum(map(len, occur))
+            occur.append(kept[k][here])
+            ends = places[-1][np.searchsorted(kept[k - 1], kept[k] % size ** (k - 1))] if k else np.zeros(1, np.int32)
+            places.append(np.where(here, before + np.cumsum(here) - 1, ends).astype(np.int32))
+        row.append(np.concatenate(places))
+        bits.append(_costs(keys, counts, [c for c in occur if len(c)], size).astype(np.float32))
 
     # Three symbols to the longest kept context that ends them.
     three = np.arange(size**ORDER)
@@ -175,24 +184,24 @@ def fit(docs: DataFrame, *, fit_docs: int = FIT_DOCS, max_contexts: int = MAX_CO
         place = np.minimum(np.searchsorted(kept[k], context), len(kept[k]) - 1)
         state = np.where(kept[k][place] == context, base + place, state).astype(np.int32)
         base += len(kept[k])
-    return Model(languages, number[SYMBOL], state, np.stack(bits).astype(np.float32))
+    return Model(languages, number[SYMBOL], state, row, bits)
 
 
 def code_lengths(model: Model, texts: pa.LargeStringArray) -> np.ndarray:
     """Bits of each whole text (rows) in each language (columns)."""
     data, starts = text_bytes(texts)
-    size = model.bits.shape[2]
     out = np.zeros((len(texts), len(model.languages)))
     full = np.flatnonzero(np.diff(starts))
     if not len(full):
         return out
+    size = model.bits[0].shape[1]
     symbols = model.symbol[data]
     code = np.zeros_like(symbols)
     for back, prior in enumerate(_contexts(symbols, starts)):
         code += prior * size**back
-    place = model.state[code].astype(np.int64) * size + symbols
+    context = model.state[code]
     for k in range(len(model.languages)):
-        bits = model.bits[k].ravel()[place]
+        bits = model.bits[k].ravel()[model.row[k][context].astype(np.int64) * size + symbols]
         out[full, k] = np.add.reduceat(bits, starts[:-1][full], dtype=np.float64)
     return out
 
@@ -205,7 +214,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     named like the new ones are replaced.
     """
     rows = docs.drop("lang_pred", "score").withColumn("text", F.col("text").cast("string"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MAX_CONTEXTS
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by FIT_DOCS a language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value

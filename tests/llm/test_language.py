@@ -81,3 +81,19 @@ def test_nothing_learned_and_no_rows(spark):
     model = L.fit(labelled(spark).limit(0))
     assert {(r.lang_pred, r.score) for r in L.predict(tricky_docs(spark), model).collect()} == {(L.UNKNOWN, 0.0)}
     assert L.predict(tricky_docs(spark, []), L.fit(labelled(spark))).collect() == []
+
+
+def test_a_rare_language_keeps_its_contexts(spark):
+    """Many frequent contexts of one language take nothing from another."""
+    import random
+
+    rng = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyzäöüßéèêçñåøæıłşžčřů"
+    noise = ["".join(rng.choices(letters, k=9000)) for _ in range(400)]
+    rows = [(i, t, "noise") for i, t in enumerate(noise)] + [(1000 + i, "qu'est-ce que c'est", "rare") for i in range(9)]
+    model = L.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    alone = L.fit(spark.createDataFrame(rows[-9:], "doc_id bigint, text string, lang string"))
+    assert len(model.row[0]) > 20_000 and len(model.bits[1]) == len(alone.bits[0])
+    texts = pa.array(["qu'est-ce que c'est"], pa.large_string())
+    # Only the alphabet is larger, which costs the same text nothing.
+    assert math.isclose(L.code_lengths(model, texts)[0, 1], L.code_lengths(alone, texts)[0, 0], rel_tol=1e-6)
