@@ -15,17 +15,14 @@ from pyspark.sql import functions as F
 from tallycast.llm import decontaminate, jaccard, language, line_dedup, packing
 from tallycast.session import materialise
 
-# A prediction less sure than this is rejected, like a text without letters.
-SURE = 0.5
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 0
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told from their text, by a model of those with a known ``lang``."""
+    """Documents with letters, in one or more languages, by a model of those with a known ``lang``."""
     found = language.predict(docs, language.fit(docs))
-    kept = found.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= SURE))
-    return kept.select(*docs.columns)
+    return found.filter(F.col("lang_pred") != language.UNKNOWN).select(*docs.columns)
 
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

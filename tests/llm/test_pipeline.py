@@ -93,3 +93,14 @@ def test_odd_documents_pass_all_stages(spark, sf_dir):
 def test_run_is_the_chain_of_stages(spark, sf_dir, stages):
     key = ["doc_id", "piece", "start", "length", "ids_crc32"]
     assert Counter(P.run(spark, sf_dir).select(key).collect()) == Counter(stages[5].select(key).collect())
+
+
+def test_documents_in_many_languages_stay(spark, sf_dir):
+    first = "bad cafe head deaf cab bag face "
+    learned = {k: "".join(chr(ord(c) + 8 * i) if c != " " else c for c in first) for i, k in enumerate(["aa", "bb", "cc"])}
+    rows = [(i, learned[k] * 5, k) for i, k in enumerate(["aa", "bb", "cc"] * 20)]
+    mixed = [(100, (learned["aa"] + learned["bb"]) * 40, None), (101, "".join(t * 40 for t in learned.values()), None)]
+    docs = spark.createDataFrame([*rows, *mixed, (102, "12 34 !?", None)], "doc_id bigint, text string, lang string")
+    scores = {r.doc_id: r.score for r in P.language.predict(docs, P.language.fit(docs)).collect()}
+    assert scores[101] < 0.5  # no language is likelier than the others together
+    assert {r.doc_id for r in P.identify_language(spark, docs, sf_dir).collect()} == {*range(60), 100, 101}
