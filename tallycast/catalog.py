@@ -53,6 +53,8 @@ def widened(df: DataFrame, *columns: str) -> DataFrame:
 
 # Prices in cents, all digits kept: sums are exact, so no digit depends on their order.
 PRICED_SQL = "(SELECT *, round(o_totalprice * 100) AS price FROM orders)"
+# A mean of cents has eight digits before the point; so many after it are the same by any rule of rounding.
+PRICE_DIGITS = 4
 
 
 def priced(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -301,7 +303,7 @@ def imputed(spark: SparkSession, sf_dir: str, strategy: str) -> DataFrame:
 
 
 def imputed_sql(value: str) -> str:
-    return f"""WITH {DENSE_SQL}, fill AS (SELECT {value} AS v FROM dense)
+    return f"""WITH {DENSE_SQL.replace("dense AS (", "dense AS MATERIALIZED (")}, fill AS (SELECT {value} AS v FROM dense)
         SELECT o_custkey, period, round(coalesce(amount, v), 4) AS amount FROM dense CROSS JOIN fill"""
 
 
@@ -626,12 +628,13 @@ def stats_sql(columns: tuple[str, ...], label: str, source: str) -> str:
 
 @query(
     "category_stats",
-    f"SELECT col, category, n, round(mean, 6) AS mean FROM ({stats_sql((*ORDER_CATEGORIES, 'o_custkey'), 'price', PRICED_SQL)})",
+    f"""SELECT col, category, n, round(mean, {PRICE_DIGITS}) AS mean
+        FROM ({stats_sql((*ORDER_CATEGORIES, 'o_custkey'), 'price', PRICED_SQL)})""",
 )
 def _(spark, sf_dir):
     orders = priced(spark, sf_dir)
     stats = target_encoding.category_stats(orders, [*ORDER_CATEGORIES, "o_custkey"], "price")
-    return rounded(stats, "mean")
+    return rounded(stats, "mean", digits=PRICE_DIGITS)
 
 
 @query(
@@ -646,6 +649,10 @@ def _(spark, sf_dir):
     return stats.groupBy("col").agg(F.count(F.lit(1)).alias("categories"))
 
 
+def digits_of(label: str) -> int:
+    return PRICE_DIGITS if label == "price" else 6
+
+
 def encode_sql(key: str, columns: tuple[str, ...], label: str, fit: str, rows: str, enc: str, default: str = "p.prior") -> str:
     """SQL of a target encoding fitted on ``fit`` and applied to ``rows``."""
     joins, outputs = [], []
@@ -655,7 +662,7 @@ def encode_sql(key: str, columns: tuple[str, ...], label: str, fit: str, rows: s
                 FROM {fit} WHERE {c} IS NOT NULL GROUP BY 1) s{i} ON s{i}.category = CAST(r.{c} AS VARCHAR)"""
         )
         value = enc.format(n=f"s{i}.n", mean=f"s{i}.mean", col=f"s{i}.col", category=f"s{i}.category")
-        outputs.append(f"round(CASE WHEN s{i}.category IS NULL THEN {default} ELSE {value} END, 6) AS {c}_target_enc")
+        outputs.append(f"round(CASE WHEN s{i}.category IS NULL THEN {default} ELSE {value} END, {digits_of(label)}) AS {c}_target_enc")
     return (
         f"SELECT {key}, {', '.join(outputs)} FROM {rows} r "
         f"CROSS JOIN (SELECT avg({label}) AS prior FROM {fit}) p {' '.join(joins)}"
@@ -665,9 +672,11 @@ def encode_sql(key: str, columns: tuple[str, ...], label: str, fit: str, rows: s
 SMOOTH_SQL = "({n} / ({n} + 1.0) * {mean} + (1 - {n} / ({n} + 1.0)) * p.prior)"
 
 
-def encoded(df: DataFrame, keys: list[str], learned: target_encoding.TargetEncoding, **kwargs) -> DataFrame:
+def encoded(
+    df: DataFrame, keys: list[str], learned: target_encoding.TargetEncoding, digits: int = PRICE_DIGITS, **kwargs
+) -> DataFrame:
     out = learned.apply(df.select(*keys, *[F.col(c) for c in learned.columns]), **kwargs)
-    return rounded(out.select(*keys, *learned.names), *learned.names)
+    return rounded(out.select(*keys, *learned.names), *learned.names, digits=digits)
 
 
 @query(
@@ -688,7 +697,7 @@ def _(spark, sf_dir):
     """Encodings too many to broadcast: the hot ones are, the others are shuffled."""
     lines = table(spark, sf_dir, "lineitem")
     learned = target_encoding.fit_target_encoding(lines, ["l_partkey"], "l_quantity")
-    return encoded(lines, ["l_orderkey", "l_linenumber", "l_suppkey"], learned, broadcast_bytes=0)
+    return encoded(lines, ["l_orderkey", "l_linenumber", "l_suppkey"], learned, digits=6, broadcast_bytes=0)
 
 
 EARLY = f"(SELECT * FROM {PRICED_SQL} WHERE o_orderdate < TIMESTAMP '1996-01-01')"
@@ -758,17 +767,18 @@ def folded_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "fold_encodings",
-    f"{OOF_SQL} SELECT fold, col, category, n, round(mean, 6) AS mean, round(prior, 6) AS prior, round(enc, 6) AS enc FROM encodings",
+    f"""{OOF_SQL} SELECT fold, col, category, n, round(mean, {PRICE_DIGITS}) AS mean,
+          round(prior, {PRICE_DIGITS}) AS prior, round(enc, {PRICE_DIGITS}) AS enc FROM encodings""",
 )
 def _(spark, sf_dir):
     out = target_encoding.fold_encodings(folded_orders(spark, sf_dir), OOF_COLUMNS, "price", CV.n_splits)
-    return rounded(widened(out.drop("rows"), "fold"), "mean", "prior", "enc")
+    return rounded(widened(out.drop("rows"), "fold"), "mean", "prior", "enc", digits=PRICE_DIGITS)
 
 
 @query(
     "target_encode_oof",
-    f"""{OOF_SQL} SELECT m.fold, m.o_orderkey, round(coalesce(a.enc, p.prior), 6) AS o_orderpriority_target_enc,
-          round(coalesce(b.enc, p.prior), 6) AS o_custkey_target_enc
+    f"""{OOF_SQL} SELECT m.fold, m.o_orderkey, round(coalesce(a.enc, p.prior), {PRICE_DIGITS}) AS o_orderpriority_target_enc,
+          round(coalesce(b.enc, p.prior), {PRICE_DIGITS}) AS o_custkey_target_enc
         FROM members m JOIN priors p ON p.fold = m.fold
         LEFT JOIN encodings a ON a.fold = m.fold AND a.col = 'o_orderpriority' AND a.category = m.o_orderpriority
         LEFT JOIN encodings b ON b.fold = m.fold AND b.col = 'o_custkey' AND b.category = CAST(m.o_custkey AS VARCHAR)
@@ -778,7 +788,7 @@ def _(spark, sf_dir):
     rows = folded_orders(spark, sf_dir)
     out = target_encoding.encode_out_of_fold(rows, OOF_COLUMNS, "price", CV.n_splits)
     names = [target_encoding.encoded_name(c) for c in OOF_COLUMNS]
-    return rounded(widened(out.select("fold", "o_orderkey", *names), "fold"), *names)
+    return rounded(widened(out.select("fold", "o_orderkey", *names), "fold"), *names, digits=PRICE_DIGITS)
 
 
 # ---------------------------------------------------------------------- text
@@ -889,7 +899,8 @@ def _(spark, sf_dir):
     entries = F.transform(
         vector_to_array("text_hash"), lambda v, i: F.struct(i.cast("bigint").alias("bucket"), v.alias("value"))
     )
-    return vectors.select("doc_id", F.inline(F.filter(entries, lambda e: e["value"] != 0)))
+    listed = vectors.select("doc_id", F.inline_outer(F.filter(entries, lambda e: e["value"] != 0)))
+    return listed.filter(F.col("bucket").isNotNull())
 
 
 LABELLED_DOCS_SQL = """docs AS (

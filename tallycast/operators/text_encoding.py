@@ -194,7 +194,9 @@ class TfidfEncoding:
             .withColumn("_counts", run_lengths(F.col("_ordered"), F.col("_starts")))
             .withColumn("_weights", F.transform("_counts", lambda c: F.struct(c["term"].alias("term"), (c["tf"] * idf[c["term"]]).alias("w"))))
             .withColumn("_norm", F.sqrt(F.aggregate("_weights", F.lit(0.0), lambda s, e: s + e["w"] * e["w"])))
-            .select(*keep, "_norm", F.inline("_weights"))
+            # The outer form, as in ``_counted``: no repeated chain in a test for empty arrays.
+            .select(*keep, "_norm", F.inline_outer("_weights"))
+            .filter(F.col("term").isNotNull())
             .select(*keep, "term", (F.col("w") / F.col("_norm")).alias("tfidf"))
         )
 

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from plans import count
+from plans import count, mentions
 from tallycast.config import EncoderSpec
 from tallycast.functions.text import TOKEN_PATTERN, fold_accents, ngram_range, ngrams, tokens
 from tallycast.operators import text_encoding
@@ -55,6 +55,13 @@ def test_tokens_and_accents(spark):
     assert df.select(fold_accents(F.col("t"))).first()[0] == "Skoda et ½ ハ"
 
 
+def test_generators_repeat_nothing(spark):
+    """No chain of expressions is copied into a filter ahead of a generator."""
+    learned = fit_tfidf(docs(spark), "t", OPEN)
+    assert mentions(learned.long(docs(spark)), "regexp_extract_all") == 1
+    assert mentions(term_counts(docs(spark), "t"), "regexp_extract_all") == 1
+
+
 def test_term_counts(spark):
     rows = term_counts(docs(spark), "t").collect()
     for i, text in enumerate(TEXTS):
