@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycast.llm import decontaminate, jaccard, language, line_dedup, packing, pivot_search, quality, suffix_tree, token_codes, warc
+from tallycast.llm import decontaminate, jaccard, language, line_dedup, packing, pii, pivot_search, quality, suffix_tree, token_codes, warc
 from tallycast.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +86,12 @@ def _(spark, sf_dir):
     return suffix_tree.score(docs.select("doc_id", "text", "learn"), depth=3)
 
 
+@query("op11_pii_anchors")
+def _(spark, sf_dir):
+    """Find personal data in all documents."""
+    return pii.digest(pii.find(table(spark, sf_dir, "documents").select("doc_id", "text")), "doc_id")
+
+
 @query("op2_pivot_search")
 def _(spark, sf_dir):
     """The 20 best other vectors for every twentieth one."""

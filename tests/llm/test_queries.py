@@ -16,12 +16,13 @@ COLUMNS = {
     "op8_": "doc_id:bigint first_line:int last_line:int",
     "op9_": "doc_id:bigint item_id:bigint similarity:double",
     "op10_": "doc_id:bigint held_out:boolean score:double predicted:int",
+    "op11_": "doc_id:bigint n_email:bigint n_ip:bigint n_card:bigint n_phone:bigint base_sha256:string spans:string",
 }
-ONE_EACH = {"op1_", "op3_", "op5_", "op6_", "op10_"}
+ONE_EACH = {"op1_", "op3_", "op5_", "op6_", "op10_", "op11_"}
 
 
 def test_all_are_registered():
-    assert len(QUERIES) == 10 and set(QUERIES) | {"pipeline"} <= set(entry.queries())
+    assert len(QUERIES) == len(COLUMNS) and set(QUERIES) | {"pipeline"} <= set(entry.queries())
     assert all(sum(q.startswith(p) for q in QUERIES) == 1 for p in COLUMNS)
 
 
