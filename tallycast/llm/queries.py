@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycast.llm import decontaminate, jaccard, language, line_dedup, packing, pii, pivot_search, quality, suffix_tree, token_codes, warc
+from tallycast.llm import decontaminate, divergence, jaccard, language, line_dedup, packing, pii, pivot_search, quality, suffix_tree, token_codes, warc
 from tallycast.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,3 +124,41 @@ def _(spark, sf_dir):
     replica = records.filter(~(F.col("page_id") % 64).eqNullSafe(9))
     replica = replica.withColumn("record", F.when(F.col("page_id") % 64 == 7, damaged).otherwise(F.col("record")))
     return warc.fixity(warc.manifest(records), records, replica)
+
+
+@query(
+    "op13_source_divergence",
+    r"""WITH docs AS (
+         SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+       ), occurrences AS (
+         SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs
+       ), kept AS (
+         SELECT lang, term, count(*) AS c FROM occurrences GROUP BY 1, 2 HAVING count(DISTINCT r) >= 3
+       ), langs AS (SELECT lang, count(*) AS v, sum(c) AS n FROM kept GROUP BY 1),
+       counts AS (SELECT lang, source, term, count(*) AS c FROM occurrences SEMI JOIN kept USING (lang, term) GROUP BY 1, 2, 3),
+       sources AS (SELECT DISTINCT lang, source FROM docs),
+       sizes AS (SELECT s.lang, s.source, sum(coalesce(c, 0)) AS n FROM sources s LEFT JOIN counts USING (lang, source) GROUP BY 1, 2),
+       shares AS (
+         SELECT s.lang, s.source, k.term, coalesce(c.c, 0) AS c,
+                1 + (CAST(1000000000 AS HUGEINT) * (coalesce(c.c, 0) + 1)) // (s.n + l.v) AS p,
+                1 + (CAST(1000000000 AS HUGEINT) * (k.c + 1)) // (l.n + l.v) AS q
+         FROM sizes s JOIN langs l ON l.lang = s.lang JOIN kept k ON k.lang = s.lang
+         LEFT JOIN counts c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term
+       ), gaps AS (
+         SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+         FROM shares a JOIN shares b ON b.lang = a.lang AND b.term = a.term AND b.source <> a.source GROUP BY 1, 2, 3
+       ), listed AS (
+         SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(g.value, 0) AS value
+         FROM sources a JOIN sources b ON b.lang = a.lang AND b.source <> a.source
+         LEFT JOIN gaps g ON g.lang = a.lang AND g.source = a.source AND g.item = b.source
+         UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q)) // q FROM shares WHERE c > 0 AND p > q
+       ), ranked AS (
+         SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM listed
+       )
+       SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+       FROM ranked WHERE part = 'pair' OR rank <= 200""",
+)
+def _(spark, sf_dir):
+    """How far the sources of each language are apart, and by which terms."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
