@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycast.llm import decontaminate, divergence, jaccard, language, line_dedup, packing, pii, pivot_search, quality, suffix_tree, token_codes, warc
+from tallycast.llm import decontaminate, divergence, jaccard, language, lexical, line_dedup, packing, pii, pivot_search, quality, suffix_tree, token_codes, warc
 from tallycast.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -162,3 +162,36 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """How far the sources of each language are apart, and by which terms."""
     return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op12_dual_tree_search",
+    r"""WITH docs AS (
+         SELECT row_number() OVER () AS r, doc_id,
+                regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+       ), sized AS (SELECT r, doc_id, terms, len(terms) AS n FROM docs WHERE len(terms) > 0),
+       totals AS (SELECT count(*) AS nd, CAST(sum(n) AS BIGINT) AS l FROM sized),
+       items AS (
+         SELECT row_number() OVER () AS slot, item_id,
+                regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM benchmark
+       ), wanted AS (
+         SELECT slot, item_id, term, count(*) AS times FROM (SELECT slot, item_id, unnest(terms) AS term FROM items) GROUP BY 1, 2, 3
+       ), held AS (
+         SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, n, unnest(terms) AS term FROM sized)
+         SEMI JOIN wanted USING (term) GROUP BY 1, 2, 3, 4
+       ), weights AS (
+         SELECT term, CAST(floor(1000 * ln(CAST(2 * nd + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+         FROM (SELECT term, count(*) AS df FROM held GROUP BY 1) CROSS JOIN totals
+       ), scores AS (
+         SELECT slot, item_id, r, doc_id,
+                CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nd) // l)))) AS BIGINT) AS score
+         FROM held JOIN weights USING (term) JOIN wanted USING (term) CROSS JOIN totals GROUP BY 1, 2, 3, 4
+       )
+       SELECT item_id, CAST(row_number() OVER (PARTITION BY slot ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+       FROM scores WHERE score > 0 QUALIFY rank <= 20""",
+)
+def _(spark, sf_dir):
+    """The 20 best documents for each benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -17,6 +17,7 @@ COLUMNS = {
     "op9_": "doc_id:bigint item_id:bigint similarity:double",
     "op10_": "doc_id:bigint held_out:boolean score:double predicted:int",
     "op11_": "doc_id:bigint n_email:bigint n_ip:bigint n_card:bigint n_phone:bigint base_sha256:string spans:string",
+    "op12_": "item_id:bigint rank:int doc_id:bigint score:bigint",
     "op13_": "lang:string source:string part:string item:string value:bigint rank:int",
 }
 ONE_EACH = {"op1_", "op3_", "op5_", "op6_", "op10_", "op11_"}
