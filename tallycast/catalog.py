@@ -856,9 +856,8 @@ VOCAB_SQL = """vocab AS (
       SELECT term, row_number() OVER (ORDER BY term) - 1 AS term_index, tf, df, round(idf, 6) AS idf FROM vocab""",
 )
 def _(spark, sf_dir):
-    docs = documents(spark, sf_dir)
-    n_docs = docs.count()
-    out = text_encoding.vocabulary(text_encoding.candidate_stats(docs, "text", n_docs), n_docs)
+    stats, docs = text_encoding.frequent_stats(documents(spark, sf_dir), "text")
+    out = text_encoding.vocabulary(stats.drop("fold"), docs[0])
     return rounded(widened(out, "term_index"), "idf")
 
 

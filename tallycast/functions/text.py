@@ -69,12 +69,6 @@ def ngram_range(words: Column, low: int, high: int) -> Column:
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
-def ngrams_of(words: Column, low: int, high: int, allowed: tuple[str, ...]) -> Column:
-    """As ``ngram_range``, but only n-grams that consist of ``allowed`` tokens."""
-    masked = F.transform(words, lambda token: F.when(token.isin(*allowed), token))
-    return F.filter(ngram_range(masked, low, high), lambda gram: gram.isNotNull())
-
-
 def run_starts(ordered: Column) -> Column:
     """Positions (from 0) where a new value starts in a sorted array.
 

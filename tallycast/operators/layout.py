@@ -9,7 +9,10 @@ def spread_few_tasks(df: DataFrame) -> DataFrame:
     """Spread an input of fewer tasks than cores over all cores.
 
     A file of a single row group is one task, however costly the work on its
-    rows. An input with a task for every core stays where it is.
+    rows. An input with a task for every core stays where it is, and so does one
+    that is shuffled already: its tasks are not known before it runs.
     """
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

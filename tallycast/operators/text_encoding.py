@@ -2,24 +2,29 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallycast.config import EncoderSpec
 from tallycast.functions.hashing import bucket_and_sign
 from tallycast.functions.stop_words import ENGLISH
-from tallycast.functions.text import ngram_range, ngrams_of, run_lengths, run_starts, tokens
+from tallycast.functions.text import ngram_range, run_lengths, run_starts, tokens
 from tallycast.operators.guards import require
 from tallycast.operators.layout import spread_few_tasks
+from tallycast.operators.lookup import BROADCAST_BYTES, table_bytes
 from tallycast.session import materialise
 
 
-# N-grams are counted over at most this many different tokens.
-MAX_TOKENS = 5000
+# Terms a summary tracks, at first and at most.
+TRACKED, MOST_TRACKED = 100_000, 1_000_000
+# Twice the error of a summary of T terms that tracks t is at most this times T / t.
+SUMMARY_ERROR = 7.0
+# Candidates that are counted at first, for each term of the vocabulary.
+CANDIDATES = 4
 
 
 def english_stop_words() -> tuple[str, ...]:
@@ -82,34 +87,101 @@ def term_stats(df: DataFrame, text: str, spec: EncoderSpec = EncoderSpec()) -> D
     return _summed(term_counts(df.select(text), text, spec))
 
 
-def candidate_stats(df: DataFrame, text: str, n_docs: int, spec: EncoderSpec = EncoderSpec()) -> DataFrame:
-    """``term_stats`` of all terms that can enter the vocabulary, and few others.
+@dataclass(frozen=True)
+class TermStates:
+    """Mergeable summaries of the frequent terms, one row for each ``first_train_fold``.
 
-    An n-gram is no more frequent, in rows or in the corpus, than the rarest of
-    its tokens. Once the single tokens are counted, n-grams matter only if all
-    their tokens reach the document bound and the corpus frequency of the last
-    token that would make the vocabulary. That leaves some hundred tokens, so
-    the n-grams of the corpus, nearly all of them rare, are never shuffled.
-    Where too many tokens tie at the bound, all n-grams are counted instead.
+    A summary counts every term within a known error, from bounded memory; the
+    summaries of folds, periods or files add up. ``docs`` and ``terms`` are exact.
     """
-    low, high = spec.tfidf_ngrams
-    if low != 1 or high == 1:
-        return term_stats(df, text, spec)
-    texts = df.select(text)
-    at_least, at_most = _df_bounds(n_docs, spec)
-    single = term_stats(texts, text, replace(spec, tfidf_ngrams=(1, 1)))
-    single = materialise(single.filter(F.col("df") >= at_least))
-    chosen = single.filter(F.col("df") <= at_most).orderBy(F.desc("tf")).limit(spec.tfidf_terms)
-    last = chosen.agg(F.count(F.lit(1)).alias("n"), F.min("tf").alias("tf")).first()
-    floor = last["tf"] if last["n"] == spec.tfidf_terms else 0
-    frequent = single.filter(F.col("tf") >= floor).select("term").limit(MAX_TOKENS + 1).collect()
-    if not frequent:
-        return single
-    if len(frequent) > MAX_TOKENS:
-        return term_stats(df, text, spec)
-    grams = ngrams_of(F.col("_tokens"), 2, high, tuple(sorted(r["term"] for r in frequent)))
-    counted = _counted(with_tokens(texts, text, spec, "_tokens").select(grams.alias("_terms")), "_terms")
-    return single.unionByName(_summed(counted))
+
+    table: DataFrame
+    tracked: int
+
+    def merged(self, n_folds: int) -> DataFrame:
+        """``fold``, its summary, ``docs`` and ``terms``: of all rows whose first fold is at most that."""
+        later = F.explode(F.sequence(F.col("first_train_fold"), F.lit(n_folds - 1)))
+        return self.table.withColumn("fold", later).groupBy("fold").agg(
+            F.expr(f"approx_top_k_combine(summary, {self.tracked})").alias("summary"),
+            F.sum("docs").alias("docs"), F.sum("terms").alias("terms"),
+        )
+
+
+def term_states(df: DataFrame, text: str, spec: EncoderSpec, tracked: int) -> TermStates:
+    """Summaries of all terms of ``df``, which carries ``first_train_fold``; no term is shuffled."""
+    rows = with_terms(df.select("first_train_fold", text), text, spec, "_terms").drop(text)
+    each = rows.select("first_train_fold", F.posexplode_outer("_terms").alias("_at", "_term"))
+    state = each.groupBy("first_train_fold").agg(
+        F.expr(f"approx_top_k_accumulate(_term, {tracked}) FILTER (WHERE _term IS NOT NULL)").alias("summary"),
+        F.count(F.when(F.coalesce("_at", F.lit(0)) == 0, 1)).alias("docs"), F.count("_term").alias("terms"),
+    )
+    return TermStates(materialise(state), tracked)
+
+
+def _exact_counts(df: DataFrame, text: str, spec: EncoderSpec, wanted: DataFrame | None, n_folds: int) -> DataFrame:
+    """``fold``, ``term``, ``tf``, ``df`` of the wanted terms (all, if None), summed over the folds up to each."""
+    counts = _counted(with_terms(df.select("first_train_fold", text), text, spec, "_terms").drop(text), "_terms")
+    if wanted is not None:
+        small = table_bytes(wanted) <= BROADCAST_BYTES
+        counts = counts.join(F.broadcast(wanted) if small else wanted, "term", "left_semi")
+    first = counts.groupBy("first_train_fold", "term").agg(F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df"))
+    later = F.explode(F.sequence(F.col("first_train_fold"), F.lit(n_folds - 1)))
+    return materialise(first.withColumn("fold", later).groupBy("fold", "term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df")))
+
+
+def _proven(exact: DataFrame, missing: DataFrame, spec: EncoderSpec) -> bool:
+    """Whether no term that was not counted can enter the vocabulary of any fold.
+
+    ``missing`` has each fold's ``docs`` and the most that an uncounted term can
+    occur. That has to be less than the last chosen term does, or than the
+    document bound, where the vocabulary isn't full.
+    """
+    at_least, at_most = _df_bounds(F.col("docs"), spec)
+    kept = exact.join(missing, "fold").filter((F.col("df") >= at_least) & (F.col("df") <= at_most))
+    place = F.row_number().over(Window.partitionBy("fold").orderBy(F.desc("tf")))
+    last = kept.withColumn("_place", place).filter(F.col("_place") == spec.tfidf_terms).select("fold", F.col("tf").alias("_last"))
+    safe = (F.col("most") < F.coalesce("_last", F.lit(0))) | (F.col("most") < at_least)
+    return missing.join(last, "fold", "left").filter(~safe).isEmpty()
+
+
+def frequent_stats(
+    df: DataFrame, text: str, spec: EncoderSpec = EncoderSpec(), n_folds: int = 1, tracked: int = TRACKED
+) -> tuple[DataFrame, dict[int, int]]:
+    """``term_stats`` by ``fold`` of all terms that can enter a vocabulary, and few others; rows by fold.
+
+    One pass over the texts summarises the frequent terms of all folds, a second
+    counts the candidates exactly. Errors of the summary are bounded, so the
+    counts show whether an uncounted term might belong in; if so, more are
+    counted, from a larger summary where needed, in the end all. ``df`` may carry
+    ``first_train_fold``: a row counts for that fold and all later ones, and
+    null for none. The work on texts does not depend on the number of folds.
+    """
+    if "first_train_fold" not in df.columns:
+        df = df.withColumn("first_train_fold", F.lit(0))
+    df = df.filter(F.col("first_train_fold").isNotNull())
+    candidates = CANDIDATES * spec.tfidf_terms
+    while True:
+        states = term_states(df, text, spec, tracked)
+        merged = materialise(states.merged(n_folds))
+        docs = {r["fold"]: r["docs"] for r in merged.select("fold", "docs").collect()}
+        each = F.inline(F.expr(f"approx_top_k_estimate(summary, {tracked})")).alias("term", "most")
+        place = F.row_number().over(Window.partitionBy("fold").orderBy(F.desc("most"), "term"))
+        listed = materialise(merged.select("fold", each).withColumn("place", place))
+        # What is not listed at all occurs no more often than twice the error of the summary.
+        error = F.when(F.col("terms") > tracked, F.ceil(SUMMARY_ERROR * F.col("terms") / tracked)).otherwise(0)
+        while True:
+            beyond = listed.filter(F.col("place") == candidates + 1).select("fold", F.col("most").alias("_next"))
+            missing = merged.join(beyond, "fold", "left").select("fold", "docs", F.coalesce("_next", error).alias("most"))
+            wanted = materialise(listed.filter(F.col("place") <= candidates).select("term").distinct())
+            exact = _exact_counts(df, text, spec, wanted, n_folds)
+            if _proven(exact, missing, spec):
+                return exact, docs
+            if listed.filter(F.col("place") > candidates).isEmpty():
+                break
+            candidates *= 8
+        if tracked >= MOST_TRACKED:
+            return _exact_counts(df, text, spec, None, n_folds), docs
+        tracked = min(8 * tracked, MOST_TRACKED)
 
 
 def _df_bounds(n_docs: int | Column, spec: EncoderSpec) -> tuple[Column, Column]:
@@ -203,11 +275,22 @@ class TfidfEncoding:
 
 def fit_tfidf(df: DataFrame, text: str, spec: EncoderSpec = EncoderSpec()) -> TfidfEncoding:
     """Learn the vocabulary; every document counts, empty ones included."""
+    return fit_tfidf_folds(df.drop("first_train_fold"), text, 1, spec)[0]
+
+
+def fit_tfidf_folds(df: DataFrame, text: str, n_folds: int, spec: EncoderSpec = EncoderSpec()) -> list[TfidfEncoding]:
+    """The vocabulary of every fold, from the rows that it trains on; the texts are read as often as for one.
+
+    ``df`` carries ``first_train_fold``, unless there is one fold of all rows.
+    """
     require(df, [text])
-    n_docs = df.count()
-    found = vocabulary(candidate_stats(df, text, n_docs, spec), n_docs, spec)
-    chosen = found.orderBy("term_index").collect()
-    return TfidfEncoding(text, [r["term"] for r in chosen], [r["idf"] for r in chosen], spec)
+    stats, docs = frequent_stats(df, text, spec, n_folds)
+    out = []
+    for fold in range(n_folds):
+        mine = stats.filter(F.col("fold") == fold).select("term", "tf", "df")
+        chosen = vocabulary(mine, docs.get(fold, 0), spec).orderBy("term_index").collect()
+        out.append(TfidfEncoding(text, [r["term"] for r in chosen], [r["idf"] for r in chosen], spec))
+    return out
 
 
 @dataclass

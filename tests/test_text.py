@@ -15,9 +15,9 @@ from tallycast.functions.text import TOKEN_PATTERN, fold_accents, ngram_range, n
 from tallycast.operators import text_encoding
 from tallycast.operators.text_encoding import (
     HashEncoding,
-    candidate_stats,
     english_stop_words,
     fit_tfidf,
+    frequent_stats,
     term_counts,
     term_stats,
     vocabulary,
@@ -94,16 +94,18 @@ def test_vocabulary_bounds_and_ties(spark):
     assert [r["term"] for r in vocabulary(stats, 10, share).collect()] == ["c"]
 
 
-@pytest.mark.parametrize("k", [3, 20, 200])
-@pytest.mark.parametrize("max_tokens", [5000, 2])
-def test_candidates_give_the_same_vocabulary(spark, sf_dir, monkeypatch, k, max_tokens):
-    monkeypatch.setattr(text_encoding, "MAX_TOKENS", max_tokens)
+@pytest.mark.parametrize("k, tracked, most", [(500, 100_000, 1_000_000), (30, 2000, 1_000_000), (30, 100, 800)])
+def test_candidates_give_the_same_vocabulary(spark, sf_dir, monkeypatch, k, tracked, most):
+    """Whether the first summary is enough, or a larger one, or none."""
+    monkeypatch.setattr(text_encoding, "MOST_TRACKED", most)
     texts = spark.read.parquet(f"{sf_dir}/documents.parquet")
     n = texts.count()
     for bounds in ((5, 0.95), (2, 0.3), (0.05, 60)):
         spec = EncoderSpec(tfidf_terms=k, tfidf_min_df=bounds[0], tfidf_max_df=bounds[1])
         want = vocabulary(term_stats(texts, "text", spec), n, spec).orderBy("term").collect()
-        got = vocabulary(candidate_stats(texts, "text", n, spec), n, spec).orderBy("term").collect()
+        stats, docs = frequent_stats(texts, "text", spec, tracked=tracked)
+        assert docs == {0: n}
+        got = vocabulary(stats.drop("fold"), n, spec).orderBy("term").collect()
         assert got == want and len(got) > 0
 
 
@@ -111,10 +113,21 @@ def test_candidates_with_trigrams(spark):
     df = docs(spark, ["red apple pie"] * 4 + ["apple pie red", "pear"])
     spec = EncoderSpec(tfidf_ngrams=(1, 3), tfidf_min_df=2, tfidf_max_df=1.0)
     want = vocabulary(term_stats(df, "t", spec), 6, spec).orderBy("term").collect()
-    got = vocabulary(candidate_stats(df, "t", 6, spec), 6, spec).orderBy("term").collect()
+    got = vocabulary(frequent_stats(df, "t", spec)[0].drop("fold"), 6, spec).orderBy("term").collect()
     assert got == want and "red apple pie" in {r["term"] for r in got}
 
 
+def test_summaries_of_folds_add_up(spark, sf_dir):
+    """One pass for all folds gives what a fit of each fold gives."""
+    texts = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    first = F.when(F.col("doc_id") % 5 < 4, (F.col("doc_id") % 5).cast("int"))
+    texts = texts.withColumn("first_train_fold", first)
+    spec = EncoderSpec(tfidf_terms=40)
+    for fold, learned in enumerate(text_encoding.fit_tfidf_folds(texts, "text", 4, spec)):
+        alone = fit_tfidf(texts.filter(F.col("first_train_fold") <= fold), "text", spec)
+        assert learned == alone and len(learned.terms) == 40
+
+
 def test_tfidf_by_hand(spark):
     df = docs(spark)
     learned = fit_tfidf(df, "t", OPEN)
