@@ -31,7 +31,7 @@ from tallycast.operators.lookup import table_bytes
 from tallycast.session import materialise
 
 # Texts of so many bytes are counted together.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
 # Prefixes that are left are broadcast up to this size, and joined by a shuffle beyond.
 BROADCAST_BYTES = 16 << 20
 BILLION = 10**9
@@ -43,7 +43,7 @@ SMALL = 9 * 10**9
 class Spec:
     """``levels``: lengths of prefixes in bytes, rising; ``least``: documents of a kept term; ``top``: ranks of part ``term``."""
 
-    levels: tuple[int, ...] = (2, 4, 6, 8)
+    levels: tuple[int, ...] = (3, 6)
     least: int = 3
     top: int = 200
 
@@ -214,10 +214,14 @@ def pairs(kept: DataFrame, counted: DataFrame, groups: DataFrame) -> DataFrame:
     p, item_p = share(F.col("c"), F.col("n"), F.col("v")), share(F.col("item_c"), F.col("item_n"), F.col("v"))
     has = two.join(counted, ["lang", "source"]).withColumn("p", p)
     item_has = two.join(counted.withColumnsRenamed({"source": "item", "c": "item_c"}), ["lang", "item"]).withColumn("item_p", item_p)
-    one = F.explode("members").alias("one")
-    both = kept.select("lang", "members", one).select("lang", "one", F.explode("members").alias("two"))
-    both = both.select("lang", F.col("one.source").alias("source"), F.col("two.source").alias("item"), F.col("one.c").alias("c"), F.col("two.c").alias("item_c"))
-    both = both.filter("source <> item").groupBy(*key, "c", "item_c").agg(F.count(F.lit(1)).alias("terms"))
+    # Two sources are counted together once, and serve both ways.
+    each = kept.select("lang", F.sort_array("members").alias("members")).select("lang", "members", F.posexplode("members").alias("at", "one"))
+    both = each.select("lang", "one", F.explode(F.slice("members", F.col("at") + 2, F.size("members"))).alias("other"))
+    both = both.groupBy(
+        "lang", F.col("one.source").alias("source"), F.col("other.source").alias("item"), F.col("one.c").alias("c"), F.col("other.c").alias("item_c")
+    ).agg(F.count(F.lit(1)).alias("terms"))
+    turned = F.struct(F.col("item").alias("source"), F.col("source").alias("item"), F.col("item_c").alias("c"), F.col("c").alias("item_c"))
+    both = both.select("lang", "terms", F.inline(F.array(F.struct("source", "item", "c", "item_c"), turned)))
     both = two.join(both, key).withColumns({"p": p, "item_p": item_p})
     twice = gap(F.col("p"), F.col("item_p")) - gap(F.col("p"), F.col("item_p0")) - gap(F.col("p0"), F.col("item_p")) + base
 
