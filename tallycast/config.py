@@ -136,7 +136,8 @@ class ModelSpec:
     ``params`` overrides the block that belongs to ``kind``; both back-end
     names (``learning_rate``) and Spark names (``stepSize``) are understood.
     ``rounds`` replaces the block's own count, ``patience`` its number of rounds
-    without gain before stopping; None keeps them.
+    without gain before stopping; None keeps them. With early stopping,
+    ``stage_rounds`` are fitted between two looks at the error.
     """
 
     kind: str = "lightgbm"
@@ -144,6 +145,7 @@ class ModelSpec:
     rounds: int | None = None
     log_target: bool = True
     patience: int | None = None
+    stage_rounds: int = 10
     weight_col: str | None = None
     nominal_cols: tuple[str, ...] = ()
 

@@ -11,6 +11,7 @@ tree evaluated, twice. The trees make up an ordinary Spark model.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark import SparkContext
@@ -92,7 +93,8 @@ def fit_in_stages(
             after.append(error)
         # One pass for the errors of the stage; then both tables start warm.
         validation = materialise(validation)
-        errors += list(validation.agg(*[F.avg(e) for e in after]).first())
+        found = validation.agg(*[F.avg(e) for e in after]).first()
+        errors += [math.nan if e is None else e for e in found]
         validation = validation.drop(*after)
         if stopped(errors, patience):
             break

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 
 from tallycast.config import EncoderSpec, PanelSpec
 from tallycast.operators.guards import present
-from tallycast.operators.target_encoding import TargetEncoding, fit_target_encoding
-from tallycast.operators.text_encoding import HashEncoding, TfidfEncoding, fit_tfidf
+from tallycast.operators.target_encoding import TargetEncoding, fit_target_encoding, fit_target_encoding_folds
+from tallycast.operators.text_encoding import HashEncoding, TfidfEncoding, fit_tfidf, fit_tfidf_folds
 
 TEXT_METHODS = ("tfidf", "hashing")
 
@@ -43,6 +43,11 @@ class Encoders:
         return df
 
 
+def check_method(spec: EncoderSpec) -> None:
+    if spec.text_method not in TEXT_METHODS:
+        raise ValueError(f"text_method must be one of {TEXT_METHODS}, not {spec.text_method!r}")
+
+
 def fit_encoders(
     df: DataFrame,
     target_cols: Iterable[str],
@@ -50,8 +55,7 @@ def fit_encoders(
     label: str,
     spec: EncoderSpec = EncoderSpec(),
 ) -> Encoders:
-    if spec.text_method not in TEXT_METHODS:
-        raise ValueError(f"text_method must be one of {TEXT_METHODS}, not {spec.text_method!r}")
+    check_method(spec)
     target_cols, text_cols = present(df, target_cols), present(df, text_cols)
     target = fit_target_encoding(df, target_cols, label, spec) if target_cols else None
     if spec.text_method == "tfidf":
@@ -69,7 +73,27 @@ def fit_panel_encoders(
     encode_ids: bool = True,
 ) -> Encoders:
     """Encoders for a panel, columns routed by name; ID categories included."""
+    target_cols, text_cols = panel_columns(panel, encode_ids)
+    return fit_encoders(df, target_cols, text_cols, panel.label_col, spec)
+
+
+def panel_columns(panel: PanelSpec, encode_ids: bool = True) -> tuple[list[str], list[str]]:
+    """The columns to target-encode and those with text."""
     target_cols, text_cols = route_columns(panel.high_cardinality_cols)
     if encode_ids:
         target_cols += [c for c in panel.numeric_id_cols if c not in target_cols]
-    return fit_encoders(df, target_cols, text_cols, panel.label_col, spec)
+    return target_cols, text_cols
+
+
+def fit_panel_encoders_folds(df: DataFrame, n_folds: int, panel: PanelSpec = PanelSpec(), spec: EncoderSpec = EncoderSpec()) -> list[Encoders]:
+    """``fit_panel_encoders`` of the training rows of every fold; ``df`` carries ``first_train_fold`` and is read as often as for one."""
+    check_method(spec)
+    target_cols, text_cols = (present(df, c) for c in panel_columns(panel))
+    target: list = [None] * n_folds
+    if target_cols:
+        target = fit_target_encoding_folds(df, target_cols, panel.label_col, n_folds, spec)
+    if spec.text_method == "tfidf":
+        text = [fit_tfidf_folds(df, c, n_folds, spec) for c in text_cols]
+    else:
+        text = [[HashEncoding(c, spec)] * n_folds for c in text_cols]
+    return [Encoders(target[k], [t[k] for t in text]) for k in range(n_folds)]

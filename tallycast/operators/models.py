@@ -8,13 +8,14 @@ from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallycast.config import BOOSTER_PARAMS, ModelSpec
 from tallycast.functions.scalars import as_col
+from tallycast.operators.boosting import fit_in_stages
 
 # Back-end parameter names and the tree parameter each one stands for.
 SPARK_NAMES = {
@@ -106,25 +107,55 @@ class FeatureLayout:
 
     def fit_assembler(self, df: DataFrame, max_bins: int = 32) -> PipelineModel:
         """Index nominal columns and assemble the vector."""
-        stages = []
-        if self.nominal:
-            indexer = StringIndexer(
-                inputCols=list(self.nominal),
-                outputCols=[f"{c}_index" for c in self.nominal],
-                handleInvalid="keep",
-            ).fit(df)
-            for c, labels in zip(self.nominal, indexer.labelsArray):
-                if len(labels) + 1 > max_bins:
-                    raise ValueError(f"{c} has {len(labels)} categories: raise maxBins or target-encode it")
-            stages.append(indexer)
+        if not self.nominal:
+            return self.assembler(None)
+        indexer = StringIndexer(
+            inputCols=list(self.nominal),
+            outputCols=[f"{c}_index" for c in self.nominal],
+            handleInvalid="keep",
+        ).fit(df)
+        for c, labels in zip(self.nominal, indexer.labelsArray):
+            if len(labels) + 1 > max_bins:
+                raise ValueError(f"{c} has {len(labels)} categories: raise maxBins or target-encode it")
+        return self.assembler(indexer)
+
+    def fit_indexers(self, df: DataFrame, n_folds: int, max_bins: int = 32) -> list[StringIndexerModel | None]:
+        """The nominal values in the training rows of every fold, from one pass; ``df`` carries ``first_train_fold``."""
+        if not self.nominal:
+            return [None] * n_folds
+        values = df.select("first_train_fold", *[F.col(c).cast("string").alias(c) for c in self.nominal])
+        later = F.explode(F.sequence(F.col("first_train_fold"), F.lit(n_folds - 1)))
+        counts = (
+            values.unpivot(["first_train_fold"], list(self.nominal), "col", "value")
+            .filter("first_train_fold is not null and value is not null")
+            .groupBy("first_train_fold", "col", "value").count()
+            .withColumn("fold", later).groupBy("fold", "col", "value").agg(F.sum("count").alias("n"))
+        )
+        # As many rows as are needed to see that a column has too many values.
+        place = F.row_number().over(Window.partitionBy("fold", "col").orderBy(F.desc("n"), "value"))
+        found = counts.withColumn("place", place).filter(F.col("place") <= max_bins).orderBy("fold", "col", "place").collect()
+        out = []
+        for fold in range(n_folds):
+            labels = [[r["value"] for r in found if r["fold"] == fold and r["col"] == c] for c in self.nominal]
+            for c, known in zip(self.nominal, labels):
+                if len(known) + 1 > max_bins:
+                    raise ValueError(f"{c} has {len(known)} categories or more: raise maxBins or target-encode it")
+            indexer = StringIndexerModel.from_arrays_of_labels(
+                labels, inputCols=list(self.nominal), outputCols=[f"{c}_index" for c in self.nominal], handleInvalid="keep"
+            )
+            out.append(indexer)
+        return out
+
+    def assembler(self, indexer: StringIndexerModel | None) -> PipelineModel:
+        """Index nominal columns, if there are any, and assemble the vector."""
         inputs = [
             *self.numeric,
             *[f"{c}_is_null" for c in self.signed],
             *[f"{c}_index" for c in self.nominal],
             *[c for c, _ in self.vectors],
         ]
-        stages.append(VectorAssembler(inputCols=inputs, outputCol="features"))
-        return PipelineModel(stages)
+        vectors = VectorAssembler(inputCols=inputs, outputCol="features")
+        return PipelineModel([vectors] if indexer is None else [indexer, vectors])
 
     def assemble(self, df: DataFrame, assembler: PipelineModel, keep: Iterable[str]) -> DataFrame:
         return assembler.transform(self.fill(df)).select(*keep, "features")
@@ -179,23 +210,15 @@ def fit_trees(
 ) -> TreeModel:
     """Fit on an assembled table.
 
-    With ``validation``, all rounds are fitted once, the error after every
-    round is read off in a single pass over the validation rows, and the model
-    is refitted with the best number of rounds. Boosting is sequential and
-    seeded, so the refit repeats the same first trees.
+    With ``validation``, rounds are added in stages until ``patience`` of them in
+    a row brought no gain on its rows, and the model is cut at the best round.
     """
     estimator = make_estimator(spec, label)
-    model = estimator.fit(train)
-    if spec.kind == "random_forest":
-        return TreeModel(model, names)
-    rounds, errors = estimator.getMaxIter(), []
-    if validation is not None:
-        errors = list(model.evaluateEachIteration(validation, "squared"))
-        best = best_round(errors, patience(spec))
-        if best < rounds:
-            model = make_estimator(spec.with_rounds(best), label).fit(train)
-            rounds = best
-    return TreeModel(model, names, rounds, errors)
+    if validation is not None and spec.kind != "random_forest":
+        staged = fit_in_stages(train, validation, estimator, patience(spec), spec.stage_rounds)
+        return TreeModel(staged.model, names, staged.rounds, staged.errors)
+    rounds = None if spec.kind == "random_forest" else estimator.getMaxIter()
+    return TreeModel(estimator.fit(train), names, rounds)
 
 
 def weighted_average(predictions: Iterable[Column | str], weights: Iterable[float] | None = None) -> Column:

@@ -168,6 +168,30 @@ def fit_imputer(df: DataFrame, columns: Iterable[str], strategy: str = "median")
     return {c: float(v) for c, v in values.items() if v is not None}
 
 
+def fit_imputer_folds(df: DataFrame, columns: Iterable[str], n_folds: int, strategy: str = "median") -> list[dict[str, float]]:
+    """``fit_imputer`` of the training rows of every fold; all folds share every pass.
+
+    ``df`` carries ``first_train_fold``: a row counts for that fold and all later ones.
+    """
+    columns = present(df, columns)
+    names = {f"_{i}_{fold}": (c, fold) for i, c in enumerate(columns) for fold in range(n_folds)}
+    values = {
+        name: F.when(F.col("first_train_fold") <= fold, nan_to_null(F.col(c).cast("double"))).alias(name)
+        for name, (c, fold) in names.items()
+    }
+    if strategy == "median":
+        found = exact_quantile(df.select(*values.values()), names)
+    elif strategy == "mean" and columns:
+        found = df.agg(*[F.avg(v).alias(name) for name, v in values.items()]).first().asDict()
+    else:
+        found = dict.fromkeys(names, 0.0)
+    out: list[dict[str, float]] = [{} for _ in range(n_folds)]
+    for name, (c, fold) in names.items():
+        if found[name] is not None:
+            out[fold][c] = float(found[name])
+    return out
+
+
 def imputer_table(spark: SparkSession, values: dict[str, float]) -> DataFrame:
     return spark.createDataFrame(sorted(values.items()), "col string, value double")
 

@@ -97,11 +97,15 @@ class TargetEncoding:
         return df
 
 
+def check_unknown(spec: EncoderSpec) -> None:
+    if spec.handle_unknown not in ("global_mean", "nan"):
+        raise ValueError("handle_unknown must be 'global_mean' or 'nan'")
+
+
 def fit_target_encoding(
     df: DataFrame, columns: Iterable[str], label: str, spec: EncoderSpec = EncoderSpec()
 ) -> TargetEncoding:
-    if spec.handle_unknown not in ("global_mean", "nan"):
-        raise ValueError("handle_unknown must be 'global_mean' or 'nan'")
+    check_unknown(spec)
     require(df, [label])
     columns = present(df, columns)
     totals = materialise(category_totals(df, columns, label))
@@ -116,6 +120,39 @@ def fit_target_encoding(
     return TargetEncoding(table, columns, prior, rows, spec.handle_unknown)
 
 
+def summed_over_folds(totals: DataFrame, n_folds: int) -> DataFrame:
+    """Totals by ``first_train_fold`` as totals by ``fold``: training windows only grow."""
+    later = F.explode(F.sequence(F.col("first_train_fold"), F.lit(n_folds - 1)))
+    return (
+        totals.withColumn("fold", later)
+        .groupBy("fold", "col", "category")
+        .agg(F.sum("rows").alias("rows"), F.sum("n").alias("n"), F.sum("total").alias("total"))
+    )
+
+
+def fit_target_encoding_folds(
+    df: DataFrame, columns: Iterable[str], label: str, n_folds: int, spec: EncoderSpec = EncoderSpec()
+) -> list[TargetEncoding]:
+    """``fit_target_encoding`` of the training rows of every fold, from one pass; ``df`` carries ``first_train_fold``."""
+    check_unknown(spec)
+    require(df, [label])
+    columns = present(df, columns)
+    trained = df.filter(F.col("first_train_fold").isNotNull())
+    totals = materialise(summed_over_folds(category_totals(trained, columns, label, by=["first_train_fold"]), n_folds))
+    whole = {r["fold"]: r for r in totals.filter(F.col("col") == ALL_ROWS).collect()}
+    mean = ratio(F.col("total"), F.col("n"))
+    out = []
+    for fold in range(n_folds):
+        all_rows = whole.get(fold)
+        prior = all_rows["total"] / all_rows["n"] if all_rows and all_rows["n"] else None
+        enc = smoothed(F.col("n"), mean, F.lit(prior).cast("double"), spec, F.col("col"), F.col("category"))
+        table = totals.filter((F.col("fold") == fold) & (F.col("col") != ALL_ROWS)).select(
+            "col", "category", "rows", "n", mean.alias("mean"), enc.alias("enc")
+        )
+        out.append(TargetEncoding(table, columns, prior, all_rows["rows"] if all_rows else 0, spec.handle_unknown))
+    return out
+
+
 def fold_encodings(
     df: DataFrame, columns: Iterable[str], label: str, n_splits: int, spec: EncoderSpec = EncoderSpec()
 ) -> DataFrame:
@@ -128,12 +165,7 @@ def fold_encodings(
     """
     columns = present(df, columns)
     trained = df.filter(F.col("first_train_fold").isNotNull())
-    totals = materialise(
-        category_totals(trained, columns, label, by=["first_train_fold"])
-        .withColumn("fold", F.explode(F.sequence(F.col("first_train_fold"), F.lit(n_splits - 1))))
-        .groupBy("fold", "col", "category")
-        .agg(F.sum("rows").alias("rows"), F.sum("n").alias("n"), F.sum("total").alias("total"))
-    )
+    totals = materialise(summed_over_folds(category_totals(trained, columns, label, by=["first_train_fold"]), n_splits))
     # One row per fold.
     priors = totals.filter(F.col("col") == ALL_ROWS).select(
         "fold", ratio(F.col("total"), F.col("n")).alias("prior")

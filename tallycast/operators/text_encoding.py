@@ -194,6 +194,10 @@ def _df_bounds(n_docs: int | Column, spec: EncoderSpec) -> tuple[Column, Column]
     return low, high
 
 
+def _idf(n: Column, df: Column) -> Column:
+    return F.log((1 + n) / (1 + df)) + 1
+
+
 def vocabulary(stats: DataFrame, n_docs: int | Column, spec: EncoderSpec = EncoderSpec()) -> DataFrame:
     """The ``tfidf_terms`` most frequent terms within the df bounds, with idf.
 
@@ -213,7 +217,7 @@ def vocabulary(stats: DataFrame, n_docs: int | Column, spec: EncoderSpec = Encod
         "term_index",
         F.col("_t.tf").alias("tf"),
         F.col("_t.df").alias("df"),
-        (F.log((1 + n) / (1 + F.col("_t.df"))) + 1).alias("idf"),
+        _idf(n, F.col("_t.df")).alias("idf"),
     )
 
 
@@ -285,11 +289,17 @@ def fit_tfidf_folds(df: DataFrame, text: str, n_folds: int, spec: EncoderSpec =
     """
     require(df, [text])
     stats, docs = frequent_stats(df, text, spec, n_folds)
+    n = F.create_map(*[F.lit(x) for pair in docs.items() for x in pair])[F.col("fold")] if docs else F.lit(0)
+    at_least, at_most = _df_bounds(F.col("docs"), spec)
+    place = F.row_number().over(Window.partitionBy("fold").orderBy(F.desc("tf"), "term"))
+    kept = stats.withColumn("docs", n).filter((F.col("df") >= at_least) & (F.col("df") <= at_most))
+    chosen = kept.withColumn("place", place).filter(F.col("place") <= spec.tfidf_terms)
+    rows = chosen.select("fold", "term", _idf(F.col("docs"), F.col("df")).alias("idf")).collect()
+    rows = sorted(rows, key=lambda r: r["term"].encode())
     out = []
     for fold in range(n_folds):
-        mine = stats.filter(F.col("fold") == fold).select("term", "tf", "df")
-        chosen = vocabulary(mine, docs.get(fold, 0), spec).orderBy("term_index").collect()
-        out.append(TfidfEncoding(text, [r["term"] for r in chosen], [r["idf"] for r in chosen], spec))
+        mine = [r for r in rows if r["fold"] == fold]
+        out.append(TfidfEncoding(text, [r["term"] for r in mine], [r["idf"] for r in mine], spec))
     return out
 
 

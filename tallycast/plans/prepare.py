@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from tallycast.config import PipelineSpec
-from tallycast.operators.encoders import Encoders, fit_panel_encoders
+from tallycast.operators.encoders import Encoders, fit_panel_encoders, fit_panel_encoders_folds
 from tallycast.operators.models import FeatureLayout
-from tallycast.operators.numeric import fit_imputer, ids_to_categories, skew_transform
+from tallycast.operators.numeric import fit_imputer, fit_imputer_folds, ids_to_categories, skew_transform
 from tallycast.operators.panel import dense_panel, forward_label, periodic_panel
 from tallycast.operators.temporal import temporal_features
 from tallycast.operators.text_encoding import TfidfEncoding
@@ -77,6 +77,23 @@ def fit_preprocessing(df: DataFrame, spec: PipelineSpec) -> Preprocessing:
     return preprocessing
 
 
+def fit_fold_preprocessing(df: DataFrame, n_folds: int, spec: PipelineSpec) -> list[Preprocessing]:
+    """``fit_preprocessing`` of the training rows of every fold, with ``df`` read as often as for one fold.
+
+    ``df`` carries ``first_train_fold``. Everything that is learned is a state
+    counted by first fold and summed over folds: training windows only grow.
+    """
+    p = spec.panel
+    fills = fit_imputer_folds(df, p.skewed_cols, n_folds, spec.encoders.impute)
+    learned = fit_panel_encoders_folds(df, n_folds, p, spec.encoders)
+    out = []
+    for fill, encoders in zip(fills, learned):
+        preprocessing = Preprocessing(fill, encoders, FeatureLayout(()), spec)
+        preprocessing.layout = feature_layout(preprocessing.apply(df.drop("first_train_fold", "test_fold")), encoders, spec)
+        out.append(preprocessing)
+    return out
+
+
 def feature_layout(df: DataFrame, encoders: Encoders, spec: PipelineSpec) -> FeatureLayout:
     """Feature columns: all but the keys, the date and the label."""
     p, m = spec.panel, spec.model

@@ -31,12 +31,18 @@ def score(rows: DataFrame, forecaster: Forecaster, history: DataFrame | None = N
         past = history.select(*shared).join(known, [p.customer_col, p.date_col], "left_anti")
         past = past.withColumn("_wanted", F.lit(False))
         both = both.unionByName(past, allowMissingColumns=True)
-    features = stateless_features(both, spec).filter("_wanted").drop("_wanted")
+    return predicted(stateless_features(both, spec).filter("_wanted").drop("_wanted"), forecaster)
+
+
+def predicted(features: DataFrame, forecaster: Forecaster) -> DataFrame:
+    """Customer, date and ``log1p`` of the forecast of rows that have their stateless features."""
+    spec = forecaster.spec
+    p = spec.panel
     prep = forecaster.preprocessing
     vectors = prep.layout.assemble(prep.apply(features), forecaster.assembler, [p.customer_col, p.date_col])
-    predicted = forecaster.model.predict(vectors, "_prediction")
+    scored = forecaster.model.predict(vectors, "_prediction")
     scale = clip_low if spec.model.log_target else log_target
-    return predicted.select(
+    return scored.select(
         p.customer_col, p.date_col, scale(F.col("_prediction")).alias(p.label_col)
     )
 

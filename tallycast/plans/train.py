@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 
 from tallycast.config import PipelineSpec
 from tallycast.functions.scalars import log_target, unlog_target
-from tallycast.operators.folds import rolling_folds
+from tallycast.operators.folds import Fold, fold_columns, rolling_folds
 from tallycast.operators.metrics import cv_summary, fold_scores
 from tallycast.operators.models import TreeModel, fit_trees, tree_params
-from tallycast.plans.prepare import TRAIN_LABEL, Preprocessing, fit_preprocessing, stateless_features
+from tallycast.plans.prepare import TRAIN_LABEL, Preprocessing, fit_fold_preprocessing, fit_preprocessing, stateless_features
 from tallycast.session import materialise
 
 
@@ -66,22 +66,35 @@ def _vectors(df: DataFrame, prep: Preprocessing, assembler: PipelineModel | None
     return prep.layout.assemble(encoded, assembler, keep), assembler
 
 
+def fit_folds(rows: DataFrame, folds: list[Fold], spec: PipelineSpec) -> list[tuple[Preprocessing, PipelineModel]]:
+    """Preprocessing and assembler of every fold, from shared passes over the rows."""
+    if not folds:
+        return []
+    # States are indexed by the place of a fold in the list.
+    placed = [replace(f, fold=k) for k, f in enumerate(folds)]
+    marked = fold_columns(rows, spec.panel.date_col, placed)
+    preps = fit_fold_preprocessing(marked, len(folds), spec)
+    indexers = preps[0].layout.fit_indexers(marked, len(folds), int(tree_params(spec.model).get("maxBins", 32)))
+    return [(prep, prep.layout.assembler(indexer)) for prep, indexer in zip(preps, indexers)]
+
+
 def cross_validate(features: DataFrame, spec: PipelineSpec, *, early_stopping: bool = True) -> CvResult:
     """Fit one model per fold; nothing learned in a fold sees its test rows.
 
     ``features`` holds the stateless features and the label and should be
-    materialised. The loop runs on the driver over a handful of folds; each
-    fold is a set of Spark jobs whose date predicates reach the scan. Fill
-    values, encodings and vocabularies are learned per fold.
+    materialised. Fill values, encodings and vocabularies of all folds are
+    learned together: the features are read for them as often as for one fold.
+    Then the driver goes over a handful of folds; each is a set of Spark jobs
+    whose date predicates reach the scan.
     """
     p = spec.panel
     rows = labelled(features, spec)
+    folds = rolling_folds(rows, p.date_col, spec.cv, p.grain)
     predictions, models, forecasters = None, [], []
-    for fold in rolling_folds(rows, p.date_col, spec.cv, p.grain):
+    for fold, (prep, assembler) in zip(folds, fit_folds(rows, folds, spec)):
         train_rows = rows.filter(fold.trains(F.col(p.date_col)))
         test_rows = rows.filter(fold.tests(F.col(p.date_col)))
-        prep = fit_preprocessing(train_rows, spec)
-        train, assembler = _vectors(train_rows, prep)
+        train, _ = _vectors(train_rows, prep, assembler)
         test, _ = _vectors(test_rows, prep, assembler)
         train = train.persist(StorageLevel.MEMORY_AND_DISK)
         test = test.persist(StorageLevel.MEMORY_AND_DISK)
