@@ -16,10 +16,10 @@ from tallycast.config import CvSpec, EncoderSpec, FeatureSpec, ModelSpec, PanelS
 from tallycast.functions import scalars
 from tallycast.functions.stop_words import ENGLISH
 from tallycast.functions.text import TOKEN_PATTERN, accent_table, ngrams
-from tallycast.operators import encoders, folds, metrics, models, numeric, panel, target_encoding
+from tallycast.operators import encoders, folds, metrics, models, numeric, ordered_stats, panel, target_encoding
 from tallycast.operators import temporal, text_encoding
-from tallycast.plans import prepare, score, train
-from tallycast.session import materialise
+from tallycast.plans import history, prepare, score, train
+from tallycast.session import materialise, scratch_path
 from tallycast.sources import readers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -238,6 +238,23 @@ def full_features_sql() -> str:
     return f"WITH {DENSE_SQL} SELECT o_custkey, period, txn_count, {calendar_sql('period')}, {body} FROM dense"
 
 
+@query(
+    "history_features",
+    lambda: f"""SELECT * FROM ({full_features_sql()})
+                QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY period DESC) = 1""",
+)
+def _(spark, sf_dir):
+    """The features of every customer's newest month, from the kept rows of a history alone."""
+    spec = PipelineSpec(panel=PanelSpec(customer_col=CUSTOMER, date_col=PERIOD, value_col=VALUE, numeric_id_cols=()))
+    rows = materialise(dense(spark, sf_dir).select(*KEYS, VALUE))
+    newest = F.col(PERIOD) == rows.agg(F.max(PERIOD)).first()[0]
+    kept = history.build_history(rows.filter(~newest), spec, scratch_path(spark, "history"), buckets=8)
+    out = history.features_with_history(rows.filter(newest), kept, spec)
+    doubles = [c for c, t in out.dtypes if t == "double"]
+    longs = [c for c, t in out.dtypes if t == "int"]
+    return rounded(widened(out, *longs), *doubles)
+
+
 @query("temporal_features", full_features_sql)
 def _(spark, sf_dir):
     base = dense(spark, sf_dir).select(*KEYS, VALUE)
@@ -791,6 +808,64 @@ def _(spark, sf_dir):
     return rounded(widened(out.select("fold", "o_orderkey", *names), "fold"), *names, digits=PRICE_DIGITS)
 
 
+ORDERED_COLUMNS = ("o_custkey", "o_orderpriority")
+
+
+def ordered_sql() -> str:
+    w = "(PARTITION BY {c} ORDER BY md5(concat_ws('|', '42', CAST(o_orderkey AS VARCHAR))) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    parts = [
+        f"""round(CASE WHEN {c} IS NULL THEN prior ELSE (coalesce(sum(price) OVER {w.format(c=c)}, 0) + prior)
+              / (count(price) OVER {w.format(c=c)} + 1) END, {PRICE_DIGITS}) AS {c}_target_enc"""
+        for c in ORDERED_COLUMNS
+    ]
+    return f"SELECT o_orderkey, {', '.join(parts)} FROM {PRICED_SQL} CROSS JOIN (SELECT avg(price) AS prior FROM {PRICED_SQL})"
+
+
+@query("target_encode_ordered", ordered_sql())
+def _(spark, sf_dir):
+    """Every order's categories by the earlier orders of a random order."""
+    orders = priced(spark, sf_dir).select("o_orderkey", "price", *ORDERED_COLUMNS)
+    out = ordered_stats.ordered_target_stats(orders, ORDERED_COLUMNS, "price", ["o_orderkey"], block_rows=1000)
+    names = [target_encoding.encoded_name(c) for c in ORDERED_COLUMNS]
+    return rounded(out.select("o_orderkey", *names), *names, digits=PRICE_DIGITS)
+
+
+@query(
+    "fold_fill_values",
+    f"""WITH {MEMBERS_SQL} SELECT fold, round(median(price), {PRICE_DIGITS}) AS price, round(median(o_custkey), 4) AS o_custkey
+        FROM members WHERE role = 'train' GROUP BY 1""",
+)
+def _(spark, sf_dir):
+    """Exact medians of the training rows of all folds, from shared passes."""
+    orders = priced(spark, sf_dir).select("o_orderdate", "price", "o_custkey")
+    split = folds.rolling_folds(orders, "o_orderdate", CV)
+    marked = folds.fold_columns(orders, "o_orderdate", split)
+    fill = numeric.fit_imputer_folds(marked, ["price", "o_custkey"], CV.n_splits)
+    rows = [(f.fold, fill[f.fold]["price"], fill[f.fold]["o_custkey"]) for f in split]
+    out = spark.createDataFrame(rows, "fold bigint, price double, o_custkey double")
+    return rounded(out, "price", "o_custkey", digits=PRICE_DIGITS)
+
+
+@query(
+    "quantile_state_merged",
+    """SELECT 'l_quantity' AS col, count(l_quantity) AS n, true AS within FROM lineitem
+       UNION ALL SELECT 'l_extendedprice', count(l_extendedprice), true FROM lineitem""",
+)
+def _(spark, sf_dir):
+    """Medians from sketches of each shipping month, merged: whether their ranks are within 0.5 % of the middle."""
+    names = ["l_quantity", "l_extendedprice"]
+    lines = table(spark, sf_dir, "lineitem").withColumn("month", F.date_format("l_shipdate", "yyyy-MM"))
+    states = materialise(numeric.quantile_states(lines, names, ["month"]))
+    merged = materialise(numeric.state_quantiles(numeric.merge_quantile_states(states)))
+    value = {r["col"]: r["value"] for r in merged.collect()}
+    checks = []
+    for c in names:
+        below, up_to = F.count(F.when(F.col(c) < value[c], 1)), F.count(F.when(F.col(c) <= value[c], 1))
+        middle, slack = F.count(c) / 2, F.count(c) * 0.005 + 1
+        checks.append(lines.agg(F.lit(c).alias("col"), ((below <= middle + slack) & (up_to >= middle - slack)).alias("within")))
+    return merged.select("col", "n").join(checks[0].unionByName(checks[1]), "col")
+
+
 # ---------------------------------------------------------------------- text
 
 
@@ -861,6 +936,24 @@ def _(spark, sf_dir):
     return rounded(widened(out, "term_index"), "idf")
 
 
+@query(
+    "fold_vocabularies",
+    lambda: f"""WITH {tokens_sql()}, folds AS (SELECT unnest(range(0, 4)) AS fold), counted AS (
+        SELECT fold, term, sum(tf) AS tf, count(*) AS df FROM per_doc JOIN folds ON doc_id % 5 <= fold GROUP BY 1, 2
+      ), sized AS (SELECT fold, count(*) AS n FROM documents JOIN folds ON doc_id % 5 <= fold GROUP BY 1)
+      SELECT c.fold, term, round(ln((1 + n) / (1.0 + df)) + 1, 6) AS idf FROM counted c JOIN sized s ON s.fold = c.fold
+      WHERE df >= 5 AND df <= 0.95 * n
+      QUALIFY row_number() OVER (PARTITION BY c.fold ORDER BY tf DESC, term) <= 100""",
+)
+def _(spark, sf_dir):
+    """The vocabularies of four growing parts of the documents, from one summary and one count."""
+    part = F.col("doc_id") % 5
+    docs = documents(spark, sf_dir).withColumn("first_train_fold", F.when(part < 4, part.cast("int")))
+    learned = text_encoding.fit_tfidf_folds(docs, "text", 4, EncoderSpec(tfidf_terms=100))
+    rows = [(k, term, idf) for k, t in enumerate(learned) for term, idf in zip(t.terms, t.idf)]
+    return rounded(spark.createDataFrame(rows, "fold bigint, term string, idf double"), "idf")
+
+
 WEIGHTS_SQL = """weights AS (
   SELECT doc_id, p.term, p.tf * v.idf AS w FROM per_doc p JOIN vocab v ON v.term = p.term
 ), tfidf AS (

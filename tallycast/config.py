@@ -76,6 +76,8 @@ class EncoderSpec:
     tfidf_max_df: float = 0.95
     stop_words: tuple[str, ...] | None = None
     impute: str = "median"
+    # Nominal columns whose training rows are encoded by earlier rows only.
+    ordered_cols: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)

@@ -73,22 +73,23 @@ def fit_panel_encoders(
     encode_ids: bool = True,
 ) -> Encoders:
     """Encoders for a panel, columns routed by name; ID categories included."""
-    target_cols, text_cols = panel_columns(panel, encode_ids)
+    target_cols, text_cols = panel_columns(panel, encode_ids, spec)
     return fit_encoders(df, target_cols, text_cols, panel.label_col, spec)
 
 
-def panel_columns(panel: PanelSpec, encode_ids: bool = True) -> tuple[list[str], list[str]]:
+def panel_columns(panel: PanelSpec, encode_ids: bool = True, spec: EncoderSpec = EncoderSpec()) -> tuple[list[str], list[str]]:
     """The columns to target-encode and those with text."""
     target_cols, text_cols = route_columns(panel.high_cardinality_cols)
     if encode_ids:
         target_cols += [c for c in panel.numeric_id_cols if c not in target_cols]
-    return target_cols, text_cols
+    target_cols += [c for c in spec.ordered_cols if c not in target_cols]
+    return target_cols, [c for c in text_cols if c not in spec.ordered_cols]
 
 
 def fit_panel_encoders_folds(df: DataFrame, n_folds: int, panel: PanelSpec = PanelSpec(), spec: EncoderSpec = EncoderSpec()) -> list[Encoders]:
     """``fit_panel_encoders`` of the training rows of every fold; ``df`` carries ``first_train_fold`` and is read as often as for one."""
     check_method(spec)
-    target_cols, text_cols = (present(df, c) for c in panel_columns(panel))
+    target_cols, text_cols = (present(df, c) for c in panel_columns(panel, spec=spec))
     target: list = [None] * n_folds
     if target_cols:
         target = fit_target_encoding_folds(df, target_cols, panel.label_col, n_folds, spec)

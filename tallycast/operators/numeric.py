@@ -155,11 +155,35 @@ def _bisect(df: DataFrame, s: _Search) -> None:
         s.inside = 0
 
 
+# Size of a quantile sketch: its normalised rank error is about 2.3 / k ** 0.97, here 0.1 %.
+SKETCH_K = 4000
+
+
+def quantile_states(df: DataFrame, columns: Iterable[str], by: Iterable[str] = ()) -> DataFrame:
+    """``col``, ``sketch`` and ``n`` of each column: mergeable summaries of a few hundred kB at most, to be kept as a table."""
+    by = list(by)
+    named = df.select(*by, *[nan_to_null(F.col(c).cast("double")).alias(c) for c in columns])
+    long = named.unpivot(by, list(columns), "col", "value").filter(F.col("value").isNotNull())
+    return long.groupBy(*by, "col").agg(F.kll_sketch_agg_double("value", F.lit(SKETCH_K)).alias("sketch"), F.count(F.lit(1)).alias("n"))
+
+
+def merge_quantile_states(states: DataFrame, by: Iterable[str] = ()) -> DataFrame:
+    """The states of all periods, files or folds as one for each column (and ``by``)."""
+    return states.groupBy(*by, "col").agg(F.kll_merge_agg_double("sketch", F.lit(SKETCH_K)).alias("sketch"), F.sum("n").alias("n"))
+
+
+def state_quantiles(states: DataFrame, q: float = 0.5) -> DataFrame:
+    """Add ``value``, the quantile within the rank error of the sketch."""
+    return states.withColumn("value", F.kll_sketch_get_quantile_double("sketch", F.lit(q)))
+
+
 def fit_imputer(df: DataFrame, columns: Iterable[str], strategy: str = "median") -> dict[str, float]:
     """Fill value of each column that exists: median, mean, or 0 otherwise."""
     columns = present(df, columns)
     if strategy == "median":
         values = exact_quantile(df, columns)
+    elif strategy == "approx_median" and columns:
+        values = {r["col"]: r["value"] for r in state_quantiles(quantile_states(df, columns)).collect()}
     elif strategy == "mean" and columns:
         means = normalise_nan(df.select(*columns)).agg(*[F.avg(c).alias(c) for c in columns])
         values = means.first().asDict()
@@ -174,6 +198,12 @@ def fit_imputer_folds(df: DataFrame, columns: Iterable[str], n_folds: int, strat
     ``df`` carries ``first_train_fold``: a row counts for that fold and all later ones.
     """
     columns = present(df, columns)
+    if strategy == "approx_median" and columns:
+        known = df.filter(F.col("first_train_fold").isNotNull())
+        states = quantile_states(known, columns, ["first_train_fold"])
+        later = F.explode(F.sequence(F.col("first_train_fold"), F.lit(n_folds - 1)))
+        summed = state_quantiles(merge_quantile_states(states.withColumn("fold", later), ["fold"])).collect()
+        return [{r["col"]: r["value"] for r in summed if r["fold"] == fold} for fold in range(n_folds)]
     names = {f"_{i}_{fold}": (c, fold) for i, c in enumerate(columns) for fold in range(n_folds)}
     values = {
         name: F.when(F.col("first_train_fold") <= fold, nan_to_null(F.col(c).cast("double"))).alias(name)

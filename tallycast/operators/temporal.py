@@ -91,9 +91,12 @@ def temporal_features(
     tie_break: tuple[str, ...] = (),
     one_row_per_period: bool = True,
     blocks: int | None = None,
+    null_customers: bool = True,
 ) -> DataFrame:
     """Add calendar, lag, rolling, velocity and trend columns.
 
+    ``null_customers=False`` says that every row has a customer.
+
     A panel holds one row per customer and period, so a window partition is
     never longer than the calendar: all windows share one exchange and sort.
     Where rows are finer than that (``one_row_per_period=False``) one customer
@@ -105,6 +108,8 @@ def temporal_features(
     order = [F.col(date), *[F.col(t) for t in tie_break]]
     if one_row_per_period:
         w = Window.partitionBy(customer).orderBy(*[c.asc_nulls_last() for c in order])
+        if not null_customers:
+            return _windowed(flagged, customer, value, spec, w)
         keyed = _windowed(flagged.filter(F.col(customer).isNotNull()), customer, value, spec, w)
         # Rows without a customer get no features, so no window has to gather them.
         return keyed.unionByName(flagged.filter(F.col(customer).isNull()), allowMissingColumns=True)

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallycast.config import PipelineSpec
+from tallycast.functions.scalars import calendar
+from tallycast.operators.numeric import ids_to_categories
 from tallycast.plans.prepare import stateless_features
 from tallycast.plans.score import predicted
 from tallycast.plans.train import Forecaster
@@ -135,9 +137,14 @@ def features_with_history(rows: DataFrame, history: History, spec: PipelineSpec)
         F.transform("_rows", lambda r: F.struct(r.alias("row"), F.lit(True).alias("wanted"))),
         F.transform(past, lambda e: F.struct(blank(e).alias("row"), F.lit(False).alias("wanted"))),
     )
-    each = met.withColumn("_all", marked).select(F.inline_outer("_all")).select("row.*", F.col("wanted").alias("_wanted"))
-    found = stateless_features(each, spec).filter("_wanted").drop("_wanted")
-    return found.unionByName(stateless_features(rows.filter(F.col(customer).isNull()), spec))
+    # The customer stays the column that rows and history met by, so that windows find the rows where they are.
+    each = met.withColumn("_all", marked).select(customer, F.inline_outer("_all"))
+    columns = [F.col(customer) if c == customer else F.col("row")[c].alias(c) for c in rows.columns]
+    each = each.select(*columns, F.col("wanted").alias("_wanted"))
+    found = stateless_features(each, spec, null_customers=False).filter("_wanted").drop("_wanted")
+    # Rows without a customer have no features but those of the date.
+    rest = ids_to_categories(rows.filter(F.col(customer).isNull()), p.numeric_id_cols)
+    return found.unionByName(rest.withColumns(calendar(date)), allowMissingColumns=True)
 
 
 def score_with_history(rows: DataFrame, forecaster: Forecaster, history: History) -> DataFrame:

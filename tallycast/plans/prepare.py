@@ -12,6 +12,7 @@ from tallycast.config import PipelineSpec
 from tallycast.operators.encoders import Encoders, fit_panel_encoders, fit_panel_encoders_folds
 from tallycast.operators.models import FeatureLayout
 from tallycast.operators.numeric import fit_imputer, fit_imputer_folds, ids_to_categories, skew_transform
+from tallycast.operators.ordered_stats import ordered_target_stats
 from tallycast.operators.panel import dense_panel, forward_label, periodic_panel
 from tallycast.operators.temporal import temporal_features
 from tallycast.operators.text_encoding import TfidfEncoding
@@ -42,11 +43,11 @@ def build_panel(
     )
 
 
-def stateless_features(df: DataFrame, spec: PipelineSpec) -> DataFrame:
+def stateless_features(df: DataFrame, spec: PipelineSpec, null_customers: bool = True) -> DataFrame:
     """What needs no fit: ID categories and temporal features."""
     p = spec.panel
     named = ids_to_categories(df, p.numeric_id_cols)
-    return temporal_features(named, p.customer_col, p.date_col, p.value_col, spec.features)
+    return temporal_features(named, p.customer_col, p.date_col, p.value_col, spec.features, null_customers=null_customers)
 
 
 # The label on the training scale.
@@ -66,6 +67,12 @@ class Preprocessing:
         """``df`` already has the stateless features."""
         return self.encoders.apply(skew_transform(df, self.spec.panel.skewed_cols, self.fill))
 
+    def apply_training(self, df: DataFrame) -> DataFrame:
+        """As ``apply`` for the rows that were learned from: no row's label reaches its ordered columns."""
+        p, e = self.spec.panel, self.spec.encoders
+        keys = [p.customer_col, p.date_col]
+        return self.apply(ordered_target_stats(df, e.ordered_cols, p.label_col, keys, e) if e.ordered_cols else df)
+
 
 def fit_preprocessing(df: DataFrame, spec: PipelineSpec) -> Preprocessing:
     """Learn fill values and encodings from ``df`` only."""

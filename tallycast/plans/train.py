@@ -55,10 +55,10 @@ def labelled(features: DataFrame, spec: PipelineSpec) -> DataFrame:
     )
 
 
-def _vectors(df: DataFrame, prep: Preprocessing, assembler: PipelineModel | None = None):
+def _vectors(df: DataFrame, prep: Preprocessing, assembler: PipelineModel | None = None, training: bool = False):
     """Encoded and assembled rows with their keys; the assembler is reused if given."""
     p, m = prep.spec.panel, prep.spec.model
-    encoded = prep.apply(df)
+    encoded = prep.apply_training(df) if training else prep.apply(df)
     if assembler is None:
         assembler = prep.layout.fit_assembler(encoded, int(tree_params(m).get("maxBins", 32)))
     keep = [p.customer_col, p.date_col, p.label_col, TRAIN_LABEL]
@@ -94,7 +94,7 @@ def cross_validate(features: DataFrame, spec: PipelineSpec, *, early_stopping: b
     for fold, (prep, assembler) in zip(folds, fit_folds(rows, folds, spec)):
         train_rows = rows.filter(fold.trains(F.col(p.date_col)))
         test_rows = rows.filter(fold.tests(F.col(p.date_col)))
-        train, _ = _vectors(train_rows, prep, assembler)
+        train, _ = _vectors(train_rows, prep, assembler, training=True)
         test, _ = _vectors(test_rows, prep, assembler)
         train = train.persist(StorageLevel.MEMORY_AND_DISK)
         test = test.persist(StorageLevel.MEMORY_AND_DISK)
@@ -129,7 +129,7 @@ def fit_forecaster(features: DataFrame, spec: PipelineSpec, rounds: int | None =
     """Fit preprocessing and model on all labelled rows."""
     rows = labelled(features, spec)
     prep = fit_preprocessing(rows, spec)
-    train, assembler = _vectors(rows, prep)
+    train, assembler = _vectors(rows, prep, training=True)
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     model = fit_trees(train, TRAIN_LABEL, spec.model.with_rounds(rounds), prep.layout.names)
     train.unpersist()
