@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallycast.llm.keys import text_key, unused
+from tallycast.operators.lookup import BROADCAST_BYTES, row_bytes
 from tallycast.session import materialise
 
 WORDS = 5
@@ -24,8 +26,6 @@ SIMILARITY = 0.8
 BLOCKS, BLOCK_BITS, BLOCK_RADIUS = 8, 8, 2
 # Eight blocks with three bits wrong each would be 24: up to 23, some block is within two.
 RADIUS = BLOCKS * (BLOCK_RADIUS + 1) - 1
-# Tables derived from the items, or from the texts with a hit, are broadcast up to so many rows.
-BROADCAST_ROWS = 2_000_000
 WHITE = " \t\n\x0b\f\r"
 
 
@@ -86,14 +86,16 @@ def starts(shared: Column, n: Column, length: Column) -> Column:
 
 
 def _sized(table: DataFrame) -> DataFrame:
-    """Marked for broadcast if it is known to be small; otherwise it is shuffled."""
-    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+    """Marked for broadcast if its measured size is small; otherwise it is shuffled. ``table`` is read from disk or cheap."""
+    lists = [F.size(F.coalesce(c, F.array().cast(t))) * 8 for c, t in table.dtypes if t.startswith("array")]
+    size = table.agg(F.coalesce(F.sum(sum(lists, row_bytes(table))), F.lit(0))).first()[0]
+    return F.broadcast(table) if size <= BROADCAST_BYTES else table
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``text_key``, ``item_id``, ``start``, ``n_words``, ``similarity``: the best window of each different text for each item.
 
-    ``text_key`` is xxhash64 of the text; copies of a text are looked at once.
+    ``text_key`` is a 128-bit hash of the text; copies of a text are looked at once.
     ``start`` counts words from 0, the first of the best windows is named. A
     text shorter than an item is one window. Null and empty texts and items
     match nothing. Rows that share an ``item_id`` count as one item each, and
@@ -105,7 +107,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = materialise(items)
     known = materialise(items.select("length", F.explode("item_set").alias("shingle")).distinct())
 
-    texts = docs.select(F.xxhash64("text").alias("text_key"), words(F.col("text").cast("string")).alias("w"))
+    texts = docs.select(text_key("text").alias("text_key"), words(F.col("text").cast("string")).alias("w"))
     each = texts.filter(F.size("w") > 0).select("text_key", "w", F.size("w").alias("n"), F.explode(places(F.col("w"))).alias("place"))
     hits = each.select("text_key", "n", "place", shingle(F.col("w"), F.col("place")).alias("shingle")).join(_sized(known), "shingle")
     shared = hits.groupBy("text_key", "n", "length").agg(F.sort_array(F.collect_set("place")).alias("shared"))
@@ -115,7 +117,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     found = windows.groupBy("text_key").agg(F.collect_list(F.struct("start", "n_words")).alias("windows"))
     found = materialise(found)
-    whole = docs.select(F.xxhash64("text").alias("text_key"), F.col("text").cast("string"))
+    whole = docs.select(text_key("text").alias("text_key"), F.col("text").cast("string"))
     whole = whole.join(_sized(found.select("text_key")), "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
     whole = whole.join(found, "text_key").select("text_key", "windows", words(F.col("text")).alias("w"))
     whole = whole.select("text_key", "windows", F.transform(places(F.col("w")), lambda i: shingle(F.col("w"), i)).alias("all"))
@@ -155,12 +157,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     See :func:`matches`; every copy of a text has rows of its own, also under a null id.
     """
     found = materialise(matches(docs, benchmark))
-    keyed = docs.select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("text_key"))
+    keyed = docs.select(F.col("doc_id").cast("bigint"), text_key("text").alias("text_key"))
     return keyed.join(found, "text_key").drop("text_key")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no item; all columns stay."""
     found = materialise(matches(docs, benchmark).select("text_key").distinct())
-    keyed = docs.withColumn("_text_key", F.xxhash64("text"))
-    return keyed.join(found, keyed["_text_key"] == found["text_key"], "left_anti").drop("_text_key")
+    own, key = unused(docs, "_own_key", "_text_key")
+    keyed = docs.withColumn(own, text_key("text"))
+    return keyed.join(found.withColumnRenamed("text_key", key), F.col(own) == F.col(key), "left_anti").select(*docs.columns)

@@ -29,7 +29,9 @@ from pyspark.sql import functions as F
 
 from tallycast.llm.batches import blocks, ranges, texts_of
 from tallycast.llm.components import components
+from tallycast.llm.keys import text_key, unused
 from tallycast.llm.words import shingles_of, words_of
+from tallycast.operators.lookup import BROADCAST_BYTES, table_bytes
 from tallycast.session import materialise
 
 BLOCK = 4 << 20
@@ -43,8 +45,6 @@ COMPARISON = 16
 SALTS = 64
 # A sketch counts the shingles of a set by so many ranges of their hashes.
 SKETCH = 256
-# Classes to compare are found by a broadcast up to so many, else by a shuffle of the texts.
-BROADCAST_CLASSES = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -86,7 +86,7 @@ class _Tally:
         none = pa.nulls(int(often.sum()), pa.int64())
         found = [pa.array(self.values[often].view(np.int64)), pa.array(self.counts[often])]
         blank = pa.nulls(len(none), pa.binary())
-        return pa.RecordBatch.from_arrays([none, none, none, none, blank, pa.array([kind] * len(none), pa.string()), *found], NAMES)
+        return pa.RecordBatch.from_arrays([none, blank, none, none, blank, pa.array([kind] * len(none), pa.string()), *found], NAMES)
 
 
 def _sketch(shingles: np.ndarray) -> bytes:
@@ -98,7 +98,7 @@ def _class(shingles: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-ROWS = "doc_id bigint, text_key bigint, n bigint, class bigint, sketch binary, kind string, value bigint, seen bigint"
+ROWS = "doc_id bigint, text_key binary, n bigint, class bigint, sketch binary, kind string, value bigint, seen bigint"
 NAMES = ["doc_id", "text_key", "n", "class", "sketch", "kind", "value", "seen"]
 
 
@@ -154,8 +154,8 @@ def extension(seen: np.ndarray, first: int, most: int) -> int:
 
 
 def _postings(spec: Spec, order: Order):
-    """The prefix entries of each class, once in a task: shingle, class, size, place, L, salt."""
-    names = ["shingle", "class", "n", "place", "need", "salt"]
+    """The prefix entries of each class, once in a task: shingle, class, size, place, L, share of common shingles, salt."""
+    names = ["shingle", "class", "n", "place", "need", "pop", "salt"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()
@@ -182,21 +182,26 @@ def _postings(spec: Spec, order: Order):
                 done.add(name)
                 n, overlap = len(s), spec.overlap(len(s))
                 least = n - overlap + 1
+                pop = 1000 * int(np.count_nonzero(seen[a:b][at])) // n
                 at = at[np.argsort(keys[a:b][at], kind="stable")][: least + LONGEST_EXTENSION - 1] + a
                 known = seen[at]
                 need = extension(known, least, overlap) if known.any() else 1
                 at, known = at[: least + need - 1], known[: least + need - 1]
                 k = len(at)
                 salt = np.where(known > 0, 1 + name % SALTS, 0)
-                out.append((hashes[at].view(np.int64), np.full(k, name), np.full(k, n), np.arange(k), np.full(k, need), salt))
+                out.append((hashes[at].view(np.int64), np.full(k, name), np.full(k, n), np.arange(k), np.full(k, need), np.full(k, pop), salt))
             if out:
                 columns = [np.concatenate(c) for c in zip(*out)]
-                types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32()]
+                types = [pa.int64(), pa.int64(), *[pa.int32()] * 5]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
     return run
 
 
+LISTED = ["shingle", "class", "n", "place", "need", "pop"]
+LIST_DDL = "shingle bigint, class bigint, n int, place int, need int, pop int"
+
+
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of entries sorted by shingle and class: one for each pair of them, if the shingle has several classes or is common."""
     held = None
@@ -214,9 +219,9 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if keep[last]:
             held = held.set_column(held.schema.get_field_index("salt"), "salt", pa.array([max(1, int(salt[last]))], pa.int32()))
         keep[last] = False
-        yield from both.filter(pa.array(keep)).select(["shingle", "class", "n", "place", "need"]).to_batches()
+        yield from both.filter(pa.array(keep)).select(LISTED).to_batches()
     if held is not None and held.column("salt")[0].as_py():
-        yield held.select(["shingle", "class", "n", "place", "need"])
+        yield held.select(LISTED)
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,7 +242,7 @@ def _sets_of(docs: DataFrame, spec: Spec, rows: DataFrame, wanted: DataFrame) ->
     """``class`` and ``set`` (sorted hashes as bytes) of the wanted classes."""
     one = rows.join(wanted, "class").groupBy("class").agg(F.min("text_key").alias("text_key"))
     one = materialise(one)
-    small = one.count() <= BROADCAST_CLASSES
+    small = table_bytes(one) <= BROADCAST_BYTES
     texts = docs.join(F.broadcast(one) if small else one, "text_key").select("class", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,7 +300,7 @@ def classes(docs: DataFrame, spec: Spec = Spec()) -> tuple[DataFrame, DataFrame]
     ``total`` of verified links, enough of them to connect all that is connected.
     """
     source = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    source = source.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
+    source = source.withColumn("text_key", text_key("text"))
     seen = materialise(source.mapInArrow(_rows(spec.words), ROWS))
     rows = seen.filter("seen is null").select("doc_id", "text_key", "n", "class")
     # Several tasks may have met a class; their sketches are equal.
@@ -310,11 +315,9 @@ def classes(docs: DataFrame, spec: Spec = Spec()) -> tuple[DataFrame, DataFrame]
         return values[np.argsort(values)], often[np.argsort(values)]
 
     order = Order(most_common("shingle"), most_common("word"))
-    entries = source.select("text").mapInArrow(
-        _postings(spec, order), "shingle bigint, class bigint, n int, place int, need int, salt int"
-    )
+    entries = source.select("text").mapInArrow(_postings(spec, order), LIST_DDL + ", salt int")
     spread = entries.repartition("shingle", "salt").sortWithinPartitions("shingle", "class")
-    lists = materialise(spread.mapInArrow(_shared, "shingle bigint, class bigint, n int, place int, need int"))
+    lists = materialise(spread.mapInArrow(_shared, LIST_DDL))
     lists = materialise(lists.join(_ends(lists, "n").select("shingle"), "shingle", "left_semi"))
     # Nothing that stands before a class's first shared entry is shared: at most n - first shingles are.
     firsts = lists.groupBy("class").agg(F.min("place").alias("first"))
@@ -348,28 +351,41 @@ def classes(docs: DataFrame, spec: Spec = Spec()) -> tuple[DataFrame, DataFrame]
     low = F.col("low.class")
     left = unconnected(lists).withColumns({"a": F.least("class", low), "b": F.greatest("class", low)}).join(far, ["a", "b"], "left")
     left = left.withColumn("far", F.when(F.col("class") == low, 0.0).otherwise(F.col("far")))
-    left = materialise(left.select("shingle", "class", "n", "first", "place", "need", "root", "far"))
-    names = {"class": "other", "n": "m", "first": "start", "place": "at", "need": "ask", "root": "end", "far": "away"}
+    left = materialise(left.select("shingle", "class", "n", "place", "need", "root", "far"))
+    names = {"class": "other", "n": "m", "place": "at", "need": "ask", "root": "end", "far": "away"}
     other = left.select("shingle", *[F.col(c).alias(d) for c, d in names.items()])
     ask = F.least("need", "ask")
 
-    def reached(n: str, place: str) -> Column:
-        """Whether the shingle is in the prefix that belongs to the smaller L."""
-        return F.col(place) < F.col(n) - F.ceil(F.col(n) * spec.part / spec.whole) + ask
+    def limit(n: str) -> Column:
+        """The length of the prefix that belongs to the smaller L."""
+        return F.col(n) - F.ceil(F.col(n) * spec.part / spec.whole) + ask
 
     apart = F.coalesce(F.abs(F.col("far") - F.col("away")), F.lit(0.0))
     near = apart <= 1 - spec.part / spec.whole + 1e-9
-    pairs = left.join(other, "shingle").filter("class < other and root <> end")
-    pairs = pairs.filter(fits("n", "first", "m", "start") & near & reached("n", "place") & reached("m", "at"))
-    pairs = pairs.groupBy(F.col("class").alias("a"), F.col("other").alias("b")).agg(F.count(F.lit(1)).alias("k"), F.max(ask).alias("ask"))
-    pairs = pairs.filter("k >= ask").join(tested, ["a", "b"], "left_anti")
+    reached = (F.col("place") < limit("n")) & (F.col("at") < limit("m"))
+    # Two sets share nothing before their first shared shingle, so a pair is listed
+    # only by a shingle from which on both are still long enough.
+    met = left.join(other, "shingle").filter((F.col("class") < F.col("other")) & (F.col("root") != F.col("end")) & near & reached & fits("n", "place", "m", "at"))
+    met = met.select(F.col("class").alias("a"), F.col("other").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
+    # Such a pair has to share as many entries of its prefixes as the smaller L asks for.
+    prefix = left.groupBy("class").agg(F.first("n").alias("n"), F.first("need").alias("need"), F.collect_list(F.struct("shingle", "place")).alias("entries"))
+    ends = prefix.toDF("a", "n", "need", "entries"), prefix.toDF("b", "m", "ask", "others")
+    shingles = lambda entries, n: F.transform(F.filter(entries, lambda e: e["place"] < limit(n)), lambda e: e["shingle"])
+    pairs = met.join(ends[0], "a").join(ends[1], "b").filter(F.size(F.array_intersect(shingles("entries", "n"), shingles("others", "m"))) >= ask)
+    pairs = pairs.select("a", "b")
     return rows, tested.unionByName(_verify(pairs, texts, spec, rows, sketches)).filter(linked)
 
 
 def _ends(lists: DataFrame, *columns: str) -> DataFrame:
-    """The lowest and the highest class of each list that has more than one."""
-    ends = [f(F.struct("class", *columns)).alias(c) for f, c in ((F.min, "low"), (F.max, "high"))]
-    return lists.groupBy("shingle").agg(*ends).filter("low.class < high.class")
+    """Two classes of each list that has more than one: that with most common shingles, and the highest.
+
+    Of copies that were changed in different places, the text that they come
+    from has most shingles in common with all others.
+    """
+    low, high = F.max(F.struct("pop", "class", *columns)), F.max(F.struct("class", *columns))
+    several = F.min("class") < F.max("class")
+    ends = lists.groupBy("shingle").agg(low.alias("low"), high.alias("high"), several.alias("_several"))
+    return ends.filter("_several").drop("_several")
 
 
 def _rooted(lists: DataFrame, roots: DataFrame) -> DataFrame:
@@ -410,12 +426,13 @@ def one_of_each(docs: DataFrame, spec: Spec = Spec()) -> DataFrame:
     seen = rooted.join(first, "root").groupBy("mark").agg((F.first("mark") == F.first("first")).alias("stays"), F.count(F.lit(1)).alias("n"))
     # Those that go, and those of which more than one row would stay.
     special = materialise(seen.filter("not stays or n > 1").select("mark.none", "mark.doc_id", "mark.text_key", "stays"))
-    special = special.withColumnsRenamed({"doc_id": "_id", "text_key": "_key", "none": "_none"})
-    if special.count() <= BROADCAST_CLASSES:
+    key, id_, key_, none, stays = unused(docs, "_text_key", "_id", "_key", "_none", "_stays")
+    special = special.withColumnsRenamed({"doc_id": id_, "text_key": key_, "none": none, "stays": stays})
+    if table_bytes(special) <= BROADCAST_BYTES:
         special = F.broadcast(special)
-    keyed = docs.withColumn("_text_key", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))
+    keyed = docs.withColumn(key, text_key("text"))
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col(id_)) & (F.col(key) == F.col(key_))
     marked = keyed.join(special, same, "left")
-    alone = marked.filter("stays is null").select(*docs.columns)
-    repeated = marked.filter("stays").dropDuplicates(["_id", "_key"]).select(*docs.columns)
+    alone = marked.filter(F.col(stays).isNull()).select(*docs.columns)
+    repeated = marked.filter(F.col(stays)).dropDuplicates([id_, key_]).select(*docs.columns)
     return alone.unionByName(repeated)

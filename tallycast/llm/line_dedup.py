@@ -26,13 +26,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallycast.llm.batches import blocks, text_bytes, texts_of
+from tallycast.llm.keys import text_key, unused
 from tallycast.llm.words import words_of
 from tallycast.session import materialise
 
 MIN_WORDS = 50
 BLOCK = 2 << 20
 KEY = ["doc", "text_key"]
-LINE = "doc bigint, text_key bigint, i int, line int, h1 bigint, h2 bigint, words int, ahead int, back int"
+LINE = "doc bigint, text_key binary, i int, line int, h1 bigint, h2 bigint, words int, ahead int, back int"
 # Stands for a null id in the order of documents: last.
 LAST = (1 << 63) - 1
 
@@ -98,7 +99,7 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """
     source = docs.select(
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("doc"),
-        F.xxhash64("text").alias("text_key"),
+        text_key("text").alias("text_key"),
         F.col("text").cast("string"),
     )
     # Rows alike in id and text are one document.
@@ -172,13 +173,15 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     All columns stay, and ``n_chars`` follows the text where there is one.
     Documents that lose nothing are unchanged, empty ones included.
     """
-    gone = repeated_lines(docs, min_words).groupBy(*KEY).agg(F.collect_set("line").alias("_gone"))
-    gone = materialise(gone).withColumnsRenamed({"doc": "_doc", "text_key": "_text_key"})
-    keyed = docs.withColumns({"_d": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)), "_t": F.xxhash64("text")})
-    both = keyed.join(gone, (F.col("_d") == F.col("_doc")) & (F.col("_t") == F.col("_text_key")), "left")
-    kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_gone", i))
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    out = both.withColumn("text", text).filter(F.col("_gone").isNull() | F.col("text").rlike(r"[^ \t\n\x0B\f\r]"))
+    gone_, doc, key, own_doc, own_key = unused(docs, "_gone", "_doc", "_text_key", "_own_doc", "_own_key")
+    gone = repeated_lines(docs, min_words).groupBy(*KEY).agg(F.collect_set("line").alias(gone_))
+    gone = materialise(gone.withColumnsRenamed({"doc": doc, "text_key": key}))
+    keyed = docs.withColumns({own_doc: F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)), own_key: text_key("text")})
+    both = keyed.join(gone, (F.col(own_doc) == F.col(doc)) & (F.col(own_key) == F.col(key)), "left")
+    kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(gone_, i))
+    whole = F.col(gone_).isNull()
+    text = F.when(whole, F.col("text")).otherwise(F.array_join(kept, "\n"))
+    out = both.withColumn("text", text).filter(whole | F.col("text").rlike(r"[^ \t\n\x0B\f\r]"))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.length("text")))
+        out = out.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(F.length("text")))
     return out.select(*docs.columns)

@@ -3,7 +3,7 @@
 import re
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, part int, seq int, n int, length int, class string, score double, rank int"
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, part int, seq int, n int, length int, class string, score double, rank int, stays string, _key string, _id string, _none string, _D string, _t string, _doc string, _gone string, _text_key string"
 
 
 def words(text):
@@ -33,7 +33,7 @@ def tricky_texts():
 
 
 def tricky_docs(spark, texts=None):
-    rows = [(d, t, "en", "src0", len(t or ""), 1, 2, 3, 4, "c", 0.5, 1) for d, t in (tricky_texts() if texts is None else texts)]
+    rows = [(d, t, "en", "src0", len(t or ""), 1, 2, 3, 4, "c", 0.5, 1, *"abcdefghi") for d, t in (tricky_texts() if texts is None else texts)]
     return spark.createDataFrame(rows, SCHEMA)
 
 
