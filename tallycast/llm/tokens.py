@@ -2,7 +2,8 @@
 
 Most of a corpus repeats the same words, so each different word is encoded
 once. Texts are cut only where the tokenizer's own splitting pattern always
-cuts; a text for which that isn't certain is encoded as one piece.
+cuts; a text for which that isn't certain, or that holds the string of an added
+token, is encoded as one piece. Ids are those of the library's plain call.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ import json
 import os
 import re
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -18,9 +20,10 @@ import pyarrow.compute as pc
 
 from tallycast.llm.batches import ranges
 
-# The encoder forgets its words beyond this many ids or words.
+# The encoder forgets words beyond this many ids or words, but for the first it met, which are the commonest.
 CACHE_IDS = 5_000_000
 CACHE_WORDS = 500_000
+KEPT_WORDS = 100_000
 CUT = "\x01"
 # So many new words are encoded as one text.
 TOGETHER = 200
@@ -52,28 +55,33 @@ def cutting(spec: dict) -> str:
 
 
 class Encoder:
-    """Encodes arrays of texts; special tokens in a text are ordinary text."""
+    """Encodes arrays of texts as the library does one by one."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as file:
-            self._cutting = cutting(json.load(file))
+            spec = json.load(file)
+        self._cutting = cutting(spec)
+        self._added = [t["content"] for t in spec.get("added_tokens") or [] if t["content"]]
         self._mark = MARKS.get(self._cutting, "")
         alone = self._tokenizer.encode(self._mark, add_special_tokens=False).ids
         self._mark_id = alone[0] if len(alone) == 1 else None
-        self.forget()
-
-    def forget(self) -> None:
-        """Drop the words learned so far; a task that is done leaves none behind."""
         self._places: dict[str, int] = {}
         self._ids = np.zeros(0, np.uint32)
         self._starts = np.zeros(0, np.int64)
         self._lengths = np.zeros(0, np.int64)
 
+    def forget(self, kept: int = KEPT_WORDS) -> None:
+        """Keep only the words learned first; a task that is done leaves no more behind."""
+        if len(self._places) <= kept:
+            return
+        self._places = dict(islice(self._places.items(), kept))
+        self._starts, self._lengths = self._starts[:kept].copy(), self._lengths[:kept].copy()
+        self._ids = self._ids[: int(self._lengths.sum())].copy()
+
     def _learn(self, words: list[str]) -> None:
         """Encode new words, many at a time as one text with a mark between them."""
         if self._mark_id is None:
@@ -118,14 +126,30 @@ class Encoder:
         """All ids in one array, and the number of ids of each text."""
         if not len(texts):
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        if pc.any(pc.match_substring(texts, CUT)).as_py():
-            return self._all_ids(texts.to_pylist())
+        whole = pc.match_substring(texts, CUT)
+        for added in self._added:
+            whole = pc.or_(whole, pc.match_substring(texts, added, ignore_case=True))
+        whole = whole.to_numpy(zero_copy_only=False)
+        if not whole.any():
+            return self._cut(texts)
+        parts = [self._all_ids(texts.filter(pa.array(whole)).to_pylist()), self._cut(texts.filter(pa.array(~whole)))]
+        lengths = np.zeros(len(texts), np.int64)
+        lengths[whole], lengths[~whole] = parts[0][1], parts[1][1]
+        ids, ends = np.empty(int(lengths.sum()), np.uint32), np.cumsum(lengths)
+        for (found, sizes), places in zip(parts, (whole, ~whole)):
+            ids[ranges(ends[places] - sizes, sizes)] = found
+        return ids, lengths
+
+    def _cut(self, texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``encode``, for texts that may be cut."""
+        if not len(texts):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         pieces = self._pieces(texts)
         offsets = pieces.offsets.to_numpy()
         coded = pieces.flatten().dictionary_encode()
         words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self._ids) > CACHE_IDS or len(self._places) > CACHE_WORDS:
-            self.forget()
+            self.forget()  # before new words are learned, as places change
         if new := [w for w in words if w not in self._places]:
             self._learn(new)
         place = np.fromiter(map(self._places.__getitem__, words), np.int64, len(words))

@@ -36,11 +36,11 @@ def deleted(order, numbered, least):
 
 def check(spark, texts, least):
     docs = tricky_docs(spark, texts)
-    keys = docs.selectExpr("doc_id", "text", "xxhash64(text) AS k").distinct().collect()
-    keyed = {((L.LAST if r.doc_id is None else r.doc_id), r.text): r.k for r in keys}
+    keys = docs.selectExpr("doc_id", "text", "unhex(md5(coalesce(text, ''))) AS k").distinct().collect()
+    keyed = {((L.LAST if r.doc_id is None else r.doc_id), r.text): bytes(r.k) for r in keys}
     order = sorted(keyed, key=lambda key: (key[0], keyed[key]))
     want = {(d, keyed[d, t], line) for (d, t), line in deleted(order, gone_by_hand(texts, least), least)}
-    got = {(r.doc, r.text_key, r.line) for r in L.repeated_lines(docs, least).collect()}
+    got = {(r.doc, bytes(r.text_key), r.line) for r in L.repeated_lines(docs, least).collect()}
     assert got == want
     return docs, want, keyed
 

@@ -64,7 +64,6 @@ def test_decontamination(spark, sf_dir, stages):
 
 def test_packing(stages):
     tokenizer = Tokenizer.from_file(P.TOKENIZER)
-    tokenizer.encode_special_tokens = True
     want = Counter()
     for d, t in texts(stages[4]).items():
         ids = tokenizer.encode(t, add_special_tokens=False).ids + [P.END_ID]

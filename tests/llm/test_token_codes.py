@@ -20,7 +20,6 @@ ENCODERS = {p: Encoder(p) for p in (BYTE, WORD)}
 
 def plain(path, texts):
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     return [e.ids for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
@@ -33,6 +32,26 @@ def test_round_trip_and_random_access(ids):
     assert token_codes.ids_at(codes, places).tolist() == ids[::-1]
 
 
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_strings_of_added_tokens(path):
+    """They have ids of their own, wherever they stand and however they are written."""
+    marks = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext|"]
+    texts = [f"hi {m} x" for m in marks] + [f"a{m}{m}b. {m}" for m in marks] + ["plain text.", "", "plain, text"]
+    ids, sizes = Encoder(path).encode(pa.array(texts, pa.large_string()))
+    assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == plain(path, texts)
+    assert plain(path, ["<|endoftext|>"])[0] in ([50256], [49407])
+
+
+def test_common_words_are_kept():
+    texts = pa.array([f"one two three w{i} v{i}" for i in range(3000)], pa.large_string())
+    encoder = Encoder(BYTE)
+    want = encoder.encode(texts)
+    encoder.forget(50)
+    assert len(encoder._places) == 50 and encoder._places.keys() >= {"one", " two", " three"}
+    again = encoder.encode(texts)
+    assert all((a == b).all() for a, b in zip(want, again))
+
+
 @pytest.mark.parametrize("path", [BYTE, WORD])
 @given(texts=st.lists(st.text(alphabet="aBé .,!\n\t~\x01 'sΣ日1", max_size=40), min_size=1, max_size=8))
 @settings(max_examples=80, deadline=None)
