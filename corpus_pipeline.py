@@ -15,33 +15,47 @@ from pyspark.sql import functions as F
 from tallycast.llm import decontaminate, jaccard, language, line_dedup, packing
 from tallycast.session import materialise
 
+# Rows that executors and Python workers hand over at once. Texts may be long, and
+# both sides hold a batch several times, so the default of 10,000 is too many.
+BATCH_ROWS = 1000
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 0
 
 
+def small_batches(spark: SparkSession) -> None:
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with letters, in one or more languages, by a model of those with a known ``lang``."""
+    small_batches(spark)
     found = language.predict(docs, language.fit(docs))
     return found.filter(F.col("lang_pred") != language.UNKNOWN).select(*docs.columns)
 
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the later copies of line runs of 50 words or more."""
+    small_batches(spark)
     return line_dedup.without_repeats(docs)
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group whose sets of five-word shingles are at least 0.8 alike."""
+    small_batches(spark)
     return jaccard.one_of_each(docs, jaccard.Spec(words=5, part=80, whole=100))
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
+    small_batches(spark)
     return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents that are left, with their places in sequences of at most 2048 tokens."""
+    small_batches(spark)
     return packing.pack(docs, TOKENIZER, END_ID)
 
 
