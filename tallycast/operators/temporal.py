@@ -20,6 +20,10 @@ STATS: dict[str, Callable[[Column], Column]] = {
     "max": F.max,
 }
 
+# Rows without a customer are spread over so many groups.
+SALT, SPREAD = "_salt", 4096
+
+
 def lag_name(value: str, n: int, seasonal: bool = False) -> str:
     return f"{value}_lag_{n}m" + ("_seasonal" if seasonal else "")
 
@@ -107,12 +111,13 @@ def temporal_features(
     flagged = df.withColumns(calendar(date))
     order = [F.col(date), *[F.col(t) for t in tie_break]]
     if one_row_per_period:
-        w = Window.partitionBy(customer).orderBy(*[c.asc_nulls_last() for c in order])
+        order = [c.asc_nulls_last() for c in order]
         if not null_customers:
-            return _windowed(flagged, customer, value, spec, w)
-        keyed = _windowed(flagged.filter(F.col(customer).isNotNull()), customer, value, spec, w)
-        # Rows without a customer get no features, so no window has to gather them.
-        return keyed.unionByName(flagged.filter(F.col(customer).isNull()), allowMissingColumns=True)
+            return _windowed(flagged, customer, value, spec, Window.partitionBy(customer).orderBy(*order))
+        # Rows without a customer get no features; they are spread, so that no window has to gather them.
+        spread = F.when(F.col(customer).isNull(), F.pmod(F.xxhash64(date, value), F.lit(SPREAD)))
+        w = Window.partitionBy(customer, SALT).orderBy(*order)
+        return _windowed(flagged.withColumn(SALT, spread), customer, value, spec, w).drop(SALT)
     return in_row_blocks(
         flagged,
         key=customer,

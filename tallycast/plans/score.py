@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallycast.functions.scalars import clip_low, log_target
@@ -13,12 +13,15 @@ from tallycast.plans.train import Forecaster
 from tallycast.sources.writers import write_scores
 
 
-def score(rows: DataFrame, forecaster: Forecaster, history: DataFrame | None = None) -> DataFrame:
+def score(
+    rows: DataFrame, forecaster: Forecaster, history: DataFrame | None = None, keys: DataFrame | None = None
+) -> DataFrame:
     """Predictions for ``rows``: customer, date and ``log1p`` of the forecast.
 
     Lags reach back before the rows to score, so features are built over
     ``history`` and the rows together and only then cut to the rows. The output
-    is clipped at a forecast of zero.
+    is clipped at a forecast of zero. ``keys`` may name the customers and dates
+    of the rows once more, where the rows themselves are to be read once.
     """
     spec = forecaster.spec
     p = spec.panel
@@ -27,7 +30,7 @@ def score(rows: DataFrame, forecaster: Forecaster, history: DataFrame | None = N
     if history is not None:
         shared = [c for c in columns if c in history.columns]
         # A row to score that history holds as well is one row.
-        known = rows.select(p.customer_col, p.date_col).distinct()
+        known = (rows if keys is None else keys).select(p.customer_col, p.date_col).distinct()
         past = history.select(*shared).join(known, [p.customer_col, p.date_col], "left_anti")
         past = past.withColumn("_wanted", F.lit(False))
         both = both.unionByName(past, allowMissingColumns=True)
@@ -77,9 +80,19 @@ def score_to_file(
     fmt: str = "csv",
     expected: int | None = None,
 ) -> int:
-    """Score, write, and check that what was written lost or gained no row; returns the row count."""
+    """Score, write, and check that what was written lost or gained no row; returns the row count.
+
+    Both counts are taken while the scores are written. Work that Spark repeats
+    after a failure may be counted twice, so counts that differ are taken again,
+    from the input and from what was written, before an error is raised.
+    """
     p = forecaster.spec.panel
-    scores = score(rows, forecaster, history)
-    write_scores(scores, path, p.customer_col, p.label_col, fmt)
-    written = rows.sparkSession.read.option("header", True).format(fmt).load(path)
-    return check_row_count(rows, written, expected)
+    seen, done = Observation(), Observation()
+    number = F.count(F.lit(1)).alias("n")
+    scores = score(rows.observe(seen, number), forecaster, history, rows)
+    write_scores(scores.observe(done, number), path, p.customer_col, p.label_col, fmt)
+    written, wanted = done.get["n"], seen.get["n"] if expected is None else expected
+    if written == wanted:
+        return written
+    back = rows.sparkSession.read.option("header", True).format(fmt).load(path)
+    return check_row_count(rows, back, expected)

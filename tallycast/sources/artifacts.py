@@ -1,4 +1,4 @@
-"""Save and load a forecaster: a model directory, Parquet tables, settings."""
+"""Save and load a forecaster: a model directory, Parquet tables and settings in a folder for each version."""
 
 from __future__ import annotations
 
@@ -17,6 +17,7 @@ from tallycast.operators.target_encoding import TargetEncoding
 from tallycast.operators.text_encoding import HashEncoding, TfidfEncoding
 from tallycast.plans.prepare import Preprocessing, tfidf_rows
 from tallycast.plans.train import Forecaster
+from tallycast.sources.versions import check_manifest, current_version, new_version, point_to, write_manifest
 
 SPECS = {"panel": PanelSpec, "features": FeatureSpec, "encoders": EncoderSpec, "cv": CvSpec, "model": ModelSpec}
 
@@ -31,6 +32,19 @@ def _tuples(value):
 
 
 def save_forecaster(forecaster: Forecaster, path: str, spark: SparkSession) -> None:
+    """Write a new version beside the older ones; only when it is whole does ``path`` name it.
+
+    A save that is cut short leaves the version before it in force. Old versions
+    stay until they are removed.
+    """
+    version = new_version()
+    folder = f"{path}/{version}"
+    _write_parts(forecaster, folder, spark)
+    write_manifest(spark, folder)
+    point_to(spark, path, version)
+
+
+def _write_parts(forecaster: Forecaster, path: str, spark: SparkSession) -> None:
     prep, model = forecaster.preprocessing, forecaster.model
     target = prep.encoders.target
     settings = {
@@ -60,6 +74,9 @@ def save_forecaster(forecaster: Forecaster, path: str, spark: SparkSession) -> N
 
 
 def load_forecaster(path: str, spark: SparkSession) -> Forecaster:
+    """The newest whole version; files that are not as they were written raise an error."""
+    path = f"{path}/{current_version(spark, path)}"
+    check_manifest(spark, path)
     settings = json.loads(spark.read.parquet(f"{path}/settings").first()[0])
     parts = {}
     for name, cls in SPECS.items():
@@ -91,12 +108,15 @@ def load_forecaster(path: str, spark: SparkSession) -> Forecaster:
 
 def save_ensemble(forecasters: list[Forecaster], path: str, spark: SparkSession, weights: list[float] | None = None) -> None:
     """Each forecaster in a folder of its own, and the weights."""
+    version = new_version()
     for i, forecaster in enumerate(forecasters):
-        save_forecaster(forecaster, f"{path}/{i}", spark)
+        save_forecaster(forecaster, f"{path}/{version}/{i}", spark)
     settings = json.dumps({"models": len(forecasters), "weights": weights})
-    _overwrite(spark.createDataFrame([(settings,)], "settings string"), f"{path}/ensemble")
+    _overwrite(spark.createDataFrame([(settings,)], "settings string"), f"{path}/{version}/ensemble")
+    point_to(spark, path, version)
 
 
 def load_ensemble(path: str, spark: SparkSession) -> tuple[list[Forecaster], list[float] | None]:
+    path = f"{path}/{current_version(spark, path)}"
     settings = json.loads(spark.read.parquet(f"{path}/ensemble").first()[0])
     return [load_forecaster(f"{path}/{i}", spark) for i in range(settings["models"])], settings["weights"]

@@ -6,8 +6,10 @@ from dataclasses import asdict, replace
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
+from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.param.shared import HasInputCol, HasInputCols, HasLabelCol
+from pyspark.ml.param.shared import HasInputCol, HasInputCols, HasLabelCol, HasPredictionCol
+from pyspark.ml.tuning import CrossValidator
 from pyspark.ml.util import (
     DefaultParamsReadable,
     DefaultParamsReader,
@@ -19,8 +21,12 @@ from pyspark.ml.util import (
     MLWriter,
 )
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallycast.config import EncoderSpec, FeatureSpec
+from tallycast.config import CvSpec, EncoderSpec, FeatureSpec
+from tallycast.functions.scalars import unlog_target
+from tallycast.operators.folds import fold_columns, rolling_folds
+from tallycast.operators.metrics import rmsle
 from tallycast.operators.numeric import fit_imputer, ids_to_categories, skew_transform
 from tallycast.operators.target_encoding import TargetEncoding, fit_target_encoding
 from tallycast.operators.temporal import temporal_features
@@ -272,3 +278,69 @@ class TextEncode(Estimator, HasInputCol, DefaultParamsReadable, DefaultParamsWri
         if get("method") == "hashing":
             return TextEncodeModel(HashEncoding(self.getInputCol(), spec))
         raise ValueError(f"method must be 'tfidf' or 'hashing', not {get('method')!r}")
+
+
+class RmsleEvaluator(Evaluator, HasLabelCol, HasPredictionCol, DefaultParamsReadable, DefaultParamsWritable):
+    """Root mean squared difference of ``log1p`` values; predictions are clipped at zero."""
+
+    logScale = _param("logScale", "label and prediction are log1p values already", TypeConverters.toBoolean)
+
+    @keyword_only
+    def __init__(self, *, labelCol="label", predictionCol="prediction", logScale=False):
+        super().__init__()
+        self._setDefault(logScale=False)
+        self._set(**self._input_kwargs)
+
+    def _evaluate(self, dataset: DataFrame) -> float:
+        label, prediction = self.getLabelCol(), self.getPredictionCol()
+        on_log = self.getOrDefault("logScale")
+        pairs = dataset.select(unlog_target(label, on_log).alias("_truth"), unlog_target(prediction, on_log).alias("_forecast"))
+        return pairs.agg(rmsle("_truth", "_forecast")).first()[0]
+
+    def isLargerBetter(self) -> bool:
+        return False
+
+
+class RollingOriginFolds(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """Add ``first_train_fold`` and ``test_fold``: from which fold on a row trains, and which fold it tests."""
+
+    dateCol = _param("dateCol", "period of the row", TypeConverters.toString)
+    numFolds = _param("numFolds", "folds", TypeConverters.toInt)
+    gap = _param("gap", "periods between training and testing", TypeConverters.toInt)
+    minTrain = _param("minTrain", "periods before the first test", TypeConverters.toInt)
+    grain = _param("grain", "length of a period", TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, *, dateCol=None, numFolds=None, gap=None, minTrain=None, grain=None):
+        super().__init__()
+        cv = CvSpec()
+        self._setDefault(dateCol="transaction_date", numFolds=cv.n_splits, gap=cv.gap, minTrain=cv.min_train, grain="month")
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        get = self.getOrDefault
+        cv = CvSpec(n_splits=get("numFolds"), gap=get("gap"), min_train=get("minTrain"))
+        found = rolling_folds(dataset, get("dateCol"), cv, get("grain"))
+        # Folds that the data leave out would be holes in the numbers.
+        return fold_columns(dataset, get("dateCol"), [replace(f, fold=k) for k, f in enumerate(found)])
+
+
+class RollingOriginValidator(CrossValidator):
+    """A ``CrossValidator`` whose folds train on the past only.
+
+    ``foldCol`` is the test fold of a row, as ``RollingOriginFolds`` adds it
+    (null: the row tests nothing), and ``first_train_fold`` stands beside it.
+    Parameter grids, parallel fits, saving and loading are Spark's own.
+    """
+
+    FIRST = "first_train_fold"
+
+    def _kFold(self, dataset: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+        tests = self.getFoldCol() or "test_fold"
+        folds = []
+        for k in range(self.getNumFolds()):
+            train, test = dataset.filter(F.col(self.FIRST) <= k), dataset.filter(F.col(tests) == k)
+            if train.isEmpty() or test.isEmpty():
+                raise ValueError(f"fold {k} has no rows to train on or to test")
+            folds.append((train, test))
+        return folds
