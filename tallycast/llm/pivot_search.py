@@ -16,6 +16,7 @@ first, and a task raises the scores as it goes. Scores are exact integers.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,7 +30,8 @@ from tallycast.session import materialise
 
 # Pivots and ranges are fitted on so many rows, chosen by a hash; every row is indexed.
 FIT_ROWS = 4096
-PIVOTS, RINGS = 16, 16
+# Pivots grow with the root of the rows, so that cells stay small against them.
+LEAST_PIVOTS, MOST_PIVOTS, RINGS = 16, 256, 16
 BLOCK_ROWS = 1024
 PACK_ROWS = 256
 # Cells that are visited for a first score.
@@ -38,7 +40,10 @@ FIRST_CELLS = 3
 CELL_BLOCKS = 16
 # A task hands over what it has found for so many queries.
 HELD_QUERIES = 20_000
-EXACT = float(1 << 53)
+# Sums of products below this are exact in doubles. Vectors with a component so large
+# that they might not be stay outside the cells: every query meets them, and as
+# queries they meet all, with whole-number arithmetic.
+EXACT = 1 << 53
 LONG = (1 << 63) - 1
 
 BLOCK_DDL = "cell int, block bigint, low double, high double, n int, ids binary, vectors binary"
@@ -50,17 +55,21 @@ class Index:
     """What tasks have to know: sizes, pivots and cell bounds; bounded by the parameters."""
 
     dim: int
-    exact: bool
+    cap: float  # the largest component of a vector inside the cells
     kind: str
     norm: float
     pivots: np.ndarray
     edges: np.ndarray
-    cells: np.ndarray | None = None  # low, high, rows, blocks of each cell
+    cells: np.ndarray | None = None  # low, high, rows, blocks of each cell; the last is for what is outside
     salts: np.ndarray | None = None
 
     def matrix(self, data: bytes) -> np.ndarray:
         return np.frombuffer(data, self.kind).astype(float).reshape(-1, self.dim) if self.dim else np.zeros((0, 0))
 
+    def outside(self, x: np.ndarray) -> np.ndarray:
+        """Which vectors have a component beyond the cap."""
+        return np.abs(x).max(1, initial=0.0) > self.cap
+
     def lifted(self, x: np.ndarray) -> np.ndarray:
         return np.column_stack([x, np.sqrt(np.maximum(self.norm - (x * x).sum(1), 0))])
 
@@ -95,23 +104,23 @@ def _rows(batch: pa.RecordBatch, dim: int) -> np.ndarray:
 
 def _fit(vectors: DataFrame) -> Index:
     scale = vectors.agg(
-        F.max(F.size("v")).alias("dim"),
-        F.max(F.aggregate("v", F.lit(0.0), lambda m, x: F.greatest(m, F.abs(x)))).alias("most"),
-        F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("norm"),
+        F.max(F.size("v")).alias("dim"), F.max(F.aggregate("v", F.lit(0.0), lambda m, x: F.greatest(m, F.abs(x)))).alias("most"), F.count(F.lit(1)).alias("rows")
     ).first()
     dim, most = scale.dim or 0, scale.most or 0.0
-    rows = vectors.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(FIT_ROWS).select("v").collect()
+    cap = float(math.isqrt((EXACT - 1) // max(dim, 1)))
+    inside = vectors.filter(F.forall("v", lambda x: F.abs(x) <= cap))
+    norm = inside.agg(F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))).first()[0] or 0.0
+    rows = inside.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(FIT_ROWS).select("v").collect()
     sample = np.zeros((len(rows), dim))
     for k, r in enumerate(rows):
         sample[k, : len(r.v)] = r.v
-    # Norms so large that distances overflow: no bound helps, all is one cell.
-    norm = scale.norm if scale.norm is not None and scale.norm < 1e150 else 0.0
-    index = Index(dim, dim * most * most < EXACT, "<i2" if most < 1 << 15 else "<f8", norm, np.zeros((1, dim + 1)), np.zeros((1, 0)))
-    if not len(sample) or not index.exact:
+    index = Index(dim, cap, "<i2" if most < 1 << 15 else "<f8", norm, np.zeros((1, dim + 1)), np.zeros((1, RINGS - 1)))
+    if not len(sample):
         return index
+    most_pivots = max(LEAST_PIVOTS, min(MOST_PIVOTS, math.isqrt(scale.rows) // 16))
     points = index.lifted(sample)
     centres = points[:1]
-    while len(centres) < min(PIVOTS, len(points)):  # farthest first, then a few rounds of means
+    while len(centres) < min(most_pivots, len(points)):  # farthest first, then a few rounds of means
         away = ((points[:, None, :] - centres[None]) ** 2).sum(2).min(1)
         if away.max() == 0:
             break
@@ -134,13 +143,15 @@ def _placed(index: Index):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = _rows(batch, index.dim)
-            far = index.to_pivots(index.lifted(x)) if index.exact else np.zeros((len(x), 1))
+            outside = index.outside(x)
+            far = index.to_pivots(index.lifted(np.where(outside[:, None], 0.0, x)))
             own = far.argmin(1)
-            near = far[np.arange(len(x)), own]
+            near = np.where(outside, 0.0, far[np.arange(len(x)), own])
             ring = (index.edges[own] < near[:, None]).sum(1)
+            cell = np.where(outside, len(index.pivots) * RINGS, own * RINGS + ring)
             data = [row.tobytes() for row in x.astype(index.kind)]
             yield pa.RecordBatch.from_pydict(
-                {"cell": pa.array(own * RINGS + ring, pa.int32()), "far": near, "vec_id": batch.column("vec_id"), "data": pa.array(data, pa.binary())}
+                {"cell": pa.array(cell, pa.int32()), "far": near, "vec_id": batch.column("vec_id"), "data": pa.array(data, pa.binary())}
             )
 
     return run
@@ -178,7 +189,7 @@ def build(vectors: DataFrame) -> tuple[Index, DataFrame]:
     spread = placed.repartition("cell", F.pmod(F.xxhash64("vec_id"), F.lit(parts))).sortWithinPartitions("cell", "far", "vec_id")
     blocks = materialise(spread.mapInArrow(_blocked, BLOCK_DDL))
     found = blocks.groupBy("cell").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("blocks"))
-    index.cells = np.zeros((cells, 4))
+    index.cells = np.zeros((cells + 1, 4))
     for r in found.collect():  # one row per cell
         index.cells[r.cell] = r.low, r.high, r.n, r.blocks
     index.salts = np.maximum(1, -(-index.cells[:, 3] // CELL_BLOCKS)).astype(int)
@@ -196,14 +207,15 @@ def _asked(index: Index, first: bool):
                 if not index.dim:
                     x = np.zeros((len(ids), 0))
                 low, high, n, _ = index.cells.T
-                pivot = np.arange(len(index.cells)) // RINGS
-                if index.exact:
-                    far = index.to_pivots(np.column_stack([x, np.zeros(len(x))]))[:, pivot]
-                    bound = index.bounds(x, far, low, high)
-                else:
-                    bound = np.full((len(x), len(index.cells)), np.inf)
+                pivot = np.arange(len(index.cells) - 1) // RINGS
+                outside = index.outside(x)
+                plain = np.where(outside[:, None], 0.0, x)
+                far = index.to_pivots(np.column_stack([plain, np.zeros(len(x))]))[:, pivot]
+                bound = np.full((len(x), len(index.cells)), np.inf)
+                bound[:, :-1] = index.bounds(plain, far, low[:-1], high[:-1])
+                bound[outside] = np.inf
                 bound[:, n == 0] = -np.inf
-                best = np.argsort(-bound, axis=1, kind="stable")[:, :FIRST_CELLS]
+                best = np.argsort(-bound, axis=1, kind="stable")[:, : FIRST_CELLS + 1]
                 visit = np.zeros(bound.shape, bool)
                 visit[np.arange(len(x))[:, None], best] = True
                 visit = visit if first else ~visit & (bound >= beat[:, None])
@@ -236,7 +248,10 @@ class _Best:
 
     def least(self, query: int) -> float:
         own = self.found.get(query)
-        return float(own[0][-1]) if own is not None and len(own[0]) == self.k else -np.inf
+        if own is None or len(own[0]) < self.k:
+            return -np.inf
+        least = float(own[0][-1])
+        return least if least <= own[0][-1] else np.nextafter(least, -np.inf)
 
     def rows(self) -> Iterator[pa.RecordBatch]:
         if self.found:
@@ -248,6 +263,25 @@ class _Best:
             self.found = {}
 
 
+def _whole_products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """All inner products in whole numbers: of 64 bits where they fit, else of any size."""
+    most = [int(np.abs(v).max(initial=0.0)) for v in (q, x)]
+    if len(x) * most[0] * most[1] < LONG and max(most) < LONG:
+        return q.astype(np.int64) @ x.astype(np.int64)
+    large = [np.array([[int(c) for c in row] for row in v], object).reshape(v.shape) for v in (q, x)]
+    return large[0] @ large[1]
+
+
+def _kept(best: _Best, ids: np.ndarray, beat: np.ndarray, block_ids: np.ndarray, which: np.ndarray, q: np.ndarray, x: np.ndarray, products) -> None:
+    """Add the scores of some queries against a block that reach what each has."""
+    if not which.any():
+        return
+    for n, least, own in zip(ids[which].tolist(), beat[which].tolist(), products(q[which], x.T)):
+        good = (own >= least) & (block_ids != n)
+        if good.any():
+            best.add(n, own[good], block_ids[good])
+
+
 def _met(index: Index, k: int):
     """Scores of the queries of each row against its block, where the bound allows one that counts."""
 
@@ -261,19 +295,14 @@ def _met(index: Index, k: int):
                 q = index.matrix(row["vectors"]) if index.dim else np.zeros((len(ids), 0))
                 x = index.matrix(row["block_vectors"]) if index.dim else np.zeros((len(block_ids), 0))
                 beat = np.maximum(beat, [best.least(n) for n in ids.tolist()])
-                if index.exact:
+                outside = np.full(len(q), True) if row["cell"] == len(index.cells) - 1 else index.outside(q)
+                if not outside.all():
                     pivot = index.pivots[[row["cell"] // RINGS]]
                     lifted = np.column_stack([q, np.zeros(len(q))])
                     far = np.sqrt(((lifted - pivot) ** 2).sum(1))[:, None]
                     may = index.bounds(q, far, np.array([row["low"]]), np.array([row["high"]]))[:, 0] >= beat
-                    ids, beat, q = ids[may], beat[may], q[may]
-                    scores = q @ x.T
-                else:  # beyond what doubles hold exactly
-                    scores = np.array([[sum(int(a) * int(b) for a, b in zip(u, v)) for v in x] for u in q], object).reshape(len(q), len(x))
-                for n, least, own in zip(ids.tolist(), beat.tolist(), scores):
-                    good = (own >= least) & (block_ids != n)
-                    if good.any():
-                        best.add(n, own[good], block_ids[good])
+                    _kept(best, ids, beat, block_ids, ~outside & may, q, x, np.matmul)
+                _kept(best, ids, beat, block_ids, outside, q, x, _whole_products)
             if len(best.found) > HELD_QUERIES:
                 yield from best.rows()
         yield from best.rows()
@@ -335,7 +364,10 @@ def search(vectors: DataFrame, wanted: Column, k: int = 20, *, key: str = "vec_i
         return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
     start = materialise(best(visited(none, True)))
-    beat = start.filter(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("beat"))
+    # A double never above the score: beyond 2**53 a cast may round up.
+    least = F.col("score").cast("double")
+    least = F.when(F.abs(least) >= float(EXACT), least - F.abs(least) * 1e-15).otherwise(least)
+    beat = start.filter(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), least.alias("beat"))
     rest = queries.join(beat, "vec_id", "left").withColumn("beat", F.coalesce("beat", F.lit(float("-inf"))))
     found = start.drop("rank").unionByName(visited(rest, False))
     return best(found).select("query_id", "rank", "vec_id", "score")

@@ -61,7 +61,24 @@ def _(spark, sf_dir):
     return quality.score(docs.select("doc_id", "text", "held_out"), model).drop("text")
 
 
-@query("op6_ngram_jaccard")
+@query(
+    "op6_ngram_jaccard",
+    r"""WITH RECURSIVE tokens AS (
+         SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[^\x20\x09-\x0D]+') AS w FROM documents
+       ), sets AS (
+         SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM tokens
+       ), entries AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+       links AS (
+         SELECT a.doc_id AS a, b.doc_id AS b FROM entries a JOIN entries b ON b.x = a.x AND b.doc_id <> a.doc_id
+         GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 90 * (any_value(a.n) + any_value(b.n) - count(*))
+       ), reached AS (
+         SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b
+       ), least AS (SELECT a, min(b) AS b FROM reached GROUP BY 1)
+       SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(doc_id, coalesce(b, doc_id)) AS component_id
+       FROM sets LEFT JOIN least ON a = doc_id""",
+)
 def _(spark, sf_dir):
     """Group all documents whose sets of three-word shingles are at least 0.9 alike."""
     return jaccard.groups(table(spark, sf_dir, "documents"), jaccard.Spec(words=3, part=90, whole=100))
@@ -92,7 +109,20 @@ def _(spark, sf_dir):
     return pii.digest(pii.find(table(spark, sf_dir, "documents").select("doc_id", "text")), "doc_id")
 
 
-@query("op2_pivot_search")
+@query(
+    "op2_pivot_search",
+    """WITH usable AS (
+         SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+         WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+           AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+       ), scored AS (
+         SELECT q.vec_id AS query_id, c.vec_id,
+                CAST(coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])), 0) AS BIGINT) AS score
+         FROM usable q JOIN usable c ON c.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0
+       )
+       SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+       FROM scored QUALIFY rank <= 20""",
+)
 def _(spark, sf_dir):
     """The 20 best other vectors for every twentieth one."""
     return pivot_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)

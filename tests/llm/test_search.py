@@ -61,3 +61,26 @@ def test_scores_beyond_doubles(spark):
     got = searched(spark, [(0, [3.0e7, 1.0]), (1, [3.0e7, 1.0]), (2, [3.0e7, 0.0])], 2)
     big = int(64 * 3.0e7) ** 2
     assert got == [(0, 1, 1, big + 64 * 64), (0, 2, 2, big)]
+
+
+def test_large_components_do_not_stop_the_index(spark, monkeypatch):
+    """A few vectors beyond doubles are met by all; pairs of the others go by the index."""
+    monkeypatch.setattr(pivot_search, "BLOCK_ROWS", 32)
+    rng = np.random.default_rng(2)
+    vectors = [(i, rng.normal(0, 0.3, 8).round(3).tolist()) for i in range(300)]
+    for i, large in ((20, 3e6), (33, -1e6), (40, 1e12), (55, 1e15), (60, 2e6)):
+        vectors[i][1][i % 8] = large
+    clipped = [(q, r, v, max(-pivot_search.LONG, min(pivot_search.LONG, s))) for q, r, v, s in best(vectors, 20)]
+    got = searched(spark, vectors)
+    assert [x for x in got if x[0] != 40] == [x for x in clipped if x[0] != 40]
+    assert [x[:3] for x in got] == [x[:3] for x in clipped]
+
+
+def test_one_large_vector_changes_the_work_little(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(0, 0.3, (4000, 16))
+    x[77, 3] = 1e6
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, v array<double>").selectExpr("vec_id", "transform(v, x -> floor(64 * x) + 0D) AS v")
+    index, blocks = pivot_search.build(rows)
+    assert index.cells[-1].tolist()[2:] == [1.0, 1.0] and index.cells[:-1, 2].sum() == 3999
+    assert (index.cells[:-1, 2] > 0).sum() > 100
