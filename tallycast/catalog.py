@@ -107,6 +107,30 @@ def _(spark, sf_dir):
     )
 
 
+@query(
+    "bad_rows_split",
+    """SELECT CASE WHEN o_orderkey % 50 = 7 THEN 'malformed' WHEN o_orderkey % 50 = 9 THEN 'bad date'
+              WHEN o_orderkey % 50 = 13 OR o_custkey IS NULL OR o_orderdate IS NULL THEN 'missing key' ELSE 'good' END AS kind,
+              count(*) AS n, round(sum(CASE WHEN o_orderkey % 50 NOT IN (7, 9, 13) AND o_custkey IS NOT NULL AND o_orderdate IS NOT NULL
+                                            THEN o_totalprice END), 2) AS amount FROM orders GROUP BY 1""",
+)
+def _(spark, sf_dir):
+    """All orders as CSV files in which some cells are damaged by a rule, read back: what is good, and what is set aside."""
+    cell, folder = F.col("o_orderkey") % 50, scratch_path(spark, "csv")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    written = table(spark, sf_dir, "orders").select(
+        F.when(cell != 13, F.col("o_custkey").cast("string")).alias("o_custkey"),
+        F.when(cell == 9, F.lit("31st of May")).otherwise(day).alias("o_orderdate"),
+        F.when(cell == 7, F.lit("a lot")).otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice"),
+    )
+    written.write.option("header", True).csv(folder)
+    spec = PanelSpec(customer_col="o_custkey", date_col="o_orderdate", skewed_cols=("o_totalprice",))
+    checked = readers.read_panel_checked(spark, folder, spec)
+    good = checked.good.agg(F.lit("good").alias("kind"), F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("amount"))
+    bad = checked.bad.groupBy(F.col("_reason").alias("kind")).agg(F.count(F.lit(1)).alias("n"), F.lit(None).cast("double").alias("amount"))
+    return rounded(good.unionByName(bad), "amount", digits=2)
+
+
 @query("monthly_panel", f"WITH {PANEL_SQL} SELECT o_custkey, period, txn_count, round(amount, 2) AS amount FROM panel")
 def _(spark, sf_dir):
     return rounded(observed(spark, sf_dir), "amount", digits=2)
