@@ -180,8 +180,8 @@ def _pair_tree(grad: np.ndarray, weight: np.ndarray, rows: np.ndarray) -> tuple[
     g, w, n = map(quarters, cum)
     if not g[0].size:
         return np.zeros_like(grad), 0.0
-    gain = sum(x**2 / (y + 1) for x, y in zip(g, w)) - grad.sum() ** 2 / (weight.sum() + 1)
-    gain = np.where(np.minimum.reduce(n) >= 0, gain, -np.inf)
+    # A quarter of few rows has the value 0 and gains nothing.
+    gain = sum(np.where(m >= LEAF_ROWS, x**2 / (y + 1), 0.0) for x, y, m in zip(g, w, n)) - grad.sum() ** 2 / (weight.sum() + 1)
     i, j = np.unravel_index(int(gain.argmax()), gain.shape)
     leaf = [x[i, j] / (y[i, j] + 1) if m[i, j] >= LEAF_ROWS else 0.0 for x, y, m in zip(g, w, n)]
     out = np.empty_like(grad)
