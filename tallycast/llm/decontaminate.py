@@ -92,7 +92,7 @@ def _sized(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if size <= BROADCAST_BYTES else table
 
 
-def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, exact: bool = False) -> DataFrame:
     """``text_key``, ``item_id``, ``start``, ``n_words``, ``similarity``: the best window of each different text for each item.
 
     ``text_key`` is a 128-bit hash of the text; copies of a text are looked at once.
@@ -100,6 +100,10 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     text shorter than an item is one window. Null and empty texts and items
     match nothing. Rows that share an ``item_id`` count as one item each, and
     the best of them is named. Other columns play no part.
+
+    Fingerprints further apart than ``RADIUS`` bits are not compared, however
+    similar their shingles are. With ``exact`` every window is compared with all
+    items of its length instead, so that no match is lost.
     """
     items = benchmark.select(F.col("item_id").cast("bigint"), words(F.col("text").cast("string")).alias("w")).filter(F.size("w") > 0)
     items = items.withColumn("length", F.size("w")).withColumn("item_set", F.transform(places(F.col("w")), lambda i: shingle(F.col("w"), i)))
@@ -111,9 +115,10 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     each = texts.filter(F.size("w") > 0).select("text_key", "w", F.size("w").alias("n"), F.explode(places(F.col("w"))).alias("place"))
     hits = each.select("text_key", "n", "place", shingle(F.col("w"), F.col("place")).alias("shingle")).join(_sized(known), "shingle")
     shared = hits.groupBy("text_key", "n", "length").agg(F.sort_array(F.collect_set("place")).alias("shared"))
-    windows = shared.select("text_key", F.explode(starts(F.col("shared"), F.col("n"), F.col("length"))).alias("start"), F.least("length", "n").alias("n_words"))
-    windows = windows.distinct()
+    windows = shared.select("text_key", F.explode(starts(F.col("shared"), F.col("n"), F.col("length"))).alias("start"), F.least("length", "n").alias("n_words"), "length")
     windows = materialise(windows)
+    lengths = windows
+    windows = windows.select("text_key", "start", "n_words").distinct()
 
     found = windows.groupBy("text_key").agg(F.collect_list(F.struct("start", "n_words")).alias("windows"))
     found = materialise(found)
@@ -134,6 +139,8 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     met = probes.join(_sized(listed.distinct()), ["k", "value"])
     met = met.filter(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS)
     met = met.select("text_key", "start", "n_words", "item_id", "item_print").distinct()
+    if exact:
+        met = lengths.join(_sized(items.select("item_id", "item_print", "length")), "length").drop("length").distinct()
     pairs = met.join(prints.drop("print"), ["text_key", "start", "n_words"]).join(_sized(items.drop("length")), ["item_id", "item_print"])
     scored = pairs.withColumn("similarity", similarity(F.col("window"), F.col("item_set"))).filter(F.col("similarity") >= SIMILARITY)
     scored = scored.select("text_key", "item_id", "start", "n_words", "similarity")
@@ -151,19 +158,19 @@ def _short(texts: DataFrame, items: DataFrame, size: int) -> DataFrame:
     return met.select("text_key", "item_id", "start", F.lit(size).alias("n_words"), F.lit(1.0).alias("similarity"))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, exact: bool = False) -> DataFrame:
     """``doc_id``, ``item_id``, ``start``, ``n_words``, ``similarity`` for each document row and item that it holds.
 
     See :func:`matches`; every copy of a text has rows of its own, also under a null id.
     """
-    found = materialise(matches(docs, benchmark))
+    found = materialise(matches(docs, benchmark, exact))
     keyed = docs.select(F.col("doc_id").cast("bigint"), text_key("text").alias("text_key"))
     return keyed.join(found, "text_key").drop("text_key")
 
 
-def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no item; all columns stay."""
-    found = materialise(matches(docs, benchmark).select("text_key").distinct())
+def clean(docs: DataFrame, benchmark: DataFrame, exact: bool = False) -> DataFrame:
+    """The documents that hold no item; all columns stay. Null and empty texts stay, and so does every row of a repeated one."""
+    found = materialise(matches(docs, benchmark, exact).select("text_key").distinct())
     own, key = unused(docs, "_own_key", "_text_key")
     keyed = docs.withColumn(own, text_key("text"))
     return keyed.join(found.withColumnRenamed("text_key", key), F.col(own) == F.col(key), "left_anti").select(*docs.columns)

@@ -137,3 +137,27 @@ def test_starts_are_all_that_hold_enough(spark):
         counts = [sum(s <= p < s + window for p in r.shared) for s in range(max(r.n - r.length, 0) + 1)]
         want = [s for s, c in enumerate(counts) if c / (own + window - c) >= D.SIMILARITY - 1e-9]
         assert r.starts == want
+
+
+def test_recall_of_fingerprints_near_the_bound(spark):
+    """Items with as many changed words as the bound allows, and a few more: exact finds all, fingerprints nearly all."""
+    import random
+
+    rng = random.Random(7)
+    vocabulary = [f"v{i}" for i in range(500)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(40, 60)))) for i in range(6)]
+    texts = []
+    for d in range(120):
+        own = rng.choice(items)[1].split()
+        for _ in range(rng.randint(0, 4)):  # a changed word costs up to five shingles on either side
+            at = rng.randrange(len(own))
+            own = rng.choice([own[:at] + [rng.choice(vocabulary)] + own[at + 1 :], own[:at] + own[at + 1 :], own[at:] + own[:at]])
+        texts.append((d, " ".join(rng.choices(vocabulary, k=15) + own + rng.choices(vocabulary, k=15))))
+    want = set(by_hand(texts, items))
+    table = spark.createDataFrame(items, "item_id bigint, text string")
+    docs = tricky_docs(spark, texts)
+    exact = {(r.doc_id, r.item_id) for r in D.contaminated(docs, table, exact=True).collect()}
+    found = {(r.doc_id, r.item_id) for r in D.contaminated(docs, table).collect()}
+    assert exact == want and 30 < len(want) < 110
+    print(f"recall {len(found) / len(want):.3f} of {len(want)}")
+    assert found <= want and len(found) >= 0.9 * len(want)
