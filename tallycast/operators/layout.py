@@ -4,15 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+# Input of a task on average, as of Spark's file scans.
+TASK_BYTES = 128 << 20
+
+
+def input_bytes(df: DataFrame) -> int:
+    """What the plan reads, by the sizes of its sources; nothing is run for it."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
 
 def spread_few_tasks(df: DataFrame) -> DataFrame:
-    """Spread an input of fewer tasks than cores over all cores.
+    """Spread an input of less than a task's worth for every core over all cores.
 
     A file of a single row group is one task, however costly the work on its
-    rows. An input with a task for every core stays where it is, and so does one
-    that is shuffled already: its tasks are not known before it runs.
+    rows, and small shuffles are merged into few. Larger inputs have tasks enough
+    and stay where they are.
     """
-    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
-        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if input_bytes(df) < cores * TASK_BYTES else df

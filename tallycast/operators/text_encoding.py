@@ -67,8 +67,21 @@ def _counted(df: DataFrame, terms: str) -> DataFrame:
     )
 
 
-def _summed(counts: DataFrame) -> DataFrame:
-    return counts.groupBy("term").agg(F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df"))
+def _tallied(df: DataFrame, terms: str) -> DataFrame:
+    """The entries of the array ``terms``, then its different ones: rows with ``_again`` and with ``_once``.
+
+    Their numbers, by term, are the frequencies in the corpus and in documents;
+    no array is sorted and no document has to be told from another.
+    """
+    keep = [c for c in df.columns if c != terms]
+    each = F.posexplode_outer(F.concat(terms, F.array_distinct(terms))).alias("_at", "term")
+    rows = df.withColumn("_size", F.size(terms)).select(*keep, "_size", each).filter(F.col("term").isNotNull())
+    again = F.col("_at") < F.col("_size")
+    return rows.select(*keep, "term", F.when(again, 1).alias("_again"), F.when(~again, 1).alias("_once"))
+
+
+def _summed(rows: DataFrame, *by: str) -> DataFrame:
+    return rows.groupBy(*by, "term").agg(F.count("_again").alias("tf"), F.count("_once").alias("df"))
 
 
 def term_counts(df: DataFrame, text: str, spec: EncoderSpec = EncoderSpec()) -> DataFrame:
@@ -84,7 +97,7 @@ def term_stats(df: DataFrame, text: str, spec: EncoderSpec = EncoderSpec()) -> D
 
     The only shuffle is by term, of partial sums.
     """
-    return _summed(term_counts(df.select(text), text, spec))
+    return _summed(_tallied(with_terms(df.select(text), text, spec, "_terms").drop(text), "_terms"))
 
 
 @dataclass(frozen=True)
@@ -120,11 +133,11 @@ def term_states(df: DataFrame, text: str, spec: EncoderSpec, tracked: int) -> Te
 
 def _exact_counts(df: DataFrame, text: str, spec: EncoderSpec, wanted: DataFrame | None, n_folds: int) -> DataFrame:
     """``fold``, ``term``, ``tf``, ``df`` of the wanted terms (all, if None), summed over the folds up to each."""
-    counts = _counted(with_terms(df.select("first_train_fold", text), text, spec, "_terms").drop(text), "_terms")
+    counts = _tallied(with_terms(df.select("first_train_fold", text), text, spec, "_terms").drop(text), "_terms")
     if wanted is not None:
         small = table_bytes(wanted) <= BROADCAST_BYTES
         counts = counts.join(F.broadcast(wanted) if small else wanted, "term", "left_semi")
-    first = counts.groupBy("first_train_fold", "term").agg(F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df"))
+    first = _summed(counts, "first_train_fold")
     later = F.explode(F.sequence(F.col("first_train_fold"), F.lit(n_folds - 1)))
     return materialise(first.withColumn("fold", later).groupBy("fold", "term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df")))
 
