@@ -34,7 +34,7 @@ from tallycast.llm.words import shingles_of, words_of
 from tallycast.operators.lookup import BROADCAST_BYTES, table_bytes
 from tallycast.session import materialise
 
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 # A task reports shingles that it sees so often; they are common from COMMON in all.
 REPORTED, COMMON = 4, 16
 # So many of the most common shingles and words decide the order. It changes the cost only.

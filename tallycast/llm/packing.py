@@ -27,6 +27,8 @@ from tallycast.llm.batches import blocks, give_back, texts_of
 from tallycast.llm.tokens import encoder, with_end
 from tallycast.session import materialise
 
+# Texts of so many bytes are encoded together.
+BLOCK = 1 << 20
 CAPACITY = 2048
 
 
@@ -192,7 +194,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACIT
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        for batch in blocks(batches, "text"):
+        for batch in blocks(batches, "text", BLOCK):
             found, lengths = with_end(*encoder(tokenizer).encode(texts_of(batch, "text")), end_id)
             each = -(-lengths // capacity)
             row = np.repeat(np.arange(len(lengths)), each)
