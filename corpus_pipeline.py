@@ -15,17 +15,17 @@ from pyspark.sql import functions as F
 from tallycast.llm import decontaminate, jaccard, language, line_dedup, packing
 from tallycast.session import materialise
 
-# Rows that executors and Python workers hand over at once. Texts may be long, and
-# both sides hold a batch several times, so the default of 10,000 is too many.
-BATCH_ROWS = 1000
+# Rows that are handled at once where texts are read and handed to Python. Texts may
+# be long, and a batch is held several times, so the defaults (4,096 and 10,000) are too many.
+BATCH_ROWS = {"spark.sql.execution.arrow.maxRecordsPerBatch": 500, "spark.sql.parquet.columnarReaderBatchSize": 1000}
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 0
 
 
 def small_batches(spark: SparkSession) -> None:
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
-        spark.conf.set(name, str(BATCH_ROWS))
+    for name, rows in BATCH_ROWS.items():
+        if not 0 < int(spark.conf.get(name)) <= rows:
+            spark.conf.set(name, str(rows))
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
