@@ -990,7 +990,7 @@ WEIGHTS_SQL = """weights AS (
     lambda: f"WITH {tokens_sql()}, {VOCAB_SQL}, {WEIGHTS_SQL} SELECT doc_id, term, round(tfidf, 6) AS tfidf FROM tfidf",
 )
 def _(spark, sf_dir):
-    docs = documents(spark, sf_dir)
+    docs = text_encoding.tokenised(documents(spark, sf_dir), "text")
     return rounded(text_encoding.fit_tfidf(docs, "text").long(docs), "tfidf")
 
 

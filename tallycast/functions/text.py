@@ -41,8 +41,12 @@ def fold_accents(text: Column) -> Column:
 
 
 def normalise(text: Column, accents: bool = True) -> Column:
-    lowered = F.lower(F.coalesce(text.cast("string"), F.lit("")))
-    return fold_accents(lowered) if accents else lowered
+    raw = text.cast("string")
+    lowered = F.lower(F.coalesce(raw, F.lit("")))
+    if not accents:
+        return lowered
+    # Plain ASCII has no accents, and to look up each of its characters costs more than to find that out.
+    return F.when(F.octet_length(raw) == F.char_length(raw), lowered).otherwise(fold_accents(lowered))
 
 
 def tokens(text: Column, stop_words: tuple[str, ...] = (), accents: bool = True) -> Column:

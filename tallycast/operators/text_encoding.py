@@ -5,9 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from tallycast.config import EncoderSpec
 from tallycast.functions.hashing import bucket_and_sign
@@ -25,6 +28,8 @@ TRACKED, MOST_TRACKED = 100_000, 1_000_000
 SUMMARY_ERROR = 7.0
 # Candidates that are counted at first, for each term of the vocabulary.
 CANDIDATES = 4
+# Candidates that are counted inside the rows; more are joined.
+MOST_IN_ROW = 20_000
 
 
 def english_stop_words() -> tuple[str, ...]:
@@ -36,8 +41,10 @@ def _stop_words(spec: EncoderSpec) -> tuple[str, ...]:
 
 
 def with_tokens(df: DataFrame, text: str, spec: EncoderSpec = EncoderSpec(), out: str = "tokens") -> DataFrame:
-    """Add the tokens of the whole text, in order and without stop words."""
+    """Add the tokens of the whole text, in order and without stop words; an array is taken for the tokens of its text."""
     require(df, [text])
+    if isinstance(df.schema[text].dataType, ArrayType):
+        return df.withColumn(out, F.col(text))
     return spread_few_tasks(df).withColumn(out, tokens(F.col(text), _stop_words(spec)))
 
 
@@ -50,6 +57,13 @@ def with_terms(df: DataFrame, text: str, spec: EncoderSpec = EncoderSpec(), out:
     )
 
 
+def tokenised(df: DataFrame, text: str, spec: EncoderSpec = EncoderSpec()) -> DataFrame:
+    """``df`` with the tokens of its texts in their place, written once; what reads them again finds no text to cut."""
+    if isinstance(df.schema[text].dataType, ArrayType):
+        return df
+    return materialise(with_tokens(df, text, spec, text))
+
+
 def _counted(df: DataFrame, terms: str) -> DataFrame:
     """One row per distinct entry of the array ``terms``, with its count ``tf``.
 
@@ -131,13 +145,32 @@ def term_states(df: DataFrame, text: str, spec: EncoderSpec, tracked: int) -> Te
     return TermStates(materialise(state), tracked)
 
 
+def _vector_counts(rows: DataFrame, terms: str, listed: list[str]) -> DataFrame:
+    """``first_train_fold``, ``term``, ``tf`` and ``df`` of the listed terms that occur.
+
+    A row's counts are a sparse vector, and vectors are added up where they
+    arise: no occurrence becomes a row of its own. Sums of whole numbers are exact.
+    """
+    vectors = CountVectorizerModel.from_vocabulary(listed, inputCol=terms, outputCol="_tf").transform(rows)
+    # The norm of counts is their sum.
+    found = vectors.groupBy("first_train_fold").agg(Summarizer.metrics("normL1", "numNonZeros").summary(F.col("_tf")).alias("_s"))
+    tf, df = vector_to_array("_s.normL1"), vector_to_array("_s.numNonZeros")
+    each = F.arrays_zip(F.lit(listed).alias("term"), tf.cast("array<bigint>").alias("tf"), df.cast("array<bigint>").alias("df"))
+    return found.select("first_train_fold", F.inline(each)).filter(F.col("df") > 0)
+
+
 def _exact_counts(df: DataFrame, text: str, spec: EncoderSpec, wanted: DataFrame | None, n_folds: int) -> DataFrame:
     """``fold``, ``term``, ``tf``, ``df`` of the wanted terms (all, if None), summed over the folds up to each."""
-    counts = _tallied(with_terms(df.select("first_train_fold", text), text, spec, "_terms").drop(text), "_terms")
-    if wanted is not None:
-        small = table_bytes(wanted) <= BROADCAST_BYTES
-        counts = counts.join(F.broadcast(wanted) if small else wanted, "term", "left_semi")
-    first = _summed(counts, "first_train_fold")
+    rows = with_terms(df.select("first_train_fold", text), text, spec, "_terms").drop(text)
+    listed = [] if wanted is None else [r["term"] for r in wanted.limit(MOST_IN_ROW + 1).collect()]
+    if 0 < len(listed) <= MOST_IN_ROW:
+        first = _vector_counts(rows, "_terms", listed)
+    else:
+        counts = _tallied(rows, "_terms")
+        if wanted is not None:
+            small = table_bytes(wanted) <= BROADCAST_BYTES
+            counts = counts.join(F.broadcast(wanted) if small else wanted, "term", "left_semi")
+        first = _summed(counts, "first_train_fold")
     later = F.explode(F.sequence(F.col("first_train_fold"), F.lit(n_folds - 1)))
     return materialise(first.withColumn("fold", later).groupBy("fold", "term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df")))
 
@@ -162,8 +195,8 @@ def frequent_stats(
 ) -> tuple[DataFrame, dict[int, int]]:
     """``term_stats`` by ``fold`` of all terms that can enter a vocabulary, and few others; rows by fold.
 
-    One pass over the texts summarises the frequent terms of all folds, a second
-    counts the candidates exactly. Errors of the summary are bounded, so the
+    The texts are cut into tokens once. One pass over the tokens summarises the
+    frequent terms of all folds, a second counts the candidates exactly. Errors of the summary are bounded, so the
     counts show whether an uncounted term might belong in; if so, more are
     counted, from a larger summary where needed, in the end all. ``df`` may carry
     ``first_train_fold``: a row counts for that fold and all later ones, and
@@ -171,7 +204,7 @@ def frequent_stats(
     """
     if "first_train_fold" not in df.columns:
         df = df.withColumn("first_train_fold", F.lit(0))
-    df = df.filter(F.col("first_train_fold").isNotNull())
+    df = tokenised(df.filter(F.col("first_train_fold").isNotNull()).select("first_train_fold", text), text, spec)
     candidates = CANDIDATES * spec.tfidf_terms
     while True:
         states = term_states(df, text, spec, tracked)

@@ -185,3 +185,24 @@ def test_sql_twins_need_no_session():
     said = subprocess.run([sys.executable, "-c", code], cwd=root, env={"SPARK_HOME": "/nowhere", "PATH": "/nowhere"}, capture_output=True, text=True)
     assert said.returncode == 0, said.stderr
     assert int(said.stdout) >= 50
+
+
+def test_texts_are_cut_once(spark, monkeypatch):
+    """However many passes a fit makes; and tokens may stand for their texts."""
+    calls = []
+    monkeypatch.setattr(text_encoding, "tokens", lambda *a: calls.append(a) or tokens(*a))
+    df = docs(spark)
+    learned = fit_tfidf(df, "t", OPEN)
+    assert len(calls) == 1
+    cut = text_encoding.tokenised(df, "t", OPEN)
+    assert fit_tfidf(cut, "t", OPEN) == learned
+    assert sorted(learned.long(cut).collect()) == sorted(learned.long(df).collect())
+    assert len(calls) == 3
+
+
+@pytest.mark.parametrize("most", [0, 20_000])
+def test_counts_in_rows_and_by_join(spark, monkeypatch, most):
+    monkeypatch.setattr(text_encoding, "MOST_IN_ROW", most)
+    got = {r["term"]: (r["tf"], r["df"]) for r in frequent_stats(docs(spark), "t", OPEN)[0].collect()}
+    want = [terms_by_hand(t, english_stop_words()) for t in TEXTS]
+    assert got == {t: (sum(w.count(t) for w in want), sum(t in w for w in want)) for t in set(sum(want, []))}
