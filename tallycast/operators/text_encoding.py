@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import vector_to_array
@@ -30,6 +30,8 @@ SUMMARY_ERROR = 7.0
 CANDIDATES = 4
 # Candidates that are counted inside the rows; more are joined.
 MOST_IN_ROW = 20_000
+# Words that the terms of a vocabulary can be made of, where terms are found by their words.
+MOST_WORDS = 5_000
 
 
 def english_stop_words() -> tuple[str, ...]:
@@ -171,8 +173,45 @@ def _exact_counts(df: DataFrame, text: str, spec: EncoderSpec, wanted: DataFrame
             small = table_bytes(wanted) <= BROADCAST_BYTES
             counts = counts.join(F.broadcast(wanted) if small else wanted, "term", "left_semi")
         first = _summed(counts, "first_train_fold")
+    return materialise(_over_folds(first, n_folds))
+
+
+def _over_folds(first: DataFrame, n_folds: int) -> DataFrame:
     later = F.explode(F.sequence(F.col("first_train_fold"), F.lit(n_folds - 1)))
-    return materialise(first.withColumn("fold", later).groupBy("fold", "term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df")))
+    return first.withColumn("fold", later).groupBy("fold", "term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+
+
+def _stats_by_words(df: DataFrame, text: str, spec: EncoderSpec, n_folds: int) -> tuple[DataFrame, dict[int, int]] | None:
+    """What ``frequent_stats`` gives, from exact counts of the words; None, if too many words are left.
+
+    No term occurs more often than any of its words. The last of the most
+    frequent words that would fill a vocabulary, or else the document bound,
+    says how often a term has to occur; only terms made of such words are counted.
+    """
+    first = df.groupBy("first_train_fold").count().collect()
+    docs = {k: sum(r["count"] for r in first if r["first_train_fold"] <= k) for k in range(n_folds)}
+    docs = {k: n for k, n in docs.items() if n}
+    if not docs:
+        return None
+    words = _exact_counts(df, text, replace(spec, tfidf_ngrams=(1, 1)), None, n_folds)
+    sized = df.sparkSession.createDataFrame(list(docs.items()), "fold int, docs long")
+    at_least, at_most = _df_bounds(F.col("docs"), spec)
+    kept = words.join(F.broadcast(sized), "fold").filter((F.col("df") >= at_least) & (F.col("df") <= at_most))
+    place = F.row_number().over(Window.partitionBy("fold").orderBy(F.desc("tf")))
+    top = kept.withColumn("_place", place).filter(F.col("_place") <= spec.tfidf_terms)
+    last = top.groupBy("fold").agg(F.count(F.lit(1)).alias("_n"), F.min("tf").alias("_last"))
+    least = F.when(F.col("_n") == spec.tfidf_terms, F.col("_last")).otherwise(at_least).alias("_least")
+    bound = F.broadcast(materialise(sized.join(last, "fold", "left").select("fold", least)))
+    frequent = words.join(bound, "fold").filter(F.col("tf") >= F.col("_least")).select("term").distinct()
+    listed = [r["term"] for r in frequent.limit(MOST_WORDS + 1).collect()]
+    if len(listed) > MOST_WORDS:
+        return None
+    # Other words become null, and so do the terms that hold one.
+    known = F.transform(text, lambda w: F.when(w.isin(listed), w))
+    made = df.select("first_train_fold", known.alias("_known"))
+    made = made.select("first_train_fold", F.array_compact(ngram_range(F.col("_known"), *spec.tfidf_ngrams)).alias("_terms"))
+    counts = _over_folds(_summed(_tallied(made, "_terms"), "first_train_fold"), n_folds)
+    return materialise(counts.join(bound, "fold").filter(F.col("tf") >= F.col("_least")).drop("_least")), docs
 
 
 def _proven(exact: DataFrame, missing: DataFrame, spec: EncoderSpec) -> bool:
@@ -195,8 +234,9 @@ def frequent_stats(
 ) -> tuple[DataFrame, dict[int, int]]:
     """``term_stats`` by ``fold`` of all terms that can enter a vocabulary, and few others; rows by fold.
 
-    The texts are cut into tokens once. One pass over the tokens summarises the
-    frequent terms of all folds, a second counts the candidates exactly. Errors of the summary are bounded, so the
+    The texts are cut into tokens once. Where single words fill the vocabulary,
+    or few are left, terms are found by their words. Else one pass over the tokens
+    summarises the frequent terms of all folds, a second counts the candidates exactly. Errors of the summary are bounded, so the
     counts show whether an uncounted term might belong in; if so, more are
     counted, from a larger summary where needed, in the end all. ``df`` may carry
     ``first_train_fold``: a row counts for that fold and all later ones, and
@@ -205,6 +245,8 @@ def frequent_stats(
     if "first_train_fold" not in df.columns:
         df = df.withColumn("first_train_fold", F.lit(0))
     df = tokenised(df.filter(F.col("first_train_fold").isNotNull()).select("first_train_fold", text), text, spec)
+    if spec.tfidf_ngrams[0] == 1 and (found := _stats_by_words(df, text, spec, n_folds)):
+        return found
     candidates = CANDIDATES * spec.tfidf_terms
     while True:
         states = term_states(df, text, spec, tracked)

@@ -206,3 +206,23 @@ def test_counts_in_rows_and_by_join(spark, monkeypatch, most):
     got = {r["term"]: (r["tf"], r["df"]) for r in frequent_stats(docs(spark), "t", OPEN)[0].collect()}
     want = [terms_by_hand(t, english_stop_words()) for t in TEXTS]
     assert got == {t: (sum(w.count(t) for w in want), sum(t in w for w in want)) for t in set(sum(want, []))}
+
+
+@pytest.mark.parametrize("k, low, high", [(3, 1, 1.0), (10, 2, 0.7), (100, 1, 1.0), (2, 9, 1.0)])
+def test_terms_by_their_words(spark, k, low, high):
+    """Terms of frequent words, with ties, full and unfilled vocabularies, in every fold; no summary is made."""
+    texts = ["b a b a", "a b c a b", "c c c", None, "aa bb aa bb aa", "aa bb cc aa bb", "cc dd", "dd ee ff", "bb aa", "aa"] * 2
+    spec = EncoderSpec(tfidf_terms=k, tfidf_min_df=low, tfidf_max_df=high, stop_words=())
+    df = spark.createDataFrame([(i, t, i % 3 if i % 4 else None) for i, t in enumerate(texts)], "i int, t string, first_train_fold int")
+    learned = text_encoding.fit_tfidf_folds(df, "t", 3, spec)
+    for fold, got in enumerate(learned):
+        rows = df.filter(F.col("first_train_fold") <= fold)
+        want = vocabulary(term_stats(rows, "t", spec), rows.count(), spec).orderBy("term_index").collect()
+        assert got.terms == [r["term"] for r in want]
+        assert got.idf == pytest.approx([r["idf"] for r in want])
+
+
+def test_words_that_fill_the_vocabulary_need_no_summary(spark, monkeypatch):
+    monkeypatch.setattr(text_encoding, "term_states", None)
+    df = docs(spark, ["red apple pie"] * 4 + ["apple pie red", "pear"])
+    assert fit_tfidf(df, "t", EncoderSpec(tfidf_terms=3, tfidf_min_df=2, tfidf_max_df=1.0)).terms == ["apple", "apple pie", "pie"]
