@@ -1032,7 +1032,8 @@ LABELLED_DOCS_SQL = """docs AS (
 )
 def _(spark, sf_dir):
     docs = documents(spark, sf_dir, "lang", "source").join(table(spark, sf_dir, "labels"), "doc_id", "left")
-    docs = docs.select("doc_id", "text", "lang", "source", "quality")
+    # The join and the tokens, which fit and apply both need, are made once.
+    docs = text_encoding.tokenised(docs.select("doc_id", "text", "lang", "source", "quality"), "text")
     learned = encoders.fit_encoders(docs, ["lang", "source"], ["text"], "quality")
     terms = F.lit(learned.text[0].terms)
     weights = F.transform(vector_to_array("text_tfidf"), lambda w, i: F.struct(F.get(terms, i).alias("term"), w.alias("tfidf")))
