@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from tallycast.llm.batches import blocks, text_bytes, texts_of
 from tallycast.llm.keys import text_key, unused
 from tallycast.llm.words import words_of
+from tallycast.operators.lookup import BROADCAST_BYTES, table_bytes
 from tallycast.session import materialise
 
 MIN_WORDS = 50
@@ -176,6 +177,9 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     gone_, doc, key, own_doc, own_key = unused(docs, "_gone", "_doc", "_text_key", "_own_doc", "_own_key")
     gone = repeated_lines(docs, min_words).groupBy(*KEY).agg(F.collect_set("line").alias(gone_))
     gone = materialise(gone.withColumnsRenamed({"doc": doc, "text_key": key}))
+    # Texts stay where they are while the lists of lines that go are small.
+    if table_bytes(gone) <= BROADCAST_BYTES:
+        gone = F.broadcast(gone)
     keyed = docs.withColumns({own_doc: F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)), own_key: text_key("text")})
     both = keyed.join(gone, (F.col(own_doc) == F.col(doc)) & (F.col(own_key) == F.col(key)), "left")
     kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(gone_, i))

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 # Used only where a local session names no folder; a cluster has to name one.
 LOCAL_FOLDER = "/tmp/checkpoints/tallycast"
+# From Spark 4.1 on: a query's shuffle files go when it ends, not when the driver collects garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def build_session(app: str = "tallycast", master: str | None = None, **conf: str) -> SparkSession:
@@ -33,13 +37,26 @@ def materialise(df: DataFrame) -> DataFrame:
 
     The folder is the one the cluster names in ``spark.checkpoint.dir``. Unlike
     a checkpoint, which computes its input once to count and once to write, a
-    table is computed once, and later reads prune its columns.
+    table is computed once, and later reads prune its columns. What was shuffled
+    for it is deleted as soon as it is written, since nothing reads that again.
     """
     path = scratch_path(df.sparkSession)
-    df.write.parquet(path)
+    with shuffle_cleanup(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffle_cleanup(spark: SparkSession) -> Iterator[None]:
+    """Queries that run inside delete their shuffle files when they end."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def scratch_path(spark: SparkSession, label: str = "table") -> str:
     """A new path in the folder that all executors share."""
     return f"{shared_folder(spark)}/tallycast-{label}-{uuid.uuid4().hex}"

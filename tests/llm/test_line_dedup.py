@@ -79,3 +79,18 @@ def test_what_stays(spark):
     assert L.without_repeats(tricky_docs(spark, []), 50).collect() == []
     assert L.deleted_runs(tricky_docs(spark, []), 50).collect() == []
     assert all(r.n_chars == len(r.text or "") for r in got.collect())
+
+
+@pytest.mark.parametrize("most", [L.BROADCAST_BYTES, 0])
+def test_texts_are_not_moved_for_few_lines(spark, monkeypatch, most):
+    """The lists of lines that go come to the texts if they are small; else both meet by key, with the same rows."""
+    monkeypatch.setattr(L, "BROADCAST_BYTES", most)
+    automatic = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = L.without_repeats(tricky_docs(spark), 50)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert ("BroadcastHashJoin" in plan) == (most > 0) == ("SortMergeJoin" not in plan)
+        assert Counter(r.doc_id for r in got.collect()) == Counter([1, 3, 4, 5, 6, 7, 8, 9, 10, 11, 11, None, 12, 13])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", automatic)
