@@ -7,6 +7,10 @@ end of a stage the error after each of its rounds is read off in one pass over
 the validation rows, and the running forecast of every row is written beside its
 features, so that the next stage starts warm: no round is ever fitted, and no
 tree evaluated, twice. The trees make up an ordinary Spark model.
+
+Where rows and features are all used alike, the trees come from binned rows (see
+``binned_boosting``); with weights, samples of rows or features, or nominal
+features they come from Spark's tree learner.
 """
 
 from __future__ import annotations
@@ -19,6 +23,7 @@ from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallycast.operators import binned_boosting as binned
 from tallycast.session import materialise
 
 SUM, TREE = "_boosted", "_tree"
@@ -69,6 +74,8 @@ def fit_in_stages(
     fitted, and never more than the booster's own number. The result is that of
     fitting all rounds and cutting at the best one.
     """
+    if binned.is_plain(booster, train):
+        return fit_binned(train, validation, booster, patience, stage)
     label, features = booster.getLabelCol(), booster.getFeaturesCol()
     keep = [features, label] + ([booster.getWeightCol()] if booster.isDefined("weightCol") else [])
     zero = F.lit(0.0).alias(SUM)
@@ -104,6 +111,40 @@ def fit_in_stages(
     return Stages(assembled(trees[:best], weights[:best], booster, trees[0].numFeatures), best, errors)
 
 
+def fit_all(train: DataFrame, booster: GBTRegressor, stage: int = 10) -> GBTRegressionModel:
+    """All rounds of the booster."""
+    if not binned.is_plain(booster, train):
+        return booster.fit(train)
+    return fit_binned(train, None, booster, 0, stage).model
+
+
+def fit_binned(
+    train: DataFrame, validation: DataFrame | None, booster: GBTRegressor, patience: int, stage: int
+) -> Stages:
+    """``fit_in_stages`` on binned rows; without ``validation`` all rounds are fitted and kept."""
+    cuts = binned.thresholds(train, booster)
+    kind, most = binned.kind_of(cuts), booster.getMaxIter()
+    blocks = binned.binned(train, booster, cuts)
+    tested = None if validation is None else binned.binned(validation, booster, cuts)
+    trees, weights, errors, warm = [], [], [], 0
+    while len(trees) < most:
+        for _ in range(min(stage, most - len(trees))):
+            trees.append(binned.fit_tree(blocks, trees[warm:], weights[warm:], booster, not trees, cuts))
+            weights.append(1.0 if len(trees) == 1 else booster.getStepSize())
+        late = trees[warm:], weights[warm:], kind
+        if tested is not None:
+            errors += binned.mean_errors(tested, *late)
+            if stopped(errors, patience):
+                break
+        if len(trees) < most:
+            blocks = binned.advanced(blocks, *late)
+            tested = None if tested is None else binned.advanced(tested, *late)
+            warm = len(trees)
+    best = most if tested is None else stopped(errors, patience) or errors.index(min(errors)) + 1
+    made = [binned.spark_tree(tree, cuts, f"{booster.uid}_{k}") for k, tree in enumerate(trees[:best])]
+    return Stages(assembled(made, weights[:best], booster, len(cuts)), best, errors)
+
+
 def added(df: DataFrame, tree, weight: float, features: str) -> DataFrame:
     scored = tree.copy().setFeaturesCol(features).setPredictionCol(TREE).transform(df)
     return scored.withColumn(SUM, F.col(SUM) + weight * F.col(TREE)).drop(TREE)

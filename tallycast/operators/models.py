@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tallycast.config import BOOSTER_PARAMS, ModelSpec
 from tallycast.functions.scalars import as_col
-from tallycast.operators.boosting import fit_in_stages
+from tallycast.operators.boosting import fit_all, fit_in_stages
 
 # Back-end parameter names and the tree parameter each one stands for.
 SPARK_NAMES = {
@@ -217,8 +217,9 @@ def fit_trees(
     if validation is not None and spec.kind != "random_forest":
         staged = fit_in_stages(train, validation, estimator, patience(spec), spec.stage_rounds)
         return TreeModel(staged.model, names, staged.rounds, staged.errors)
-    rounds = None if spec.kind == "random_forest" else estimator.getMaxIter()
-    return TreeModel(estimator.fit(train), names, rounds)
+    if spec.kind == "random_forest":
+        return TreeModel(estimator.fit(train), names)
+    return TreeModel(fit_all(train, estimator, spec.stage_rounds), names, estimator.getMaxIter())
 
 
 def weighted_average(predictions: Iterable[Column | str], weights: Iterable[float] | None = None) -> Column:

@@ -32,29 +32,39 @@ def build_session(app: str = "tallycast", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
-def materialise(df: DataFrame) -> DataFrame:
+def materialise(df: DataFrame, rows_a_file: int = 0) -> DataFrame:
     """Cut the lineage: write ``df`` to the shared folder and read it back.
 
     The folder is the one the cluster names in ``spark.checkpoint.dir``. Unlike
     a checkpoint, which computes its input once to count and once to write, a
     table is computed once, and later reads prune its columns. What was shuffled
     for it is deleted as soon as it is written, since nothing reads that again.
+    ``rows_a_file`` cuts large rows into files that tasks can share out evenly.
     """
     path = scratch_path(df.sparkSession)
     with shuffle_cleanup(df.sparkSession):
-        df.write.parquet(path)
+        df.write.option("maxRecordsPerFile", rows_a_file).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
 def shuffle_cleanup(spark: SparkSession) -> Iterator[None]:
     """Queries that run inside delete their shuffle files when they end."""
-    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    with settings(spark, {SHUFFLE_CLEANUP: "true"}):
+        yield
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Queries that run inside have these settings; afterwards the session has its own again."""
+    before = {name: spark.conf.get(name, None) for name in values}
     try:
+        for name, value in values.items():
+            spark.conf.set(name, value)
         yield
     finally:
-        spark.conf.set(SHUFFLE_CLEANUP, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def scratch_path(spark: SparkSession, label: str = "table") -> str:

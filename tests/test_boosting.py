@@ -1,11 +1,15 @@
 """Staged boosting against Spark's own, round by round."""
 
+import re
+
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import functions as F
 
+from tallycast.config import ModelSpec
 from tallycast.operators.boosting import fit_in_stages, stopped
+from tallycast.operators.models import fit_trees
 from tallycast.session import materialise
 
 
@@ -55,3 +59,35 @@ def test_stopped():
     assert stopped([5, 4, 3, 3.5, 2.9], 2) is None
     assert stopped([5, 4, 4.5, 4.6, 1.0], 2) == 2
     assert stopped([1.0], 1) is None
+
+
+@pytest.mark.parametrize("params", [{"minInstancesPerNode": 200, "maxBins": 16}, {"minInfoGain": 0.02}])
+def test_binned_rows_give_the_trees_of_spark(spark, params, monkeypatch):
+    """More rows than thresholds are drawn from; features that are signed, mostly zero, constant or of few values."""
+    x = [F.randn(1), F.greatest(F.randn(2), F.lit(0.0)), F.lit(3.0), F.floor(F.rand(3) * 5), F.rand(4) * 1e6, F.lit(0.0)]
+    rows = spark.range(0, 24_000, 1, 2).select("id", *[c.cast("double").alias(f"x{k}") for k, c in enumerate(x)])
+    rows = rows.withColumn("y", F.sin("x0") + F.col("x1") * F.col("x3") + F.col("x4") / 1e6 + F.randn(9) * 0.3)
+    rows = materialise(VectorAssembler(inputCols=[f"x{k}" for k in range(6)], outputCol="features").transform(rows).select("features", "y"))
+    given = {"maxDepth": 3, "stepSize": 0.3, "seed": 7, **params}
+    theirs = GBTRegressor(labelCol="y", maxIter=3, **given).fit(rows)
+
+    def kept(*_):
+        raise AssertionError("the rows were given to a learner that keeps them as objects")
+
+    monkeypatch.setattr(GBTRegressor, "_fit", kept)
+    ours = fit_trees(rows, "y", ModelSpec(kind="gbt", rounds=3, params=given, stage_rounds=2), [f"x{k}" for k in range(6)]).model
+    shape = re.compile(r"Predict: .*")
+    for a, b in zip(ours.trees, theirs.trees, strict=True):
+        assert shape.sub("", a.toDebugString).split("\n")[1:] == shape.sub("", b.toDebugString).split("\n")[1:]
+    assert ours.featureImportances.toArray() == pytest.approx(theirs.featureImportances.toArray())
+    got, want = ([r[0] for r in m.transform(rows.limit(500)).select("prediction").collect()] for m in (ours, theirs))
+    assert got == pytest.approx(want)
+
+
+def test_rows_that_cannot_be_learned_from_are_refused(tables):
+    train, _ = tables
+    spec = ModelSpec(kind="gbt", rounds=1, params={"maxDepth": 1})
+    with pytest.raises(Exception, match="null, NaN or infinite"):
+        fit_trees(train.withColumn("y", F.expr("if(id = 1, null, y)")), "y", spec, [])
+    with pytest.raises(ValueError, match="no rows"):
+        fit_trees(train.filter("id < 0"), "y", spec, [])
