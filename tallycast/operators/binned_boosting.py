@@ -39,8 +39,10 @@ BATCH, READ = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet
 IN_BLOCKS = {BATCH: "1", READ: "8"}
 BLOCKS_A_FILE = 8
 
-BLOCKS = "bins binary, labels binary, sums binary"
-PARTIAL = "node int, part int, stats binary"
+# place: the task that made a block, and which of its blocks it is.
+NAMES = ["place", "bins", "labels", "sums"]
+BLOCKS = "place bigint, bins binary, labels binary, sums binary"
+PARTIAL = "node int, place bigint, stats binary"
 SPLIT = "node int, feature int, bin int, gain double, impurity double, parent array<double>, left array<double>, right array<double>"
 SPLIT_ARROW = pa.schema(
     [("node", pa.int32()), ("feature", pa.int32()), ("bin", pa.int32()), ("gain", pa.float64()), ("impurity", pa.float64())]
@@ -138,13 +140,8 @@ def binned(df: DataFrame, booster: GBTRegressor, cuts: list[np.ndarray]) -> Data
     """Blocks of binned rows, feature by feature, with label and a running forecast of zero."""
     kind, block = kind_of(cuts), max(1, BLOCK_BYTES // (len(cuts) + 16))
 
-    def packed(arrays: list[np.ndarray], labels: list[np.ndarray]) -> pa.RecordBatch:
-        bins, y = np.concatenate(arrays, axis=1), np.concatenate(labels)
-        values = [[np.ascontiguousarray(bins).tobytes()], [y.tobytes()], [np.zeros(len(y)).tobytes()]]
-        return pa.RecordBatch.from_arrays([pa.array(v, pa.binary()) for v in values], ["bins", "labels", "sums"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        arrays, labels, held = [], [], 0
+        place, arrays, labels = TaskContext.get().partitionId() << 32, [], []
         for batch in batches:
             for at in range(0, batch.num_rows, block):
                 part = batch.slice(at, block)
@@ -154,12 +151,11 @@ def binned(df: DataFrame, booster: GBTRegressor, cuts: list[np.ndarray]) -> Data
                     raise ValueError("labels and features must not be null, NaN or infinite")
                 arrays.append(np.stack([np.searchsorted(c, x[:, f]).astype(kind) for f, c in enumerate(cuts)]))
                 labels.append(y)
-                held += len(y)
-                if held >= block:
-                    yield packed(arrays, labels)
-                    arrays, labels, held = [], [], 0
-        if held:
-            yield packed(arrays, labels)
+                if sum(map(len, labels)) >= block:
+                    yield packed(place, np.concatenate(arrays, axis=1), np.concatenate(labels))
+                    place, arrays, labels = place + 1, [], []
+        if labels:
+            yield packed(place, np.concatenate(arrays, axis=1), np.concatenate(labels))
 
     rows = df.select(F.col(booster.getLabelCol()).cast("double").alias("y"), vector_to_array(booster.getFeaturesCol()).alias("x"))
     with settings(df.sparkSession, {BATCH: str(max(1, BLOCK_BYTES // (8 * len(cuts))))}):
@@ -170,12 +166,18 @@ def kind_of(cuts: list[np.ndarray]) -> type:
     return np.uint8 if max(map(len, cuts)) < 256 else np.uint16 if max(map(len, cuts)) < 1 << 16 else np.uint32
 
 
-def unpacked(batches: Iterator[pa.RecordBatch], kind: type) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Bins by feature, labels and running forecasts of each block."""
+def packed(place: int, bins: np.ndarray, labels: np.ndarray, sums: np.ndarray | None = None) -> pa.RecordBatch:
+    sums = np.zeros(len(labels)) if sums is None else sums
+    values = [pa.array([v.tobytes()], pa.binary()) for v in (bins, labels, sums)]
+    return pa.RecordBatch.from_arrays([pa.array([place], pa.int64()), *values], NAMES)
+
+
+def unpacked(batches: Iterator[pa.RecordBatch], kind: type) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Place, bins by feature, labels and running forecasts of each block."""
     for batch in batches:
-        for bins, labels, sums in zip(*(batch.column(c) for c in ("bins", "labels", "sums"))):
+        for place, bins, labels, sums in zip(*(batch.column(c) for c in NAMES)):
             y = np.frombuffer(labels.as_buffer(), float)
-            yield np.frombuffer(bins.as_buffer(), kind).reshape(-1, len(y)), y, np.frombuffer(sums.as_buffer(), float)
+            yield place.as_py(), np.frombuffer(bins.as_buffer(), kind).reshape(-1, len(y)), y, np.frombuffer(sums.as_buffer(), float)
 
 
 def places(tree: Tree, bins: np.ndarray) -> np.ndarray:
@@ -205,11 +207,10 @@ def advanced(blocks: DataFrame, trees: list[Tree], weights: list[float], kind: t
     """The blocks with the trees added to the running forecasts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bins, y, sums in unpacked(batches, kind):
+        for place, bins, y, sums in unpacked(batches, kind):
             for sums in forecast(trees, weights, bins, sums):
                 pass
-            values = [[bins.tobytes()], [y.tobytes()], [sums.tobytes()]]
-            yield pa.RecordBatch.from_arrays([pa.array(v, pa.binary()) for v in values], ["bins", "labels", "sums"])
+            yield packed(place, bins, y, sums)
 
     with settings(blocks.sparkSession, IN_BLOCKS):
         return materialise(blocks.mapInArrow(run, BLOCKS), BLOCKS_A_FILE)
@@ -219,7 +220,7 @@ def mean_errors(blocks: DataFrame, trees: list[Tree], weights: list[float], kind
     """The mean squared error after each of the trees, from one pass; NaN without rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bins, y, sums in unpacked(batches, kind):
+        for _, bins, y, sums in unpacked(batches, kind):
             found = [float(((y - s) ** 2).sum()) for s in forecast(trees, weights, bins, sums)]
             yield pa.RecordBatch.from_arrays([pa.array([found], pa.list_(pa.float64())), pa.array([len(y)], pa.int64())], ["e", "n"])
 
@@ -234,16 +235,32 @@ def mean_errors(blocks: DataFrame, trees: list[Tree], weights: list[float], kind
 
 def node_sums(blocks: DataFrame, done: list[Tree], weights: list[float], growing: Tree, open_nodes: list[int],
               first: bool, cuts: list[np.ndarray]) -> DataFrame:
-    """Count, sum and sum of squares of what is learned, by open node, feature and bin: a row for each task and node."""
+    """Count, sum and sum of squares of what is learned, by open node, feature and bin: a row for each node and run of blocks.
+
+    A run has blocks of one task that made them, and its sums go on from block to
+    block, as Spark's go on from row to row: rounding decides between features
+    that part the rows alike, and so it does as in Spark's booster.
+    """
     kind, n_bins = kind_of(cuts), max(map(len, cuts)) + 1
+    width = len(open_nodes) * n_bins
+
+    def told(place: int, total: np.ndarray) -> pa.RecordBatch:
+        parts = total.reshape(3, len(cuts), len(open_nodes), n_bins)
+        stats = [np.ascontiguousarray(parts[:, :, k]).tobytes() for k in range(len(open_nodes))]
+        columns = [pa.array(open_nodes, pa.int32()), pa.array([place] * len(stats), pa.int64()), pa.array(stats, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["node", "place", "stats"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((3, len(cuts), len(open_nodes) * n_bins))
-        for bins, y, sums in unpacked(batches, kind):
+        start, total = None, None
+        for place, bins, y, sums in unpacked(batches, kind):
+            if start is None or place >> 32 != start >> 32:
+                if start is not None:
+                    yield told(start, total)
+                start, total = place, np.zeros((3, len(cuts), width))
             for sums in forecast(done, weights, bins, sums):
                 pass
             # The first round learns the label; a later one the slope of the squared error.
-            target = y if first else 2.0 * (y - sums)
+            target, where = y if first else 2.0 * (y - sums), 0
             if len(growing) > 1:
                 slot = np.full(len(growing), -1, np.int64)
                 slot[open_nodes] = np.arange(len(open_nodes))
@@ -252,20 +269,17 @@ def node_sums(blocks: DataFrame, done: list[Tree], weights: list[float], growing
                 if not inside.all():
                     where, target, bins = where[inside], target[inside], bins[:, inside]
                 where = where * n_bins
-            else:
-                where = 0
-            squares = target * target
+            # The sums so far go in front of the rows.
+            key = np.concatenate([np.arange(width), np.zeros(len(target), np.int64)])
+            once, squared = (np.concatenate([np.zeros(width), v]) for v in (target, target * target))
             for f in range(len(cuts)):
-                key = bins[f].astype(np.int64) + where
-                total[0, f] += np.bincount(key, minlength=total.shape[2])
-                total[1, f] += np.bincount(key, target, total.shape[2])
-                total[2, f] += np.bincount(key, squares, total.shape[2])
-        part, parts = TaskContext.get().partitionId(), total.reshape(3, len(cuts), len(open_nodes), n_bins)
-        stats = [np.ascontiguousarray(parts[:, :, k]).tobytes() for k in range(len(open_nodes))]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(open_nodes, pa.int32()), pa.array([part] * len(stats), pa.int32()), pa.array(stats, pa.binary())],
-            ["node", "part", "stats"],
-        )
+                np.add(bins[f], where, out=key[width:], casting="unsafe")
+                once[:width], squared[:width] = total[1, f], total[2, f]
+                total[0, f] += np.bincount(key[width:], minlength=width)
+                total[1, f] = np.bincount(key, once, width)
+                total[2, f] = np.bincount(key, squared, width)
+        if start is not None:
+            yield told(start, total)
 
     return blocks.mapInArrow(run, PARTIAL)
 
@@ -299,7 +313,7 @@ def best_splits(known: dict[int, tuple[float, ...] | None], cuts: list[np.ndarra
 
     def run(table: pa.Table) -> pa.Table:
         # In one order for all features, so that equal features have equal sums.
-        order, stats = np.argsort(table.column("part").to_numpy()), table.column("stats")
+        order, stats = np.argsort(table.column("place").to_numpy()), table.column("stats")
         total = np.zeros((3, len(cuts), max(map(len, cuts)) + 1))
         for k in order.tolist():
             total += np.frombuffer(stats[k].as_buffer(), float).reshape(total.shape)
