@@ -15,7 +15,7 @@ trees, and the trees make up an ordinary Spark model.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -68,6 +68,10 @@ class Node:
 
 
 Tree = list[Node]
+# The features once more as an array, where the table has one: it is read without making vectors.
+NUMBERS = "_numbers"
+# Rows, and what makes training rows of them, each by itself.
+MadeFrom = tuple[DataFrame, Callable[[DataFrame], DataFrame]]
 
 
 def variance(stats) -> float:
@@ -92,11 +96,15 @@ def is_plain(booster: GBTRegressor, train: DataFrame) -> bool:
 # ---------------------------------------------------------------- thresholds
 
 
-def thresholds(train: DataFrame, booster: GBTRegressor) -> list[np.ndarray]:
-    """Candidate thresholds by feature, from the bounded sample of rows that Spark's booster draws."""
+def thresholds(train: DataFrame, booster: GBTRegressor, made_from: MadeFrom | None = None) -> list[np.ndarray]:
+    """Candidate thresholds by feature, from the bounded sample of rows that Spark's booster draws.
+
+    With ``made_from`` the sample is drawn from the rows that ``train`` is made of
+    one by one: only what was drawn is made into vectors.
+    """
     features = booster.getFeaturesCol()
-    rows = train.select(features)
-    n = rows.count()
+    source, make = made_from or (train.select(features), lambda df: df)
+    n = source.count()
     if not n:
         raise ValueError("there are no rows to learn from")
     bins = min(booster.getMaxBins(), n)
@@ -105,9 +113,9 @@ def thresholds(train: DataFrame, booster: GBTRegressor) -> list[np.ndarray]:
     if fraction < 1:
         spark = train.sparkSession
         seed = SparkContext.getOrCreate()._jvm.org.apache.spark.util.random.XORShiftRandom(booster.getSeed()).nextInt()
-        drawn = rows._jdf.rdd().sample(False, fraction, seed)
-        rows = DataFrame(spark._jsparkSession.createDataFrame(drawn, rows._jdf.schema()), spark)
-    table = rows.select(vector_to_array(features).alias("x")).toArrow()
+        drawn = source._jdf.rdd().sample(False, fraction, seed)
+        source = DataFrame(spark._jsparkSession.createDataFrame(drawn, source._jdf.schema()), spark)
+    table = make(source).select(vector_to_array(features).alias("x")).toArrow()
     values = np.array(table.column("x").combine_chunks().flatten()).reshape(table.num_rows, -1)
     return [candidates(values[:, f], fraction * n, bins - 1) for f in range(values.shape[1])]
 
@@ -157,7 +165,8 @@ def binned(df: DataFrame, booster: GBTRegressor, cuts: list[np.ndarray]) -> Data
         if labels:
             yield packed(place, np.concatenate(arrays, axis=1), np.concatenate(labels))
 
-    rows = df.select(F.col(booster.getLabelCol()).cast("double").alias("y"), vector_to_array(booster.getFeaturesCol()).alias("x"))
+    x = F.col(NUMBERS) if NUMBERS in df.columns else vector_to_array(booster.getFeaturesCol())
+    rows = df.select(F.col(booster.getLabelCol()).cast("double").alias("y"), x.alias("x"))
     with settings(df.sparkSession, {BATCH: str(max(1, BLOCK_BYTES // (8 * len(cuts))))}):
         return materialise(rows.mapInArrow(run, BLOCKS), BLOCKS_A_FILE)
 

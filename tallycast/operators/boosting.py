@@ -66,8 +66,9 @@ def assembled(trees: list, weights: list[float], booster: GBTRegressor, features
 
 
 def fit_in_stages(
-    train: DataFrame, validation: DataFrame, booster: GBTRegressor, patience: int, stage: int = 10
-) -> Stages:
+    train: DataFrame, validation: DataFrame, booster: GBTRegressor, patience: int, stage: int = 10,
+    made_from: binned.MadeFrom | None = None,
+) -> Stages:
     """Add rounds, ``stage`` at a time, until ``patience`` rounds in a row brought no gain.
 
     No more than the best round plus ``patience`` plus ``stage`` rounds are
@@ -75,7 +76,7 @@ def fit_in_stages(
     fitting all rounds and cutting at the best one.
     """
     if binned.is_plain(booster, train):
-        return fit_binned(train, validation, booster, patience, stage)
+        return fit_binned(train, validation, booster, patience, stage, made_from)
     label, features = booster.getLabelCol(), booster.getFeaturesCol()
     keep = [features, label] + ([booster.getWeightCol()] if booster.isDefined("weightCol") else [])
     zero = F.lit(0.0).alias(SUM)
@@ -111,18 +112,21 @@ def fit_in_stages(
     return Stages(assembled(trees[:best], weights[:best], booster, trees[0].numFeatures), best, errors)
 
 
-def fit_all(train: DataFrame, booster: GBTRegressor, stage: int = 10) -> GBTRegressionModel:
+def fit_all(
+    train: DataFrame, booster: GBTRegressor, stage: int = 10, made_from: binned.MadeFrom | None = None
+) -> GBTRegressionModel:
     """All rounds of the booster."""
     if not binned.is_plain(booster, train):
         return booster.fit(train)
-    return fit_binned(train, None, booster, 0, stage).model
+    return fit_binned(train, None, booster, 0, stage, made_from).model
 
 
 def fit_binned(
-    train: DataFrame, validation: DataFrame | None, booster: GBTRegressor, patience: int, stage: int
-) -> Stages:
+    train: DataFrame, validation: DataFrame | None, booster: GBTRegressor, patience: int, stage: int,
+    made_from: binned.MadeFrom | None = None,
+) -> Stages:
     """``fit_in_stages`` on binned rows; without ``validation`` all rounds are fitted and kept."""
-    cuts = binned.thresholds(train, booster)
+    cuts = binned.thresholds(train, booster, made_from)
     kind, most = binned.kind_of(cuts), booster.getMaxIter()
     blocks = binned.binned(train, booster, cuts)
     tested = None if validation is None else binned.binned(validation, booster, cuts)

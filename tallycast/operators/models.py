@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tallycast.config import BOOSTER_PARAMS, ModelSpec
 from tallycast.functions.scalars import as_col
+from tallycast.operators.binned_boosting import NUMBERS, MadeFrom, is_plain
 from tallycast.operators.boosting import fit_all, fit_in_stages
 
 # Back-end parameter names and the tree parameter each one stands for.
@@ -158,7 +159,12 @@ class FeatureLayout:
         return PipelineModel([vectors] if indexer is None else [indexer, vectors])
 
     def assemble(self, df: DataFrame, assembler: PipelineModel, keep: Iterable[str]) -> DataFrame:
-        return assembler.transform(self.fill(df)).select(*keep, "features")
+        """The vectors and, where all features are single numbers, the same as an array, which costs nothing unless read."""
+        filled = assembler.transform(self.fill(df))
+        if self.vectors or self.nominal:
+            return filled.select(*keep, "features")
+        numbers = F.array(*[F.col(c).cast("double") for c in self.names]).alias(NUMBERS)
+        return filled.select(*keep, "features", numbers)
 
 
 def best_round(errors: list[float], patience: int) -> int:
@@ -205,21 +211,27 @@ class TreeModel:
         return self.importance(spark).limit(k)
 
 
+def reads_once(train: DataFrame, label: str, spec: ModelSpec) -> bool:
+    """Whether the fit reads the assembled rows once, to bin them; other learners read them for every tree."""
+    return spec.kind != "random_forest" and is_plain(make_estimator(spec, label), train)
+
+
 def fit_trees(
-    train: DataFrame, label: str, spec: ModelSpec, names: list[str], validation: DataFrame | None = None
-) -> TreeModel:
-    """Fit on an assembled table.
+    train: DataFrame, label: str, spec: ModelSpec, names: list[str], validation: DataFrame | None = None,
+    made_from: MadeFrom | None = None,
+) -> TreeModel:
+    """Fit on an assembled table; ``made_from`` says what rows it is made of one by one.
 
     With ``validation``, rounds are added in stages until ``patience`` of them in
     a row brought no gain on its rows, and the model is cut at the best round.
     """
     estimator = make_estimator(spec, label)
     if validation is not None and spec.kind != "random_forest":
-        staged = fit_in_stages(train, validation, estimator, patience(spec), spec.stage_rounds)
+        staged = fit_in_stages(train, validation, estimator, patience(spec), spec.stage_rounds, made_from)
         return TreeModel(staged.model, names, staged.rounds, staged.errors)
     if spec.kind == "random_forest":
         return TreeModel(estimator.fit(train), names)
-    return TreeModel(fit_all(train, estimator, spec.stage_rounds), names, estimator.getMaxIter())
+    return TreeModel(fit_all(train, estimator, spec.stage_rounds, made_from), names, estimator.getMaxIter())
 
 
 def weighted_average(predictions: Iterable[Column | str], weights: Iterable[float] | None = None) -> Column:

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from tallycast.config import PipelineSpec
 from tallycast.functions.scalars import log_target, unlog_target
+from tallycast.operators.binned_boosting import NUMBERS, MadeFrom
 from tallycast.operators.folds import Fold, fold_columns, rolling_folds
 from tallycast.operators.metrics import cv_summary, fold_scores
-from tallycast.operators.models import TreeModel, fit_trees, tree_params
+from tallycast.operators.models import TreeModel, fit_trees, reads_once, tree_params
 from tallycast.plans.prepare import TRAIN_LABEL, Preprocessing, fit_fold_preprocessing, fit_preprocessing, stateless_features
 from tallycast.session import materialise
 
@@ -66,6 +67,14 @@ def _vectors(df: DataFrame, prep: Preprocessing, assembler: PipelineModel | None
     return prep.layout.assemble(encoded, assembler, keep), assembler
 
 
+def _made_from(rows: DataFrame, train: DataFrame, prep: Preprocessing, assembler: PipelineModel) -> MadeFrom | None:
+    """What ``train`` is made of, where each row is made by itself and read once; else ``train`` is worth keeping."""
+    spec = prep.spec
+    if spec.encoders.ordered_cols or not reads_once(train, TRAIN_LABEL, spec.model):
+        return None
+    return rows, lambda df: _vectors(df, prep, assembler, training=True)[0]
+
+
 def fit_folds(rows: DataFrame, folds: list[Fold], spec: PipelineSpec) -> list[tuple[Preprocessing, PipelineModel]]:
     """Preprocessing and assembler of every fold, from shared passes over the rows."""
     if not folds:
@@ -96,11 +105,12 @@ def cross_validate(features: DataFrame, spec: PipelineSpec, *, early_stopping: b
         test_rows = rows.filter(fold.tests(F.col(p.date_col)))
         train, _ = _vectors(train_rows, prep, assembler, training=True)
         test, _ = _vectors(test_rows, prep, assembler)
-        train = train.persist(StorageLevel.MEMORY_AND_DISK)
-        test = test.persist(StorageLevel.MEMORY_AND_DISK)
-        model = fit_trees(
-            train, TRAIN_LABEL, spec.model, prep.layout.names, validation=test if early_stopping else None
-        )
+        made_from = _made_from(train_rows, train, prep, assembler)
+        if made_from is None:
+            train = train.drop(NUMBERS).persist(StorageLevel.MEMORY_AND_DISK)
+            test = test.drop(NUMBERS).persist(StorageLevel.MEMORY_AND_DISK)
+        validation = test if early_stopping else None
+        model = fit_trees(train, TRAIN_LABEL, spec.model, prep.layout.names, validation, made_from)
         predicted = model.predict(test, "_log_prediction").select(
             F.lit(fold.fold).alias("fold"),
             p.customer_col,
@@ -112,8 +122,9 @@ def cross_validate(features: DataFrame, spec: PipelineSpec, *, early_stopping: b
         predictions = predicted if predictions is None else predictions.unionByName(predicted)
         models.append(model)
         forecasters.append(Forecaster(prep, assembler, model))
-        train.unpersist()
-        test.unpersist()
+        if made_from is None:
+            train.unpersist()
+            test.unpersist()
     if predictions is None:
         raise ValueError("no fold has both training and test rows")
     return CvResult(
@@ -130,9 +141,12 @@ def fit_forecaster(features: DataFrame, spec: PipelineSpec, rounds: int | None =
     rows = labelled(features, spec)
     prep = fit_preprocessing(rows, spec)
     train, assembler = _vectors(rows, prep, training=True)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    model = fit_trees(train, TRAIN_LABEL, spec.model.with_rounds(rounds), prep.layout.names)
-    train.unpersist()
+    made_from = _made_from(rows, train, prep, assembler)
+    if made_from is None:
+        train = train.drop(NUMBERS).persist(StorageLevel.MEMORY_AND_DISK)
+    model = fit_trees(train, TRAIN_LABEL, spec.model.with_rounds(rounds), prep.layout.names, made_from=made_from)
+    if made_from is None:
+        train.unpersist()
     return Forecaster(prep, assembler, model)
 
 

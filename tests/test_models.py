@@ -326,3 +326,17 @@ def test_ensemble_of_fold_forecasters(spark, trained, rows, tmp_path):
     got = {r[0]: r[2] for r in score_ensemble(wanted, loaded, weights, rows).collect()}
     parts = [{r[0]: r[2] for r in score(wanted, f, rows).collect()} for f in some]
     assert got == pytest.approx({k: (3 * parts[0][k] + parts[1][k]) / 4 for k in parts[0]})
+
+
+def test_training_rows_are_not_kept(spark, rows, monkeypatch):
+    """The fit on binned rows makes each vector once: a copy of all of them in the executors is of no use."""
+    from pyspark.sql.classic.dataframe import DataFrame as Classic
+
+    def kept(*_):
+        raise AssertionError("the assembled rows were persisted")
+
+    monkeypatch.setattr(Classic, "persist", kept)
+    spec = replace(SPEC, model=ModelSpec(kind="gbt", rounds=1, params={"maxDepth": 1}))
+    features = stateless_features(rows, spec)
+    assert fit_forecaster(features, spec).model.rounds == 1
+    assert cross_validate(features, spec).predictions.count()
