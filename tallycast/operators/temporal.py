@@ -85,6 +85,15 @@ def _windowed(df: DataFrame, customer: str, value: str, spec: FeatureSpec, w: Wi
     return out.withColumns(derived).drop(*hidden)
 
 
+def _near(df: DataFrame, customer: str, date: str, wanted: str, spec: FeatureSpec, w: WindowSpec) -> DataFrame:
+    """The wanted rows and what their features reach back to, from the exchange and sort of the features."""
+    keyed = F.col(customer).isNotNull() & F.col(date).isNotNull()
+    same = F.max(wanted).over(Window.partitionBy(customer, SALT, date))
+    first = df.withColumn("_replaced", keyed & same & ~F.col(wanted)).filter(~F.col("_replaced")).drop("_replaced")
+    near = F.max(wanted).over(w.rowsBetween(0, spec.look_back))
+    return first.withColumn("_near", near).filter("_near").drop("_near")
+
+
 def temporal_features(
     df: DataFrame,
     customer: str,
@@ -96,10 +105,14 @@ def temporal_features(
     one_row_per_period: bool = True,
     blocks: int | None = None,
     null_customers: bool = True,
+    wanted: str | None = None,
 ) -> DataFrame:
     """Add calendar, lag, rolling, velocity and trend columns.
 
-    ``null_customers=False`` says that every row has a customer.
+    ``null_customers=False`` says that every row has a customer. ``wanted`` names
+    a flag of the rows that are asked for in a panel: the others are their past,
+    and go where a wanted row has their customer and date, or where they lie
+    further back than features reach. Not all rows that stay are wanted.
 
     A panel holds one row per customer and period, so a window partition is
     never longer than the calendar: all windows share one exchange and sort.
@@ -117,7 +130,10 @@ def temporal_features(
         # Rows without a customer get no features; they are spread, so that no window has to gather them.
         spread = F.when(F.col(customer).isNull(), F.pmod(F.xxhash64(date, value), F.lit(SPREAD)))
         w = Window.partitionBy(customer, SALT).orderBy(*order)
-        return _windowed(flagged.withColumn(SALT, spread), customer, value, spec, w).drop(SALT)
+        flagged = flagged.withColumn(SALT, spread)
+        if wanted:
+            flagged = _near(flagged, customer, date, wanted, spec, w)
+        return _windowed(flagged, customer, value, spec, w).drop(SALT)
     return in_row_blocks(
         flagged,
         key=customer,

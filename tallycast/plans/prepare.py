@@ -43,11 +43,15 @@ def build_panel(
     )
 
 
-def stateless_features(df: DataFrame, spec: PipelineSpec, null_customers: bool = True) -> DataFrame:
-    """What needs no fit: ID categories and temporal features."""
+def stateless_features(
+    df: DataFrame, spec: PipelineSpec, null_customers: bool = True, wanted: str | None = None
+) -> DataFrame:
+    """What needs no fit: ID categories and temporal features; ``wanted`` as in ``temporal_features``."""
     p = spec.panel
     named = ids_to_categories(df, p.numeric_id_cols)
-    return temporal_features(named, p.customer_col, p.date_col, p.value_col, spec.features, null_customers=null_customers)
+    return temporal_features(
+        named, p.customer_col, p.date_col, p.value_col, spec.features, null_customers=null_customers, wanted=wanted
+    )
 
 
 # The label on the training scale.

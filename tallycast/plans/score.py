@@ -13,28 +13,24 @@ from tallycast.plans.train import Forecaster
 from tallycast.sources.writers import write_scores
 
 
-def score(
-    rows: DataFrame, forecaster: Forecaster, history: DataFrame | None = None, keys: DataFrame | None = None
-) -> DataFrame:
+def score(rows: DataFrame, forecaster: Forecaster, history: DataFrame | None = None) -> DataFrame:
     """Predictions for ``rows``: customer, date and ``log1p`` of the forecast.
 
     Lags reach back before the rows to score, so features are built over
-    ``history`` and the rows together and only then cut to the rows. The output
-    is clipped at a forecast of zero. ``keys`` may name the customers and dates
-    of the rows once more, where the rows themselves are to be read once.
+    ``history`` and the rows together and only then cut to the rows; history
+    that no feature reaches goes before. A row to score that history holds as
+    well is one row. The output is clipped at a forecast of zero.
     """
     spec = forecaster.spec
     p = spec.panel
     columns = [c for c in rows.columns if c != p.label_col]
     both = rows.select(*columns).withColumn("_wanted", F.lit(True))
+    wanted = None
     if history is not None:
-        shared = [c for c in columns if c in history.columns]
-        # A row to score that history holds as well is one row.
-        known = (rows if keys is None else keys).select(p.customer_col, p.date_col).distinct()
-        past = history.select(*shared).join(known, [p.customer_col, p.date_col], "left_anti")
-        past = past.withColumn("_wanted", F.lit(False))
+        shared, wanted = [c for c in columns if c in history.columns], "_wanted"
+        past = history.select(*shared).withColumn("_wanted", F.lit(False))
         both = both.unionByName(past, allowMissingColumns=True)
-    return predicted(stateless_features(both, spec).filter("_wanted").drop("_wanted"), forecaster)
+    return predicted(stateless_features(both, spec, wanted=wanted).filter("_wanted").drop("_wanted"), forecaster)
 
 
 def predicted(features: DataFrame, forecaster: Forecaster) -> DataFrame:
@@ -89,7 +85,7 @@ def score_to_file(
     p = forecaster.spec.panel
     seen, done = Observation(), Observation()
     number = F.count(F.lit(1)).alias("n")
-    scores = score(rows.observe(seen, number), forecaster, history, rows)
+    scores = score(rows.observe(seen, number), forecaster, history)
     write_scores(scores.observe(done, number), path, p.customer_col, p.label_col, fmt)
     written, wanted = done.get["n"], seen.get["n"] if expected is None else expected
     if written == wanted:

@@ -6,7 +6,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tallycast.config import CvSpec, EncoderSpec, ModelSpec, PanelSpec, PipelineSpec
+from tallycast.config import CvSpec, EncoderSpec, FeatureSpec, ModelSpec, PanelSpec, PipelineSpec
 from tallycast.functions.scalars import log_target
 from tallycast.operators import metrics
 from tallycast.operators.numeric import ids_to_categories
@@ -22,6 +22,7 @@ from tallycast.operators.models import (
     weighted_average,
 )
 from tallycast.operators.panel import forward_label
+from tallycast.operators.temporal import temporal_features
 from tallycast.plans.prepare import build_panel, stateless_features
 from tallycast.plans.score import score, score_ensemble, score_to_file
 from tallycast.plans.train import cross_validate, fit_forecaster, train
@@ -340,3 +341,15 @@ def test_training_rows_are_not_kept(spark, rows, monkeypatch):
     features = stateless_features(rows, spec)
     assert fit_forecaster(features, spec).model.rounds == 1
     assert cross_validate(features, spec).predictions.count()
+
+
+def test_history_is_cut_to_what_features_reach(spark):
+    """Old rows, and those that a wanted row replaces, go before the windows; the features stay."""
+    spec = FeatureSpec()
+    days = spark.range(40).select(F.lit(1).alias("who"), F.expr("add_months(date'2020-01-01', int(id))").alias("period"), F.col("id").alias("n"))
+    copies = days.withColumn("wanted", F.lit(False)).unionByName(days.filter("n = 39").withColumn("wanted", F.lit(True)))
+    lost = copies.unionByName(copies.filter("n = 39 and not wanted").withColumn("who", F.lit(None).cast("int")))
+    got = temporal_features(lost, "who", "period", "n", spec, wanted="wanted")
+    assert sorted(r["n"] for r in got.filter("who = 1").select("n").collect()) == list(range(39 - spec.look_back, 40))
+    want = temporal_features(days, "who", "period", "n", spec).filter("n = 39")
+    assert got.filter("wanted").drop("wanted").collect() == want.collect()
