@@ -5,7 +5,7 @@ for some fifty features, and reads all of them for every level of every tree:
 rows that do not fit the memory of the executors travel from disk each time.
 Here the features are binned once, by the thresholds that Spark would choose,
 and written as blocks of rows, feature by feature, beside label and running
-forecast. For a level of a tree each task adds up count, sum and sum of squares
+forecast; features that part the rows of a block alike are written once. For a level of a tree each task adds up count, sum and sum of squares
 by node, feature and bin over its blocks; the sums of a node meet in one group,
 which answers with the node's best split. Only splits reach the driver. The
 rules (candidates, gain, ties, leaves, pruning) are those of Spark's variance
@@ -16,7 +16,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,12 +41,13 @@ IN_BLOCKS = {BATCH: "1", READ: "8"}
 BLOCKS_A_FILE = 8
 
 # place: the task that made a block, and which of its blocks it is.
-NAMES = ["place", "bins", "labels", "sums"]
-BLOCKS = "place bigint, bins binary, labels binary, sums binary"
-PARTIAL = "node int, place bigint, stats binary"
-SPLIT = "node int, feature int, bin int, gain double, impurity double, parent array<double>, left array<double>, right array<double>"
+# bins: those of different features; which: for each feature, the one it is. Running forecasts of zero are not written.
+NAMES = ["place", "bins", "which", "labels", "sums"]
+BLOCKS = "place bigint, bins binary, which binary, labels binary, sums binary"
+PARTIAL = "fit int, node int, place bigint, stats binary"
+SPLIT = "fit int, node int, feature int, bin int, gain double, impurity double, parent array<double>, left array<double>, right array<double>"
 SPLIT_ARROW = pa.schema(
-    [("node", pa.int32()), ("feature", pa.int32()), ("bin", pa.int32()), ("gain", pa.float64()), ("impurity", pa.float64())]
+    [("fit", pa.int32()), ("node", pa.int32()), ("feature", pa.int32()), ("bin", pa.int32()), ("gain", pa.float64()), ("impurity", pa.float64())]
     + [(c, pa.list_(pa.float64())) for c in ("parent", "left", "right")]
 )
 
@@ -70,6 +72,9 @@ class Node:
 Tree = list[Node]
 # The features once more as an array, where the table has one: it is read without making vectors.
 NUMBERS = "_numbers"
+NUMBER = "_number"
+# With so many thresholds or fewer, comparing with each is faster than searching among them.
+COMPARED = 16
 # Rows, and what makes training rows of them, each by itself.
 MadeFrom = tuple[DataFrame, Callable[[DataFrame], DataFrame]]
 
@@ -113,8 +118,11 @@ def thresholds(train: DataFrame, booster: GBTRegressor, made_from: MadeFrom | No
     if fraction < 1:
         spark = train.sparkSession
         seed = SparkContext.getOrCreate()._jvm.org.apache.spark.util.random.XORShiftRandom(booster.getSeed()).nextInt()
-        drawn = source._jdf.rdd().sample(False, fraction, seed)
-        source = DataFrame(spark._jsparkSession.createDataFrame(drawn, source._jdf.schema()), spark)
+        # What is drawn depends on the numbers of rows only: it is found out by them, and the rows are not made into objects.
+        numbers = source.select(F.monotonically_increasing_id().alias(NUMBER))
+        drawn = DataFrame(spark._jsparkSession.createDataFrame(numbers._jdf.rdd().sample(False, fraction, seed), numbers._jdf.schema()), spark)
+        drawn = spark.createDataFrame(drawn.toArrow())
+        source = source.withColumn(NUMBER, F.monotonically_increasing_id()).join(F.broadcast(drawn), NUMBER, "left_semi").drop(NUMBER)
     table = make(source).select(vector_to_array(features).alias("x")).toArrow()
     values = np.array(table.column("x").combine_chunks().flatten()).reshape(table.num_rows, -1)
     return [candidates(values[:, f], fraction * n, bins - 1) for f in range(values.shape[1])]
@@ -157,13 +165,13 @@ def binned(df: DataFrame, booster: GBTRegressor, cuts: list[np.ndarray]) -> Data
                 x = part.column("x").flatten().to_numpy(zero_copy_only=False).reshape(len(y), len(cuts))
                 if not np.isfinite(y).all() or not np.isfinite(x).all():
                     raise ValueError("labels and features must not be null, NaN or infinite")
-                arrays.append(np.stack([np.searchsorted(c, x[:, f]).astype(kind) for f, c in enumerate(cuts)]))
+                arrays.append(np.stack([bin_of(v, c, kind) for v, c in zip(np.ascontiguousarray(x.T), cuts)]))
                 labels.append(y)
                 if sum(map(len, labels)) >= block:
-                    yield packed(place, np.concatenate(arrays, axis=1), np.concatenate(labels))
+                    yield blocked(place, np.concatenate(arrays, axis=1), np.concatenate(labels))
                     place, arrays, labels = place + 1, [], []
         if labels:
-            yield packed(place, np.concatenate(arrays, axis=1), np.concatenate(labels))
+            yield blocked(place, np.concatenate(arrays, axis=1), np.concatenate(labels))
 
     x = F.col(NUMBERS) if NUMBERS in df.columns else vector_to_array(booster.getFeaturesCol())
     rows = df.select(F.col(booster.getLabelCol()).cast("double").alias("y"), x.alias("x"))
@@ -171,44 +179,78 @@ def binned(df: DataFrame, booster: GBTRegressor, cuts: list[np.ndarray]) -> Data
         return materialise(rows.mapInArrow(run, BLOCKS), BLOCKS_A_FILE)
 
 
+def bin_of(x: np.ndarray, cuts: np.ndarray, kind: type) -> np.ndarray:
+    """How many of the thresholds lie below each value."""
+    if len(cuts) > COMPARED:
+        return np.searchsorted(cuts, x).astype(kind)
+    out = np.zeros(len(x), kind)
+    for cut in cuts:
+        out += x > cut
+    return out
+
+
 def kind_of(cuts: list[np.ndarray]) -> type:
     return np.uint8 if max(map(len, cuts)) < 256 else np.uint16 if max(map(len, cuts)) < 1 << 16 else np.uint32
 
 
-def packed(place: int, bins: np.ndarray, labels: np.ndarray, sums: np.ndarray | None = None) -> pa.RecordBatch:
-    sums = np.zeros(len(labels)) if sums is None else sums
-    values = [pa.array([v.tobytes()], pa.binary()) for v in (bins, labels, sums)]
-    return pa.RecordBatch.from_arrays([pa.array([place], pa.int64()), *values], NAMES)
+def blocked(place: int, bins: np.ndarray, labels: np.ndarray) -> pa.RecordBatch:
+    """A new block of rows; features with the same bins share them."""
+    found: dict[bytes, int] = {}
+    which = np.array([found.setdefault(row.tobytes(), len(found)) for row in bins], np.uint32)
+    return packed(place, b"".join(found), which, labels, np.empty(0))
 
 
-def unpacked(batches: Iterator[pa.RecordBatch], kind: type) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """Place, bins by feature, labels and running forecasts of each block."""
+def packed(place: int, *values: np.ndarray | bytes) -> pa.RecordBatch:
+    binaries = [pa.array([v if isinstance(v, bytes) else v.tobytes()], pa.binary()) for v in values]
+    return pa.RecordBatch.from_arrays([pa.array([place], pa.int64()), *binaries], NAMES)
+
+
+@dataclass(frozen=True)
+class Block:
+    """Rows of binned features: ``bins`` of the different ones, and which of them each feature is."""
+
+    place: int
+    bins: np.ndarray
+    which: np.ndarray
+    labels: np.ndarray
+    sums: np.ndarray
+
+    def of(self, feature: int) -> np.ndarray:
+        return self.bins[self.which[feature]]
+
+
+def unpacked(batches: Iterator[pa.RecordBatch], kind: type) -> Iterator[Block]:
     for batch in batches:
-        for place, bins, labels, sums in zip(*(batch.column(c) for c in NAMES)):
-            y = np.frombuffer(labels.as_buffer(), float)
-            yield place.as_py(), np.frombuffer(bins.as_buffer(), kind).reshape(-1, len(y)), y, np.frombuffer(sums.as_buffer(), float)
+        for place, bins, which, labels, sums in zip(*(batch.column(c) for c in NAMES)):
+            y, so_far = np.frombuffer(labels.as_buffer(), float), np.frombuffer(sums.as_buffer(), float)
+            yield Block(
+                place.as_py(), np.frombuffer(bins.as_buffer(), kind).reshape(-1, len(y)),
+                np.frombuffer(which.as_buffer(), np.uint32), y, so_far if len(so_far) else np.zeros(len(y)),
+            )
 
 
-def places(tree: Tree, bins: np.ndarray) -> np.ndarray:
+def places(tree: Tree, block: Block) -> np.ndarray:
     """The node each row ends in."""
-    out = np.zeros(bins.shape[1], np.int32)
-    walk = [(0, np.ones(bins.shape[1], bool))]
-    while walk:
-        at, here = walk.pop()
+    kind = np.min_scalar_type(len(tree)).type
+
+    def below(at: int):
         node = tree[at]
         if node.left is None:
-            np.copyto(out, at, where=here)
-        else:
-            low = bins[node.feature] <= node.bin
-            walk += [(node.left, here & low), (node.right, here & ~low)]
-    return out
+            return kind(at)
+        left, right = below(node.left), below(node.right)
+        # All bits are set where a row goes left.
+        low = np.negative((block.of(node.feature) <= node.bin).astype(kind))
+        return right ^ ((left ^ right) & low)
+
+    return np.broadcast_to(below(0), len(block.labels))
 
 
-def forecast(trees: list[Tree], weights: list[float], bins: np.ndarray, sums: np.ndarray) -> Iterator[np.ndarray]:
+def forecast(trees: list[Tree], weights: list[float], block: Block) -> Iterator[np.ndarray]:
     """The running forecast after each of the trees."""
+    sums = block.sums
     for tree, weight in zip(trees, weights):
         values = np.array([weight * node.prediction for node in tree])
-        sums = sums + values[places(tree, bins)]
+        sums = sums + values[places(tree, block)]
         yield sums
 
 
@@ -216,10 +258,9 @@ def advanced(blocks: DataFrame, trees: list[Tree], weights: list[float], kind: t
     """The blocks with the trees added to the running forecasts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for place, bins, y, sums in unpacked(batches, kind):
-            for sums in forecast(trees, weights, bins, sums):
-                pass
-            yield packed(place, bins, y, sums)
+        for block in unpacked(batches, kind):
+            *_, sums = forecast(trees, weights, block)
+            yield packed(block.place, block.bins, block.which, block.labels, sums)
 
     with settings(blocks.sparkSession, IN_BLOCKS):
         return materialise(blocks.mapInArrow(run, BLOCKS), BLOCKS_A_FILE)
@@ -229,8 +270,9 @@ def mean_errors(blocks: DataFrame, trees: list[Tree], weights: list[float], kind
     """The mean squared error after each of the trees, from one pass; NaN without rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, bins, y, sums in unpacked(batches, kind):
-            found = [float(((y - s) ** 2).sum()) for s in forecast(trees, weights, bins, sums)]
+        for block in unpacked(batches, kind):
+            y = block.labels
+            found = [float(((y - s) ** 2).sum()) for s in forecast(trees, weights, block)]
             yield pa.RecordBatch.from_arrays([pa.array([found], pa.list_(pa.float64())), pa.array([len(y)], pa.int64())], ["e", "n"])
 
     errors = blocks.mapInArrow(run, "e array<double>, n bigint")
@@ -242,55 +284,95 @@ def mean_errors(blocks: DataFrame, trees: list[Tree], weights: list[float], kind
 # --------------------------------------------------------------------- trees
 
 
-def node_sums(blocks: DataFrame, done: list[Tree], weights: list[float], growing: Tree, open_nodes: list[int],
-              first: bool, cuts: list[np.ndarray]) -> DataFrame:
+@dataclass
+class Growing:
+    """A tree on what the running forecast in the blocks and the trees ``done`` since leave open."""
+
+    blocks: DataFrame
+    done: list[Tree]
+    weights: list[float]
+    booster: GBTRegressor
+    cuts: list[np.ndarray]
+    # The first round learns the label; a later one the slope of the squared error.
+    first: bool
+    tree: Tree = field(default_factory=lambda: [Node((0.0, 0.0, 0.0), 0.0)])
+    open_nodes: list[int] = field(default_factory=lambda: [0])
+
+    @property
+    def at_once(self) -> int:
+        """So many nodes at a time keep to the booster's memory for sums."""
+        n_bins = max(map(len, self.cuts)) + 1
+        return max(1, (self.booster.getMaxMemoryInMB() << 20) // (n_bins * len(self.cuts) * 24))
+
+    def grow(self, found: list, level: int) -> None:
+        """Split the open nodes of a level as was found best."""
+        tree, depth, self.open_nodes = self.tree, self.booster.getMaxDepth(), []
+        for r in sorted(found, key=lambda r: r["node"]):
+            parent = tuple(r["parent"])
+            if r["gain"] <= 0 or level == depth:
+                tree[r["node"]] = Node(parent, r["impurity"] if r["gain"] != INVALID else -1.0)
+                continue
+            left, right = len(tree), len(tree) + 1
+            tree[r["node"]] = Node(parent, r["impurity"], r["gain"], r["feature"], r["bin"], left, right)
+            for stats in (tuple(r["left"]), tuple(r["right"])):
+                spread = variance(stats)
+                if level + 1 < depth and abs(spread) >= EPSILON:
+                    self.open_nodes.append(len(tree))
+                tree.append(Node(stats, spread))
+
+
+def node_sums(growing: Growing, fit: int, open_nodes: list[int]) -> DataFrame:
     """Count, sum and sum of squares of what is learned, by open node, feature and bin: a row for each node and run of blocks.
 
     A run has blocks of one task that made them, and its sums go on from block to
     block, as Spark's go on from row to row: rounding decides between features
     that part the rows alike, and so it does as in Spark's booster.
     """
+    done, weights, tree, cuts, first = growing.done, growing.weights, growing.tree, growing.cuts, growing.first
     kind, n_bins = kind_of(cuts), max(map(len, cuts)) + 1
     width = len(open_nodes) * n_bins
 
-    def told(place: int, total: np.ndarray) -> pa.RecordBatch:
-        parts = total.reshape(3, len(cuts), len(open_nodes), n_bins)
-        stats = [np.ascontiguousarray(parts[:, :, k]).tobytes() for k in range(len(open_nodes))]
-        columns = [pa.array(open_nodes, pa.int32()), pa.array([place] * len(stats), pa.int64()), pa.array(stats, pa.binary())]
-        return pa.RecordBatch.from_arrays(columns, ["node", "place", "stats"])
+    def told(place: int, shared: list[int], counts: np.ndarray, both: np.ndarray) -> pa.RecordBatch:
+        parts = np.stack([counts, both.real, both.imag]).reshape(3, -1, len(open_nodes), n_bins)
+        stats = [parts[:, shared, k].tobytes() for k in range(len(open_nodes))]
+        columns = [pa.array([fit] * len(stats), pa.int32()), pa.array(open_nodes, pa.int32())]
+        columns += [pa.array([place] * len(stats), pa.int64()), pa.array(stats, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["fit", "node", "place", "stats"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        start, total = None, None
-        for place, bins, y, sums in unpacked(batches, kind):
-            if start is None or place >> 32 != start >> 32:
+        start = None
+        for block in unpacked(batches, kind):
+            if start is None or block.place >> 32 != start >> 32:
                 if start is not None:
-                    yield told(start, total)
-                start, total = place, np.zeros((3, len(cuts), width))
-            for sums in forecast(done, weights, bins, sums):
-                pass
-            # The first round learns the label; a later one the slope of the squared error.
-            target, where = y if first else 2.0 * (y - sums), 0
-            if len(growing) > 1:
-                slot = np.full(len(growing), -1, np.int64)
-                slot[open_nodes] = np.arange(len(open_nodes))
-                where = slot[places(growing, bins)]
-                inside = where >= 0
-                if not inside.all():
-                    where, target, bins = where[inside], target[inside], bins[:, inside]
-                where = where * n_bins
-            # The sums so far go in front of the rows.
-            key = np.concatenate([np.arange(width), np.zeros(len(target), np.int64)])
-            once, squared = (np.concatenate([np.zeros(width), v]) for v in (target, target * target))
-            for f in range(len(cuts)):
-                np.add(bins[f], where, out=key[width:], casting="unsafe")
-                once[:width], squared[:width] = total[1, f], total[2, f]
-                total[0, f] += np.bincount(key[width:], minlength=width)
-                total[1, f] = np.bincount(key, once, width)
-                total[2, f] = np.bincount(key, squared, width)
+                    yield told(start, shared, counts, both)
+                # Sum and sum of squares are the two parts of one complex number. All features share them at first.
+                start, shared, counts, both = block.place, [0] * len(cuts), np.zeros((1, width)), np.zeros((1, width), complex)
+            y = block.labels
+            *_, sums = block.sums, *forecast(done, weights, block)
+            target, where, inside = y if first else 2.0 * (y - sums), 0, slice(None)
+            if len(tree) > 1:
+                slot = np.full(len(tree), -1, np.int64)
+                slot[open_nodes] = np.arange(len(open_nodes)) * n_bins
+                where = slot[places(tree, block)]
+                if where.min(initial=0) < 0:
+                    inside = np.flatnonzero(where >= 0)
+                    where, target = where[inside], target[inside]
+            learned = np.empty(len(target), complex)
+            learned.real, learned.imag = target, target * target
+            # Features go on sharing sums as long as they part the rows alike.
+            apart: dict[tuple[int, int], int] = {}
+            shared = [apart.setdefault(pair, len(apart)) for pair in zip(shared, block.which.tolist())]
+            so_far = [k for k, _ in apart]
+            counts, both = counts[so_far], both[so_far]
+            key = np.empty(len(target), np.int64)
+            for k, (_, column) in enumerate(apart):
+                np.add(block.bins[column][inside], where, out=key, casting="unsafe")
+                counts[k] += np.bincount(key, minlength=width)
+                np.add.at(both[k], key, learned)
         if start is not None:
-            yield told(start, total)
+            yield told(start, shared, counts, both)
 
-    return blocks.mapInArrow(run, PARTIAL)
+    return growing.blocks.mapInArrow(run, PARTIAL)
 
 
 def best_split(total: np.ndarray, cuts: list[np.ndarray], least: int, min_gain: float, known: tuple[float, ...] | None):
@@ -317,56 +399,41 @@ def best_split(total: np.ndarray, cuts: list[np.ndarray], least: int, min_gain:
     return f, b, float(gain[f, b]), impurity, known, tuple(left[:, f, b].tolist()), tuple(right[:, f, b].tolist())
 
 
-def best_splits(known: dict[int, tuple[float, ...] | None], cuts: list[np.ndarray], least: int, min_gain: float):
-    """A function that adds up the sums of a node and answers with its best split."""
+def best_splits(known: dict[tuple[int, int], tuple[float, ...] | None], cuts: list[list[np.ndarray]], least: int, min_gain: float):
+    """A function that adds up the sums of a node of one fit and answers with its best split."""
 
     def run(table: pa.Table) -> pa.Table:
         # In one order for all features, so that equal features have equal sums.
         order, stats = np.argsort(table.column("place").to_numpy()), table.column("stats")
-        total = np.zeros((3, len(cuts), max(map(len, cuts)) + 1))
+        fit, node = table.column("fit")[0].as_py(), table.column("node")[0].as_py()
+        total = np.zeros((3, len(cuts[fit]), max(map(len, cuts[fit])) + 1))
         for k in order.tolist():
             total += np.frombuffer(stats[k].as_buffer(), float).reshape(total.shape)
-        node = table.column("node")[0].as_py()
-        f, b, gain, impurity, *sums = best_split(total, cuts, least, min_gain, known[node])
-        row = dict(node=node, feature=f, bin=b, gain=gain, impurity=impurity)
+        f, b, gain, impurity, *sums = best_split(total, cuts[fit], least, min_gain, known[fit, node])
+        row = dict(fit=fit, node=node, feature=f, bin=b, gain=gain, impurity=impurity)
         row |= dict(zip(("parent", "left", "right"), map(list, sums)))
         return pa.Table.from_pylist([row], schema=SPLIT_ARROW)
 
     return run
 
 
-def fit_tree(blocks: DataFrame, done: list[Tree], weights: list[float], booster: GBTRegressor, first: bool,
-             cuts: list[np.ndarray]) -> Tree:
-    """One tree on what the running forecast and the trees ``done`` since leave open, level by level."""
-    n_bins, n_features = max(map(len, cuts)) + 1, len(cuts)
-    least, min_gain, depth = booster.getMinInstancesPerNode(), booster.getMinInfoGain(), booster.getMaxDepth()
-    # So many nodes at a time keep to the booster's memory for sums.
-    at_once = max(1, (booster.getMaxMemoryInMB() << 20) // (n_bins * n_features * 24))
-    tree: Tree = [Node((0.0, 0.0, 0.0), 0.0)]
-    open_nodes, level = [0], 0
-    while open_nodes:
-        found = []
-        for at in range(0, len(open_nodes), at_once):
-            some = open_nodes[at : at + at_once]
-            known = {k: tree[k].stats if level else None for k in some}
-            partial = node_sums(blocks, done, weights, tree, some, first, cuts)
-            with settings(blocks.sparkSession, IN_BLOCKS):
-                found += partial.groupBy("node").applyInArrow(best_splits(known, cuts, least, min_gain), SPLIT).collect()
-        open_nodes = []
-        for r in sorted(found, key=lambda r: r["node"]):
-            parent = tuple(r["parent"])
-            if r["gain"] <= 0 or level == depth:
-                tree[r["node"]] = Node(parent, r["impurity"] if r["gain"] != INVALID else -1.0)
-                continue
-            left, right = len(tree), len(tree) + 1
-            tree[r["node"]] = Node(parent, r["impurity"], r["gain"], r["feature"], r["bin"], left, right)
-            for stats in (tuple(r["left"]), tuple(r["right"])):
-                spread = variance(stats)
-                if level + 1 < depth and abs(spread) >= EPSILON:
-                    open_nodes.append(len(tree))
-                tree.append(Node(stats, spread))
+def fit_trees(growing: list[Growing]) -> list[Tree]:
+    """The trees, all by boosters of the same parameters, level by level: a level of all of them is one job."""
+    booster, cuts, level = growing[0].booster, [g.cuts for g in growing], 0
+    while any(g.open_nodes for g in growing):
+        found, waiting = [], {k: g.open_nodes for k, g in enumerate(growing) if g.open_nodes}
+        while waiting:
+            some = {k: nodes[: growing[k].at_once] for k, nodes in waiting.items()}
+            known = {(k, n): growing[k].tree[n].stats if level else None for k, nodes in some.items() for n in nodes}
+            partial = reduce(DataFrame.union, [node_sums(growing[k], k, nodes) for k, nodes in some.items()])
+            best = best_splits(known, cuts, booster.getMinInstancesPerNode(), booster.getMinInfoGain())
+            with settings(partial.sparkSession, IN_BLOCKS):
+                found += partial.groupBy("fit", "node").applyInArrow(best, SPLIT).collect()
+            waiting = {k: rest for k, nodes in waiting.items() if (rest := nodes[growing[k].at_once :])}
+        for k, g in enumerate(growing):
+            g.grow([r for r in found if r["fit"] == k], level)
         level += 1
-    return pruned(tree)
+    return [pruned(g.tree) for g in growing]
 
 
 def pruned(tree: Tree) -> Tree:

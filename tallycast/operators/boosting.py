@@ -76,7 +76,7 @@ def fit_in_stages(
     fitting all rounds and cutting at the best one.
     """
     if binned.is_plain(booster, train):
-        return fit_binned(train, validation, booster, patience, stage, made_from)
+        return fit_binned([(train, validation, made_from)], [booster], patience, stage)[0]
     label, features = booster.getLabelCol(), booster.getFeaturesCol()
     keep = [features, label] + ([booster.getWeightCol()] if booster.isDefined("weightCol") else [])
     zero = F.lit(0.0).alias(SUM)
@@ -118,35 +118,67 @@ def fit_all(
     """All rounds of the booster."""
     if not binned.is_plain(booster, train):
         return booster.fit(train)
-    return fit_binned(train, None, booster, 0, stage, made_from).model
-
-
-def fit_binned(
-    train: DataFrame, validation: DataFrame | None, booster: GBTRegressor, patience: int, stage: int,
-    made_from: binned.MadeFrom | None = None,
-) -> Stages:
-    """``fit_in_stages`` on binned rows; without ``validation`` all rounds are fitted and kept."""
-    cuts = binned.thresholds(train, booster, made_from)
-    kind, most = binned.kind_of(cuts), booster.getMaxIter()
-    blocks = binned.binned(train, booster, cuts)
-    tested = None if validation is None else binned.binned(validation, booster, cuts)
-    trees, weights, errors, warm = [], [], [], 0
-    while len(trees) < most:
-        for _ in range(min(stage, most - len(trees))):
-            trees.append(binned.fit_tree(blocks, trees[warm:], weights[warm:], booster, not trees, cuts))
-            weights.append(1.0 if len(trees) == 1 else booster.getStepSize())
-        late = trees[warm:], weights[warm:], kind
-        if tested is not None:
-            errors += binned.mean_errors(tested, *late)
-            if stopped(errors, patience):
-                break
-        if len(trees) < most:
-            blocks = binned.advanced(blocks, *late)
-            tested = None if tested is None else binned.advanced(tested, *late)
-            warm = len(trees)
-    best = most if tested is None else stopped(errors, patience) or errors.index(min(errors)) + 1
-    made = [binned.spark_tree(tree, cuts, f"{booster.uid}_{k}") for k, tree in enumerate(trees[:best])]
-    return Stages(assembled(made, weights[:best], booster, len(cuts)), best, errors)
+    return fit_binned([(train, None, made_from)], [booster], 0, stage)[0].model
+
+
+# Training rows, validation rows and what the former are made of.
+Tables = tuple[DataFrame, DataFrame | None, binned.MadeFrom | None]
+
+
+class BinnedFit:
+    """A model that grows on binned rows."""
+
+    def __init__(self, tables: Tables, booster: GBTRegressor):
+        train, validation, made_from = tables
+        self.booster, self.cuts = booster, binned.thresholds(train, booster, made_from)
+        self.kind, self.most = binned.kind_of(self.cuts), booster.getMaxIter()
+        self.blocks = binned.binned(train, booster, self.cuts)
+        self.tested = None if validation is None else binned.binned(validation, booster, self.cuts)
+        self.trees, self.weights, self.errors, self.warm = [], [], [], 0
+
+    def growing(self) -> binned.Growing:
+        late = self.trees[self.warm :], self.weights[self.warm :]
+        return binned.Growing(self.blocks, *late, self.booster, self.cuts, not self.trees)
+
+    def add(self, tree: binned.Tree) -> None:
+        self.trees.append(tree)
+        self.weights.append(1.0 if len(self.trees) == 1 else self.booster.getStepSize())
+
+    def goes_on(self, patience: int) -> bool:
+        """At the end of a stage: the errors of its rounds; then, if there are more, both tables start warm."""
+        late = self.trees[self.warm :], self.weights[self.warm :], self.kind
+        if self.tested is not None:
+            self.errors += binned.mean_errors(self.tested, *late)
+            if stopped(self.errors, patience):
+                return False
+        if len(self.trees) == self.most:
+            return False
+        self.blocks = binned.advanced(self.blocks, *late)
+        self.tested = None if self.tested is None else binned.advanced(self.tested, *late)
+        self.warm = len(self.trees)
+        return True
+
+    def result(self, patience: int) -> Stages:
+        errors = self.errors
+        best = self.most if self.tested is None else stopped(errors, patience) or errors.index(min(errors)) + 1
+        made = [binned.spark_tree(tree, self.cuts, f"{self.booster.uid}_{k}") for k, tree in enumerate(self.trees[:best])]
+        return Stages(assembled(made, self.weights[:best], self.booster, len(self.cuts)), best, errors)
+
+
+def fit_binned(tables: list[Tables], boosters: list[GBTRegressor], patience: int, stage: int) -> list[Stages]:
+    """``fit_in_stages`` on binned rows, for several models of the same parameters together.
+
+    A level of the trees of all of them is one job. Without validation rows all
+    rounds are fitted and kept.
+    """
+    fits = [BinnedFit(*given) for given in zip(tables, boosters, strict=True)]
+    going = fits
+    while going:
+        for _ in range(min(stage, going[0].most - len(going[0].trees))):
+            for fit, tree in zip(going, binned.fit_trees([fit.growing() for fit in going])):
+                fit.add(tree)
+        going = [fit for fit in going if fit.goes_on(patience)]
+    return [fit.result(patience) for fit in fits]
 
 
 def added(df: DataFrame, tree, weight: float, features: str) -> DataFrame:

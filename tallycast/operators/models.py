@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tallycast.config import BOOSTER_PARAMS, ModelSpec
 from tallycast.functions.scalars import as_col
 from tallycast.operators.binned_boosting import NUMBERS, MadeFrom, is_plain
-from tallycast.operators.boosting import fit_all, fit_in_stages
+from tallycast.operators.boosting import Tables, fit_all, fit_binned, fit_in_stages
 
 # Back-end parameter names and the tree parameter each one stands for.
 SPARK_NAMES = {
@@ -234,6 +234,13 @@ def fit_trees(
     return TreeModel(fit_all(train, estimator, spec.stage_rounds, made_from), names, estimator.getMaxIter())
 
 
+def fit_trees_together(tables: list[Tables], label: str, spec: ModelSpec, names: list[list[str]]) -> list[TreeModel]:
+    """``fit_trees`` for each of the tables, where ``reads_once`` holds: the models grow side by side."""
+    estimators = [make_estimator(spec, label) for _ in tables]
+    fitted = fit_binned(tables, estimators, patience(spec), spec.stage_rounds)
+    return [TreeModel(f.model, n, f.rounds, f.errors) for f, n in zip(fitted, names)]
+
+
 def weighted_average(predictions: Iterable[Column | str], weights: Iterable[float] | None = None) -> Column:
     """Average of prediction columns; weights are normalised to sum to one."""
     predictions = [as_col(p) for p in predictions]

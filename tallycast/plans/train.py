@@ -14,7 +14,7 @@ from tallycast.functions.scalars import log_target, unlog_target
 from tallycast.operators.binned_boosting import NUMBERS, MadeFrom
 from tallycast.operators.folds import Fold, fold_columns, rolling_folds
 from tallycast.operators.metrics import cv_summary, fold_scores
-from tallycast.operators.models import TreeModel, fit_trees, reads_once, tree_params
+from tallycast.operators.models import TreeModel, fit_trees, fit_trees_together, reads_once, tree_params
 from tallycast.plans.prepare import TRAIN_LABEL, Preprocessing, fit_fold_preprocessing, fit_preprocessing, stateless_features
 from tallycast.session import materialise
 
@@ -94,24 +94,33 @@ def cross_validate(features: DataFrame, spec: PipelineSpec, *, early_stopping: b
     materialised. Fill values, encodings and vocabularies of all folds are
     learned together: the features are read for them as often as for one fold.
     Then the driver goes over a handful of folds; each is a set of Spark jobs
-    whose date predicates reach the scan.
+    whose date predicates reach the scan. Models that are fitted on binned rows
+    grow side by side: a job has the same level of the trees of all folds.
     """
     p = spec.panel
     rows = labelled(features, spec)
     folds = rolling_folds(rows, p.date_col, spec.cv, p.grain)
-    predictions, models, forecasters = None, [], []
+    made = []
     for fold, (prep, assembler) in zip(folds, fit_folds(rows, folds, spec)):
         train_rows = rows.filter(fold.trains(F.col(p.date_col)))
         test_rows = rows.filter(fold.tests(F.col(p.date_col)))
         train, _ = _vectors(train_rows, prep, assembler, training=True)
         test, _ = _vectors(test_rows, prep, assembler)
-        made_from = _made_from(train_rows, train, prep, assembler)
-        if made_from is None:
+        made.append((train, test, _made_from(train_rows, train, prep, assembler), prep, assembler))
+    # Whether it is so depends on the settings, so it is so for all folds or for none.
+    side_by_side = bool(made) and all(made_from is not None for _, _, made_from, _, _ in made)
+    if side_by_side:
+        tables = [(train, test if early_stopping else None, made_from) for train, test, made_from, _, _ in made]
+        models = fit_trees_together(tables, TRAIN_LABEL, spec.model, [prep.layout.names for _, _, _, prep, _ in made])
+    else:
+        models = []
+    predictions, forecasters = None, []
+    for k, (fold, (train, test, _, prep, assembler)) in enumerate(zip(folds, made)):
+        if not side_by_side:
             train = train.drop(NUMBERS).persist(StorageLevel.MEMORY_AND_DISK)
             test = test.drop(NUMBERS).persist(StorageLevel.MEMORY_AND_DISK)
-        validation = test if early_stopping else None
-        model = fit_trees(train, TRAIN_LABEL, spec.model, prep.layout.names, validation, made_from)
-        predicted = model.predict(test, "_log_prediction").select(
+            models.append(fit_trees(train, TRAIN_LABEL, spec.model, prep.layout.names, test if early_stopping else None))
+        predicted = models[k].predict(test, "_log_prediction").select(
             F.lit(fold.fold).alias("fold"),
             p.customer_col,
             p.date_col,
@@ -120,9 +129,8 @@ def cross_validate(features: DataFrame, spec: PipelineSpec, *, early_stopping: b
         )
         predicted = materialise(predicted)
         predictions = predicted if predictions is None else predictions.unionByName(predicted)
-        models.append(model)
-        forecasters.append(Forecaster(prep, assembler, model))
-        if made_from is None:
+        forecasters.append(Forecaster(prep, assembler, models[k]))
+        if not side_by_side:
             train.unpersist()
             test.unpersist()
     if predictions is None:

@@ -1,14 +1,18 @@
 """Staged boosting against Spark's own, round by round."""
 
+import math
 import re
 
+import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import functions as F
 
 from tallycast.config import ModelSpec
-from tallycast.operators.boosting import fit_in_stages, stopped
+from tallycast.operators import binned_boosting as binned
+from tallycast.operators.boosting import fit_binned, fit_in_stages, stopped
 from tallycast.operators.models import fit_trees
 from tallycast.session import materialise
 
@@ -91,3 +95,42 @@ def test_rows_that_cannot_be_learned_from_are_refused(tables):
         fit_trees(train.withColumn("y", F.expr("if(id = 1, null, y)")), "y", spec, [])
     with pytest.raises(ValueError, match="no rows"):
         fit_trees(train.filter("id < 0"), "y", spec, [])
+
+
+def test_features_alike_are_kept_and_summed_once(spark, monkeypatch):
+    """The third feature parts the rows as the first does, the second only those of the first block."""
+    monkeypatch.setattr(binned, "BLOCK_BYTES", 50 * (3 + 16))
+    x = [(k % 7, k % 7 if k < 100 else k % 5, 2 * (k % 7)) for k in range(200)]
+    y = [math.sin(k) for k in range(200)]
+    rows = spark.createDataFrame([(v, Vectors.dense(f)) for v, f in zip(y, x)], ["y", "features"]).coalesce(1)
+    booster = GBTRegressor(labelCol="y", maxIter=1, maxDepth=2)
+    cuts = binned.thresholds(rows, booster)
+    blocks = binned.binned(rows, booster, cuts)
+    assert [len(r.bins) // (len(r.labels) // 8) for r in blocks.orderBy("place").collect()] == [1, 2, 2]
+    (got,) = binned.node_sums(binned.Growing(blocks, [], [], booster, cuts, True), 0, [0]).collect()
+    want = np.zeros((3, 3, 7))
+    for v, features in zip(y, x):
+        for f, value in enumerate(features):
+            want[:, f, np.searchsorted(cuts[f], value)] += 1, v, v * v
+    assert np.array_equal(np.frombuffer(got.stats).reshape(want.shape), want)
+
+
+@pytest.mark.parametrize("n", [3, 20, 300])
+def test_bins(n):
+    values = np.random.default_rng(n).normal(size=500).round(2)
+    cuts = np.unique(values)[:n]
+    assert np.array_equal(binned.bin_of(values, cuts, np.uint16), np.searchsorted(cuts, values))
+
+
+def test_models_that_grow_side_by_side_are_those_fitted_alone(tables, monkeypatch):
+    train, validation = tables
+    given = [(train, validation, None), (train.filter("id % 2 = 0"), validation, None), (train.filter("id < 40"), validation, None)]
+    boosters = [GBTRegressor(labelCol="y", maxIter=7, maxDepth=3, stepSize=0.7, seed=5) for _ in given]
+    alone = [fit_in_stages(*t, b, patience=2, stage=2) for (*t, _), b in zip(given, boosters)]
+    calls, fit_trees = [], binned.fit_trees
+    monkeypatch.setattr(binned, "fit_trees", lambda growing: calls.append(len(growing)) or fit_trees(growing))
+    together = fit_binned(given, boosters, 2, 2)
+    assert calls[0] == 3 and sum(calls) == sum(s.fitted for s in together) and len(calls) == max(s.fitted for s in together)
+    for a, b in zip(together, alone):
+        assert (a.rounds, a.errors) == (b.rounds, b.errors)
+        assert [t.toDebugString.split("\n")[1:] for t in a.model.trees] == [t.toDebugString.split("\n")[1:] for t in b.model.trees]
