@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallycast.config import CvSpec, ModelSpec, PanelSpec, PipelineSpec
 from tallycast.operators.panel import forward_label
 from tallycast.plans.prepare import stateless_features
+from tallycast.plans import score as scoring
 from tallycast.plans.score import score, score_to_file
 from tallycast.plans.train import cross_validate, fit_forecaster, labelled
 from tallycast.session import materialise
@@ -87,6 +88,22 @@ def test_the_input_is_read_once(spark, rows, forecaster, tmp_path, with_history)
         score_to_file(frame, forecaster, str(tmp_path / "scores"), expected=7)
 
 
+def test_history_of_other_customers_is_not_shuffled(spark, rows, forecaster, tmp_path, monkeypatch):
+    newest = F.col("period") == rows.agg(F.max("period")).first()[0]
+    new, old = rows.filter(newest).filter("cust in ('c3', 'c4')"), rows.filter(~newest)
+    without = old.limit(1).withColumn("cust", F.lit(None).cast("string"))
+    asked = scoring.history_of(new, old.unionByName(without), "cust")
+    assert {r[0] for r in asked.select("cust").distinct().collect()} == {"c3", "c4"}
+    want = values(score(new, forecaster, old))
+    for most in (2, 1):
+        monkeypatch.setattr(scoring, "FEW_CUSTOMERS", most)
+        assert score_to_file(new, forecaster, str(tmp_path / f"{most}"), old) == 2
+        got = spark.read.option("header", True).csv(str(tmp_path / f"{most}"))
+        assert sorted(map(float, (r[1] for r in got.collect()))) == pytest.approx(sorted(w[2] for w in want))
+    assert scoring.history_of(new, old, "cust") is old
+    assert scoring.history_of(new.withColumn("cust", F.lit(3)), old, "cust") is old
+
+
 def test_bad_rows_are_set_aside(spark, tmp_path):
     lines = ["UniqueID,transaction_date,txn_count,income,note", "c1,2021-01-01,3,1.5,x", "c2,2021/02/03,x,1,y", "c3,31.12.2021,1,2,z", "c4, 20210405 ,1,NaN,w"]
     lines += ["c5,2021-01-01,1", "c6,2021-01-01,1,2,a,b", ",2021-01-01,1,2,c", "c8,,1,2,d", "c9,2021-01-01 10:00:00,,,"]
