@@ -42,8 +42,10 @@ BLOCKS_A_FILE = 8
 
 # place: the task that made a block, and which of its blocks it is.
 # bins: those of different features; which: for each feature, the one it is. Running forecasts of zero are not written.
-NAMES = ["place", "bins", "which", "labels", "sums"]
-BLOCKS = "place bigint, bins binary, which binary, labels binary, sums binary"
+# All four are compressed by the Python tasks: what readers and pipes move is small.
+NAMES = ["place", "n", "bins", "which", "labels", "sums"]
+BLOCKS = "place bigint, n int, bins binary, which binary, labels binary, sums binary"
+CODEC = "zstd"
 PARTIAL = "fit int, node int, place bigint, stats binary"
 SPLIT = "fit int, node int, feature int, bin int, gain double, impurity double, parent array<double>, left array<double>, right array<double>"
 SPLIT_ARROW = pa.schema(
@@ -200,9 +202,15 @@ def blocked(place: int, bins: np.ndarray, labels: np.ndarray) -> pa.RecordBatch:
     return packed(place, b"".join(found), which, labels, np.empty(0))
 
 
-def packed(place: int, *values: np.ndarray | bytes) -> pa.RecordBatch:
-    binaries = [pa.array([v if isinstance(v, bytes) else v.tobytes()], pa.binary()) for v in values]
-    return pa.RecordBatch.from_arrays([pa.array([place], pa.int64()), *binaries], NAMES)
+def packed(place: int, bins: np.ndarray | bytes, which: np.ndarray, labels: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+    binaries = [v if isinstance(v, bytes) else v.tobytes() for v in (bins, which, labels, sums)]
+    columns = [pa.array([pa.compress(v, CODEC, asbytes=True) if v else v], pa.binary()) for v in binaries]
+    return pa.RecordBatch.from_arrays([pa.array([place], pa.int64()), pa.array([len(labels)], pa.int32()), *columns], NAMES)
+
+
+def opened(value: pa.BinaryScalar, n: int, kind: type) -> np.ndarray:
+    """``n`` numbers."""
+    return np.frombuffer(pa.decompress(value.as_buffer(), n * np.dtype(kind).itemsize, CODEC), kind)
 
 
 @dataclass(frozen=True)
@@ -219,13 +227,13 @@ class Block:
         return self.bins[self.which[feature]]
 
 
-def unpacked(batches: Iterator[pa.RecordBatch], kind: type) -> Iterator[Block]:
+def unpacked(batches: Iterator[pa.RecordBatch], features: int, kind: type) -> Iterator[Block]:
     for batch in batches:
-        for place, bins, which, labels, sums in zip(*(batch.column(c) for c in NAMES)):
-            y, so_far = np.frombuffer(labels.as_buffer(), float), np.frombuffer(sums.as_buffer(), float)
+        for place, n, bins, which, labels, sums in zip(*(batch.column(c) for c in NAMES)):
+            n, which = n.as_py(), opened(which, features, np.uint32)
             yield Block(
-                place.as_py(), np.frombuffer(bins.as_buffer(), kind).reshape(-1, len(y)),
-                np.frombuffer(which.as_buffer(), np.uint32), y, so_far if len(so_far) else np.zeros(len(y)),
+                place.as_py(), opened(bins, n * (int(which.max()) + 1), kind).reshape(-1, n), which,
+                opened(labels, n, float), opened(sums, n, float) if sums.as_buffer().size else np.zeros(n),
             )
 
 
@@ -254,11 +262,11 @@ def forecast(trees: list[Tree], weights: list[float], block: Block) -> Iterator[
         yield sums
 
 
-def advanced(blocks: DataFrame, trees: list[Tree], weights: list[float], kind: type) -> DataFrame:
+def advanced(blocks: DataFrame, trees: list[Tree], weights: list[float], cuts: list[np.ndarray]) -> DataFrame:
     """The blocks with the trees added to the running forecasts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in unpacked(batches, kind):
+        for block in unpacked(batches, len(cuts), kind_of(cuts)):
             *_, sums = forecast(trees, weights, block)
             yield packed(block.place, block.bins, block.which, block.labels, sums)
 
@@ -266,11 +274,11 @@ def advanced(blocks: DataFrame, trees: list[Tree], weights: list[float], kind: t
         return materialise(blocks.mapInArrow(run, BLOCKS), BLOCKS_A_FILE)
 
 
-def mean_errors(blocks: DataFrame, trees: list[Tree], weights: list[float], kind: type) -> list[float]:
+def mean_errors(blocks: DataFrame, trees: list[Tree], weights: list[float], cuts: list[np.ndarray]) -> list[float]:
     """The mean squared error after each of the trees, from one pass; NaN without rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in unpacked(batches, kind):
+        for block in unpacked(batches, len(cuts), kind_of(cuts)):
             y = block.labels
             found = [float(((y - s) ** 2).sum()) for s in forecast(trees, weights, block)]
             yield pa.RecordBatch.from_arrays([pa.array([found], pa.list_(pa.float64())), pa.array([len(y)], pa.int64())], ["e", "n"])
@@ -341,7 +349,7 @@ def node_sums(growing: Growing, fit: int, open_nodes: list[int]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start = None
-        for block in unpacked(batches, kind):
+        for block in unpacked(batches, len(cuts), kind):
             if start is None or block.place >> 32 != start >> 32:
                 if start is not None:
                     yield told(start, shared, counts, both)

@@ -131,7 +131,7 @@ class BinnedFit:
     def __init__(self, tables: Tables, booster: GBTRegressor):
         train, validation, made_from = tables
         self.booster, self.cuts = booster, binned.thresholds(train, booster, made_from)
-        self.kind, self.most = binned.kind_of(self.cuts), booster.getMaxIter()
+        self.most = booster.getMaxIter()
         self.blocks = binned.binned(train, booster, self.cuts)
         self.tested = None if validation is None else binned.binned(validation, booster, self.cuts)
         self.trees, self.weights, self.errors, self.warm = [], [], [], 0
@@ -146,7 +146,7 @@ class BinnedFit:
 
     def goes_on(self, patience: int) -> bool:
         """At the end of a stage: the errors of its rounds; then, if there are more, both tables start warm."""
-        late = self.trees[self.warm :], self.weights[self.warm :], self.kind
+        late = self.trees[self.warm :], self.weights[self.warm :], self.cuts
         if self.tested is not None:
             self.errors += binned.mean_errors(self.tested, *late)
             if stopped(self.errors, patience):
